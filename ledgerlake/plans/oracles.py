@@ -117,8 +117,8 @@ owner_names AS (
     o_orderkey % 6 AS contact_case
   FROM orders LEFT JOIN customer ON o_custkey = c_custkey),
 crates AS (
-  SELECT 'CO' || o_orderkey AS order_id, strftime(o_orderdate, '%d.%m.%y') AS date,
-    CAST(o_orderdate AS DATE) AS formatted_date, 'K' || o_custkey AS company_id,
+  SELECT 'CO' || o_orderkey AS order_id, strftime(o_orderdate + INTERVAL 20 YEAR, '%d.%m.%y') AS date,
+    CAST(o_orderdate + INTERVAL 20 YEAR AS DATE) AS formatted_date, 'K' || o_custkey AS company_id,
     CASE WHEN o_orderkey % 2 = 1 THEN c_name || ' Co' ELSE c_name END AS company_name,
     CASE o_orderpriority WHEN '1-URGENT' THEN 'Plastic' WHEN '2-HIGH' THEN 'Wood' ELSE 'Metal' END AS crate_type,
     CASE contact_case
@@ -157,7 +157,7 @@ sales AS (
     contact_name, contact_surname, contact_full_name, contact_city, contact_cp, unnest(owners) AS salesowner
   FROM contacts)"""
 
-LAST_YEAR = "formatted_date >= DATE '2000-08-01'"
+LAST_YEAR = "formatted_date >= DATE '2020-08-01'"
 
 
 def _monthly(where: str = "true") -> str:

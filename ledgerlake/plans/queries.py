@@ -21,7 +21,7 @@ from ledgerlake.streaming.changes import live_rows
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-AS_OF = "2001-08-01"
+AS_OF = "2021-08-01"
 EVENTS_SPLIT = "2024-01-16"
 ORDERS_SPLIT = "1998-06-01"
 EXTENDED_ORDERS = CollectionSpec(

@@ -232,7 +232,10 @@ def _owner(n: Column) -> Column:
 
 
 def crate_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Crate orders of companies; contacts have gaps, owner lists one to four names with either spacing."""
+    """Crate orders of companies; contacts have gaps, owner lists one to four names with either spacing.
+
+    Two-digit years are read as 20yy, so the days are moved twenty years on.
+    """
     orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
@@ -261,7 +264,7 @@ def crate_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     priority = F.col("o_orderpriority")
     return orders.join(customer, orders.o_custkey == customer.c_custkey, "left").select(
         _text("CO", key).alias("order_id"),
-        F.date_format("o_orderdate", "dd.MM.yy").alias("date"),
+        F.date_format(F.add_months("o_orderdate", 240), "dd.MM.yy").alias("date"),
         _text("K", cust).alias("company_id"),
         F.when(key % 2 == 1, _text(F.col("c_name"), " Co")).otherwise(F.col("c_name")).alias("company_name"),
         F.when(priority == "1-URGENT", "Plastic").when(priority == "2-HIGH", "Wood").otherwise("Metal").alias("crate_type"),

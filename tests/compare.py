@@ -35,7 +35,7 @@ def difference(df, sql: str, con) -> str | None:
     a, b = f"SELECT {names} FROM mine", f"SELECT {names} FROM theirs"
     extra = con.sql(f"({a}) EXCEPT ALL ({b})").limit(2).fetchall()
     missing = con.sql(f"({b}) EXCEPT ALL ({a})").limit(2).fetchall()
-    counts = [con.sql(f"SELECT count(*) FROM {t}").fetchone()[0] for t in ("mine", "theirs")]
+    counts = [con.sql(f"SELECT count(*) FROM {t}").fetchall()[0][0] for t in ("mine", "theirs")]
     if extra or missing:
         return f"{counts} rows of {sorted(have)}; only here {extra}; only there {missing}"
     return None if counts[0] else "both are empty"
