@@ -38,4 +38,4 @@ def enrich(
 
 def only_known(fact: DataFrame, dim: DataFrame, on: str) -> DataFrame:
     """Fact rows whose key the dimension has: an inner join that needs no attribute."""
-    return fact.join(dim.select(on).distinct(), on, "left_semi")
+    return fact.join(dim.select(on).distinct(), on, "left_semi").select(*fact.columns)

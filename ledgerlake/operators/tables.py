@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -121,7 +122,14 @@ class VersionedTable:
         else:
             df.hint("rebalance").write.mode("overwrite").parquet(target)
             dirs = [f"_v={version}"]
-        return dirs, seen.get.get("rows", 0)
+        return dirs, self._observed_rows(seen)
+
+    @staticmethod
+    def _observed_rows(seen: Observation) -> int:
+        try:
+            return seen.get.get("rows", 0)
+        except Py4JJavaError:  # AQE found the input empty and replaced the plan, the metric included
+            return 0
 
     def _commit(self, version: int, operation: str, tag: str | None, rows: int, schema: str, dirs: list[str]) -> int:
         row = self.spark.createDataFrame([(operation, tag, rows, schema, dirs)], _LOG.split(", ", 1)[1])

@@ -41,7 +41,12 @@ def _posted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_returnflag",
         "l_shipdate",
     )
-    return orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
+    # Not a left join: AQE can split a hot key on either side of an inner join, but never on the
+    # optional side of an outer one.
+    sold = orders.join(lines, orders.o_orderkey == lines.l_orderkey)
+    keys = lines.select("l_orderkey").distinct()
+    unsold = orders.join(keys, orders.o_orderkey == keys.l_orderkey, "left_anti")
+    return sold.unionByName(unsold, allowMissingColumns=True)
 
 
 def raw_journal(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,7 +67,7 @@ def raw_journal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _posted_lines(spark, sf_dir).select(
         F.concat_ws("-", "o_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("_id"),
         _text("JE", F.col("o_orderkey")).alias("entry_id"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
+        F.to_date("o_orderdate").cast("string").alias("date"),
         F.when(F.col("l_orderkey").isNotNull(), filled)
         .when(F.col("o_orderkey") % 2 == 1, F.from_json(F.lit("[]"), JOURNAL_ENTRIES.schema["lines"].dataType))
         .alias("lines"),
@@ -99,7 +104,7 @@ def raw_close_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("name"),
         _text("user ", i % 7).alias("assigned_to"),
         F.when(F.col("event_type") == "purchase", "Complete").otherwise("In Progress").alias("status"),
-        F.when(i % 50 == 0, "n/a").otherwise(F.date_format("ts", "yyyy-MM-dd")).alias("due_date"),
+        F.when(i % 50 == 0, "n/a").otherwise(F.to_date("ts").cast("string")).alias("due_date"),
         F.when(i % 31 != 0, F.col("ts")).alias("ingest_ts"),
         F.col("ts").alias("arrived_at"),
     )
@@ -123,7 +128,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws("-", "o_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("_id"),
         _text("O", F.col("o_orderkey")).alias("order_id"),
         _text("C", F.col("o_custkey")).alias("customer_id"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_date"),
+        F.to_date("o_orderdate").cast("string").alias("order_date"),
         F.col("o_orderstatus").alias("status"),
         F.col("o_totalprice").cast(MONEY).cast("string").alias("total_amount"),
         F.when(F.col("l_orderkey").isNotNull(), F.transform(F.sequence(F.lit(1), F.col("l_linenumber")), line)).alias(
@@ -181,7 +186,7 @@ def text_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             "quantity"
         ),
         F.when(F.col("l_partkey") % 50 == 0, "not a date")
-        .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd"))
+        .otherwise(F.to_date("l_shipdate").cast("string"))
         .alias("shipped_on"),
         F.array(
             F.struct(
