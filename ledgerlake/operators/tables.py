@@ -174,9 +174,22 @@ class VersionedTable:
 
         A row whose partition value changes leaves its old partition, which is rewritten too.
         """
+        incoming = self._land(source)
         if self.current_version() is None:
-            empty = self.spark.createDataFrame([], source.schema)
-            return self.publish(upsert(empty, source, self.keys, newer_by), tag)
+            empty = self.spark.createDataFrame([], incoming.schema)
+            version = self.publish(upsert(empty, incoming, self.keys, newer_by), tag)
+        else:
+            version = self._merge_landed(incoming, newer_by, tag)
+        self._delete(f"{self.path}/incoming")
+        return version
+
+    def _land(self, source: DataFrame) -> DataFrame:
+        """The source as files: the merge reads its keys, partitions and rows separately, but it is computed once."""
+        path = f"{self.path}/incoming/v={self._next()}"
+        source.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(source.schema).parquet(path)
+
+    def _merge_landed(self, source: DataFrame, newer_by: str | None, tag: str | None) -> int:
         version = self._next()
         base = self._log_row(version - 1)
         kept, rewritten = [], base.dirs

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlake.sources import spread
 from ledgerlake.specs import JOURNAL_ENTRIES, MONEY, strings
 
 RUN_TS = "2024-02-01 00:00:00"
@@ -20,6 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows become documents one by one; building and parsing them is the costly part."""
+    return spread(table(spark, sf_dir, name))
+
+
 def ntz(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
@@ -172,14 +178,14 @@ def extended_json_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     wrapped_doc = F.when(
         F.col("l_linenumber") % 4 == 1, doc(tag("$date", iso), True)
     ).otherwise(doc(tag("$date", tag("$numberLong", millis)), True))
-    return table(spark, sf_dir, "lineitem").select(
+    return documents(spark, sf_dir, "lineitem").select(
         F.when(F.col("l_linenumber") % 2 == 1, wrapped_doc).otherwise(doc(iso, False)).alias("doc")
     )
 
 
 def text_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with every field as text, some of it unreadable, and a field no schema asks for."""
-    return table(spark, sf_dir, "lineitem").select(
+    return documents(spark, sf_dir, "lineitem").select(
         _text("O", F.col("l_orderkey")).alias("order_id"),
         F.col("l_linenumber").cast("string").alias("line_no"),
         F.when(F.col("l_linenumber") == 7, "seven").otherwise(F.col("l_quantity").cast("int").cast("string")).alias(
@@ -218,7 +224,7 @@ def flat_orders(spark: SparkSession, sf_dir: str, nested: bool = False) -> DataF
         F.col("l_returnflag").alias("state"),
     )
     metadata = F.struct(F.lit("web").alias("source"), _text("CAMP-", F.col("l_linenumber")).alias("campaign_id"))
-    return table(spark, sf_dir, "lineitem").select(
+    return documents(spark, sf_dir, "lineitem").select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("_id"),
         _text("ORD-", F.col("l_orderkey")).alias("order_id"),
         _text("user", F.col("l_suppkey"), "@example.com").alias("customer_email"),
@@ -241,7 +247,7 @@ def crate_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Two-digit years are read as 20yy, so the days are moved twenty years on.
     """
-    orders = table(spark, sf_dir, "orders")
+    orders = documents(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     first, last = _text("Ann", F.col("c_nationkey")), _text("Lee", cust % 10)
@@ -297,7 +303,7 @@ def invoice_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     one, two = invoice("-1", cents), invoice("-2", cents % 100000)
     invoices = F.when(key % 3 == 0, F.array(one, two)).otherwise(F.array(one))
-    return table(spark, sf_dir, "orders").select(F.struct(invoices.alias("invoices")).alias("data"))
+    return documents(spark, sf_dir, "orders").select(F.struct(invoices.alias("invoices")).alias("data"))
 
 
 def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:

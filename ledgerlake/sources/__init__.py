@@ -12,6 +12,7 @@ from ledgerlake.sources.files import (
     read_delimited,
     read_json_docs,
     read_json_inferred,
+    spread,
 )
 
 __all__ = [
@@ -26,4 +27,5 @@ __all__ = [
     "read_json_inferred",
     "row_counts",
     "since_mark",
+    "spread",
 ]

@@ -52,6 +52,15 @@ def flatten_invoices(envelopes: DataFrame) -> DataFrame:
     )
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal the rows of a scan out to all cores if it has fewer tasks than those.
+
+    For costly per-row work on a few large row groups. A scan of many files is left as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def list_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
     """Files below ``path`` with size and change time; their content is pruned from the scan."""
     return (
