@@ -10,14 +10,15 @@ time is assumed.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.operators.retention import DEFAULT_RETENTION, ORPHAN_GRACE_DAYS, orphan_files, snapshots_to_expire
-from ledgerlake.operators.upsert import upsert
+from ledgerlake.operators.upsert import replace_groups, upsert
 from ledgerlake.sources.files import list_files
 
 _LOG = "committed_at timestamp, operation string, tag string, row_count bigint, schema string, dirs array<string>"
@@ -25,13 +26,13 @@ _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 class VersionedTable:
-    """``partition_by`` is a column of date, integer or plain-word values, with far fewer values than rows."""
+    """``partition_by`` names columns of date, integer or plain-word values, with far fewer values than rows."""
 
-    def __init__(self, spark: SparkSession, path: str, keys: list[str], partition_by: str | None = None):
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], partition_by: str | list[str] | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = keys
-        self.partition_by = partition_by
+        self.partition_by = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
 
     # storage listing; directory names only, never data
 
@@ -115,10 +116,12 @@ class VersionedTable:
         df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
         if self.partition_by:
             # rebalancing splits a hot partition over several tasks and merges small ones
-            df.hint("rebalance", F.col(self.partition_by)).write.mode("overwrite").partitionBy(
-                self.partition_by
+            df.hint("rebalance", *map(F.col, self.partition_by)).write.mode("overwrite").partitionBy(
+                *self.partition_by
             ).parquet(target)
-            dirs = [f"_v={version}/{d}" for d in self._ls(target) if d.startswith(f"{self.partition_by}=")]
+            dirs = [f"_v={version}"]
+            for column in self.partition_by:
+                dirs = [f"{d}/{n}" for d in dirs for n in self._ls(f"{self.path}/data/{d}") if n.startswith(f"{column}=")]
         else:
             df.hint("rebalance").write.mode("overwrite").parquet(target)
             dirs = [f"_v={version}"]
@@ -157,17 +160,24 @@ class VersionedTable:
         schema = base.schema if base else df.schema.json()
         return self._commit(version, "append", tag, rows, schema, [*(base.dirs if base else []), *dirs])
 
-    def _touched_partitions(self, source: DataFrame) -> set[str]:
-        """Names of the partitions the merge may change: where the source goes and where its keys are now."""
-        part = F.coalesce(F.col(self.partition_by).cast("string"), F.lit(_NULL_PARTITION)).alias("_part")
-        goes = source.select(part)
-        comes = (
+    def _partition_name(self) -> Column:
+        """The directory of a row, as the writer names it."""
+        parts = [
+            F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(_NULL_PARTITION)))
+            for c in self.partition_by
+        ]
+        return F.concat_ws("/", *parts).alias("_part")
+
+    def _touched_partitions(self, source: DataFrame, changed: DataFrame, keys: list[str]) -> set[str]:
+        """Names of the partitions a change can reach: where its rows go and where its keys are now."""
+        part = self._partition_name()
+        now = (
             self.read()
-            .select(*self.keys, self.partition_by)
-            .join(source.select(*self.keys).distinct(), self.keys, "left_semi")
+            .select(*dict.fromkeys([*keys, *self.partition_by]))
+            .join(changed.select(*keys).distinct(), keys, "left_semi")
             .select(part)
         )
-        return {f"{self.partition_by}={r._part}" for r in goes.unionByName(comes).distinct().collect()}
+        return {r._part for r in source.select(part).unionByName(now).distinct().collect()}
 
     def merge(self, source: DataFrame, newer_by: str | None = None, tag: str | None = None) -> int:
         """Upsert by key. A partitioned table rewrites only the partitions the merge can change.
@@ -190,16 +200,45 @@ class VersionedTable:
         return self.spark.read.schema(source.schema).parquet(path)
 
     def _merge_landed(self, source: DataFrame, newer_by: str | None, tag: str | None) -> int:
+        return self._rewrite(
+            source, source, self.keys, "merge", tag, lambda target: upsert(target, source, self.keys, newer_by)
+        )
+
+    def _rewrite(
+        self,
+        source: DataFrame,
+        changed: DataFrame,
+        keys: list[str],
+        operation: str,
+        tag: str | None,
+        change: Callable[[DataFrame], DataFrame],
+    ) -> int:
+        """Commit a version in which only the partitions within reach of the change are new."""
         version = self._next()
         base = self._log_row(version - 1)
         kept, rewritten = [], base.dirs
         if self.partition_by:
-            touched = self._touched_partitions(source)
+            touched = self._touched_partitions(source, changed, keys)
             kept = [d for d in base.dirs if d.split("/", 1)[1] not in touched]
             rewritten = [d for d in base.dirs if d.split("/", 1)[1] in touched]
-        merged = upsert(self._read_dirs(rewritten, base.schema), source, self.keys, newer_by)
-        dirs, rows = self._write(merged, version)
-        return self._commit(version, "merge", tag, rows, base.schema, kept + dirs)
+        dirs, rows = self._write(change(self._read_dirs(rewritten, base.schema)), version)
+        return self._commit(version, operation, tag, rows, base.schema, kept + dirs)
+
+    def replace_groups(self, recomputed: DataFrame, affected: DataFrame, keys: list[str], tag: str | None = None) -> int:
+        """Every affected group goes and the recomputed ones come, within the partitions that hold either."""
+        if self.current_version() is None:
+            return self.publish(recomputed, tag)
+        incoming = self._land(recomputed)
+        version = self._rewrite(
+            incoming,
+            affected,
+            keys,
+            "replace groups",
+            tag,
+            lambda target: replace_groups(target, incoming, affected, keys),
+        )
+        self._delete(f"{self.path}/incoming")
+        return version
 
     def compact(self) -> int:
         """Rewrite the current version; AQE sizes the files by its advisory partition size."""
@@ -213,7 +252,7 @@ class VersionedTable:
     def expire(self, as_of=None, days: int = DEFAULT_RETENTION[0], retain_last: int = DEFAULT_RETENTION[1]) -> list[int]:
         """Forget versions older than ``days``, keeping the last ones. Their files become orphans."""
         log = self.history().select(F.lit(self.path).alias("table_name"), "version", "committed_at")
-        when = as_of if as_of is not None else self.spark.range(1).select(F.current_timestamp()).first()[0]
+        when = as_of if as_of is not None else F.current_timestamp()
         due = snapshots_to_expire(log, when, id_col="version", default=(days, retain_last), policies={})
         gone = sorted(r.version for r in due.select("version").collect() if r.version != self.current_version())
         for version in gone:
@@ -226,7 +265,7 @@ class VersionedTable:
             "dir", F.regexp_extract("path", r"/data/(.+)/[^/]+$", 1)
         )
         referenced = self.history().select(F.explode("dirs").alias("dir")).distinct()
-        when = as_of if as_of is not None else self.spark.range(1).select(F.current_timestamp()).first()[0]
+        when = as_of if as_of is not None else F.current_timestamp()
         return orphan_files(listing, referenced, when, grace_days, on="dir")
 
     def remove_orphans(self, as_of=None, grace_days: int = ORPHAN_GRACE_DAYS, dry_run: bool = True) -> list[str]:

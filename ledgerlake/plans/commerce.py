@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import backfill_ingest_ts, iso_date, iso_timestamp, quality_split
-from ledgerlake.operators import document_metrics, keep_latest, split_null_keys
-from ledgerlake.specs import MONEY
+from ledgerlake.operators import VersionedTable, document_metrics, keep_latest, split_null_keys
+from ledgerlake.specs import MONEY, ORDERS
 
 
 def latest_orders(raw: DataFrame, run_ts=None) -> DataFrame:
@@ -51,3 +51,15 @@ def orders_analytics(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(rows, rejects)``: an order needs a positive quantity and price."""
     good, rejects = quality_split(raw, F.col("quantity") > 0, F.col("price") > 0)
     return typed_flat_orders(good), rejects
+
+
+def sync_orders(spark: SparkSession, path: str, raw: DataFrame, run_ts=None) -> int:
+    """Merge newly loaded order documents into the orders table by day; older loads change nothing."""
+    table = VersionedTable(spark, path, ["order_id"], ORDERS.partition_by)
+    return table.merge(orders_silver(raw, run_ts), newer_by="last_update_ts")
+
+
+def publish_analytics(spark: SparkSession, path: str, raw: DataFrame) -> int:
+    """Replace the flat-orders table, by year and month."""
+    rows, _ = orders_analytics(raw)
+    return VersionedTable(spark, path, ["_id"], ["order_year", "order_month"]).publish(rows)

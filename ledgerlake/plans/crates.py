@@ -79,29 +79,22 @@ def order_contact_address(contacts: DataFrame) -> DataFrame:
     return contacts.select("order_id", F.concat_ws(",", "contact_city", "contact_cp").alias("contact_address"))
 
 
+def _company_names(contacts: DataFrame) -> DataFrame:
+    """One name per company, of its orders that have owners."""
+    return canonical_attribute(contacts.where(F.col("salesowners").isNotNull()), "company_id", "company_name")
+
+
 def company_salesowners(contacts: DataFrame) -> DataFrame:
-    """Distinct owners per company, under one company name.
-
-    Names and owners come from the same rows, so one aggregation finds the distinct pairs and each
-    pair's first name; the name of the company is the first of those.
-    """
-    pairs = (
-        explode_names(contacts.select("company_id", "company_name", "salesowners"), "salesowners", "salesowner")
-        .groupBy("company_id", "salesowner")
-        .agg(F.min("company_name").alias("company_name"))
-    )
-    return pairs.drop("company_name").join(canonical_attribute(pairs, "company_id", "company_name"), "company_id").select(
-        "company_id", "company_name", "salesowner"
-    )
+    """Distinct owners per company, under one company name."""
+    pairs = explode_names(contacts.select("company_id", "salesowners"), "salesowners", "salesowner").distinct()
+    return pairs.join(_company_names(contacts), "company_id").select("company_id", "company_name", "salesowner")
 
 
 def company_salesowner_list(contacts: DataFrame) -> DataFrame:
     """All owners of a company, sorted, as one text."""
     owners = explode_names(contacts.select("company_id", "salesowners"), "salesowners", "salesowner")
     lists = joined_names(owners, ["company_id"], "salesowner", "list_salesowners")
-    return lists.join(canonical_attribute(contacts, "company_id", "company_name"), "company_id").select(
-        "company_id", "company_name", "list_salesowners"
-    )
+    return lists.join(_company_names(contacts), "company_id").select("company_id", "company_name", "list_salesowners")
 
 
 def company_crate_distribution(contacts: DataFrame) -> DataFrame:
@@ -212,3 +205,33 @@ def top_k_sellers(owners: DataFrame, as_of=None, k: int = 5) -> DataFrame:
     """The k best single months of any owner."""
     best_first = [F.col("total_sales").desc(), F.col("sales_month").asc(), F.col("salesowner").asc()]
     return top_k(monthly_sales(owners, as_of).drop("month_no"), best_first, k)
+
+
+def reports(orders: DataFrame, invoices: DataFrame, as_of) -> dict[str, DataFrame]:
+    """All crate reports by name, over parsed orders (:func:`order_contacts`) and flat invoices."""
+    contacts = order_contacts(orders)
+    owners = order_sales_owners(contacts)
+    commissions = commission_lines(contacts, invoices)
+    return {
+        "order_contacts": contacts,
+        "company_salesowners": company_salesowners(contacts),
+        "order_sales_owners": owners,
+        "commission_lines": commissions,
+        "company_crate_distribution": company_crate_distribution(contacts),
+        "crate_order_distribution": crate_order_distribution(contacts),
+        "order_contact_names": order_contact_names(contacts),
+        "order_contact_address": order_contact_address(contacts),
+        "company_salesowner_list": company_salesowner_list(contacts),
+        "salesowner_commission": salesowner_commission(commissions),
+        "training_last_12m": training_last_12m(owners, as_of),
+        "top_sellers_by_month": top_sellers_by_month(owners, as_of),
+        "top_k_sellers": top_k_sellers(owners, as_of),
+    }
+
+
+def register_views(orders: DataFrame, invoices: DataFrame, as_of) -> list[str]:
+    """The reports as temporary views, for use from SQL."""
+    named = reports(orders, invoices, as_of)
+    for name, df in named.items():
+        df.createOrReplaceTempView(name)
+    return list(named)

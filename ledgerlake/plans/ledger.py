@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from ledgerlake.functions import (
     backfill_ingest_ts,
     conform,
     iso_date,
+    nested_to_json,
     normalize_extended_json,
     split_conformed,
     with_ingest_ts,
@@ -21,11 +24,10 @@ from ledgerlake.operators import (
     keep_latest,
     money_totals,
     only_known,
-    replace_groups,
     split_null_keys,
 )
 from ledgerlake.operators.retention import DEFAULT_RETENTION, RETENTION
-from ledgerlake.specs import CLOSE_TASKS, JOURNAL_ENTRIES, CollectionSpec
+from ledgerlake.specs import CLOSE_TASKS, COLLECTIONS, JOURNAL_ENTRIES, CollectionSpec
 
 ACCOUNT_ATTRIBUTES = {"name": "account_name", "type": "account_type"}
 LINE_FIELDS = ["account_id", "debit", "credit"]
@@ -45,6 +47,26 @@ def append_raw(spark: SparkSession, df: DataFrame, path: str, spec: CollectionSp
     return table.publish(dated) if reload else table.append(dated)
 
 
+def ingest_collections(
+    spark: SparkSession,
+    root: str,
+    documents: Mapping[str, DataFrame],
+    doc_col: str = "doc",
+    ts=None,
+    reload: bool = False,
+) -> None:
+    """Land every collection's documents below ``root/raw`` and the ones that do not fit below ``root/rejects``."""
+    for name, docs in documents.items():
+        spec = COLLECTIONS[name]
+        rows, rejects = ingest_documents(docs, doc_col, spec, ts)
+        append_raw(spark, rows, f"{root}/raw/{name}", spec, reload)
+        nested_to_json(with_ingest_ts(rejects, ts)).write.mode("append").parquet(f"{root}/rejects/{name}")
+
+
+def raw_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    return VersionedTable(spark, f"{root}/raw/{name}", list(COLLECTIONS[name].keys), "ingest_date").read()
+
+
 def close_tasks_silver(raw: DataFrame, run_ts=None) -> DataFrame:
     """Typed close tasks, the latest load per task; tasks without an id are left out."""
     keyed, _ = split_null_keys(raw, ["task_id"])
@@ -139,9 +161,5 @@ def curate(spark: SparkSession, root: str, tasks: DataFrame, journal: DataFrame,
     gold = VersionedTable(spark, f"{root}/journal_entries_gold", ["entry_id", "entry_date"], "entry_year")
     changed = journal.select("entry_id").distinct()
     affected = silver.read().join(changed, "entry_id", "left_semi")
-    totals = journal_gold(affected).withColumn("entry_year", F.year("entry_date"))
-    if gold.current_version() is None:
-        gold.publish(totals)
-    else:
-        gold.publish(replace_groups(gold.read(), totals, changed, ["entry_id"]))
+    gold.replace_groups(journal_gold(affected).withColumn("entry_year", F.year("entry_date")), changed, ["entry_id"])
     gold.expire(run_ts, *RETENTION["gold"])
