@@ -1,10 +1,10 @@
 """Keyed Parquet tables with versions: create, append, replace, merge, read back in time, expire.
 
 Layout: ``<path>/data/_v=<version>/[<partition>=<value>/]`` holds files that are never changed, and
-``<path>/log/v=<version>/`` one row that names the directories a version consists of. A version
-exists once its log row is committed, so readers see whole versions only, a failed job leaves
-nothing but unreferenced files, and a table can be rewritten while it is being read. One writer at a
-time is assumed.
+``<path>/log/v=<version>/`` one file with one row that names the directories a version consists of.
+A version exists once that file does, so readers see whole versions only, a job that fails at any
+point leaves nothing but unreferenced files, and a table can be rewritten while it is being read.
+One writer at a time is assumed.
 """
 
 from __future__ import annotations
@@ -34,24 +34,27 @@ class VersionedTable:
         self.keys = keys
         self.partition_by = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
 
-    # storage listing; directory names only, never data
+    # storage listing; names only, never data
+
+    def _fs(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
     def _ls(self, path: str) -> list[str]:
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(p):
-            return []
-        return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
+        fs, p = self._fs(path)
+        return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []
 
     def _delete(self, path: str) -> None:
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+        fs, p = self._fs(path)
+        fs.delete(p, True)
 
     # log
 
     def versions(self) -> list[int]:
-        return sorted(int(d[2:]) for d in self._ls(f"{self.path}/log") if d.startswith("v="))
+        """Committed versions; a log directory without its file is a commit that failed."""
+        fs, p = self._fs(f"{self.path}/log/v=*/*.parquet")
+        found = fs.globStatus(p) or []
+        return sorted({int(s.getPath().getParent().getName()[2:]) for s in found})
 
     def _log_row(self, version: int):
         return self.spark.read.schema(_LOG).parquet(f"{self.path}/log/v={version}").first()
@@ -135,6 +138,8 @@ class VersionedTable:
             return 0
 
     def _commit(self, version: int, operation: str, tag: str | None, rows: int, schema: str, dirs: list[str]) -> int:
+        if version not in self.versions():
+            self._delete(f"{self.path}/log/v={version}")
         row = self.spark.createDataFrame([(operation, tag, rows, schema, dirs)], _LOG.split(", ", 1)[1])
         row.select(F.current_timestamp().alias("committed_at"), "*").coalesce(1).write.mode("error").parquet(
             f"{self.path}/log/v={version}"

@@ -48,10 +48,10 @@ def files(tmp_path):
 
 def test_sample_documents_to_gold(spark, files):
     root = scratch(spark, "warehouse")
-    for ts in (FIRST, LATER):  # the second load brings the same documents again
+    for ts, how in ((FIRST, []), (LATER, ["--incremental"])):  # the second load brings the same documents again
         job(spark, "ingest", *files, "--root", root, "--run-ts", ts)
-        job(spark, "curate", "--root", root, "--run-ts", ts)
-        job(spark, "orders", "--root", root, "--run-ts", ts)
+        job(spark, "curate", "--root", root, "--run-ts", ts, *how)
+        job(spark, "orders", "--root", root, "--run-ts", ts, *how)
     day = date(2025, 5, 31)
     silver = VersionedTable(spark, f"{root}/journal_entries_silver", ["entry_id", "account_id"]).read()
     assert values(silver.select("entry_id", "entry_date", "account_name", "debit", "credit")) == [

@@ -64,6 +64,15 @@ def test_half_written_version_is_invisible_and_overwritten(spark, table):
     assert values(table.read().select("k")) == [(1,), (2,)]
 
 
+def test_failed_commit_is_no_version(spark, table):
+    table.publish(frame(spark, (1, "d1", "a")))
+    fs, p = table._fs(f"{table.path}/log/v=2/_temporary/0")
+    fs.mkdirs(p)
+    assert table.versions() == [1] and table.read().count() == 1
+    table.append(frame(spark, (2, "d1", "b")))
+    assert table.versions() == [1, 2] and table.read().count() == 2
+
+
 def test_expiry_then_orphans(spark, table):
     for i in range(5):
         table.publish(frame(spark, (i, "d1", "a")))
