@@ -19,7 +19,7 @@ from ledgerlake.operators.dedup import (
     state_as_of,
 )
 from ledgerlake.operators.flatten import explode_lines, explode_names
-from ledgerlake.operators.joins import enrich, only_known
+from ledgerlake.operators.joins import enrich, join_splittable, only_known
 from ledgerlake.operators.retention import compaction_plan, orphan_files, snapshots_to_expire
 from ledgerlake.operators.tables import VersionedTable
 from ledgerlake.operators.upsert import apply_changes, merge_into_catalog, replace_groups, upsert
@@ -36,6 +36,7 @@ __all__ = [
     "enrich",
     "explode_lines",
     "explode_names",
+    "join_splittable",
     "joined_names",
     "keep_latest",
     "keep_top",

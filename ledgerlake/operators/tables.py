@@ -269,7 +269,7 @@ class VersionedTable:
         listing = list_files(self.spark, f"{self.path}/data").withColumn(
             "dir", F.regexp_extract("path", r"/data/(.+)/[^/]+$", 1)
         )
-        referenced = self.history().select(F.explode("dirs").alias("dir")).distinct()
+        referenced = self.history().select(F.explode("dirs").alias("dir"))
         when = as_of if as_of is not None else F.current_timestamp()
         return orphan_files(listing, referenced, when, grace_days, on="dir")
 

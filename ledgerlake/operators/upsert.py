@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.dedup import keep_latest
+from ledgerlake.operators.joins import join_splittable
 
 _N, _TS = "_matches", "_source_ts"
 
@@ -55,7 +56,7 @@ def _winners(target: DataFrame, source: DataFrame, touched: DataFrame, keys: lis
         .agg(F.max(newer_by).alias("_target_ts"), F.lit(True).alias("_known"))
     )
     wins = F.col("_known").isNull() | F.coalesce(F.col(newer_by) > F.col("_target_ts"), F.lit(False))
-    return source.join(known, keys, "left").where(wins).select(*target.columns)
+    return join_splittable(source, known, keys, "left").where(wins).select(*target.columns)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], newer_by: str | None = None) -> DataFrame:

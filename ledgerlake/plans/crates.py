@@ -11,6 +11,7 @@ from ledgerlake.operators import (
     count_by,
     explode_names,
     joined_names,
+    join_splittable,
     keep_top,
     month_index,
     rolling_months,
@@ -87,7 +88,8 @@ def _company_names(contacts: DataFrame) -> DataFrame:
 def company_salesowners(contacts: DataFrame) -> DataFrame:
     """Distinct owners per company, under one company name."""
     pairs = explode_names(contacts.select("company_id", "salesowners"), "salesowners", "salesowner").distinct()
-    return pairs.join(_company_names(contacts), "company_id").select("company_id", "company_name", "salesowner")
+    named = join_splittable(pairs, _company_names(contacts), ["company_id"], "inner")
+    return named.select("company_id", "company_name", "salesowner")
 
 
 def company_salesowner_list(contacts: DataFrame) -> DataFrame:

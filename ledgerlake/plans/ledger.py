@@ -160,6 +160,6 @@ def curate(spark: SparkSession, root: str, tasks: DataFrame, journal: DataFrame,
 
     gold = VersionedTable(spark, f"{root}/journal_entries_gold", ["entry_id", "entry_date"], "entry_year")
     changed = journal.select("entry_id").distinct()
-    affected = silver.read().join(changed, "entry_id", "left_semi")
+    affected = only_known(silver.read(), changed, "entry_id")
     gold.replace_groups(journal_gold(affected).withColumn("entry_year", F.year("entry_date")), changed, ["entry_id"])
     gold.expire(run_ts, *RETENTION["gold"])

@@ -294,7 +294,7 @@ def journal_gold_refresh(spark, sf):
     target, source = _journal_halves(spark, sf)
     silver = op.upsert(target, source, ["entry_id", "account_id"])
     changed = source.select("entry_id").distinct()
-    totals = ledger.journal_gold(silver.join(changed, "entry_id", "left_semi"))
+    totals = ledger.journal_gold(op.only_known(silver, changed, "entry_id"))
     return op.replace_groups(ledger.journal_gold(target), totals, changed, ["entry_id"])
 
 
