@@ -7,7 +7,7 @@ from compare import connect, difference, entry
 from conftest import plan
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = entry.QUERIES, entry.ORACLES
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
 
