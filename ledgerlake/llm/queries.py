@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import decontamination, jaccard_join, sharding
+from ledgerlake.llm import decontamination, jaccard_join, sharding, toxicity
 
 QUERIES = {
     "op1_decontamination": decontamination.op1_decontamination,
     "op5_hilbert_sharding": sharding.op5_hilbert_sharding,
     "op6_jaccard_join": jaccard_join.op6_jaccard_join,
+    "op7_toxicity": toxicity.op7_toxicity,
 }
 ORACLES = {"op1_decontamination": decontamination.OP1_SQL, "op6_jaccard_join": jaccard_join.OP6_SQL}
