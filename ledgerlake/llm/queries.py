@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import decontamination, jaccard_join, sharding, toxicity
+from ledgerlake.llm import decontamination, fixity, jaccard_join, nearest, sharding, toxicity, wrapper
 
 QUERIES = {
     "op1_decontamination": decontamination.op1_decontamination,
+    "op3_warc_fixity": fixity.op3_warc_fixity,
+    "op4_wrapper": wrapper.op4_wrapper,
     "op5_hilbert_sharding": sharding.op5_hilbert_sharding,
     "op6_jaccard_join": jaccard_join.op6_jaccard_join,
     "op7_toxicity": toxicity.op7_toxicity,
+    "op10_nearest": nearest.op10_nearest,
 }
-ORACLES = {"op1_decontamination": decontamination.OP1_SQL, "op6_jaccard_join": jaccard_join.OP6_SQL}
+ORACLES = {"op1_decontamination": decontamination.OP1_SQL, "op3_warc_fixity": fixity.OP3_SQL, "op6_jaccard_join": jaccard_join.OP6_SQL}
