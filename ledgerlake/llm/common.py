@@ -47,6 +47,30 @@ def crc_of_id(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
 
 
+BITMAP_BITS = 1 << 25
+
+
+def id_bitmap(ids: DataFrame, col: str, most: int = BITMAP_BITS) -> np.ndarray:
+    """A bitmap of the hashed ids, of at most ``most`` bits (4 MB), whatever their number: what is not in it is not an id.
+
+    Built by an aggregate over its 64-bit words; only the words reach the driver. Beyond some millions of ids it fills
+    up and excludes little, which costs time and no result.
+    """
+    n = ids.count()
+    bits = 1 << min(max(10, (16 * n).bit_length()), most.bit_length() - 1)
+    place = F.xxhash64(col).bitwiseAND(F.lit(bits - 1))
+    places = ids.select(F.shiftright(place, 6).alias("word"), F.pmod(place, F.lit(64)).cast("int").alias("bit"))
+    filled = places.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("set")).toArrow()
+    bitmap = np.zeros(bits // 64, np.int64)
+    bitmap[filled.column("word").to_numpy()] = filled.column("set").to_numpy()
+    return bitmap.view(np.uint64)
+
+
+def in_bitmap(bitmap: np.ndarray, hashed: np.ndarray) -> np.ndarray:
+    place = hashed.view(np.uint64) & np.uint64(len(bitmap) * 64 - 1)
+    return (bitmap[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+
+
 # ---- hashing in numpy
 
 _POWER = np.uint64(0x9E3779B97F4A7C15 | 1)

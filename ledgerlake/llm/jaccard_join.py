@@ -7,9 +7,10 @@ similar sets of the band can have, so similar sets agree in a cell (pigeonhole)
 (band, cell, value) misses none. A cell without shingles says nothing: ``k`` has a reserve ``r``, and only sets with
 more than ``r`` empty cells, which could agree in no others, present theirs.
 
-Sets that are equal are one class. Of the classes that share a cell, each is first compared with one of them; pairs
-that are then still in different groups are compared one by one, so groups are whole, yet a group of copies is never
-expanded into all its pairs. Comparisons that a 512-bit parity bitmap cannot exclude are made on the whole sets.
+Sets that are equal are one class. Of the classes that share a cell, each is first compared with one of them, in a few
+turns with another one each; pairs that are then still in different groups are compared one by one, so groups are
+whole, yet a group of copies is never expanded into all its pairs. Comparisons that a 512-bit parity bitmap cannot
+exclude are made on the whole sets.
 """
 
 from __future__ import annotations
@@ -20,18 +21,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import land, mix, shingle_hashes, table, text_chunks, word_hashes
+from ledgerlake.llm.common import id_bitmap, in_bitmap, land, mix, shingle_hashes, table, text_chunks, word_hashes
 
 GROWTH = 1.5  # of sizes, from band to band
 RESERVE = 0.06  # share of cells
 BITMAP = [f"b{i}" for i in range(8)]
 MAX_SIZE = 1 << 40
+MOST_TURNS = 4
 
 
-@functools.cache
 def bands(percent: int) -> tuple[tuple[int, int, int, int], ...]:
     """(smallest, largest size, cells, reserve) of each band.
 
@@ -47,11 +49,10 @@ def bands(percent: int) -> tuple[tuple[int, int, int, int], ...]:
     return tuple(out)
 
 
-def cells(u: np.ndarray, percent: int) -> np.ndarray:
+def cells(u: np.ndarray, percent: int, all_bands: tuple[tuple[int, int, int, int], ...]) -> np.ndarray:
     """The cell values of a sorted set of hashes, in its own band and in larger ones where a similar set may be."""
     n, out = len(u), []
     high32 = u >> np.uint64(32)
-    all_bands = bands(percent)
     first = next(i for i, b in enumerate(all_bands) if n <= b[1])
     for i in range(first, len(all_bands)):
         low, _, k, spare = all_bands[i]
@@ -84,7 +85,7 @@ FEATURES = "doc_id bigint, n bigint, d1 bigint, d2 bigint, " + ", ".join(f"{b} b
 
 
 def _features(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
-    empty = np.empty(0, np.uint64)
+    empty, all_bands = np.empty(0, np.uint64), bands(percent)
     for batch in batches:
         for part, sets in _sets(batch, width):
             digests = np.zeros((len(sets), 2), np.uint64)
@@ -95,17 +96,18 @@ def _features(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> It
                     digests[i] = u.sum(), np.bitwise_xor.reduce(mix(u))
                     bit = np.bincount((u & np.uint64(511)).astype(np.int64), minlength=512) & 1
                     maps[i] = np.packbits(bit.astype(np.uint8)).view(np.int64)
-                values.append(cells(u, percent) if len(u) else empty)
+                values.append(cells(u, percent, all_bands) if len(u) else empty)
             d = digests.view(np.int64)
             columns = [part.column("doc_id").cast(pa.int64()), pa.array(np.array([len(u) for u in sets], np.int64)), pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy())]
             columns += [pa.array(maps[:, i].copy()) for i in range(8)] + [_lists(values)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "d1", "d2", *BITMAP, "cells"])
 
 
-def _whole_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+def _whole_sets(batches: Iterator[pa.RecordBatch], width: int, bitmap: Broadcast) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part, sets in _sets(batch, width):
-            yield pa.RecordBatch.from_arrays([part.column("v"), _lists(sets)], names=["v", "hashes"])
+        wanted = batch.filter(pa.array(in_bitmap(bitmap.value, batch.column("hashed").to_numpy())))
+        for part, sets in _sets(wanted, width):
+            yield pa.RecordBatch.from_arrays([part.column("id"), _lists(sets)], names=["id", "hashes"])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -145,45 +147,53 @@ def similar_groups(docs: DataFrame, width: int, percent: int) -> DataFrame:
     one = features.alias("f").join(classes.alias("c"), same).select("c.v", "c.n", "c.rep", *narrow)
     # a class whose smallest id is on several rows comes several times; equal rows link nothing new
     cell = one.select("v", F.explode("cells").alias("cell"))
-    shared = cell.groupBy("cell").agg(F.min("v").alias("w"), F.max("v").alias("x")).where("w < x").select("cell", "w")
-    members = land(cell.join(shared, "cell").select("cell", "v", "w"), "members")
+    shared = cell.groupBy("cell").agg(F.min("v").alias("w"), F.max("v").alias("x")).where("w < x").select("cell")
+    members = land(cell.join(shared, "cell"), "members")
     facts = land(one.drop("cells").join(members.select("v").distinct(), "v", "left_semi").dropDuplicates(["v"]), "class-facts")
+    text = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("doc_id").cast("long")).alias("hashed"), F.col("text").cast("string").alias("text"))
+
+    def sides(names: list[str]) -> list[DataFrame]:
+        return [facts.select(*[F.col(c).alias(f"{side}_{c}") for c in ("v", "n", *BITMAP)]) for side in names]
 
-    def possible(pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) that sizes and bitmaps do not exclude."""
-        left, right = (facts.select(*[F.col(c).alias(f"{side}_{c}") for c in ("v", "n", *BITMAP)]) for side in "ab")
-        apart = sum((F.bit_count(F.col(f"a_{b}").bitwiseXOR(F.col(f"b_{b}"))) for b in BITMAP), F.lit(0))
-        total = F.col("a_n") + F.col("b_n")
-        near = (F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent) & (apart * (100 + percent) <= total * (100 - percent))
-        return pairs.join(left, pairs["a"] == left["a_v"]).join(right, (F.col("b") == F.col("b_v")) & near).select("a", "b")
+    differ = sum((F.bit_count(F.col(f"a_{b}").bitwiseXOR(F.col(f"b_{b}"))) for b in BITMAP), F.lit(0))
+    near = (F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent) & (differ * (100 + percent) <= (F.col("a_n") + F.col("b_n")) * (100 - percent))
 
     def verified(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct()
-        ids = facts.join(wanted, "v", "left_semi").select("v", "rep")
-        text = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"))
-        found = text.join(ids, F.col("_id").eqNullSafe(F.col("rep"))).select("v", "text")
-        sets = land(found.mapInArrow(functools.partial(_whole_sets, width=width), "v bigint, hashes array<bigint>"), "sets")
-        # a repeated id may bring the text of another class: keep the set that the class was made of
-        sizes = facts.select("v", "n")
-        sets = sets.join(sizes, "v").where(F.size("hashes") == F.col("n")).dropDuplicates(["v"]).drop("n")
+        """Those of the pairs (a, b) that are similar, on whole sets made anew of the texts concerned."""
+        wanted = land(facts.join(pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct(), "v", "left_semi").select("v", "rep", "n"), "wanted")
+        bitmap = docs.sparkSession.sparkContext.broadcast(id_bitmap(wanted, "rep"))
+        found = text.mapInArrow(functools.partial(_whole_sets, width=width, bitmap=bitmap), "id bigint, hashes array<bigint>")
+        # a repeated id may bring the set of another class
+        mine = F.col("id").eqNullSafe(F.col("rep")) & (F.size("hashes") == F.col("n"))
+        sets = land(found.join(wanted, mine).select("v", "hashes").dropDuplicates(["v"]), "sets")
         a, b = (sets.select(F.col("v").alias(side), F.col("hashes").alias(f"set_{side}")) for side in "ab")
         common = F.size(F.array_intersect("set_a", "set_b"))
         union = F.size("set_a") + F.size("set_b") - common
-        return pairs.join(a, "a").join(b, "b").where(common * 100 >= union * percent).select("a", "b")
-
-    star = land(possible(members.where("v <> w").select(F.col("w").alias("a"), F.col("v").alias("b")).distinct()), "star")
-    links = land(verified(star), "verified")
-    groups = components(links)
-    grouped = members.join(groups, "v", "left").select("cell", "v", F.coalesce("c", "v").alias("c"))
-    mixed = grouped.groupBy("cell").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("cell")
-    apart = land(grouped.join(mixed, "cell", "left_semi").join(facts, "v").drop("rep"), "apart")
-    a, b = (apart.select("cell", *[F.col(c).alias(f"{side}_{c}") for c in ("v", "c", "n", *BITMAP)]) for side in "ab")
-    differ = sum((F.bit_count(F.col(f"a_{x}").bitwiseXOR(F.col(f"b_{x}"))) for x in BITMAP), F.lit(0))
-    near = (F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent) & (differ * (100 + percent) <= (F.col("a_n") + F.col("b_n")) * (100 - percent))
+        return land(pairs.join(a, "a").join(b, "b").where(common * 100 >= union * percent).select("a", "b"), "verified")
+
+    links, grouped = None, members.withColumn("c", F.col("v"))
+    for turn in range(MOST_TURNS):
+        # the cells' members against one of them, another one each turn
+        hub = F.min(F.struct(F.xxhash64("v", F.lit(turn)).alias("order"), "v", "c")).alias("hub")
+        hubs = grouped.groupBy("cell").agg(hub).select("cell", F.col("hub.v").alias("hub"), F.col("hub.c").alias("hub_c"))
+        star = grouped.join(hubs, "cell").where("c <> hub_c").select(F.least("hub", "v").alias("a"), F.greatest("hub", "v").alias("b")).distinct()
+        left, right = sides(["a", "b"])
+        pairs = star.join(left, star["a"] == left["a_v"]).join(right, (F.col("b") == F.col("b_v")) & near).select("a", "b")
+        more = verified(land(pairs, "star"))
+        new = more.limit(1).count()
+        if new or links is None:
+            links = more if links is None else land(links.union(more), "all-links")
+            groups = components(links)
+            named = members.join(groups, "v", "left").select("cell", "v", F.coalesce("c", "v").alias("c"))
+            mixed = named.groupBy("cell").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("cell")
+            grouped = land(named.join(mixed, "cell", "left_semi"), "mixed")
+        if not new:
+            break
+    # what is still in different groups, pair by pair
+    left, right = sides(["a", "b"])
+    a, b = (grouped.select("cell", F.col("v").alias(f"{side}_v"), F.col("c").alias(f"{side}_c")).join(x, f"{side}_v") for side, x in (("a", left), ("b", right)))
     rest = a.join(b, (a["cell"] == b["cell"]) & (F.col("a_v") < F.col("b_v")) & (F.col("a_c") != F.col("b_c")) & near)
-    rest = rest.select(F.col("a_v").alias("a"), F.col("b_v").alias("b")).distinct()
-    rest = land(rest.join(star, ["a", "b"], "left_anti"), "rest")
-    more = land(verified(rest), "verified")
+    more = verified(land(rest.select(F.col("a_v").alias("a"), F.col("b_v").alias("b")).distinct(), "rest"))
     if more.limit(1).count():
         groups = components(links.union(more))
     smallest = classes.join(groups, "v", "left").withColumn("c", F.coalesce("c", "v"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import decontamination, fixity, jaccard_join, nearest, sharding, toxicity, wrapper
+from ledgerlake.llm import decontamination, fixity, jaccard_join, licences, nearest, sentencepieces, sharding, toxicity, wrapper
 
 QUERIES = {
     "op1_decontamination": decontamination.op1_decontamination,
@@ -11,6 +11,8 @@ QUERIES = {
     "op5_hilbert_sharding": sharding.op5_hilbert_sharding,
     "op6_jaccard_join": jaccard_join.op6_jaccard_join,
     "op7_toxicity": toxicity.op7_toxicity,
+    "op8_sentencepiece": sentencepieces.op8_sentencepiece,
+    "op9_licences": licences.op9_licences,
     "op10_nearest": nearest.op10_nearest,
 }
 ORACLES = {"op1_decontamination": decontamination.OP1_SQL, "op3_warc_fixity": fixity.OP3_SQL, "op6_jaccard_join": jaccard_join.OP6_SQL}
