@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import decontamination, fixity, jaccard_join, licences, nearest, sentencepieces, sharding, toxicity, wrapper
+from ledgerlake.llm import decontamination, fixity, jaccard_join, language_model, licences, nearest, sentencepieces, sharding, toxicity, wrapper
 
 QUERIES = {
     "op1_decontamination": decontamination.op1_decontamination,
+    "op2_language_model": language_model.op2_language_model,
     "op3_warc_fixity": fixity.op3_warc_fixity,
     "op4_wrapper": wrapper.op4_wrapper,
     "op5_hilbert_sharding": sharding.op5_hilbert_sharding,
