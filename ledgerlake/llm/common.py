@@ -47,6 +47,19 @@ def crc_of_id(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
 
 
+def commonest(counted: DataFrame, n: str, most: int) -> DataFrame:
+    """The rows with the largest counts, at most ``most`` of them: all above a limit, which a histogram of 16 steps to the double gives."""
+    step = F.floor(F.log2(n) * 16).cast("int")
+    steps = sorted(((r["step"], r["count"]) for r in counted.groupBy(step.alias("step")).count().collect()), reverse=True)
+    total, limit = 0, steps[0][0] + 1 if steps else 0
+    for at, rows in steps:
+        total += rows
+        if total > most:
+            break
+        limit = at
+    return counted.where(step >= limit)
+
+
 BITMAP_BITS = 1 << 25
 
 

@@ -1,11 +1,14 @@
 """SentencePiece encoding as a relational lattice, and decoding.
 
-Pieces do not reach from one word into the next, so each distinct word of the corpus is encoded once: its substrings of
-bounded length are exploded and joined to the piece table, the matching ones, grouped by word, are the edges of its
-lattice, and a higher-order ``aggregate`` folds them. For a unigram model the fold is Viterbi's: the best path to each
-end. For a byte-pair model scores are merge ranks and the best-scoring path is *not* the encoding; there the fold takes
-the edges in merge order and joins the two symbols that an edge spans, as the model was trained to. Commonest words
-are then looked up in the task that holds a document, in a table of bounded size; the rest come by a join.
+Pieces do not reach from one word into the next, so distinct words are encoded once: the substrings of bounded length
+are exploded and joined to the piece table, the matching ones, grouped by word, are the edges of its lattice, and a
+higher-order ``aggregate`` folds them. For a unigram model the fold is Viterbi's: the best path to each end. For a
+byte-pair model scores are merge ranks and the best-scoring path is *not* the encoding; there the fold takes the edges
+in merge order and joins the two symbols that an edge spans, as the model was trained to.
+
+The commonest words, a table of bounded size, are then looked up in the task that holds a text. Others are encoded by
+the same lattice there (``rare="task"``), or relationally as well and brought by joins (``rare="join"``), which moves
+every text and several times its size in words; the README has figures.
 """
 
 from __future__ import annotations
@@ -23,13 +26,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.llm.common import land, table
+from ledgerlake.llm.common import commonest, land, materialised, table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 WORD = re.compile(f"{SPACE}+[^{SPACE}]*")
 KNOWN_WORDS = 1 << 18
-MASK_CHARS = 62
 
 
 @dataclass(frozen=True)
@@ -86,56 +88,67 @@ def _ints(values: list[int]) -> str:
 def lattice(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Distinct words, with ``edges``: each has rank, begin s, end e, and ids; a character without a piece has one of its bytes.
 
-    ``words`` come by (h, word) from an aggregate, so grouping the edges by word needs no further shuffle.
+    ``words`` are partitioned by word, so grouping the edges needs no further shuffle.
     """
     keys = words.columns
     spark = words.sparkSession
-    own = [(p, -s, i) for p, s, i in vocabulary.pieces if not (len(p) > 1 and i in vocabulary.runs.values())]
-    pieces = spark.createDataFrame(own, "_piece string, _rank double, _id int")
-    worst = max(r for _, r, _ in own) + 10.0
+    own = sorted((-s, i, p) for p, s, i in vocabulary.pieces if not (len(p) > 1 and i in vocabulary.runs.values()))
+    pieces = spark.createDataFrame([(p, k, r, i) for k, (r, i, p) in enumerate(own)], "_piece string, _order int, _rank double, _id int")
     spans = f"""explode(flatten(transform(sequence(0, char_length(word) - 1), s -> transform(sequence(1, least({vocabulary.longest}, char_length(word) - s)),
-        l -> struct(s, s + l as e, substring(word, s + 1, l) as part)))))"""
-    parts = words.select(*keys, F.expr(spans).alias("x")).select(*keys, "x.s", "x.e", "x.part")
+        l -> struct(s, l, substring(word, s + 1, l) as part)))))"""
+    parts = words.select(*keys, F.expr(spans).alias("x")).select(*keys, "x.s", "x.l", "x.part")
     # the piece table has as many rows as the vocabulary
-    met = parts.join(F.broadcast(pieces), parts["part"] == F.col("_piece"), "left").where("_id IS NOT NULL OR e - s = 1")
-    spelt = f"transform(sequence(1, octet_length(part)), i -> element_at({_ints(list(vocabulary.byte_ids))}, cast(conv(substr(hex(part), 2 * i - 1, 2), 16, 10) as int) + 1))"
-    edge = F.struct(
-        F.coalesce("_rank", F.lit(worst)).alias("rank"),
-        "s",
-        "e",
-        F.expr("if(e <= 62, shiftleft(1L, s) | shiftleft(1L, e), 0L)").alias("ends"),
-        F.expr("if(e <= 62, (shiftleft(1L, e) - 1) & ~(shiftleft(1L, s + 1) - 1), 0L)").alias("between"),
-        F.expr(f"if(_id IS NULL, {spelt}, array(_id))").alias("ids"),
-    )
+    met = parts.join(F.broadcast(pieces), parts["part"] == F.col("_piece"), "left").where("_id IS NOT NULL OR l = 1")
+    if vocabulary.ranked:  # an edge in one number: order, begin, length, id
+        edge = F.expr(f"(shiftleft(cast(coalesce(_order, {MOST_PIECES}) as bigint), 43) | shiftleft(cast(s as bigint), 25)) | shiftleft(cast(l as bigint), 20) | coalesce(_id, {NO_PIECE})")
+    else:
+        edge = F.struct(F.coalesce("_rank", F.lit(own[-1][0] + 10.0)).alias("rank"), "s", (F.col("s") + F.col("l")).alias("e"), F.coalesce("_id", F.lit(NO_PIECE)).alias("id"))
     return met.select(*keys, edge.alias("edge")).groupBy(*keys).agg(F.sort_array(F.collect_list("edge")).alias("edges"))
 
 
+MOST_PIECES, NO_PIECE = (1 << 20) - 1, (1 << 20) - 1
+
+
+def _spelt(vocabulary: Vocabulary, x: str) -> str:
+    """The ids of an edge: its piece, or the bytes of its character."""
+    code = f"hex(substring(word, {x}.s + 1, 1))"
+    return f"""if({x}.id != {NO_PIECE}, array({x}.id), transform(sequence(1, octet_length({code}) div 2),
+      i -> element_at({_ints(list(vocabulary.byte_ids))}, cast(conv(substr({code}, cast(2 * i - 1 as int), 2), 16, 10) as int) + 1)))"""
+
+
+#: The edges unpacked: begin, end, id.
+_UNPACKED = f"""transform(edges, x -> named_struct('s', cast(shiftright(x, 25) & 262143 as int),
+  'e', cast((shiftright(x, 25) & 262143) + (shiftright(x, 20) & 31) as int), 'id', cast(x & {NO_PIECE} as int)))"""
 #: Byte-pair merges over edges in rank order: an edge whose ends are symbol bounds with one bound between them drops it.
+#: The bounds are the bits of a number, for long words an array.
 _MERGE = """CASE WHEN char_length(word) <= 61 THEN
-  aggregate(edges, shiftleft(1L, char_length(word) + 1) - 1,
-    (m, x) -> if((m & x.ends) = x.ends AND (m & x.between) != 0 AND ((m & x.between) & ((m & x.between) - 1)) = 0, m & ~x.between, m),
-    m -> filter(edges, x -> (m & x.ends) = x.ends AND (m & x.between) = 0))
+  aggregate(spans, shiftleft(1L, char_length(word) + 1) - 1,
+    (m, x) -> if(x.e - x.s > 1 AND (shiftright(m, x.s) & shiftright(m, x.e) & 1) = 1
+        AND bit_count(shiftright(m, x.s + 1) & (shiftleft(1L, x.e - x.s - 1) - 1)) = 1, m & ~(shiftleft(1L, x.e) - shiftleft(1L, x.s + 1)), m),
+    m -> filter(spans, x -> (shiftright(m, x.s) & shiftright(m, x.e) & 1) = 1 AND (shiftright(m, x.s + 1) & (shiftleft(1L, x.e - x.s - 1) - 1)) = 0))
 ELSE
-  aggregate(edges, sequence(0, char_length(word)),
-    (m, x) -> if(array_contains(m, x.s) AND array_contains(m, x.e) AND size(filter(m, b -> b > x.s AND b < x.e)) = 1, filter(m, b -> b <= x.s OR b >= x.e), m),
-    m -> filter(edges, x -> array_contains(m, x.s) AND array_contains(m, x.e) AND NOT exists(m, b -> b > x.s AND b < x.e)))
+  aggregate(spans, sequence(0, char_length(word)),
+    (m, x) -> if(x.e - x.s > 1 AND array_contains(m, x.s) AND array_contains(m, x.e) AND size(filter(m, b -> b > x.s AND b < x.e)) = 1, filter(m, b -> b <= x.s OR b >= x.e), m),
+    m -> filter(spans, x -> array_contains(m, x.s) AND array_contains(m, x.e) AND NOT exists(m, b -> b > x.s AND b < x.e)))
 END"""
 #: Viterbi: to each end in turn, the best of the edges that lead there from the best path to their begin.
 _VITERBI = """element_at(aggregate(sequence(1, char_length(word)), array(named_struct('score', 0D, 's', 0, 'path', cast(array() as array<int>))),
   (best, at) -> concat(best, array(array_max(transform(filter(edges, x -> x.e = at),
-    x -> named_struct('score', best[x.s].score - x.rank, 's', x.s, 'path', concat(best[x.s].path, x.ids))))))), -1).path"""
+    x -> named_struct('score', best[x.s].score - x.rank, 's', x.s, 'path', concat(best[x.s].path, IDS))))))), -1).path"""
 
 
 def encode_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``words`` with their ids: distinct words (h, word, ...), where h is a hash of the word."""
+    """``words`` with their ids: distinct words in the column ``word``, any others beside it."""
     edges, keys = lattice(words, vocabulary), words.columns
     if not vocabulary.ranked:
-        return edges.select(*keys, F.expr(_VITERBI).alias("ids"))
-    symbols = edges.select(*keys, F.expr(f"sort_array(transform({_MERGE}, x -> struct(x.s, x.e, x.ids)))").alias("symbols"))
+        return edges.select(*keys, F.expr(_VITERBI.replace("IDS", _spelt(vocabulary, "x"))).alias("ids"))
+    spans = edges.select(*keys, materialised(F.expr(_UNPACKED), "spans"))
+    symbols = spans.select(*keys, materialised(F.expr(f"sort_array({_MERGE})"), "symbols"))
     blanks = f"(char_length(word) - char_length(ltrim('{SPACE}', word)))"
-    rest = f"flatten(transform(filter(symbols, x -> x.e > {blanks}), x -> x.ids))"
+    spelt = f"x -> {_spelt(vocabulary, 'x')}"
+    rest = f"flatten(transform(filter(symbols, x -> x.e > {blanks}), {spelt}))"
     if not vocabulary.runs:
-        return symbols.select(*keys, F.expr("flatten(transform(symbols, x -> x.ids))").alias("ids"))
+        return symbols.select(*keys, F.expr(f"flatten(transform(symbols, {spelt}))").alias("ids"))
     # blanks that no word took: whole runs of the longest piece, then what is left
     long = max(vocabulary.runs)
     if any(vocabulary.run(n) != [vocabulary.runs[long]] * (n // long) + vocabulary.run(n % long) for n in range(4 * long)):
@@ -150,6 +163,56 @@ def split_words(text: str) -> list[str]:
     return WORD.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
 
+class WordEncoder:
+    """The same folds over the lattice of one word, for words that are not in the table."""
+
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        self.v = vocabulary
+        self.of = {p: (-s, i) for p, s, i in vocabulary.pieces if not (len(p) > 1 and i in vocabulary.runs.values())}
+        self.longest = vocabulary.longest
+        self.runs: dict[int, list[int]] = {0: []}
+        self.worst = max((r for r, _ in self.of.values()), default=0.0) + 10.0
+
+    def spelt(self, part: str) -> list[int]:
+        return [self.of[part][1]] if part in self.of else [self.v.byte_ids[b] for b in part.encode()]
+
+    def __call__(self, word: str) -> tuple[int, ...]:
+        return tuple(self.merge(word) if self.v.ranked else self.viterbi(word))
+
+    def merge(self, word: str) -> list[int]:
+        parts = list(word)
+        of, never = self.of, (float("inf"), 0)
+        ranks = [of.get(a + b, never)[0] for a, b in zip(parts[:-1], parts[1:], strict=True)]
+        while ranks and (best := min(ranks)) < never[0]:
+            i = ranks.index(best)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = of.get(parts[i - 1] + parts[i], never)[0]
+            if i < len(ranks):
+                ranks[i] = of.get(parts[i] + parts[i + 1], never)[0]
+        led = 0
+        if self.v.runs:
+            while led < len(parts) and parts[led] == SPACE:
+                led += 1
+        if led not in self.runs:
+            self.runs[led] = self.v.run(led)
+        return [*self.runs[led], *chain.from_iterable(self.spelt(p) for p in parts[led:])]
+
+    def viterbi(self, word: str) -> list[int]:
+        best: list[tuple[float, int]] = [(0.0, 0)]
+        for e in range(1, len(word) + 1):
+            edges = [(best[s][0] - self.of[word[s:e]][0], s) for s in range(max(0, e - self.longest), e) if word[s:e] in self.of]
+            if not any(s == e - 1 for _, s in edges):
+                edges.append((best[e - 1][0] - self.worst, e - 1))
+            best.append(max(edges))
+        out, e = [], len(word)
+        while e:
+            out.append(self.spelt(word[best[e][1] : e]))
+            e = best[e][1]
+        return list(chain.from_iterable(out[::-1]))
+
+
 def _rare(batches: Iterator[pa.RecordBatch], known: Broadcast) -> Iterator[pa.RecordBatch]:
     """The distinct words of each text that are not known."""
     for batch in batches:
@@ -162,16 +225,30 @@ def _rare(batches: Iterator[pa.RecordBatch], known: Broadcast) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays([pa.array(keys1, pa.int64()), pa.array(keys2, pa.int64()), pa.array(words, pa.string())], names=["k1", "k2", "word"])
 
 
-def _assemble(batches: Iterator[pa.RecordBatch], known: Broadcast) -> Iterator[pa.RecordBatch]:
-    common = known.value
+MEMO = 200_000  # words that a task remembers beyond the table
+
+
+def _assemble(batches: Iterator[pa.RecordBatch], known: Broadcast, vocabulary: Vocabulary) -> Iterator[pa.RecordBatch]:
+    common, encoder, memo = known.value, WordEncoder(vocabulary), {}
+
+    def ids_of(w: str) -> tuple[int, ...]:
+        ids = memo.get(w)
+        if ids is None:
+            if len(memo) >= MEMO:
+                memo.clear()
+            ids = memo[w] = encoder(w)
+        return ids
+
     for batch in batches:
         rest = [c for c in batch.schema.names if c not in ("_text", "_words", "_ids")]
+        joined = "_words" in batch.schema.names
         for i in range(0, batch.num_rows, 500):  # a few texts at a time: their ids are Python objects
             part = batch.slice(i, 500)
             lists = []
-            for text, words, ids in zip(*[part.column(c).to_pylist() for c in ("_text", "_words", "_ids")], strict=True):
-                own = dict(zip(words or (), ids or (), strict=True))
-                lists.append(np.fromiter(chain.from_iterable([common[w] if w in common else own[w] for w in split_words(text)]), np.int32))
+            brought = zip(part.column("_words").to_pylist(), part.column("_ids").to_pylist(), strict=True) if joined else ((None, None),) * part.num_rows
+            for text, (words, ids) in zip(part.column("_text").to_pylist(), brought, strict=True):
+                other = dict(zip(words or (), ids or (), strict=True)).__getitem__ if joined else ids_of
+                lists.append(np.fromiter(chain.from_iterable([common[w] if w in common else other(w) for w in split_words(text)]), np.int32))
             offsets = np.zeros(len(lists) + 1, np.int32)
             np.cumsum([len(x) for x in lists], out=offsets[1:])
             flat = np.concatenate(lists) if lists else np.empty(0, np.int32)
@@ -179,29 +256,35 @@ def _assemble(batches: Iterator[pa.RecordBatch], known: Broadcast) -> Iterator[p
             yield pa.RecordBatch.from_arrays([*[part.column(part.schema.names.index(c)) for c in rest], column], names=[*rest, "_pieces"])
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, ids: str = "ids", known_words: int = KNOWN_WORDS) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: Vocabulary, ids: str = "ids", known_words: int = KNOWN_WORDS, rare: str = "task") -> DataFrame:
     """``docs`` with the ids of each ``text``; empty for an empty or null one.
 
-    ``known_words`` bounds the table of the commonest words that every task gets. Rows stay as they are, repeated ones
-    too; a column called like the ids is replaced; names with an underscore in front are reserved. The blank and
-    U+2581 are the same to the model.
+    ``known_words`` bounds the table of the commonest words that every task gets; ``rare`` says how others are encoded.
+    Rows stay as they are, repeated ones too; a column called like the ids is replaced; names with an underscore in
+    front are reserved. The blank and U+2581 are the same to the model.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     spaced = F.concat(F.lit(SPACE), F.replace(text, F.lit(" "), F.lit(SPACE)))
     each = docs.where(text != "").select(F.explode(F.regexp_extract_all(spaced, F.lit(WORD.pattern), 0)).alias("word"))
-    words = each.groupBy(F.xxhash64("word").alias("h"), "word").agg(F.count("*").alias("n"))
-    coded = land(encode_words(words, vocabulary), "coded")
-    rows = coded.orderBy(F.desc("n"), "word").limit(known_words).select("word", "ids").toArrow()
+    counted = each.groupBy("word").agg(F.count("*").alias("n"))
+    # a word that comes once is not common
+    counted = land(counted if rare == "join" else counted.where("n > 1"), "words")
+    top = commonest(counted, "n", known_words).select("word")
+    rows = encode_words(top.repartition("word"), vocabulary).toArrow()  # at most known_words
     known = docs.sparkSession.sparkContext.broadcast(dict(zip(rows.column("word").to_pylist(), map(tuple, rows.column("ids").to_pylist()), strict=True)))
+    rest = docs.drop(ids)
+    schema = T.StructType([*rest.schema.fields, T.StructField("_pieces", T.ArrayType(T.IntegerType()))])
+    assemble = functools.partial(_assemble, known=known, vocabulary=vocabulary)
+    if rare == "task":
+        return rest.withColumn("_text", text).mapInArrow(assemble, schema).withColumnRenamed("_pieces", ids)
+    coded = land(encode_words(counted.select("word").repartition("word"), vocabulary), "coded")
     keys = [F.xxhash64(text).alias("k1"), F.xxhash64(text, F.lit(1)).alias("k2")]
-    rare = docs.select(*keys, text.alias("text")).mapInArrow(functools.partial(_rare, known=known), "k1 bigint, k2 bigint, word string")
-    spelt = rare.join(coded.select("word", "ids"), "word").groupBy("k1", "k2").agg(F.collect_set(F.struct("word", "ids")).alias("w"))
+    others = docs.select(*keys, text.alias("text")).mapInArrow(functools.partial(_rare, known=known), "k1 bigint, k2 bigint, word string")
+    spelt = others.join(coded, "word").groupBy("k1", "k2").agg(F.collect_set(F.struct("word", "ids")).alias("w"))
     spelt = spelt.select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.col("w.word").alias("_words"), F.col("w.ids").alias("_ids"))
-    rest = docs.drop(ids)
     keyed = rest.withColumn("_a", keys[0]).withColumn("_b", keys[1]).withColumn("_text", text)
     both = keyed.join(spelt, (F.col("_a") == F.col("_k1")) & (F.col("_b") == F.col("_k2")), "left").drop("_a", "_b", "_k1", "_k2")
-    schema = T.StructType([*rest.schema.fields, T.StructField("_pieces", T.ArrayType(T.IntegerType()))])
-    return both.mapInArrow(functools.partial(_assemble, known=known), schema).withColumnRenamed("_pieces", ids)
+    return both.mapInArrow(assemble, schema).withColumnRenamed("_pieces", ids)
 
 
 def _decode(batches: Iterator[pa.RecordBatch], spelling: list[bytes], into: str) -> Iterator[pa.RecordBatch]:
