@@ -15,9 +15,8 @@ from __future__ import annotations
 
 import functools
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +30,7 @@ from ledgerlake.llm.common import commonest, land, materialised, table
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 WORD = re.compile(f"{SPACE}+[^{SPACE}]*")
-KNOWN_WORDS = 1 << 18
+KNOWN_WORDS = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -163,46 +162,50 @@ def split_words(text: str) -> list[str]:
     return WORD.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
 
+def packed(ids: Iterable[int]) -> bytes:
+    return np.fromiter(ids, np.int32).tobytes()
+
+
 class WordEncoder:
-    """The same folds over the lattice of one word, for words that are not in the table."""
+    """The same folds over the lattice of one word, for words that are not in the table. Ids come as bytes."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
-        self.v = vocabulary
-        self.of = {p: (-s, i) for p, s, i in vocabulary.pieces if not (len(p) > 1 and i in vocabulary.runs.values())}
-        self.longest = vocabulary.longest
-        self.runs: dict[int, list[int]] = {0: []}
-        self.worst = max((r for r, _ in self.of.values()), default=0.0) + 10.0
-
-    def spelt(self, part: str) -> list[int]:
-        return [self.of[part][1]] if part in self.of else [self.v.byte_ids[b] for b in part.encode()]
-
-    def __call__(self, word: str) -> tuple[int, ...]:
-        return tuple(self.merge(word) if self.v.ranked else self.viterbi(word))
-
-    def merge(self, word: str) -> list[int]:
-        parts = list(word)
-        of, never = self.of, (float("inf"), 0)
-        ranks = [of.get(a + b, never)[0] for a, b in zip(parts[:-1], parts[1:], strict=True)]
-        while ranks and (best := min(ranks)) < never[0]:
+        own = [(p, s, i) for p, s, i in vocabulary.pieces if not (len(p) > 1 and i in vocabulary.runs.values())]
+        self.v, self.longest = vocabulary, vocabulary.longest
+        self.rank = {p: -s for p, s, _ in own}
+        self.ids = {p: packed([i]) for p, _, i in own}
+        self.worst = max(self.rank.values(), default=0.0) + 10.0
+        self.runs: dict[int, bytes] = {0: b""}
+
+    def spelt(self, part: str) -> bytes:
+        return self.ids.get(part) or packed([self.v.byte_ids[b] for b in part.encode()])
+
+    def __call__(self, word: str) -> bytes:
+        return self.merge(word) if self.v.ranked else self.viterbi(word)
+
+    def merge(self, word: str) -> bytes:
+        parts, rank, never = list(word), self.rank.get, float("inf")
+        ranks = [rank(word[i : i + 2], never) for i in range(len(word) - 1)]
+        while ranks and (best := min(ranks)) < never:
             i = ranks.index(best)
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
             del ranks[i]
             if i:
-                ranks[i - 1] = of.get(parts[i - 1] + parts[i], never)[0]
+                ranks[i - 1] = rank(parts[i - 1] + parts[i], never)
             if i < len(ranks):
-                ranks[i] = of.get(parts[i] + parts[i + 1], never)[0]
+                ranks[i] = rank(parts[i] + parts[i + 1], never)
         led = 0
         if self.v.runs:
             while led < len(parts) and parts[led] == SPACE:
                 led += 1
         if led not in self.runs:
-            self.runs[led] = self.v.run(led)
-        return [*self.runs[led], *chain.from_iterable(self.spelt(p) for p in parts[led:])]
+            self.runs[led] = packed(self.v.run(led))
+        return self.runs[led] + b"".join(map(self.spelt, parts[led:]))
 
-    def viterbi(self, word: str) -> list[int]:
+    def viterbi(self, word: str) -> bytes:
         best: list[tuple[float, int]] = [(0.0, 0)]
         for e in range(1, len(word) + 1):
-            edges = [(best[s][0] - self.of[word[s:e]][0], s) for s in range(max(0, e - self.longest), e) if word[s:e] in self.of]
+            edges = [(best[s][0] - self.rank[word[s:e]], s) for s in range(max(0, e - self.longest), e) if word[s:e] in self.rank]
             if not any(s == e - 1 for _, s in edges):
                 edges.append((best[e - 1][0] - self.worst, e - 1))
             best.append(max(edges))
@@ -210,7 +213,7 @@ class WordEncoder:
         while e:
             out.append(self.spelt(word[best[e][1] : e]))
             e = best[e][1]
-        return list(chain.from_iterable(out[::-1]))
+        return b"".join(out[::-1])
 
 
 def _rare(batches: Iterator[pa.RecordBatch], known: Broadcast) -> Iterator[pa.RecordBatch]:
@@ -225,13 +228,30 @@ def _rare(batches: Iterator[pa.RecordBatch], known: Broadcast) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays([pa.array(keys1, pa.int64()), pa.array(keys2, pa.int64()), pa.array(words, pa.string())], names=["k1", "k2", "word"])
 
 
-MEMO = 200_000  # words that a task remembers beyond the table
+MEMO = 100_000  # words that a task remembers beyond the table
+
+
+def spellings(vocabulary: Vocabulary) -> list[bytes]:
+    """The bytes that each id stands for."""
+    out = [b""] * (max(max(i for _, _, i in vocabulary.pieces), *vocabulary.byte_ids) + 1)
+    for b, i in enumerate(vocabulary.byte_ids):
+        if i != vocabulary.unknown:
+            out[i] = bytes([b])
+    for p, _, i in vocabulary.pieces:
+        out[i] = p.encode()
+    return out
+
+
+def text_of(ids: np.ndarray, spelling: list[bytes]) -> str:
+    s = b"".join(map(spelling.__getitem__, ids.tolist())).decode("utf-8", "replace").replace(SPACE, " ")
+    return s[1:] if s[:1] == " " else s
 
 
-def _assemble(batches: Iterator[pa.RecordBatch], known: Broadcast, vocabulary: Vocabulary) -> Iterator[pa.RecordBatch]:
+def _assemble(batches: Iterator[pa.RecordBatch], known: Broadcast, vocabulary: Vocabulary, check: bool) -> Iterator[pa.RecordBatch]:
     common, encoder, memo = known.value, WordEncoder(vocabulary), {}
+    spelling = spellings(vocabulary) if check else []
 
-    def ids_of(w: str) -> tuple[int, ...]:
+    def ids_of(w: str) -> bytes:
         ids = memo.get(w)
         if ids is None:
             if len(memo) >= MEMO:
@@ -246,37 +266,45 @@ def _assemble(batches: Iterator[pa.RecordBatch], known: Broadcast, vocabulary: V
             part = batch.slice(i, 500)
             lists = []
             brought = zip(part.column("_words").to_pylist(), part.column("_ids").to_pylist(), strict=True) if joined else ((None, None),) * part.num_rows
-            for text, (words, ids) in zip(part.column("_text").to_pylist(), brought, strict=True):
-                other = dict(zip(words or (), ids or (), strict=True)).__getitem__ if joined else ids_of
-                lists.append(np.fromiter(chain.from_iterable([common[w] if w in common else other(w) for w in split_words(text)]), np.int32))
+            texts = part.column("_text").to_pylist()
+            for text, (words, ids) in zip(texts, brought, strict=True):
+                other = dict(zip(words or (), map(packed, ids or ()), strict=True)).__getitem__ if joined else ids_of
+                lists.append(np.frombuffer(b"".join([common.get(w) or other(w) for w in split_words(text)]), np.int32))
             offsets = np.zeros(len(lists) + 1, np.int32)
             np.cumsum([len(x) for x in lists], out=offsets[1:])
             flat = np.concatenate(lists) if lists else np.empty(0, np.int32)
-            column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([*[part.column(part.schema.names.index(c)) for c in rest], column], names=[*rest, "_pieces"])
+            columns = [*[part.column(part.schema.names.index(c)) for c in rest], pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))]
+            if check:
+                columns.append(pa.array([text_of(x, spelling) == t for x, t in zip(lists, texts, strict=True)], pa.bool_()))
+            yield pa.RecordBatch.from_arrays(columns, names=[*rest, "_pieces", *["_same"] * check])
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, ids: str = "ids", known_words: int = KNOWN_WORDS, rare: str = "task") -> DataFrame:
+def encode(docs: DataFrame, vocabulary: Vocabulary, ids: str = "ids", known_words: int = KNOWN_WORDS, rare: str = "task", round_trip: str | None = None) -> DataFrame:
     """``docs`` with the ids of each ``text``; empty for an empty or null one.
 
-    ``known_words`` bounds the table of the commonest words that every task gets; ``rare`` says how others are encoded.
+    ``known_words`` bounds the table of the commonest words that every task gets; ``rare`` says how others are encoded;
+    ``round_trip`` names a column that says whether the ids decode to the text.
     Rows stay as they are, repeated ones too; a column called like the ids is replaced; names with an underscore in
     front are reserved. The blank and U+2581 are the same to the model.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     spaced = F.concat(F.lit(SPACE), F.replace(text, F.lit(" "), F.lit(SPACE)))
-    each = docs.where(text != "").select(F.explode(F.regexp_extract_all(spaced, F.lit(WORD.pattern), 0)).alias("word"))
+    if rare == "join":
+        each = docs.where(text != "").select(F.explode(F.regexp_extract_all(spaced, F.lit(WORD.pattern), 0)).alias("word"))
+    else:  # the common ones have one blank in front
+        each = docs.select(F.explode(F.split(text, " ")).alias("part")).where("part <> ''").select(F.concat(F.lit(SPACE), "part").alias("word"))
     counted = each.groupBy("word").agg(F.count("*").alias("n"))
     # a word that comes once is not common
     counted = land(counted if rare == "join" else counted.where("n > 1"), "words")
     top = commonest(counted, "n", known_words).select("word")
     rows = encode_words(top.repartition("word"), vocabulary).toArrow()  # at most known_words
-    known = docs.sparkSession.sparkContext.broadcast(dict(zip(rows.column("word").to_pylist(), map(tuple, rows.column("ids").to_pylist()), strict=True)))
-    rest = docs.drop(ids)
-    schema = T.StructType([*rest.schema.fields, T.StructField("_pieces", T.ArrayType(T.IntegerType()))])
-    assemble = functools.partial(_assemble, known=known, vocabulary=vocabulary)
+    known = docs.sparkSession.sparkContext.broadcast(dict(zip(rows.column("word").to_pylist(), map(packed, rows.column("ids").to_pylist()), strict=True)))
+    rest = docs.drop(ids, *[round_trip] * bool(round_trip))
+    schema = T.StructType([*rest.schema.fields, T.StructField("_pieces", T.ArrayType(T.IntegerType())), *[T.StructField("_same", T.BooleanType())] * bool(round_trip)])
+    assemble = functools.partial(_assemble, known=known, vocabulary=vocabulary, check=bool(round_trip))
+    names = {"_pieces": ids, **({"_same": round_trip} if round_trip else {})}
     if rare == "task":
-        return rest.withColumn("_text", text).mapInArrow(assemble, schema).withColumnRenamed("_pieces", ids)
+        return rest.withColumn("_text", text).mapInArrow(assemble, schema).withColumnsRenamed(names)
     coded = land(encode_words(counted.select("word").repartition("word"), vocabulary), "coded")
     keys = [F.xxhash64(text).alias("k1"), F.xxhash64(text, F.lit(1)).alias("k2")]
     others = docs.select(*keys, text.alias("text")).mapInArrow(functools.partial(_rare, known=known), "k1 bigint, k2 bigint, word string")
@@ -284,30 +312,21 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, ids: str = "ids", known_word
     spelt = spelt.select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), F.col("w.word").alias("_words"), F.col("w.ids").alias("_ids"))
     keyed = rest.withColumn("_a", keys[0]).withColumn("_b", keys[1]).withColumn("_text", text)
     both = keyed.join(spelt, (F.col("_a") == F.col("_k1")) & (F.col("_b") == F.col("_k2")), "left").drop("_a", "_b", "_k1", "_k2")
-    return both.mapInArrow(assemble, schema).withColumnRenamed("_pieces", ids)
+    return both.mapInArrow(assemble, schema).withColumnsRenamed(names)
 
 
 def _decode(batches: Iterator[pa.RecordBatch], spelling: list[bytes], into: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         column = batch.column("_ids")
-        out = []
-        for x in column:
-            ids = x.values.to_numpy(zero_copy_only=False) if x.is_valid else ()
-            s = b"".join([spelling[i] for i in ids]).decode("utf-8", "replace").replace(SPACE, " ")
-            out.append(s[1:] if s[:1] == " " else s)
+        out = [text_of(x.values.to_numpy(zero_copy_only=False), spelling) if x.is_valid else "" for x in column]
         rest = [c for c in batch.schema.names if c != "_ids"]
         yield pa.RecordBatch.from_arrays([*[batch.column(batch.schema.names.index(c)) for c in rest], pa.array(out, pa.string())], names=[*rest, into])
 
 
 def decode(rows: DataFrame, vocabulary: Vocabulary, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """``rows`` with the text that its ids spell; null ids spell an empty one, ids without a piece nothing."""
-    size = max(max(i for _, _, i in vocabulary.pieces), *vocabulary.byte_ids) + 1
-    spelling = [b""] * size
-    for b, i in enumerate(vocabulary.byte_ids):
-        if i != vocabulary.unknown:
-            spelling[i] = bytes([b])
-    for p, _, i in vocabulary.pieces:
-        spelling[i] = p.encode()
+    spelling = spellings(vocabulary)
+    size = len(spelling)
     rest = rows.drop(into)
     schema = T.StructType([*rest.schema.fields, T.StructField("_out", T.StringType())])
     inside = F.filter(F.col(ids), lambda i: i.isNotNull() & (i >= 0) & (i < size))
@@ -315,7 +334,6 @@ def decode(rows: DataFrame, vocabulary: Vocabulary, ids: str = "ids", into: str
 
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocabulary = load()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    back = decode(encode(docs, vocabulary), vocabulary)
-    return back.select("doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"), (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+    coded = encode(docs, load(), round_trip="round_trip")
+    return coded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"), "round_trip")
