@@ -89,8 +89,16 @@ def apply_changes(
     op_col: str,
     deletes: tuple[str, ...] = ("delete",),
 ) -> DataFrame:
-    """The target after a change feed: per key only the last change counts, deletes remove the row."""
+    """The target after a change feed: per key only the last change counts, deletes remove the row.
+
+    Where the target has the ``sequence`` columns, a change older than the row it meets is late and does nothing. A row
+    that was deleted leaves no marker, so keep the feed whole, or use the streaming form, where deletes may come late.
+    """
     last = keep_latest(changes.where(_keyed(keys)), keys, sequence)
+    if set(sequence) <= set(target.columns):
+        stored = target.where(_keyed(keys)).select(*keys, F.struct(*sequence).alias("_stored"))
+        newer = last.select(*keys, F.struct(*sequence).alias("_sequence")).join(stored, keys).where("_sequence < _stored").select(*keys).distinct()
+        last = last.join(newer, keys, "left_anti")
     kept = target.join(last.select(*keys), keys, "left_anti")
     stays = ~F.coalesce(F.col(op_col).isin(*deletes), F.lit(False))
     return kept.unionByName(last.where(stays).select(*target.columns))

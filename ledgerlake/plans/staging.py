@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.sources import spread
 from ledgerlake.specs import JOURNAL_ENTRIES, MONEY, strings
 
 RUN_TS = "2024-02-01 00:00:00"
@@ -23,7 +22,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table whose rows become documents one by one; building and parsing them is the costly part."""
-    return spread(table(spark, sf_dir, name))
+    return table(spark, sf_dir, name)
 
 
 def ntz(text: str) -> Column:

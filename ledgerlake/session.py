@@ -35,10 +35,12 @@ def build_session(app: str = "ledgerlake", master: str | None = None, **conf: st
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only a session that names none (a local test) gets a folder of its own.
+    Only a local session, whose executors share this machine, may name none; it gets a folder of its own.
     """
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError(f"{CHECKPOINT_DIR} names no folder that all executors share")
         root = tempfile.mkdtemp(prefix="ledgerlake-")
         spark.conf.set(CHECKPOINT_DIR, root)
     return root.rstrip("/")

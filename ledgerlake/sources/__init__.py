@@ -7,16 +7,17 @@ from ledgerlake.sources.collections import (
     since_mark,
 )
 from ledgerlake.sources.files import (
+    flatten_envelope,
     flatten_invoices,
     list_files,
     read_delimited,
     read_json_docs,
     read_json_inferred,
-    spread,
 )
 
 __all__ = [
     "MarkStore",
+    "flatten_envelope",
     "flatten_invoices",
     "list_files",
     "next_mark",
@@ -27,5 +28,4 @@ __all__ = [
     "read_json_inferred",
     "row_counts",
     "since_mark",
-    "spread",
 ]

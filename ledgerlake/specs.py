@@ -82,6 +82,8 @@ CRATE_ORDERS = CollectionSpec(
 )
 CONTACTS = T.ArrayType(CONTACT)
 INVOICE_ENVELOPE = strings("", data=strings("", invoices=T.ArrayType(INVOICE)))
+#: Where an envelope has its invoices, and their fields by the names of the rows made of them.
+INVOICE_ROWS = ("data.invoices", {"id": "invoice_id", "orderId": "order_id", "companyId": "company_id", "grossValue": "gross_value", "vat": "vat"})
 
 COLLECTIONS = {
     spec.name: spec

@@ -2,6 +2,7 @@ import pytest
 from conftest import plan, values
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from ledgerlake import operators as op
 
@@ -81,3 +82,10 @@ def test_catalog_merge_needs_a_catalog_that_can(spark):
     spark.sql("CREATE OR REPLACE TEMP VIEW plain_rows AS SELECT 1 AS k, 1 AS ts, 'a' AS v")
     with pytest.raises(Exception):
         op.merge_into_catalog(frame(spark, [(1, 2, "b")]), "plain_rows", ["k"])
+
+
+def test_late_changes_do_not_overwrite_newer_rows(spark):
+    target = spark.createDataFrame([(1, 9, "kept"), (2, 3, "old")], "k int, seq int, v string")
+    feed = spark.createDataFrame([(1, 4, "late", "update"), (2, 5, "new", "update"), (2, 4, "x", "delete")], "k int, seq int, v string, op string")
+    assert values(op.apply_changes(target, feed, ["k"], ["seq"], "op")) == [(1, 9, "kept"), (2, 5, "new")]
+    assert values(op.apply_changes(target, feed.withColumn("op", F.lit("delete")), ["k"], ["seq"], "op")) == [(1, 9, "kept")]
