@@ -9,8 +9,8 @@ more than ``r`` empty cells, which could agree in no others, present theirs.
 
 Sets that are equal are one class. Of the classes that share a cell, each is first compared with one of them, in a few
 turns with another one each; pairs that are then still in different groups are compared one by one, so groups are
-whole, yet a group of copies is never expanded into all its pairs. Comparisons that a 512-bit parity bitmap cannot
-exclude are made on the whole sets.
+whole, yet a group of copies is never expanded into all its pairs. Comparisons that parity bitmaps (of 512 bits, for
+large sets also of about as many bits as members) cannot exclude are made on the whole sets.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ from ledgerlake.llm.common import id_bitmap, in_bitmap, land, mix, shingle_hashe
 GROWTH = 1.5  # of sizes, from band to band
 RESERVE = 0.06  # share of cells
 BITMAP = [f"b{i}" for i in range(8)]
+WIDE_FROM = 256  # sets of more members have a second bitmap
 MAX_SIZE = 1 << 40
 MOST_TURNS = 4
 
@@ -68,6 +69,12 @@ def cells(u: np.ndarray, percent: int, all_bands: tuple[tuple[int, int, int, int
     return np.concatenate(out)
 
 
+def parity(u: np.ndarray, bits: int) -> np.ndarray:
+    """A bitmap in which each member has toggled a bit. Its upper half XORed to the lower one is that of half the bits."""
+    odd = np.bincount((u & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.uint64)
+
+
 def _lists(values: list[np.ndarray]) -> pa.Array:
     offsets = np.zeros(len(values) + 1, np.int32)
     np.cumsum([len(v) for v in values], out=offsets[1:])
@@ -81,26 +88,32 @@ def _sets(batch: pa.RecordBatch, width: int) -> Iterator[tuple[pa.RecordBatch, l
         yield batch.slice(i, j - i), [shingle_hashes(h[a:b], width) for a, b in zip(at[:-1], at[1:], strict=True)]
 
 
-FEATURES = "doc_id bigint, n bigint, d1 bigint, d2 bigint, " + ", ".join(f"{b} bigint" for b in BITMAP) + ", cells array<bigint>"
+DIGEST = "doc_id bigint, n bigint, d1 bigint, d2 bigint"
+FEATURES = DIGEST + ", " + ", ".join(f"{b} bigint" for b in BITMAP) + ", wide array<bigint>"
 
 
-def _features(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
-    empty, all_bands = np.empty(0, np.uint64), bands(percent)
+def _features(batches: Iterator[pa.RecordBatch], width: int, percent: int | None) -> Iterator[pa.RecordBatch]:
+    """Size and digests of each text's set, and its bitmaps or, where ``percent`` is given, its cells."""
+    empty, all_bands = np.empty(0, np.uint64), bands(percent) if percent else ()
     for batch in batches:
         for part, sets in _sets(batch, width):
             digests = np.zeros((len(sets), 2), np.uint64)
             maps = np.zeros((len(sets), 8), np.int64)
-            values = []
+            values, wide = [], []
             for i, u in enumerate(sets):
                 if len(u):
                     digests[i] = u.sum(), np.bitwise_xor.reduce(mix(u))
-                    bit = np.bincount((u & np.uint64(511)).astype(np.int64), minlength=512) & 1
-                    maps[i] = np.packbits(bit.astype(np.uint8)).view(np.int64)
-                values.append(cells(u, percent, all_bands) if len(u) else empty)
+                    if not percent:
+                        maps[i] = parity(u, 512).view(np.int64)
+                if percent:
+                    values.append(cells(u, percent, all_bands) if len(u) else empty)
+                    continue
+                wide.append(parity(u, max(1024, 1 << (len(u) - 1).bit_length())) if len(u) > WIDE_FROM else empty)
             d = digests.view(np.int64)
             columns = [part.column("doc_id").cast(pa.int64()), pa.array(np.array([len(u) for u in sets], np.int64)), pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy())]
-            columns += [pa.array(maps[:, i].copy()) for i in range(8)] + [_lists(values)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "d1", "d2", *BITMAP, "cells"])
+            names = ["doc_id", "n", "d1", "d2", *(["cells"] if percent else [*BITMAP, "wide"])]
+            columns += [_lists(values)] if percent else [*[pa.array(maps[:, i].copy()) for i in range(8)], _lists(wide)]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
 def _whole_sets(batches: Iterator[pa.RecordBatch], width: int, bitmap: Broadcast) -> Iterator[pa.RecordBatch]:
@@ -135,29 +148,39 @@ def similar_groups(docs: DataFrame, width: int, percent: int) -> DataFrame:
     shingle. Rows that share an id are vertices of their own; a null id takes part but is never the smallest, and
     stays null where no other document is linked. Other columns are ignored.
     """
-    features = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        functools.partial(_features, width=width, percent=percent), FEATURES
-    )
-    features = land(features, "features")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    features = land(texts.mapInArrow(functools.partial(_features, width=width, percent=None), FEATURES), "features")
     key = ["n", "d1", "d2"]
     # equal sets are one class, and one vertex; numbers given on landing are unique and stay
     classes = land(features.where("n > 0").groupBy(*key).agg(F.min("doc_id").alias("rep")).withColumn("v", F.monotonically_increasing_id()), "classes")
-    narrow = [F.col(f"f.{c}").alias(c) for c in (*BITMAP, "cells")]
     same = F.col("f.doc_id").eqNullSafe(F.col("c.rep")) & (F.col("f.n") == F.col("c.n")) & (F.col("f.d1") == F.col("c.d1")) & (F.col("f.d2") == F.col("c.d2"))
-    one = features.alias("f").join(classes.alias("c"), same).select("c.v", "c.n", "c.rep", *narrow)
-    # a class whose smallest id is on several rows comes several times; equal rows link nothing new
-    cell = one.select("v", F.explode("cells").alias("cell"))
+    # the cells are larger than all else together: made anew of the texts, they are shuffled without being landed first;
+    # a class whose smallest id is on several rows comes several times, which links nothing new
+    celled = texts.mapInArrow(functools.partial(_features, width=width, percent=percent), DIGEST + ", cells array<bigint>")
+    cell = celled.alias("f").join(classes.alias("c"), same).select("c.v", F.explode("cells").alias("cell"))
     shared = cell.groupBy("cell").agg(F.min("v").alias("w"), F.max("v").alias("x")).where("w < x").select("cell")
     members = land(cell.join(shared, "cell"), "members")
-    facts = land(one.drop("cells").join(members.select("v").distinct(), "v", "left_semi").dropDuplicates(["v"]), "class-facts")
+    one = features.alias("f").join(classes.alias("c"), same).select("c.v", "c.n", "c.rep", *[F.col(f"f.{c}").alias(c) for c in (*BITMAP, "wide")])
+    facts = land(one.join(members.select("v").distinct(), "v", "left_semi").dropDuplicates(["v"]), "class-facts")
     text = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("doc_id").cast("long")).alias("hashed"), F.col("text").cast("string").alias("text"))
 
-    def sides(names: list[str]) -> list[DataFrame]:
-        return [facts.select(*[F.col(c).alias(f"{side}_{c}") for c in ("v", "n", *BITMAP)]) for side in names]
+    def side(name: str, *more: str) -> DataFrame:
+        return facts.select(*[F.col(c).alias(f"{name}_{c}") for c in ("v", "n", *BITMAP, *more)])
 
     differ = sum((F.bit_count(F.col(f"a_{b}").bitwiseXOR(F.col(f"b_{b}"))) for b in BITMAP), F.lit(0))
     near = (F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent) & (differ * (100 + percent) <= (F.col("a_n") + F.col("b_n")) * (100 - percent))
 
+    # bitmaps of one size, or the larger one folded; where neither fits, nothing is excluded
+    folded = lambda x, y: f"if(size({x}) = 2 * size({y}), zip_with(slice({x}, 1, size({y})), slice({x}, size({y}) + 1, size({y})), (p, q) -> p ^ q), {x})"
+    apart = f"aggregate(zip_with({folded('a_wide', 'b_wide')}, {folded('b_wide', 'a_wide')}, (p, q) -> bit_count(p ^ q)), 0, (t, x) -> t + coalesce(x, 0))"
+    fit = "size(a_wide) > 0 AND size(b_wide) > 0 AND (size(a_wide) = size(b_wide) OR size(a_wide) = 2 * size(b_wide) OR size(b_wide) = 2 * size(a_wide))"
+    wide_near = F.expr(f"CASE WHEN {fit} THEN {apart} * {100 + percent} <= (a_n + b_n) * {100 - percent} ELSE true END")
+
+    def possible(pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) that sizes and bitmaps do not exclude."""
+        both = pairs.join(side("a", "wide"), F.col("a") == F.col("a_v")).join(side("b", "wide"), (F.col("b") == F.col("b_v")) & near)
+        return both.where(wide_near).select("a", "b")
+
     def verified(pairs: DataFrame) -> DataFrame:
         """Those of the pairs (a, b) that are similar, on whole sets made anew of the texts concerned."""
         wanted = land(facts.join(pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct(), "v", "left_semi").select("v", "rep", "n"), "wanted")
@@ -177,9 +200,7 @@ def similar_groups(docs: DataFrame, width: int, percent: int) -> DataFrame:
         hub = F.min(F.struct(F.xxhash64("v", F.lit(turn)).alias("order"), "v", "c")).alias("hub")
         hubs = grouped.groupBy("cell").agg(hub).select("cell", F.col("hub.v").alias("hub"), F.col("hub.c").alias("hub_c"))
         star = grouped.join(hubs, "cell").where("c <> hub_c").select(F.least("hub", "v").alias("a"), F.greatest("hub", "v").alias("b")).distinct()
-        left, right = sides(["a", "b"])
-        pairs = star.join(left, star["a"] == left["a_v"]).join(right, (F.col("b") == F.col("b_v")) & near).select("a", "b")
-        more = verified(land(pairs, "star"))
+        more = verified(land(possible(star), "star"))
         new = more.limit(1).count()
         if new or links is None:
             links = more if links is None else land(links.union(more), "all-links")
@@ -190,10 +211,9 @@ def similar_groups(docs: DataFrame, width: int, percent: int) -> DataFrame:
         if not new:
             break
     # what is still in different groups, pair by pair
-    left, right = sides(["a", "b"])
-    a, b = (grouped.select("cell", F.col("v").alias(f"{side}_v"), F.col("c").alias(f"{side}_c")).join(x, f"{side}_v") for side, x in (("a", left), ("b", right)))
+    a, b = (grouped.select("cell", F.col("v").alias(f"{x}_v"), F.col("c").alias(f"{x}_c")).join(side(x), f"{x}_v") for x in "ab")
     rest = a.join(b, (a["cell"] == b["cell"]) & (F.col("a_v") < F.col("b_v")) & (F.col("a_c") != F.col("b_c")) & near)
-    more = verified(land(rest.select(F.col("a_v").alias("a"), F.col("b_v").alias("b")).distinct(), "rest"))
+    more = verified(land(possible(rest.select(F.col("a_v").alias("a"), F.col("b_v").alias("b")).distinct()), "rest"))
     if more.limit(1).count():
         groups = components(links.union(more))
     smallest = classes.join(groups, "v", "left").withColumn("c", F.coalesce("c", "v"))
