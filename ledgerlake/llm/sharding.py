@@ -43,10 +43,10 @@ def hilbert_index(coords: Sequence[str], bits: int) -> Column:
     if dims * bits > 62:
         raise ValueError("an index has 62 bits at most")
     digits, following = (f"array({','.join(map(str, x))})" for x in curve_tables(dims))
-    label = " | ".join(f"shiftleft(shiftright(cast(`{c}` as int), b) & 1, {i})" for i, c in enumerate(coords))
-    at = f"(a.s * {1 << dims} + ({label}) + 1)"
-    step = f"named_struct('h', a.h * {1 << dims} + element_at({digits}, {at}), 's', element_at({following}, {at}))"
-    return F.expr(f"aggregate(sequence({bits - 1}, 0, -1), named_struct('h', 0L, 's', 0), (a, b) -> {step}, a -> a.h)")
+    label = " | ".join(f"shiftleft(shiftright(cast(`{c}` as int), _bit) & 1, {i})" for i, c in enumerate(coords))
+    at = f"(_at.s * {1 << dims} + ({label}) + 1)"
+    step = f"named_struct('h', _at.h * {1 << dims} + element_at({digits}, {at}), 's', element_at({following}, {at}))"
+    return F.expr(f"aggregate(sequence({bits - 1}, 0, -1), named_struct('h', 0L, 's', 0), (_at, _bit) -> {step}, _at -> _at.h)")
 
 
 def running_total(df: DataFrame, order: Sequence[str], weight: Column, name: str) -> DataFrame:

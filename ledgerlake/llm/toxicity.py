@@ -39,7 +39,8 @@ LEXICONS = {
 SECOND_PERSON = frozenset("you your yours yourself u ur ya du dich dir dein deine ihr euch tu toi ton ta tes vous votre vos tú te ti usted ustedes vosotros".split())
 LEET = str.maketrans("0134578@$!|€+", "oieastbasiiet")
 WORD = re.compile(r"[^\W\d_]+")
-ODD = re.compile(r"[^\W_]+(?:[0-9@$!|*._+€-]+[^\W_]+)+")
+#: From the start of a run only and without going back, so that long runs take linear time.
+ODD = re.compile(r"(?<![^\W_])[@$]?\d*+[^\W\d_]++(?:[\d@$!|*._+€-]++[^\W\d_]++)++")
 SHOUT = re.compile(r"[A-ZÀ-ÖØ-Þ]{3,}")
 NAMES = [
     *[f"{k}_density" for k in LEXICONS], *[f"{k}_count" for k in LEXICONS], "insult_kinds", "hidden_density", "second_person_density",
