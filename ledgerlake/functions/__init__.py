@@ -9,6 +9,7 @@ from ledgerlake.functions.columns import (
     to_money,
 )
 from ledgerlake.functions.documents import (
+    PROBLEMS,
     backfill_ingest_ts,
     conform,
     nested_to_json,
@@ -19,6 +20,7 @@ from ledgerlake.functions.documents import (
 )
 
 __all__ = [
+    "PROBLEMS",
     "backfill_ingest_ts",
     "blank_to",
     "conform",

@@ -50,7 +50,10 @@ def _unwrap(c: Column, dtype: T.DataType, as_text: bool) -> Column:
         return F.transform(c, lambda x: _unwrap(x, dtype.elementType, as_text))
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         moment = _moment(c)
-        return F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss") if as_text else moment.cast(dtype)
+        if not as_text:
+            return moment.cast(dtype)
+        # the cast writes a fraction only where there is one; text that is no date stays, for the schema to reject
+        return F.coalesce(F.translate(moment.cast("string"), " ", "T"), _member(c, DATE_WRAPPERS))
     if isinstance(dtype, T.NumericType):
         number = _member(c, NUMBER_WRAPPERS)
         return number if as_text else number.try_cast(dtype)
@@ -59,30 +62,43 @@ def _unwrap(c: Column, dtype: T.DataType, as_text: bool) -> Column:
     return c if as_text else c.try_cast(dtype)
 
 
-def _computed_once(df: DataFrame, columns: list[Column]) -> DataFrame:
-    """``select(columns)`` as a one-row generator.
+def _computed_once(df: DataFrame, kept: list[Column], columns: list[Column]) -> DataFrame:
+    """``select(kept, columns)``, the latter as a one-row generator.
 
     The optimizer copies the expressions of a plain projection into every filter and projection
-    above it; parsing a document again for each would cost more than reading it.
+    above it; parsing a document again for each would cost more than reading it. What is only
+    passed through stays outside, where it is pruned and filtered in the scan.
     """
-    return df.select(F.inline(F.array(F.struct(*columns))))
+    return df.select(*kept, F.inline(F.array(F.struct(*columns))))
+
+
+_BROKEN = "_broken"
 
 
 def normalize_extended_json(
-    df: DataFrame, doc_col: str, schema: T.StructType, leaf_mode: str = "typed"
+    df: DataFrame, doc_col: str, schema: T.StructType, leaf_mode: str = "typed", unreadable: str | None = None
 ) -> DataFrame:
     """JSON documents with typed wrappers (ids, dates, exact numbers) to plain typed columns.
 
     Wrapped, plain and mixed documents are accepted. ``leaf_mode="string"`` keeps every leaf as
-    text: dates in ISO form, numbers with all their digits. Other columns of ``df`` are kept.
+    text: dates in ISO form with their fraction of a second, numbers with all their digits, and
+    what is no date as it is. Other columns of ``df`` are kept. ``unreadable`` names a boolean
+    column that is true where a document is null, empty, not JSON, or has an object or array where
+    the schema has none, or the other way round; what could be read of it is there all the same.
     """
     if leaf_mode not in ("typed", "string"):
         raise ValueError(f"leaf_mode must be 'typed' or 'string', not {leaf_mode!r}")
     as_text = leaf_mode == "string"
-    doc = F.from_json(F.col(doc_col), _wire_type(schema))
+    wire = _wire_type(schema)
+    if unreadable:
+        wire = T.StructType([*wire.fields, T.StructField(_BROKEN, T.StringType())])
+    doc = F.from_json(F.col(doc_col), wire, {"columnNameOfCorruptRecord": _BROKEN} if unreadable else None)
     kept = [F.col(c) for c in df.columns if c != doc_col]
-    parsed = _computed_once(df, [*kept, doc.alias("_doc")])
+    parsed = _computed_once(df, kept, [doc.alias("_doc")])
     fields = [_unwrap(F.col("_doc").getField(f.name), f.dataType, as_text).alias(f.name) for f in schema.fields]
+    if unreadable:
+        broken = F.col("_doc").isNull() | F.col("_doc").getField(_BROKEN).isNotNull()
+        fields.append(broken.alias(unreadable))
     return parsed.select(*kept, *fields)
 
 
@@ -116,19 +132,23 @@ def _lossy(c: Column, source: T.DataType, target: T.DataType) -> Column:
     return c.isNotNull() & reduce(or_, parts, F.lit(False))
 
 
-PROBLEMS = "_problems"
+PROBLEMS, DOCUMENT = "_problems", "_document"
 
 
-def conform(df: DataFrame, schema: T.StructType, carry: tuple[str, ...] = ()) -> DataFrame:
+def conform(
+    df: DataFrame, schema: T.StructType, carry: tuple[str, ...] = (), unreadable: str | None = None
+) -> DataFrame:
     """Enforce a declared schema: extra columns go, missing ones are null, leaves are cast.
 
     ``_problems`` names the columns holding a value that did not fit. One pass: write the result
     partitioned by whether it is empty, or take both halves with :func:`split_conformed`.
-    ``carry`` keeps source columns (the original text, say) for the quarantine.
+    ``carry`` keeps source columns (the original text, say) for the quarantine. Where the boolean
+    column ``unreadable`` is true, the problem is ``_document``.
     """
     have = {f.name: f.dataType for f in df.schema.fields}
     problems = F.array_compact(
         F.array(
+            *([F.when(F.col(unreadable), F.lit(DOCUMENT))] if unreadable else []),
             *[
                 F.when(_lossy(F.col(f.name), have[f.name], f.dataType), F.lit(f.name))
                 for f in schema.fields
@@ -141,7 +161,7 @@ def conform(df: DataFrame, schema: T.StructType, carry: tuple[str, ...] = ()) ->
         .alias(f.name)
         for f in schema.fields
     ]
-    return _computed_once(df, [*columns, *[F.col(c) for c in carry], problems.alias(PROBLEMS)])
+    return _computed_once(df, [F.col(c) for c in carry], [*columns, problems.alias(PROBLEMS)])
 
 
 def split_conformed(conformed: DataFrame) -> tuple[DataFrame, DataFrame]:

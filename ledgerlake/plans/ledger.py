@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import (
+    PROBLEMS,
     backfill_ingest_ts,
     conform,
     iso_date,
@@ -27,17 +28,30 @@ from ledgerlake.operators import (
     split_null_keys,
 )
 from ledgerlake.operators.retention import DEFAULT_RETENTION, RETENTION
+from ledgerlake.session import scratch
 from ledgerlake.specs import CLOSE_TASKS, COLLECTIONS, JOURNAL_ENTRIES, CollectionSpec
 
 ACCOUNT_ATTRIBUTES = {"name": "account_name", "type": "account_type"}
 LINE_FIELDS = ["account_id", "debit", "credit"]
 
 
+SOURCE_TEXT, _UNREADABLE = "_source", "_unreadable"
+
+
+def conform_documents(docs: DataFrame, doc_col: str, spec: CollectionSpec) -> DataFrame:
+    """Extended-JSON documents in the schema of a collection, with their problems and their text."""
+    texts = docs.select(F.col(doc_col).alias(SOURCE_TEXT), F.col(doc_col).alias("_doc_text"))
+    read = normalize_extended_json(texts, "_doc_text", spec.schema, leaf_mode="string", unreadable=_UNREADABLE)
+    return conform(read, spec.schema, carry=(SOURCE_TEXT,), unreadable=_UNREADABLE)
+
+
 def ingest_documents(docs: DataFrame, doc_col: str, spec: CollectionSpec, ts=None) -> tuple[DataFrame, DataFrame]:
-    """Extended-JSON documents to ``(raw rows, rejects)`` of a collection, with their load time."""
-    texts = normalize_extended_json(docs, doc_col, spec.schema, leaf_mode="string")
-    good, rejects = split_conformed(conform(texts, spec.schema))
-    return with_ingest_ts(good, ts), rejects
+    """Extended-JSON documents to ``(raw rows, rejects)`` of a collection, with their load time.
+
+    Rejects keep the text of the document (``_source``) and name what is wrong (``_problems``).
+    """
+    good, rejects = split_conformed(conform_documents(docs, doc_col, spec))
+    return with_ingest_ts(good.drop(SOURCE_TEXT), ts), rejects
 
 
 def append_raw(spark: SparkSession, df: DataFrame, path: str, spec: CollectionSpec, reload: bool = False) -> int:
@@ -55,12 +69,20 @@ def ingest_collections(
     ts=None,
     reload: bool = False,
 ) -> None:
-    """Land every collection's documents below ``root/raw`` and the ones that do not fit below ``root/rejects``."""
+    """Land every collection's documents below ``root/raw`` and the ones that do not fit below ``root/rejects``.
+
+    Documents are read and parsed once: they are landed by whether they fit, and both halves come from there.
+    """
     for name, docs in documents.items():
         spec = COLLECTIONS[name]
-        rows, rejects = ingest_documents(docs, doc_col, spec, ts)
-        append_raw(spark, rows, f"{root}/raw/{name}", spec, reload)
+        path = scratch(spark, f"ingest-{name}")
+        conformed = conform_documents(docs, doc_col, spec).withColumn("_fits", F.size(PROBLEMS) == 0)
+        conformed.write.partitionBy("_fits").parquet(path)
+        landed = spark.read.schema(conformed.schema).parquet(path)
+        rejects = landed.where(~F.col("_fits")).drop("_fits")
         nested_to_json(with_ingest_ts(rejects, ts)).write.mode("append").parquet(f"{root}/rejects/{name}")
+        rows = landed.where("_fits").drop("_fits", PROBLEMS, SOURCE_TEXT)
+        append_raw(spark, with_ingest_ts(rows, ts), f"{root}/raw/{name}", spec, reload)
 
 
 def raw_table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -82,16 +104,19 @@ def journal_lines(raw: DataFrame, keep_empty: bool = False, line_no: str | None
     return explode_lines(entries, "lines", LINE_FIELDS, keep_empty, line_no)
 
 
+def line_keys(by_line: bool = False) -> list[str]:
+    return ["entry_id", "account_id", *(["_id", "line_no"] if by_line else [])]
+
+
 def latest_lines(raw: DataFrame, by_line: bool = False) -> DataFrame:
     """The latest load of each line.
 
     A line is known by entry and account, which merges two lines of one entry on one account;
     ``by_line`` keeps them apart by document and position.
     """
-    keys = ["entry_id", "account_id"]
     lines = journal_lines(raw, line_no="line_no" if by_line else None)
-    keyed, _ = split_null_keys(lines, keys)
-    return keep_latest(keyed, keys + (["_id", "line_no"] if by_line else []), ["ingest_ts"])
+    keyed, _ = split_null_keys(lines, line_keys())
+    return keep_latest(keyed, line_keys(by_line), ["ingest_ts"])
 
 
 def journal_silver(raw: DataFrame, accounts: DataFrame, by_line: bool = False) -> DataFrame:
@@ -142,10 +167,19 @@ def fact_journal_line(lines: DataFrame) -> DataFrame:
     )
 
 
-def curate(spark: SparkSession, root: str, tasks: DataFrame, journal: DataFrame, accounts: DataFrame, run_ts=None) -> None:
+def curate(
+    spark: SparkSession,
+    root: str,
+    tasks: DataFrame,
+    journal: DataFrame,
+    accounts: DataFrame,
+    run_ts=None,
+    by_line: bool = False,
+) -> None:
     """Merge newly loaded raw rows into the silver tables and bring the gold totals up to date.
 
-    Safe to repeat with the same rows. Only the entries that changed are totalled again.
+    Safe to repeat with the same rows. Only the entries that changed are totalled again. ``by_line`` keeps several
+    lines of one entry on one account apart; a table is made with or without it and stays so.
     """
     month = CLOSE_TASKS.partition_by
     silver_tasks = VersionedTable(spark, f"{root}/close_tasks_silver", ["task_id"], month)
@@ -154,8 +188,8 @@ def curate(spark: SparkSession, root: str, tasks: DataFrame, journal: DataFrame,
     silver_tasks.expire(run_ts, *DEFAULT_RETENTION)
 
     month = JOURNAL_ENTRIES.partition_by
-    silver = VersionedTable(spark, f"{root}/journal_entries_silver", ["entry_id", "account_id"], month)
-    silver.merge(journal_silver(journal, accounts).withColumn(month, F.trunc("entry_date", "month")))
+    silver = VersionedTable(spark, f"{root}/journal_entries_silver", line_keys(by_line), month)
+    silver.merge(journal_silver(journal, accounts, by_line).withColumn(month, F.trunc("entry_date", "month")))
     silver.expire(run_ts, *DEFAULT_RETENTION)
 
     gold = VersionedTable(spark, f"{root}/journal_entries_gold", ["entry_id", "entry_date"], "entry_year")

@@ -144,11 +144,17 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def extended_json_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as extended JSON text: odd line numbers wrapped, even ones plain, dates also as milliseconds."""
+    """Order lines as extended JSON text: odd line numbers wrapped, even ones plain, dates also as milliseconds.
+
+    By part, some documents are no JSON, have a date that is none, text for lines, or a fraction of a second.
+    """
+    fault = F.col("l_partkey") % 40
     doc_id = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     price = F.col("l_extendedprice").cast(MONEY).cast("string")
-    iso = F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    millis = F.unix_millis(F.col("l_shipdate").cast("timestamp")).cast("string")
+    shipped = F.timestamp_millis(F.unix_millis(F.col("l_shipdate").cast("timestamp")) + F.when(fault == 4, 678).otherwise(0))
+    iso = F.when(fault == 2, "not a date").when(fault == 4, F.date_format(shipped, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
+    iso = iso.otherwise(F.date_format(shipped, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    millis = F.when(fault == 2, "not a date").otherwise(F.unix_millis(shipped).cast("string"))
     qty = F.col("l_quantity").cast("int")
 
     def tag(name: str, c: Column) -> Column:
@@ -165,14 +171,14 @@ def extended_json_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.transform(F.sequence(F.lit(1), F.col("l_linenumber")), line)
 
     def doc(date: Column, wrapped: bool) -> Column:
-        return F.to_json(
-            F.struct(
-                (tag("$oid", doc_id) if wrapped else doc_id).alias("_id"),
-                date.alias("shipped_at"),
-                (tag("$numberDecimal", price) if wrapped else price).alias("total"),
-                lines(wrapped).alias("lines"),
-            )
+        head = (
+            (tag("$oid", doc_id) if wrapped else doc_id).alias("_id"),
+            date.alias("shipped_at"),
+            (tag("$numberDecimal", price) if wrapped else price).alias("total"),
         )
+        text_for_lines = F.to_json(F.struct(*head, F.lit("oops").alias("lines")))
+        whole = F.to_json(F.struct(*head, lines(wrapped).alias("lines")))
+        return F.when(fault == 1, _text("not json ", doc_id)).when(fault == 3, text_for_lines).otherwise(whole)
 
     wrapped_doc = F.when(
         F.col("l_linenumber") % 4 == 1, doc(tag("$date", iso), True)
@@ -218,15 +224,15 @@ TEXT_ORDER_SCHEMA = strings(
 def flat_orders(spark: SparkSession, sf_dir: str, nested: bool = False) -> DataFrame:
     """Flat orders with address and metadata objects, as JSON text unless ``nested``."""
     address = F.struct(
-        _text(F.col("l_linenumber"), " Main St").alias("street"),
+        _text(F.col("l_linenumber"), " Quay").alias("street"),
         _text("City ", F.col("l_suppkey")).alias("city"),
         F.col("l_returnflag").alias("state"),
     )
-    metadata = F.struct(F.lit("web").alias("source"), _text("CAMP-", F.col("l_linenumber")).alias("campaign_id"))
+    metadata = F.struct(F.lit("kiosk").alias("source"), _text("DRIVE-", F.col("l_linenumber")).alias("campaign_id"))
     return documents(spark, sf_dir, "lineitem").select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("_id"),
-        _text("ORD-", F.col("l_orderkey")).alias("order_id"),
-        _text("user", F.col("l_suppkey"), "@example.com").alias("customer_email"),
+        _text("F", F.col("l_orderkey")).alias("order_id"),
+        _text("buyer", F.col("l_suppkey"), "@mail.test").alias("customer_email"),
         _text("P", F.col("l_partkey")).alias("product"),
         (F.when(F.col("l_linenumber") == 7, 0).otherwise(F.col("l_quantity").cast("int"))).alias("quantity"),
         F.when(F.col("l_linenumber") != 6, F.col("l_extendedprice").cast(MONEY)).alias("price"),

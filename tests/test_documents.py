@@ -58,6 +58,29 @@ def test_string_mode_keeps_all_digits(spark):
     assert (row.at, row.total) == ("2024-01-02T03:04:05", "1.234567")
 
 
+def test_string_mode_keeps_fractions_and_what_is_no_date(spark):
+    times = {
+        '"2024-01-02T03:04:05.678Z"': "2024-01-02T03:04:05.678",
+        '{"$date":"2024-01-02T03:04:10.500Z"}': "2024-01-02T03:04:10.5",
+        '{"$date":{"$numberLong":"1704164645001"}}': "2024-01-02T03:04:05.001",
+        '"2024-01-02"': "2024-01-02T00:00:00",
+        '"soon"': "soon",
+        '{"$date":"soon"}': "soon",
+        "null": None,
+    }
+    rows = docs(spark, *[f'{{"_id":"{i}","at":{t}}}' for i, t in enumerate(times)])
+    got = fn.normalize_extended_json(rows, "doc", SCHEMA, leaf_mode="string").orderBy("_id").collect()
+    assert [r.at for r in got] == list(times.values())
+
+
+def test_unreadable_documents_are_marked(spark):
+    texts = ["not json", "", "5", '{"_id":"a","lines":"oops"}', '{"_id":"b","lines":[]}', "{}"]
+    rows = fn.normalize_extended_json(docs(spark, *texts).withColumn("t", F.col("doc")), "doc", SCHEMA, unreadable="bad")
+    assert {r.t: (r._id, r.bad) for r in rows.collect()} == {
+        "not json": (None, True), "": (None, True), "5": (None, True), texts[3]: ("a", True), texts[4]: ("b", False), "{}": (None, False),
+    }
+
+
 def test_conform_splits_without_loss(spark):
     rows = spark.createDataFrame(
         [("1", "2024-01-01", [("5",)], "x"), ("2", "soon", [("5",)], "x"), ("3", None, [("5",), ("?",)], "x"), ("4", None, None, "x")],
