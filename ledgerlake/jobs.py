@@ -33,6 +33,7 @@ def parser() -> argparse.ArgumentParser:
     ingest.add_argument("collections", nargs="+", metavar="NAME=PATH")
     ingest.add_argument("--reload", action="store_true", help="replace the collections instead of adding to them")
     curate = jobs.add_parser("curate", help="merge raw accounts, close tasks and journal entries into silver and gold")
+    curate.add_argument("--by-line", action="store_true", help="keep several lines of an entry on one account apart")
     orders = jobs.add_parser("orders", help="merge raw order documents into the orders table")
     report = jobs.add_parser("report", help="write the crate sales reports")
     report.add_argument("--orders", required=True, help="crate orders, delimited text")
@@ -79,7 +80,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.job == "curate":
         accounts = ledger.raw_table(spark, args.root, "accounts")
         with _increments(spark, args, "close_tasks", "journal_entries") as (tasks, journal):
-            ledger.curate(spark, args.root, tasks, journal, accounts, now)
+            ledger.curate(spark, args.root, tasks, journal, accounts, now, args.by_line)
     elif args.job == "orders":
         with _increments(spark, args, "orders") as (raw,):
             commerce.sync_orders(spark, f"{args.root}/orders_silver", raw, now)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlake.functions.columns import to_money
 from ledgerlake.specs import MONEY
@@ -66,16 +67,22 @@ def stack_roles(df: DataFrame, roles: dict[str, tuple[Column, Column]], who: str
 
 
 def profile(df: DataFrame, columns: list[str], digits: int = 4) -> DataFrame:
-    """count, mean, stddev, min and max per column, in long form, from one aggregation."""
+    """count, mean, stddev, min and max per column, in long form, from one aggregation.
+
+    Text, dates and the like have no mean or stddev; where such a column is among them, min and max are text.
+    """
+    numeric = {c: isinstance(df.schema[c].dataType, T.NumericType) for c in columns}
+    as_text = not all(numeric.values())
     stats = []
     for c in columns:
-        x = F.col(c).cast("double")
+        x = F.col(c).cast("double") if numeric[c] else F.lit(None).cast("double")
+        low, high = (f(c).cast("string") if as_text else f(x) for f in (F.min, F.max))
         stats += [
-            F.count(x).alias(f"{c}__n"),
+            F.count(c).alias(f"{c}__n"),
             F.round(F.avg(x), digits).alias(f"{c}__mean"),
             F.round(F.stddev_samp(x), digits).alias(f"{c}__stddev"),
-            F.min(x).alias(f"{c}__min"),
-            F.max(x).alias(f"{c}__max"),
+            low.alias(f"{c}__min"),
+            high.alias(f"{c}__max"),
         ]
     rows = F.array(
         *[

@@ -194,22 +194,27 @@ commissions AS (
     {_share(2, '0.00025')} AS co_owner_1_commission_euro, {_share(3, '0.000095')} AS co_owner_2_commission_euro
   FROM crates JOIN invoices ON crates.order_id = invoices.order_id)"""
 
+# by part: 1 no JSON, 2 no date, 3 text for lines, 4 a fraction of a second
 EXTENDED = """
-SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS _id, {columns}
+SELECT CASE WHEN l_partkey % 40 <> 1 THEN concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) END AS _id, {columns}
 FROM lineitem"""
+EXTENDED_AT = """CASE WHEN l_partkey % 40 = 4 THEN l_shipdate + INTERVAL 678 MILLISECOND
+  WHEN l_partkey % 40 NOT IN (1, 2) THEN l_shipdate END"""
+EXTENDED_TOTAL = f"CASE WHEN l_partkey % 40 <> 1 THEN CAST(l_extendedprice AS {MONEY}) END"
 EXTENDED_LINES = (
+    "CASE WHEN l_partkey % 40 NOT IN (1, 3) THEN "
     "(SELECT string_agg('P' || (l_partkey + i) || ':' || (CAST(l_quantity AS INT) + i), ',' ORDER BY i) "
-    "FROM generate_series(1, l_linenumber) AS g(i)) AS lines"
+    "FROM generate_series(1, l_linenumber) AS g(i)) END AS lines"
 )
 
 FLAT = f"""
 flat AS (
-  SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS _id, 'ORD-' || l_orderkey AS order_id,
-    'user' || l_suppkey || '@example.com' AS customer_email, 'P' || l_partkey AS product,
+  SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS _id, 'F' || l_orderkey AS order_id,
+    'buyer' || l_suppkey || '@mail.test' AS customer_email, 'P' || l_partkey AS product,
     CASE WHEN l_linenumber = 7 THEN 0 ELSE CAST(l_quantity AS BIGINT) END AS quantity,
     CASE WHEN l_linenumber <> 6 THEN CAST(l_extendedprice AS {MONEY}) END AS price, l_shipdate AS order_date,
     l_linestatus AS status, 'City ' || l_suppkey AS shipping_city, l_returnflag AS shipping_state,
-    'CAMP-' || l_linenumber AS campaign_id, l_linenumber
+    'DRIVE-' || l_linenumber AS campaign_id, l_linenumber
   FROM lineitem)"""
 
 TEXT_LINES = f"""
@@ -250,6 +255,15 @@ _PROFILE = " UNION ALL ".join(
   round(stddev_samp({c}), 4) AS stddev, min({c}) AS min, max({c}) AS max FROM lineitem"""
     for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 )
+_PROFILE_TEXT = " UNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, count({c}) AS row_count, {mean} AS mean, {stddev} AS stddev,
+  CAST(min({c}) AS VARCHAR) AS min, CAST(max({c}) AS VARCHAR) AS max FROM orders"""
+    for c, mean, stddev in (
+        ("o_orderkey", "round(avg(o_orderkey), 4)", "round(stddev_samp(o_orderkey), 4)"),
+        ("o_orderstatus", "CAST(NULL AS DOUBLE)", "CAST(NULL AS DOUBLE)"),
+        ("o_orderdate", "CAST(NULL AS DOUBLE)", "CAST(NULL AS DOUBLE)"),
+    )
+)
 _COUNTED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
@@ -278,6 +292,7 @@ SELECT p._id, 'JE' || p.o_orderkey AS entry_id, strftime(p.o_orderdate, '%Y-%m-%
   CAST(CASE WHEN p.l_orderkey IS NULL THEN CASE WHEN p.o_orderkey % 2 = 1 THEN 0 ELSE NULL END
     WHEN p.l_returnflag = 'R' THEN p.amount + p.tax ELSE p.amount END AS {MONEY}) AS total_debit
 FROM posted p""",
+    "scan_json_inferred": f"WITH {INVOICES} SELECT * FROM invoices",
     "invoices_flatten": f"WITH {INVOICES} SELECT * FROM invoices",
     "scan_csv_orders": f"""
 WITH {CRATES}
@@ -291,25 +306,37 @@ WHERE event_id > (SELECT max(event_id) FROM events WHERE ts < TIMESTAMP '2024-01
     "row_counts": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in _COUNTED),
     # document normalisation
     "normalize_documents": EXTENDED.format(
-        columns=f"l_shipdate AS shipped_at, CAST(l_extendedprice AS {MONEY}) AS total, {EXTENDED_LINES}"
+        columns=f"{EXTENDED_AT} AS shipped_at, {EXTENDED_TOTAL} AS total, {EXTENDED_LINES}"
     ),
     "normalize_documents_str": EXTENDED.format(
-        columns="strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S') AS shipped_at, "
-        f"CAST(CAST(l_extendedprice AS {MONEY}) AS VARCHAR) AS total, {EXTENDED_LINES}"
+        columns="CASE l_partkey % 40 WHEN 1 THEN NULL "
+        "WHEN 2 THEN CASE WHEN l_linenumber % 4 = 3 THEN '{\"$date\":{\"$numberLong\":\"not a date\"}}' ELSE 'not a date' END "
+        "WHEN 4 THEN strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S') || '.678' "
+        "ELSE strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S') END AS shipped_at, "
+        f"CAST({EXTENDED_TOTAL} AS VARCHAR) AS total, {EXTENDED_LINES}"
     ),
     "raw_ingest": EXTENDED.format(
-        columns=f"l_shipdate AS shipped_at, CAST(l_extendedprice AS {MONEY}) AS total, "
+        columns=f"{EXTENDED_AT} AS shipped_at, {EXTENDED_TOTAL} AS total, "
         "CAST(l_linenumber AS BIGINT) AS line_count, TIMESTAMP '2024-02-01 00:00:00' AS ingest_ts"
-    ),
+    )
+    + " WHERE l_partkey % 40 NOT IN (1, 2, 3)",
+    "ingest_rejects": EXTENDED.format(
+        columns=f"{EXTENDED_AT} AS shipped_at, {EXTENDED_TOTAL} AS total, "
+        "CASE WHEN l_partkey % 40 = 2 THEN CAST(l_linenumber AS BIGINT) END AS line_count, "
+        "CASE WHEN l_partkey % 40 = 2 THEN 'shipped_at' ELSE '_document' END AS problems, "
+        "CASE WHEN l_partkey % 40 = 1 THEN 'not json ' || concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) END "
+        "AS source_text, l_partkey % 40 = 2 AS source_has_date"
+    )
+    + " WHERE l_partkey % 40 IN (1, 2, 3)",
     "conform_good": f"""
 WITH {TEXT_LINES} SELECT order_id, line_no, quantity, shipped_on, note, product_id, line_total
 FROM text_lines WHERE problems = ''""",
     "conform_rejects": f"WITH {TEXT_LINES} SELECT * FROM text_lines WHERE problems <> ''",
     "nested_to_json": """
 SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS _id,
-  '{"street":"' || l_linenumber || ' Main St","city":"City ' || l_suppkey || '","state":"' || l_returnflag || '"}'
+  '{"street":"' || l_linenumber || ' Quay","city":"City ' || l_suppkey || '","state":"' || l_returnflag || '"}'
     AS shipping_address,
-  '{"source":"web","campaign_id":"CAMP-' || l_linenumber || '"}' AS metadata
+  '{"source":"kiosk","campaign_id":"DRIVE-' || l_linenumber || '"}' AS metadata
 FROM lineitem""",
     "raw_with_ingest_ts": f"""
 SELECT account_id, type, name, TIMESTAMP '2024-02-01 00:00:00' AS ingest_ts FROM ({RAW_ACCOUNTS})""",
@@ -344,6 +371,10 @@ SELECT latest.*, name AS account_name, type AS account_type FROM latest LEFT JOI
     "journal_gold": f"""
 WITH {LINES},{_latest_lines('latest')}
 SELECT entry_id, entry_date, CAST(sum(credit) AS {MONEY}) AS total_credit, CAST(sum(debit) AS {MONEY}) AS total_debit
+FROM latest GROUP BY entry_id, entry_date""",
+    "journal_gold_by_line": f"""
+WITH {LINES},{_latest_lines('latest', by_line=True)}
+SELECT entry_id, entry_date, CAST(sum(credit) AS {MONEY}) AS total_credit, CAST(sum(debit) AS {MONEY}) AS total_debit
 FROM latest GROUP BY entry_id, entry_date""",
     "journal_entry_detail": f"""
 WITH {LINES},{ACCOUNTS}
@@ -405,7 +436,12 @@ FROM flat WHERE quantity > 0 AND price > 0""",
     "partition_layout": f"""
 SELECT year(o_orderdate) AS order_year, month(o_orderdate) AS order_month, count(*) AS order_count,
   CAST(sum(CAST(o_totalprice AS {MONEY})) AS {MONEY}) AS total FROM orders GROUP BY 1, 2""",
+    "product_count_distinct": f"""
+WITH {POSTED}
+SELECT o_orderstatus AS status, count(DISTINCT 'P' || (l_partkey + (i % 3) * l_suppkey)) AS product_count
+FROM (SELECT *, unnest(generate_series(1, l_linenumber)) AS i FROM posted WHERE l_linenumber IS NOT NULL) GROUP BY 1""",
     "profile_numeric": _PROFILE,
+    "profile_columns": _PROFILE_TEXT,
     # crate sales
     "contact_fields": f"""
 WITH {CRATES}

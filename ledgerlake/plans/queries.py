@@ -65,6 +65,15 @@ def scan_json_docs(spark, sf):
     )
 
 
+@query
+def scan_json_inferred(spark, sf):
+    """The schema comes from the documents; all are read."""
+    path = scratch(spark, "invoices-inferred")
+    staging.invoice_envelopes(spark, sf).write.json(path)
+    docs = src.read_json_inferred(spark, path, 1.0)
+    return src.flatten_invoices(docs)
+
+
 @query
 def invoices_flatten(spark, sf):
     path = scratch(spark, "invoices-json")
@@ -135,6 +144,21 @@ def raw_ingest(spark, sf):
     return rows.select("_id", "shipped_at", "total", F.size("lines").cast("bigint").alias("line_count"), "ingest_ts")
 
 
+@query
+def ingest_rejects(spark, sf):
+    _, rejects = ledger.ingest_documents(staging.extended_json_orders(spark, sf), "doc", EXTENDED_ORDERS, ntz(RUN_TS))
+    no_json = ~F.col("_source").startswith("{")
+    return rejects.select(
+        "_id",
+        "shipped_at",
+        "total",
+        F.size("lines").cast("bigint").alias("line_count"),
+        F.array_join("_problems", ",").alias("problems"),
+        F.when(no_json, F.col("_source")).alias("source_text"),
+        F.col("_source").contains("not a date").alias("source_has_date"),
+    )
+
+
 def _conformed(spark, sf):
     rows = staging.text_order_lines(spark, sf)
     good, rejects = fn.split_conformed(fn.conform(rows, staging.TEXT_ORDER_SCHEMA))
@@ -243,6 +267,11 @@ def journal_gold(spark, sf):
     return ledger.journal_gold(ledger.latest_lines(staging.raw_journal(spark, sf)))
 
 
+@query
+def journal_gold_by_line(spark, sf):
+    return ledger.journal_gold(ledger.latest_lines(staging.raw_journal(spark, sf), by_line=True))
+
+
 @query
 def journal_entry_detail(spark, sf):
     return ledger.journal_entry_detail(staging.raw_journal(spark, sf), staging.raw_accounts(spark, sf))
@@ -380,11 +409,23 @@ def partition_layout(spark, sf):
     )
 
 
+@query
+def product_count_distinct(spark, sf):
+    """Distinct products of each order status, exact."""
+    lines = op.explode_lines(staging.raw_orders(spark, sf), "lines", ["product_id"])
+    return op.count_distinct(lines, ["status"], "product_id", "product_count")
+
+
 @query
 def profile_numeric(spark, sf):
     return op.profile(table(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
 
 
+@query
+def profile_columns(spark, sf):
+    return op.profile(table(spark, sf, "orders"), ["o_orderkey", "o_orderstatus", "o_orderdate"])
+
+
 # crate sales
 
 
@@ -572,6 +613,6 @@ def stream_dedup(spark, sf):
     """Every change is delivered twice; the stream lets one of them through."""
     path = scratch(spark, "once")
     feed = _feed_files(spark, sf)
-    once = dedup_stream(feed.unionByName(feed), ["seq"], "changed_at", "40 days").drop("changed_at")
+    once = dedup_stream(feed.unionByName(feed), ["seq"], "changed_at").drop("changed_at")
     append_stream(once, path, scratch(spark, "once-cp")).awaitTermination()
     return spark.read.schema(once.schema).parquet(path)

@@ -12,8 +12,16 @@ from ledgerlake.operators.tables import VersionedTable
 DELETED = "_deleted"
 
 
-def dedup_stream(stream: DataFrame, keys: list[str], event_time: str, delay: str) -> DataFrame:
-    """Drop re-delivered changes that arrive within ``delay`` of each other; state older than that is freed."""
+def dedup_stream(stream: DataFrame, keys: list[str], event_time: str, delay: str | None = None) -> DataFrame:
+    """Drop re-delivered changes.
+
+    Without ``delay`` no change is lost, however late, and the state keeps every key for good: some dozens of bytes
+    each, so give a long feed the RocksDB state store. With ``delay`` state is freed, and a change that comes later
+    than ``delay`` behind the newest one is dropped: use it only where the feed rules that out or such changes reach
+    the table another way.
+    """
+    if delay is None:
+        return stream.dropDuplicates(keys)
     timed = stream.withColumn(event_time, F.col(event_time).cast("timestamp"))
     return timed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
 

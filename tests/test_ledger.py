@@ -1,4 +1,4 @@
-"""Golden rows of the shipped sample documents, and the traps of the ledger jobs."""
+"""Golden rows of small documents, and the traps of the ledger jobs."""
 
 from datetime import date, datetime
 from decimal import Decimal
@@ -19,46 +19,46 @@ ACCOUNT_DDL = "account_id string, name string, type string, ingest_ts timestamp_
 TASK_DDL = "_id string, task_id string, name string, status string, due_date string, ingest_ts timestamp_ntz"
 
 
-def entry(i, e, day, lines, ts, text="Vendor payment"):
+def entry(i, e, day, lines, ts, text="Van hire"):
     return (i, e, day, lines and [(a, Decimal(d), Decimal(c)) for a, d, c in lines], text, ts)
 
 
 @pytest.fixture
 def accounts(spark):
-    rows = [("1000", "Petty cash", "Asset", T0), ("1000", "Cash", "Asset", T1), ("2000", "Accounts Payable", "Liability", T0)]
+    rows = [("a10", "Old till", "own", T0), ("a10", "Till", "own", T1), ("b20", "Leases owed", "owed", T0)]
     return spark.createDataFrame(rows, ACCOUNT_DDL)
 
 
 @pytest.fixture
 def journal(spark):
-    payment = [("1000", 500, 0), ("2000", 0, 500)]
-    return spark.createDataFrame([entry("x", "JE1001", "2025-05-31", payment, T0)], RAW)
+    payment = [("a10", 320, 0), ("b20", 0, 320)]
+    return spark.createDataFrame([entry("x", "E31", "2023-03-14", payment, T0)], RAW)
 
 
 def test_golden_silver_and_gold(journal, accounts):
     silver = ledger.journal_silver(journal, accounts)
     picked = silver.select("entry_id", "entry_date", "description", "account_id", "account_name", "account_type", "debit", "credit")
-    day = date(2025, 5, 31)
+    day = date(2023, 3, 14)
     assert values(picked) == [
-        ("JE1001", day, "Vendor payment", "1000", "Cash", "Asset", Decimal("500.00"), Decimal("0.00")),
-        ("JE1001", day, "Vendor payment", "2000", "Accounts Payable", "Liability", Decimal("0.00"), Decimal("500.00")),
+        ("E31", day, "Van hire", "a10", "Till", "own", Decimal("320.00"), Decimal("0.00")),
+        ("E31", day, "Van hire", "b20", "Leases owed", "owed", Decimal("0.00"), Decimal("320.00")),
     ]
-    assert values(ledger.journal_gold(silver)) == [("JE1001", day, Decimal("500.00"), Decimal("500.00"))]
+    assert values(ledger.journal_gold(silver)) == [("E31", day, Decimal("320.00"), Decimal("320.00"))]
 
 
 def test_golden_close_tasks(spark):
     raw = spark.createDataFrame(
         [
-            ("1", "T1", "Reconcile Cash", "Open", "2025-06-05", T0),
-            ("2", "T1", "Reconcile Cash", "Complete", "2025-06-05", T1),
-            ("3", "T2", "Review AP", "In Progress", "soon", None),
-            ("4", None, "lost", "Open", "2025-06-06", T1),
+            ("1", "T1", "Count stock", "Open", "2023-04-02", T0),
+            ("2", "T1", "Count stock", "Complete", "2023-04-02", T1),
+            ("3", "T2", "Check leases", "In Progress", "soon", None),
+            ("4", None, "lost", "Open", "2023-04-03", T1),
         ],
         TASK_DDL,
     )
     silver = ledger.close_tasks_silver(raw, F.lit("2025-10-01").cast("timestamp_ntz"))
     assert values(silver.select("task_id", "status", "due_date", "ingest_ts")) == [
-        ("T1", "Complete", date(2025, 6, 5), T1),
+        ("T1", "Complete", date(2023, 4, 2), T1),
         ("T2", "In Progress", None, datetime(2025, 10, 1)),
     ]
 
@@ -66,15 +66,15 @@ def test_golden_close_tasks(spark):
 def test_sample_file_scans_as_an_array(spark, tmp_path):
     path = tmp_path / "journal.json"
     path.write_text(
-        '[{"entry_id":"JE1001","date":"2025-05-31","lines":[{"account_id":"1000","debit":500,"credit":0},'
-        '{"account_id":"2000","debit":0,"credit":500}],"description":"Vendor payment"}]'
+        '[{"entry_id":"E31","date":"2023-03-14","lines":[{"account_id":"a10","debit":320,"credit":0},'
+        '{"account_id":"b20","debit":0,"credit":320}],"description":"Van hire"}]'
     )
     docs = read_json_docs(spark, str(path), JOURNAL_ENTRIES.schema, json_array=True)
     assert docs.first()._id is None and len(docs.first().lines) == 2
 
 
 def test_lines_of_one_account_merge_unless_kept_by_line(spark, accounts):
-    raw = spark.createDataFrame([entry("x", "E", "2025-05-31", [("1000", 5, 0), ("1000", 7, 0)], T0)], RAW)
+    raw = spark.createDataFrame([entry("x", "E", "2023-03-14", [("a10", 5, 0), ("a10", 7, 0)], T0)], RAW)
     assert ledger.journal_silver(raw, accounts).count() == 1
     assert values(ledger.journal_silver(raw, accounts, by_line=True).select("line_no", "debit")) == [
         (1, Decimal("5.00")),
@@ -83,23 +83,46 @@ def test_lines_of_one_account_merge_unless_kept_by_line(spark, accounts):
 
 
 def test_empty_entries_vanish_or_stay_on_request(spark):
-    raw = spark.createDataFrame([entry("x", "A", "2025-05-31", None, T0), entry("y", "B", "bad", [], T0)], RAW)
+    raw = spark.createDataFrame([entry("x", "A", "2023-03-14", None, T0), entry("y", "B", "bad", [], T0)], RAW)
     assert ledger.journal_lines(raw).count() == 0
     assert values(ledger.journal_lines(raw, keep_empty=True, line_no="n").select("entry_id", "entry_date", "n")) == [
-        ("A", date(2025, 5, 31), None),
+        ("A", date(2023, 3, 14), None),
         ("B", None, None),
     ]
 
 
 def test_ingest_keeps_rejects(spark):
     docs = spark.createDataFrame(
-        [('{"_id":{"$oid":"1"},"account_id":"1000","name":"Cash","type":"Asset","x":1}',)], "doc string"
+        [('{"_id":{"$oid":"1"},"account_id":"a10","name":"Till","type":"own","x":1}',)], "doc string"
     )
     rows, rejects = ledger.ingest_documents(docs, "doc", ACCOUNTS, F.lit("2025-01-01").cast("timestamp_ntz"))
-    assert values(rows) == [("1", "1000", "Cash", "Asset", datetime(2025, 1, 1))]
+    assert values(rows) == [("1", "a10", "Till", "own", datetime(2025, 1, 1))]
     assert rejects.count() == 0
 
 
+def test_what_cannot_be_read_is_rejected_with_its_text(spark):
+    bad = ["not json at all", "", "[1]", '{"_id":"1","entry_id":"E","lines":"oops"}', '{"_id":"2","lines":[{"debit":"much"}]}']
+    good = ['{"_id":"3","entry_id":"E","lines":[{"account_id":"a","debit":{"$numberDecimal":"1.5"},"credit":0}]}', '{"_id":"4"}']
+    docs = spark.createDataFrame([(t,) for t in [*bad, *good, None]], "doc string")
+    rows, rejects = ledger.ingest_documents(docs, "doc", JOURNAL_ENTRIES, F.lit("2025-01-01").cast("timestamp_ntz"))
+    assert "_source" not in rows.columns
+    assert values(rows.select("_id", "entry_id")) == [("3", "E"), ("4", None)]
+    assert {r._source: r._problems for r in rejects.collect()} == {
+        **{t: ["_document"] for t in [*bad[:4], None]},
+        bad[4]: ["lines"],
+    }
+
+
+def test_lines_kept_apart_end_to_end(spark, accounts):
+    root = scratch(spark, "curated")
+    tasks = spark.createDataFrame([], TASK_DDL)
+    raw = spark.createDataFrame([entry("x", "E", "2023-03-14", [("a10", 5, 0), ("a10", 3, 0), ("b20", 0, 8)], T0)], RAW)
+    for _ in range(2):
+        ledger.curate(spark, root, tasks, raw, accounts, datetime(2025, 10, 1), by_line=True)
+        gold = VersionedTable(spark, f"{root}/journal_entries_gold", ["entry_id", "entry_date"], "entry_year").read()
+        assert values(gold.select("total_credit", "total_debit")) == [(Decimal("8.00"), Decimal("8.00"))]
+
+
 def test_reload_replaces_the_whole_collection_once(spark):
     path = scratch(spark, "raw")
     rows = spark.createDataFrame([("1", T0), ("2", T1)], "task_id string, ingest_ts timestamp_ntz")
@@ -113,7 +136,7 @@ def test_reload_replaces_the_whole_collection_once(spark):
 
 def test_curating_twice_changes_nothing_and_corrections_replace_totals(spark, journal, accounts):
     root = scratch(spark, "curated")
-    tasks = spark.createDataFrame([("1", "T1", "n", "Open", "2025-06-05", T0)], TASK_DDL)
+    tasks = spark.createDataFrame([("1", "T1", "n", "Open", "2023-04-02", T0)], TASK_DDL)
     run = datetime(2025, 10, 1)
 
     def gold():
@@ -122,20 +145,20 @@ def test_curating_twice_changes_nothing_and_corrections_replace_totals(spark, jo
 
     for _ in range(2):
         ledger.curate(spark, root, tasks, journal, accounts, run)
-        assert gold() == [("JE1001", date(2025, 5, 31), Decimal("500.00"), Decimal("500.00"))]
+        assert gold() == [("E31", date(2023, 3, 14), Decimal("320.00"), Decimal("320.00"))]
     # the entry moves to another day: its old total must not stay behind
     moved = spark.createDataFrame(
-        [entry("x", "JE1001", "2026-06-01", [("1000", 600, 0), ("2000", 0, 600)], T1), entry("y", "JE2", "2026-01-01", [("1000", 1, 1)], T1)],
+        [entry("x", "E31", "2026-06-01", [("a10", 600, 0), ("b20", 0, 600)], T1), entry("y", "JE2", "2026-01-01", [("a10", 1, 1)], T1)],
         RAW,
     )
     ledger.curate(spark, root, tasks, moved, accounts, run)
     assert gold() == [
-        ("JE1001", date(2026, 6, 1), Decimal("600.00"), Decimal("600.00")),
+        ("E31", date(2026, 6, 1), Decimal("600.00"), Decimal("600.00")),
         ("JE2", date(2026, 1, 1), Decimal("1.00"), Decimal("1.00")),
     ]
 
 
 def test_entry_account_totals_count_a_document_once(spark, accounts):
-    doc = entry("x", "E", "2025-05-31", [("1000", 5, 0), ("9999", 1, 0)], T0)
+    doc = entry("x", "E", "2023-03-14", [("a10", 5, 0), ("9999", 1, 0)], T0)
     raw = spark.createDataFrame([doc, doc], RAW)
-    assert values(ledger.entry_account_totals(raw, accounts)) == [("E", "1000", Decimal("5.00"), Decimal("0.00"))]
+    assert values(ledger.entry_account_totals(raw, accounts)) == [("E", "a10", Decimal("5.00"), Decimal("0.00"))]

@@ -67,3 +67,13 @@ def test_redelivered_changes_pass_once(spark, feed):
     append_stream(dedup_stream(twice, ["seq"], "at", "1 day"), path, scratch(spark, "once-cp")).awaitTermination()
     rows = spark.read.parquet(path)
     assert rows.count() == rows.select("seq").distinct().count() == sum(map(len, BATCHES))
+
+
+def test_a_late_change_is_not_lost(spark):
+    path, out = scratch(spark, "late-feed"), scratch(spark, "late")
+    days = [[61], [1], [62, 1]]  # the change of day 1 comes when the feed is two months on, and once more after that
+    for batch in days:
+        rows = [(1, d, "upsert", "v", T0 + timedelta(days=d)) for d in batch]
+        spark.createDataFrame(rows, DDL).coalesce(1).write.mode("append").parquet(path)
+    append_stream(dedup_stream(stream(spark, path), ["seq"], "at"), out, scratch(spark, "late-cp")).awaitTermination()
+    assert values(spark.read.parquet(out).select("seq")) == [(1,), (61,), (62,)]
