@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import argparse
-import os
 import sys
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -13,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.plans import commerce, crates, ledger
-from ledgerlake.session import build_session
+from ledgerlake.session import build_session, open_database
 from ledgerlake.sources import MarkStore, flatten_invoices, next_mark, read_delimited, read_json_docs, since_mark
 from ledgerlake.specs import CRATE_ORDERS, INVOICE_ENVELOPE
 
@@ -46,7 +45,8 @@ def parser() -> argparse.ArgumentParser:
             help="only rows loaded since the last run; account changes then reach new lines only",
         )
     for job in (ingest, curate, orders, report):
-        job.add_argument("--root", required=True, help="warehouse folder")
+        job.add_argument("--root", required=True, help="folder of the database, if it has to be made, and of the marks")
+        job.add_argument("--database", default="ledgerlake", help="in the session's catalog, which must outlive the job")
         job.add_argument("--run-ts", help="load time to record, ISO; now if absent")
     return p
 
@@ -60,7 +60,7 @@ def _increments(spark: SparkSession, args: argparse.Namespace, *names: str) -> I
     marks = MarkStore(spark, f"{args.root}/marks")
     rows, ends = [], []
     for name in names:
-        raw = ledger.raw_table(spark, args.root, name)
+        raw = ledger.raw_table(spark, args.database, name)
         ends.append(next_mark(raw, "ingest_ts").first().mark)
         mark = marks.get(name, "timestamp") if args.incremental else None
         if mark is not None:
@@ -74,21 +74,27 @@ def _increments(spark: SparkSession, args: argparse.Namespace, *names: str) -> I
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     now = datetime.fromisoformat(args.run_ts) if args.run_ts else datetime.now(timezone.utc).replace(tzinfo=None)
+    open_database(spark, args.database, args.root)
     if args.job == "ingest":
         docs = {name: _documents(spark, path) for name, path in _named(args.collections).items()}
-        ledger.ingest_collections(spark, args.root, docs, ts=now, reload=args.reload)
+        ledger.ingest_collections(spark, args.database, docs, ts=now, reload=args.reload)
     elif args.job == "curate":
-        accounts = ledger.raw_table(spark, args.root, "accounts")
+        accounts = ledger.raw_table(spark, args.database, "accounts")
         with _increments(spark, args, "close_tasks", "journal_entries") as (tasks, journal):
-            ledger.curate(spark, args.root, tasks, journal, accounts, now, args.by_line)
+            ledger.curate(spark, args.database, tasks, journal, accounts, now, args.by_line)
     elif args.job == "orders":
         with _increments(spark, args, "orders") as (raw,):
-            commerce.sync_orders(spark, f"{args.root}/orders_silver", raw, now)
+            commerce.sync_orders(spark, f"{args.database}.orders_silver", raw, now)
     else:
         orders = read_delimited(spark, args.orders, CRATE_ORDERS.schema)
         invoices = flatten_invoices(read_json_docs(spark, args.invoices, INVOICE_ENVELOPE))
-        for name, df in crates.reports(orders, invoices, args.as_of).items():
-            df.write.mode("overwrite").parquet(os.path.join(args.root, "reports", name))
+        landed = {}
+        for name, make in crates.parsed(invoices).items():  # each is landed once, and the next ones read it
+            source = landed.get("order_contacts", orders)
+            make(source).write.format("parquet").mode("overwrite").saveAsTable(f"{args.database}.{name}")
+            landed[name] = spark.table(f"{args.database}.{name}")
+        for name, df in crates.reports(*landed.values(), args.as_of).items():
+            df.write.format("parquet").mode("overwrite").saveAsTable(f"{args.database}.{name}")
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -21,11 +21,11 @@ from ledgerlake.operators.dedup import (
 from ledgerlake.operators.flatten import explode_lines, explode_names
 from ledgerlake.operators.joins import enrich, join_splittable, only_known
 from ledgerlake.operators.retention import compaction_plan, orphan_files, snapshots_to_expire
-from ledgerlake.operators.tables import VersionedTable
+from ledgerlake.operators.tables import KeyedTable
 from ledgerlake.operators.upsert import apply_changes, merge_into_catalog, replace_groups, upsert
 
 __all__ = [
-    "VersionedTable",
+    "KeyedTable",
     "apply_changes",
     "canonical_attribute",
     "compaction_plan",

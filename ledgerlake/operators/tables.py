@@ -1,282 +1,144 @@
-"""Keyed Parquet tables with versions: create, append, replace, merge, read back in time, expire.
+"""Keyed Parquet tables in the session's catalog, written by Spark's own commands: create, append, reload, merge.
 
-Layout: ``<path>/data/_v=<version>/[<partition>=<value>/]`` holds files that are never changed, and
-``<path>/log/v=<version>/`` one file with one row that names the directories a version consists of.
-A version exists once that file does, so readers see whole versions only, a job that fails at any
-point leaves nothing but unreferenced files, and a table can be rewritten while it is being read.
-One writer at a time is assumed.
+Where a catalog has row-level commands, use :func:`ledgerlake.operators.upsert.merge_into_catalog`. Here a merge rewrites
+the partitions it can change: what they become is landed in the shared folder first and then written back by a dynamic
+partition overwrite. A merge that was broken off is mended by repeating it. One writer at a time is assumed.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from functools import reduce
+from operator import and_
 
-from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.operators.retention import DEFAULT_RETENTION, ORPHAN_GRACE_DAYS, orphan_files, snapshots_to_expire
 from ledgerlake.operators.upsert import replace_groups, upsert
-from ledgerlake.sources.files import list_files
+from ledgerlake.session import scratch
 
-_LOG = "committed_at timestamp, operation string, tag string, row_count bigint, schema string, dirs array<string>"
-_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+BUCKET = "_bucket"
+_OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
 
 
-class VersionedTable:
-    """``partition_by`` names columns of date, integer or plain-word values, with far fewer values than rows."""
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(_OVERWRITE)
+    spark.conf.set(_OVERWRITE, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(_OVERWRITE, before)
 
-    def __init__(self, spark: SparkSession, path: str, keys: list[str], partition_by: str | list[str] | None = None):
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.keys = keys
-        self.partition_by = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
-
-    # storage listing; names only, never data
-
-    def _fs(self, path: str):
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
-
-    def _ls(self, path: str) -> list[str]:
-        fs, p = self._fs(path)
-        return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []
-
-    def _delete(self, path: str) -> None:
-        fs, p = self._fs(path)
-        fs.delete(p, True)
-
-    # log
-
-    def versions(self) -> list[int]:
-        """Committed versions; a log directory without its file is a commit that failed."""
-        fs, p = self._fs(f"{self.path}/log/v=*/*.parquet")
-        found = fs.globStatus(p) or []
-        return sorted({int(s.getPath().getParent().getName()[2:]) for s in found})
 
-    def _log_row(self, version: int):
-        return self.spark.read.schema(_LOG).parquet(f"{self.path}/log/v={version}").first()
+def _literal(text: str | None) -> str:
+    return "null" if text is None else "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    def history(self) -> DataFrame:
-        """One row per version that has not expired."""
-        schema = f"{_LOG}, v bigint"
-        if not self.versions():
-            return self.spark.createDataFrame([], schema).withColumnRenamed("v", "version").drop("schema")
-        return (
-            self.spark.read.schema(schema)
-            .option("basePath", f"{self.path}/log")
-            .parquet(f"{self.path}/log")
-            .withColumnRenamed("v", "version")
-            .drop("schema")
-        )
 
-    def current_version(self) -> int | None:
-        versions = self.versions()
-        return versions[-1] if versions else None
+class KeyedTable:
+    """``name`` is that of a managed table. Without ``partition_by`` it is partitioned by a hash of its keys.
 
-    def committed(self, tag: str) -> bool:
-        """Whether a version with this tag exists: a replayed batch checks it and does nothing."""
-        return not self.history().where(F.col("tag") == tag).isEmpty()
+    ``buckets`` is the number of such partitions, the same for the table's life; give a large table more. Empty text in
+    a partition column counts as null, as Spark stores it.
+    """
 
-    # reading
-
-    def _read_dirs(self, dirs: list[str], schema_json: str) -> DataFrame:
-        schema = T.StructType.fromJson(json.loads(schema_json))
-        if not dirs:
-            return self.spark.createDataFrame([], schema)
-        root = f"{self.path}/data"
-        with_version = T.StructType([*schema.fields, T.StructField("_v", T.LongType())])
-        return (
-            self.spark.read.schema(with_version)
-            .option("basePath", root)
-            .parquet(*[f"{root}/{d}" for d in dirs])
-            .select(*schema.names)
-        )
-
-    def read(self, version: int | None = None) -> DataFrame:
-        version = self.current_version() if version is None else version
-        if version is None:
-            raise ValueError(f"no version of {self.path} exists yet")
-        row = self._log_row(version)
-        return self._read_dirs(row.dirs, row.schema)
-
-    def read_as_of(self, ts) -> DataFrame:
-        """The version that was current at ``ts``."""
-        bound = F.lit(ts).cast("timestamp")
-        version = self.history().where(F.col("committed_at") <= bound).agg(F.max("version")).first()[0]
-        if version is None:
-            raise ValueError(f"{self.path} had no version at {ts}")
-        return self.read(version)
-
-    # writing
-
-    def _write(self, df: DataFrame, version: int) -> tuple[list[str], int]:
-        """Write one version's files; returns its directories and its row count, from the same job."""
-        target = f"{self.path}/data/_v={version}"
-        seen = Observation()
-        df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        if self.partition_by:
-            # rebalancing splits a hot partition over several tasks and merges small ones
-            df.hint("rebalance", *map(F.col, self.partition_by)).write.mode("overwrite").partitionBy(
-                *self.partition_by
-            ).parquet(target)
-            dirs = [f"_v={version}"]
-            for column in self.partition_by:
-                dirs = [f"{d}/{n}" for d in dirs for n in self._ls(f"{self.path}/data/{d}") if n.startswith(f"{column}=")]
-        else:
-            df.hint("rebalance").write.mode("overwrite").parquet(target)
-            dirs = [f"_v={version}"]
-        return dirs, self._observed_rows(seen)
+    def __init__(
+        self,
+        spark: SparkSession,
+        name: str,
+        keys: list[str],
+        partition_by: str | list[str] | None = None,
+        buckets: int = 64,
+    ):
+        self.spark = spark
+        self.name = name
+        self.keys = keys
+        columns = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
+        self.hashed = not columns
+        self.partition_by = columns or [BUCKET]
+        self.buckets = buckets
 
-    @staticmethod
-    def _observed_rows(seen: Observation) -> int:
-        try:
-            return seen.get.get("rows", 0)
-        except Py4JJavaError:  # AQE found the input empty and replaced the plan, the metric included
-            return 0
+    def exists(self) -> bool:
+        return self.spark.catalog.tableExists(self.name)
 
-    def _commit(self, version: int, operation: str, tag: str | None, rows: int, schema: str, dirs: list[str]) -> int:
-        if version not in self.versions():
-            self._delete(f"{self.path}/log/v={version}")
-        row = self.spark.createDataFrame([(operation, tag, rows, schema, dirs)], _LOG.split(", ", 1)[1])
-        row.select(F.current_timestamp().alias("committed_at"), "*").coalesce(1).write.mode("error").parquet(
-            f"{self.path}/log/v={version}"
-        )
-        return version
+    def read(self) -> DataFrame:
+        rows = self.spark.table(self.name)
+        return rows.drop(BUCKET) if self.hashed else rows
 
-    def _next(self) -> int:
-        return (self.current_version() or 0) + 1
+    def append(self, df: DataFrame) -> None:
+        """Create the table or add rows to it; columns resolve by name."""
+        self._save(self._placed(df), "append")
 
-    def publish(self, df: DataFrame, tag: str | None = None) -> int:
+    def reload(self, df: DataFrame) -> None:
         """Create the table or replace it whole."""
-        version = self._next()
-        dirs, rows = self._write(df, version)
-        return self._commit(version, "replace", tag, rows, df.schema.json(), dirs)
-
-    def append(self, df: DataFrame, tag: str | None = None) -> int:
-        """Create the table or add rows to it; the files it has are kept."""
-        version = self._next()
-        base = self._log_row(version - 1) if version > 1 else None
-        if base:
-            df = df.select(*T.StructType.fromJson(json.loads(base.schema)).names)
-        dirs, rows = self._write(df, version)
-        schema = base.schema if base else df.schema.json()
-        return self._commit(version, "append", tag, rows, schema, [*(base.dirs if base else []), *dirs])
-
-    def _partition_name(self) -> Column:
-        """The directory of a row, as the writer names it."""
-        parts = [
-            F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(_NULL_PARTITION)))
-            for c in self.partition_by
-        ]
-        return F.concat_ws("/", *parts).alias("_part")
-
-    def _touched_partitions(self, source: DataFrame, changed: DataFrame, keys: list[str]) -> set[str]:
-        """Names of the partitions a change can reach: where its rows go and where its keys are now."""
-        part = self._partition_name()
-        now = (
-            self.read()
-            .select(*dict.fromkeys([*keys, *self.partition_by]))
-            .join(changed.select(*keys).distinct(), keys, "left_semi")
-            .select(part)
-        )
-        return {r._part for r in source.select(part).unionByName(now).distinct().collect()}
+        self._save(self._placed(df), "overwrite")
 
-    def merge(self, source: DataFrame, newer_by: str | None = None, tag: str | None = None) -> int:
-        """Upsert by key. A partitioned table rewrites only the partitions the merge can change.
-
-        A row whose partition value changes leaves its old partition, which is rewritten too.
-        """
-        incoming = self._land(source)
-        if self.current_version() is None:
+    def merge(self, source: DataFrame, newer_by: str | None = None) -> None:
+        """Upsert by key. A row whose partition value changes leaves its old partition, which is rewritten too."""
+        incoming = self._landed(self._placed(source), "incoming")
+        if not self.exists():
             empty = self.spark.createDataFrame([], incoming.schema)
-            version = self.publish(upsert(empty, incoming, self.keys, newer_by), tag)
-        else:
-            version = self._merge_landed(incoming, newer_by, tag)
-        self._delete(f"{self.path}/incoming")
-        return version
-
-    def _land(self, source: DataFrame) -> DataFrame:
-        """The source as files: the merge reads its keys, partitions and rows separately, but it is computed once."""
-        path = f"{self.path}/incoming/v={self._next()}"
-        source.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(source.schema).parquet(path)
-
-    def _merge_landed(self, source: DataFrame, newer_by: str | None, tag: str | None) -> int:
-        return self._rewrite(
-            source, source, self.keys, "merge", tag, lambda target: upsert(target, source, self.keys, newer_by)
-        )
-
-    def _rewrite(
-        self,
-        source: DataFrame,
-        changed: DataFrame,
-        keys: list[str],
-        operation: str,
-        tag: str | None,
-        change: Callable[[DataFrame], DataFrame],
-    ) -> int:
-        """Commit a version in which only the partitions within reach of the change are new."""
-        version = self._next()
-        base = self._log_row(version - 1)
-        kept, rewritten = [], base.dirs
-        if self.partition_by:
-            touched = self._touched_partitions(source, changed, keys)
-            kept = [d for d in base.dirs if d.split("/", 1)[1] not in touched]
-            rewritten = [d for d in base.dirs if d.split("/", 1)[1] in touched]
-        dirs, rows = self._write(change(self._read_dirs(rewritten, base.schema)), version)
-        return self._commit(version, operation, tag, rows, base.schema, kept + dirs)
+            self._save(upsert(empty, incoming, self.keys, newer_by), "append")
+            return
+        self._rewrite(incoming, incoming, self.keys, lambda target: upsert(target, incoming, self.keys, newer_by))
 
-    def replace_groups(self, recomputed: DataFrame, affected: DataFrame, keys: list[str], tag: str | None = None) -> int:
+    def replace_groups(self, recomputed: DataFrame, affected: DataFrame, keys: list[str]) -> None:
         """Every affected group goes and the recomputed ones come, within the partitions that hold either."""
-        if self.current_version() is None:
-            return self.publish(recomputed, tag)
-        incoming = self._land(recomputed)
-        version = self._rewrite(
-            incoming,
-            affected,
-            keys,
-            "replace groups",
-            tag,
-            lambda target: replace_groups(target, incoming, affected, keys),
-        )
-        self._delete(f"{self.path}/incoming")
-        return version
-
-    def compact(self) -> int:
-        """Rewrite the current version; AQE sizes the files by its advisory partition size."""
-        version = self._next()
-        base = self._log_row(version - 1)
-        dirs, rows = self._write(self._read_dirs(base.dirs, base.schema), version)
-        return self._commit(version, "compact", None, rows, base.schema, dirs)
+        if not self.exists():
+            self.append(recomputed)
+            return
+        incoming = self._landed(self._placed(recomputed), "incoming")
+        groups = self._landed(affected.select(*keys).distinct(), "affected")
+        self._rewrite(incoming, groups, keys, lambda target: replace_groups(target, incoming, groups, keys))
+
+    def _placed(self, df: DataFrame) -> DataFrame:
+        if self.hashed:
+            return df.withColumn(BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
+        texts = [c for c in self.partition_by if isinstance(df.schema[c].dataType, T.StringType)]
+        return df.withColumns({c: F.when(F.col(c) != "", F.col(c)) for c in texts}) if texts else df
+
+    def _balanced(self, df: DataFrame) -> DataFrame:
+        """Rebalancing splits a hot partition over several files and merges small ones."""
+        return df.hint("rebalance", *map(F.col, self.partition_by))
+
+    def _save(self, df: DataFrame, mode: str) -> None:
+        writer = self._balanced(df).write.format("parquet").mode(mode).partitionBy(*self.partition_by)
+        writer.saveAsTable(self.name)
+
+    def _landed(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch(self.spark, name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def _same_partition(self, left: DataFrame, right: DataFrame) -> Column:
+        return reduce(and_, [left[c].eqNullSafe(right[c]) for c in self.partition_by])
+
+    def _within(self, touched: DataFrame, column: str) -> Column:
+        """A filter that prunes partitions. Its values are fewer than the table's partitions, which the catalog lists."""
+        values = [r[0] for r in touched.select(column).distinct().collect()]
+        inside = F.col(column).isin([v for v in values if v is not None])
+        return inside | F.col(column).isNull() if None in values else inside
 
-    # retention
-
-    def expire(self, as_of=None, days: int = DEFAULT_RETENTION[0], retain_last: int = DEFAULT_RETENTION[1]) -> list[int]:
-        """Forget versions older than ``days``, keeping the last ones. Their files become orphans."""
-        log = self.history().select(F.lit(self.path).alias("table_name"), "version", "committed_at")
-        when = as_of if as_of is not None else F.current_timestamp()
-        due = snapshots_to_expire(log, when, id_col="version", default=(days, retain_last), policies={})
-        gone = sorted(r.version for r in due.select("version").collect() if r.version != self.current_version())
-        for version in gone:
-            self._delete(f"{self.path}/log/v={version}")
-        return gone
-
-    def orphans(self, as_of=None, grace_days: int = ORPHAN_GRACE_DAYS) -> DataFrame:
-        """Data files no remaining version refers to."""
-        listing = list_files(self.spark, f"{self.path}/data").withColumn(
-            "dir", F.regexp_extract("path", r"/data/(.+)/[^/]+$", 1)
-        )
-        referenced = self.history().select(F.explode("dirs").alias("dir"))
-        when = as_of if as_of is not None else F.current_timestamp()
-        return orphan_files(listing, referenced, when, grace_days, on="dir")
-
-    def remove_orphans(self, as_of=None, grace_days: int = ORPHAN_GRACE_DAYS, dry_run: bool = True) -> list[str]:
-        """Directories (not files: they are few) whose files are all orphans; deletes them unless ``dry_run``."""
-        dirs = sorted(r.dir for r in self.orphans(as_of, grace_days).select("dir").distinct().collect())
-        if not dry_run:
-            for d in dirs:
-                self._delete(f"{self.path}/data/{d}")
-        return dirs
+    def _rewrite(
+        self, incoming: DataFrame, changed: DataFrame, keys: list[str], change: Callable[[DataFrame], DataFrame]
+    ) -> None:
+        parts, table = self.partition_by, self.spark.table(self.name)
+        touched = incoming.select(*parts)
+        if not self.hashed or keys != self.keys:  # else the keys name their partition
+            now = table.select(*dict.fromkeys([*keys, *parts])).join(changed.select(*keys).distinct(), keys, "left_semi")
+            touched = touched.union(now.select(*parts))
+        touched = self._landed(touched.distinct(), "touched")
+        target = table.where(reduce(and_, [self._within(touched, c) for c in parts]))
+        if len(parts) > 1:
+            target = target.join(touched, self._same_partition(target, touched), "left_semi")
+        after = self._landed(change(target), "after")
+        with _dynamic_overwrite(self.spark):
+            self._balanced(after.select(*table.columns)).write.mode("overwrite").insertInto(self.name)
+        filled = after.select(*parts).distinct()
+        emptied = touched.join(filled, self._same_partition(touched, filled), "left_anti")
+        for row in emptied.select(*[F.col(c).cast("string") for c in parts]).collect():
+            spec = ", ".join(f"`{c}` = {_literal(v)}" for c, v in zip(parts, row, strict=True))
+            self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION ({spec})")
+        self.spark.catalog.refreshTable(self.name)

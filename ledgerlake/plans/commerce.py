@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import backfill_ingest_ts, iso_date, iso_timestamp, quality_split
-from ledgerlake.operators import VersionedTable, document_metrics, keep_latest, split_null_keys
+from ledgerlake.operators import KeyedTable, document_metrics, keep_latest, split_null_keys
 from ledgerlake.specs import MONEY, ORDERS
 
 
@@ -53,13 +53,13 @@ def orders_analytics(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return typed_flat_orders(good), rejects
 
 
-def sync_orders(spark: SparkSession, path: str, raw: DataFrame, run_ts=None) -> int:
+def sync_orders(spark: SparkSession, name: str, raw: DataFrame, run_ts=None) -> None:
     """Merge newly loaded order documents into the orders table by day; older loads change nothing."""
-    table = VersionedTable(spark, path, ["order_id"], ORDERS.partition_by)
-    return table.merge(orders_silver(raw, run_ts), newer_by="last_update_ts")
+    table = KeyedTable(spark, name, ["order_id"], ORDERS.partition_by)
+    table.merge(orders_silver(raw, run_ts), newer_by="last_update_ts")
 
 
-def publish_analytics(spark: SparkSession, path: str, raw: DataFrame) -> int:
+def publish_analytics(spark: SparkSession, name: str, raw: DataFrame) -> None:
     """Replace the flat-orders table, by year and month."""
     rows, _ = orders_analytics(raw)
-    return VersionedTable(spark, path, ["_id"], ["order_year", "order_month"]).publish(rows)
+    KeyedTable(spark, name, ["_id"], ["order_year", "order_month"]).reload(rows)

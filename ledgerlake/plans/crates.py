@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import blank_to, iso_date, item, months_before, split_names
@@ -104,10 +106,9 @@ def company_crate_distribution(contacts: DataFrame) -> DataFrame:
     counted = contacts.groupBy("company_id", "crate_type").agg(
         F.count("order_id").alias("crate_type_distribution"), F.min("company_name").alias("company_name")
     )
-    names = canonical_attribute(counted, "company_id", "company_name")
-    return counted.drop("company_name").join(names, "company_id").select(
-        "company_id", "company_name", "crate_type", "crate_type_distribution"
-    )
+    name = F.min("company_name").over(Window.partitionBy("company_id"))  # few rows: a company has one per crate type
+    named = counted.where("company_id IS NOT NULL").withColumn("company_name", name).where("company_name IS NOT NULL")
+    return named.select("company_id", "company_name", "crate_type", "crate_type_distribution")
 
 
 def crate_order_distribution(contacts: DataFrame) -> DataFrame:
@@ -209,16 +210,19 @@ def top_k_sellers(owners: DataFrame, as_of=None, k: int = 5) -> DataFrame:
     return top_k(monthly_sales(owners, as_of).drop("month_no"), best_first, k)
 
 
-def reports(orders: DataFrame, invoices: DataFrame, as_of) -> dict[str, DataFrame]:
-    """All crate reports by name, over parsed orders (:func:`order_contacts`) and flat invoices."""
-    contacts = order_contacts(orders)
-    owners = order_sales_owners(contacts)
-    commissions = commission_lines(contacts, invoices)
+def parsed(invoices: DataFrame) -> dict[str, Callable[[DataFrame], DataFrame]]:
+    """What the reports read, by name: contacts of the orders, then owners and commissions of the contacts."""
+    return {
+        "order_contacts": order_contacts,
+        "order_sales_owners": order_sales_owners,
+        "commission_lines": lambda contacts: commission_lines(contacts, invoices),
+    }
+
+
+def reports(contacts: DataFrame, owners: DataFrame, commissions: DataFrame, as_of) -> dict[str, DataFrame]:
+    """All crate reports by name, over the tables of :func:`parsed`."""
     return {
-        "order_contacts": contacts,
         "company_salesowners": company_salesowners(contacts),
-        "order_sales_owners": owners,
-        "commission_lines": commissions,
         "company_crate_distribution": company_crate_distribution(contacts),
         "crate_order_distribution": crate_order_distribution(contacts),
         "order_contact_names": order_contact_names(contacts),
@@ -233,7 +237,9 @@ def reports(orders: DataFrame, invoices: DataFrame, as_of) -> dict[str, DataFram
 
 def register_views(orders: DataFrame, invoices: DataFrame, as_of) -> list[str]:
     """The reports as temporary views, for use from SQL."""
-    named = reports(orders, invoices, as_of)
+    contacts = order_contacts(orders)
+    named = {name: make(orders if name == "order_contacts" else contacts) for name, make in parsed(invoices).items()}
+    named |= reports(*named.values(), as_of)
     for name, df in named.items():
         df.createOrReplaceTempView(name)
     return list(named)

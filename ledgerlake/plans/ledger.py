@@ -18,7 +18,7 @@ from ledgerlake.functions import (
     with_ingest_ts,
 )
 from ledgerlake.operators import (
-    VersionedTable,
+    KeyedTable,
     dedup_subset,
     enrich,
     explode_lines,
@@ -27,7 +27,6 @@ from ledgerlake.operators import (
     only_known,
     split_null_keys,
 )
-from ledgerlake.operators.retention import DEFAULT_RETENTION, RETENTION
 from ledgerlake.session import scratch
 from ledgerlake.specs import CLOSE_TASKS, COLLECTIONS, JOURNAL_ENTRIES, CollectionSpec
 
@@ -54,22 +53,25 @@ def ingest_documents(docs: DataFrame, doc_col: str, spec: CollectionSpec, ts=Non
     return with_ingest_ts(good.drop(SOURCE_TEXT), ts), rejects
 
 
-def append_raw(spark: SparkSession, df: DataFrame, path: str, spec: CollectionSpec, reload: bool = False) -> int:
+def append_raw(spark: SparkSession, df: DataFrame, name: str, spec: CollectionSpec, reload: bool = False) -> None:
     """Land rows append-only by load day; ``reload`` starts the collection afresh, once for the whole load."""
-    table = VersionedTable(spark, path, list(spec.keys), "ingest_date")
+    table = KeyedTable(spark, name, list(spec.keys), "ingest_date")
     dated = df.withColumn("ingest_date", F.to_date("ingest_ts"))
-    return table.publish(dated) if reload else table.append(dated)
+    if reload:
+        table.reload(dated)
+    else:
+        table.append(dated)
 
 
 def ingest_collections(
     spark: SparkSession,
-    root: str,
+    database: str,
     documents: Mapping[str, DataFrame],
     doc_col: str = "doc",
     ts=None,
     reload: bool = False,
 ) -> None:
-    """Land every collection's documents below ``root/raw`` and the ones that do not fit below ``root/rejects``.
+    """Land every collection's documents in ``raw_<name>`` and the ones that do not fit in ``rejects_<name>``.
 
     Documents are read and parsed once: they are landed by whether they fit, and both halves come from there.
     """
@@ -80,13 +82,14 @@ def ingest_collections(
         conformed.write.partitionBy("_fits").parquet(path)
         landed = spark.read.schema(conformed.schema).parquet(path)
         rejects = landed.where(~F.col("_fits")).drop("_fits")
-        nested_to_json(with_ingest_ts(rejects, ts)).write.mode("append").parquet(f"{root}/rejects/{name}")
+        texts = nested_to_json(with_ingest_ts(rejects, ts))
+        texts.write.format("parquet").mode("append").saveAsTable(f"{database}.rejects_{name}")
         rows = landed.where("_fits").drop("_fits", PROBLEMS, SOURCE_TEXT)
-        append_raw(spark, with_ingest_ts(rows, ts), f"{root}/raw/{name}", spec, reload)
+        append_raw(spark, with_ingest_ts(rows, ts), f"{database}.raw_{name}", spec, reload)
 
 
-def raw_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return VersionedTable(spark, f"{root}/raw/{name}", list(COLLECTIONS[name].keys), "ingest_date").read()
+def raw_table(spark: SparkSession, database: str, name: str) -> DataFrame:
+    return spark.table(f"{database}.raw_{name}")
 
 
 def close_tasks_silver(raw: DataFrame, run_ts=None) -> DataFrame:
@@ -169,7 +172,7 @@ def fact_journal_line(lines: DataFrame) -> DataFrame:
 
 def curate(
     spark: SparkSession,
-    root: str,
+    database: str,
     tasks: DataFrame,
     journal: DataFrame,
     accounts: DataFrame,
@@ -182,18 +185,15 @@ def curate(
     lines of one entry on one account apart; a table is made with or without it and stays so.
     """
     month = CLOSE_TASKS.partition_by
-    silver_tasks = VersionedTable(spark, f"{root}/close_tasks_silver", ["task_id"], month)
+    silver_tasks = KeyedTable(spark, f"{database}.close_tasks_silver", ["task_id"], month)
     typed = close_tasks_silver(tasks, run_ts).withColumn(month, F.trunc("due_date", "month"))
     silver_tasks.merge(typed)
-    silver_tasks.expire(run_ts, *DEFAULT_RETENTION)
 
     month = JOURNAL_ENTRIES.partition_by
-    silver = VersionedTable(spark, f"{root}/journal_entries_silver", line_keys(by_line), month)
+    silver = KeyedTable(spark, f"{database}.journal_entries_silver", line_keys(by_line), month)
     silver.merge(journal_silver(journal, accounts, by_line).withColumn(month, F.trunc("entry_date", "month")))
-    silver.expire(run_ts, *DEFAULT_RETENTION)
 
-    gold = VersionedTable(spark, f"{root}/journal_entries_gold", ["entry_id", "entry_date"], "entry_year")
+    gold = KeyedTable(spark, f"{database}.journal_entries_gold", ["entry_id", "entry_date"], "entry_year")
     changed = journal.select("entry_id").distinct()
     affected = only_known(silver.read(), changed, "entry_id")
     gold.replace_groups(journal_gold(affected).withColumn("entry_year", F.year("entry_date")), changed, ["entry_id"])
-    gold.expire(run_ts, *RETENTION["gold"])

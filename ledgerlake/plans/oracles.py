@@ -526,3 +526,4 @@ SELECT *, CAST(date_trunc('week', due_date) AS DATE) AS due_month FROM merged"""
     "stream_raw_log": f"WITH {FEED} SELECT *, CAST(changed_at AS DATE) AS change_date FROM feed",
     "stream_dedup": f"WITH {FEED} SELECT user_id, seq, op, last_event, last_value FROM feed",
 }
+ORACLES["catalog_upsert"] = ORACLES["upsert_journal"]

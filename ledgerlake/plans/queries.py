@@ -13,7 +13,7 @@ from ledgerlake import operators as op
 from ledgerlake import sources as src
 from ledgerlake.plans import commerce, crates, ledger, staging
 from ledgerlake.plans.staging import RUN_TS, ntz, table
-from ledgerlake.session import scratch
+from ledgerlake.session import scratch, scratch_database
 from ledgerlake.specs import CRATE_ORDERS, INVOICE_ENVELOPE, JOURNAL_ENTRIES, MONEY, CollectionSpec, strings
 from ledgerlake.streaming import append_stream, dedup_stream, sync_stream
 from ledgerlake.streaming.changes import live_rows
@@ -344,9 +344,9 @@ def state_as_of(spark, sf):
 
 @query
 def raw_append_union(spark, sf):
-    path = scratch(spark, "raw-tasks")
+    name = f"{scratch_database(spark, 'raw')}.close_tasks"
     raw = staging.raw_close_tasks(spark, sf).withColumn("ingest_date", F.to_date("arrived_at"))
-    raw_table = op.VersionedTable(spark, path, ["task_id"], "ingest_date")
+    raw_table = op.KeyedTable(spark, name, ["task_id"], "ingest_date")
     for part in _arrived(raw, "arrived_at", EVENTS_SPLIT):
         raw_table.append(part)
     return raw_table.read().select("_id", "task_id", "due_date", "ingest_date")
@@ -545,30 +545,41 @@ def compaction_plan(spark, sf):
 @query
 def table_merge(spark, sf):
     """Create, then merge a keyed table whose rows move between partitions."""
-    tasks = op.VersionedTable(spark, scratch(spark, "close-tasks"), ["task_id"], "due_month")
+    tasks = op.KeyedTable(spark, f"{scratch_database(spark, 'merged')}.close_tasks", ["task_id"], "due_month")
     for raw in _arrived(staging.raw_close_tasks(spark, sf), "arrived_at", EVENTS_SPLIT):
         silver = ledger.close_tasks_silver(raw, ntz(RUN_TS)).drop("arrived_at")
         tasks.merge(silver.withColumn("due_month", F.trunc("due_date", "week")))
     return tasks.read()
 
 
+@query
+def catalog_upsert(spark, sf):
+    """Journal lines merged into a catalog table that is partitioned by a hash of their keys."""
+    lines = op.KeyedTable(spark, f"{scratch_database(spark, 'journal')}.lines", ["entry_id", "account_id"])
+    for half in _journal_halves(spark, sf):
+        lines.merge(half)
+    return lines.read()
+
+
 @query
 def table_time_travel(spark, sf):
-    """The version before the last merge."""
-    tasks = op.VersionedTable(spark, scratch(spark, "close-tasks"), ["task_id"], "status")
-    for raw in _arrived(staging.raw_close_tasks(spark, sf), "arrived_at", EVENTS_SPLIT):
-        tasks.merge(ledger.close_tasks_silver(raw, ntz(RUN_TS)).drop("arrived_at"))
-    return tasks.read(version=1)
+    """The state before the last load, made again of the raw table, which keeps every load."""
+    raw_table = op.KeyedTable(spark, f"{scratch_database(spark, 'history')}.close_tasks", ["task_id"], "ingest_date")
+    raw = staging.raw_close_tasks(spark, sf).withColumn("ingest_date", F.to_date("arrived_at"))
+    for part in _arrived(raw, "arrived_at", EVENTS_SPLIT):
+        raw_table.append(part)
+    before = raw_table.read().where(F.col("ingest_date") < F.lit(EVENTS_SPLIT).cast("date"))
+    return ledger.close_tasks_silver(before, ntz(RUN_TS)).drop("arrived_at", "ingest_date")
 
 
 @query
 def table_reload(spark, sf):
     """A clean reload replaces what earlier loads appended."""
-    accounts = op.VersionedTable(spark, scratch(spark, "accounts"), ["account_id"])
+    accounts = op.KeyedTable(spark, f"{scratch_database(spark, 'reloaded')}.accounts", ["account_id"])
     raw = staging.raw_accounts(spark, sf)
     accounts.append(raw)
     accounts.append(raw)
-    accounts.publish(raw)
+    accounts.reload(raw)
     return accounts.read()
 
 
@@ -595,7 +606,7 @@ def _feed_files(spark, sf) -> DataFrame:
 
 @query
 def stream_cdc_state(spark, sf):
-    state = op.VersionedTable(spark, scratch(spark, "state"), ["user_id"])
+    state = op.KeyedTable(spark, f"{scratch_database(spark, 'state')}.users", ["user_id"])
     sync_stream(_feed_files(spark, sf), state, "seq", "op", scratch(spark, "state-cp"), "users").awaitTermination()
     return live_rows(state).drop("op")
 

@@ -51,5 +51,19 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/ledgerlake/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def scratch_database(spark: SparkSession, name: str) -> str:
+    """A fresh database below the shared folder."""
+    path = scratch(spark, name)
+    database = path.rsplit("/", 1)[1].replace("-", "_")
+    return open_database(spark, database, path)
+
+
+def open_database(spark: SparkSession, name: str, location: str) -> str:
+    """The database of this name, made at ``location`` if the session's catalog has none."""
+    where = location.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{where}'")
+    return name
+
+
 def default_parallelism() -> int:
     return int(os.environ.get("BENCH_CPUS", os.cpu_count() or 4))

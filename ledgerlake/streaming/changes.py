@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from ledgerlake.operators.dedup import keep_latest, split_null_keys
-from ledgerlake.operators.tables import VersionedTable
+from ledgerlake.operators.tables import KeyedTable
 
 DELETED = "_deleted"
 
@@ -38,7 +38,7 @@ def append_stream(
 
 def sync_stream(
     changes: DataFrame,
-    table: VersionedTable,
+    table: KeyedTable,
     sequence: str,
     op_col: str,
     checkpoint: str,
@@ -49,22 +49,19 @@ def sync_stream(
     """Keep ``table`` equal to the last change per key, whatever order and batches the changes come in.
 
     A batch is reduced to its last change per key and merged if that is newer than what the table
-    has. Deleted rows stay as markers (``_deleted``), so that a late change cannot revive them; read
-    the table through :func:`live_rows`. A replayed batch finds its tag and does nothing.
+    has; only the partitions of its keys are rewritten. Deleted rows stay as markers (``_deleted``), so that a late
+    change cannot revive them; read the table through :func:`live_rows`. A replayed batch changes nothing.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        tag = f"{name}:{batch_id}"
-        if table.committed(tag):
-            return
         keyed, _ = split_null_keys(batch, table.keys)
         last = keep_latest(keyed, table.keys, [sequence])
         marked = last.withColumn(DELETED, F.coalesce(F.col(op_col).isin(*deletes), F.lit(False)))
-        table.merge(marked, newer_by=sequence, tag=tag)
+        table.merge(marked, newer_by=sequence)
 
     writer = changes.writeStream.queryName(name).foreachBatch(apply).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def live_rows(table: VersionedTable) -> DataFrame:
+def live_rows(table: KeyedTable) -> DataFrame:
     return table.read().where(~F.col(DELETED)).drop(DELETED)

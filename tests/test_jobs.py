@@ -7,9 +7,9 @@ import pytest
 from conftest import values
 
 from ledgerlake.jobs import parser, run
-from ledgerlake.operators import VersionedTable
+from ledgerlake.operators import KeyedTable
 from ledgerlake.plans import commerce, crates
-from ledgerlake.session import scratch
+from ledgerlake.session import scratch, scratch_database
 from ledgerlake.sources import flatten_invoices, read_delimited, read_json_docs
 from ledgerlake.specs import CRATE_ORDERS, INVOICE_ENVELOPE
 
@@ -39,6 +39,11 @@ def job(spark, *argv):
     run(spark, parser().parse_args(list(argv)))
 
 
+def where(spark):
+    """A database of its own and where its marks go."""
+    return scratch_database(spark, "warehouse"), scratch(spark, "marks")
+
+
 @pytest.fixture
 def files(tmp_path):
     for name, lines in SAMPLES.items():
@@ -47,40 +52,41 @@ def files(tmp_path):
 
 
 def test_sample_documents_to_gold(spark, files):
-    root = scratch(spark, "warehouse")
+    db, root = where(spark)
+    at = ["--root", root, "--database", db]
     for ts, how in ((FIRST, []), (LATER, ["--incremental"])):  # the second load brings the same documents again
-        job(spark, "ingest", *files, "--root", root, "--run-ts", ts)
-        job(spark, "curate", "--root", root, "--run-ts", ts, *how)
-        job(spark, "orders", "--root", root, "--run-ts", ts, *how)
+        job(spark, "ingest", *files, *at, "--run-ts", ts)
+        job(spark, "curate", *at, "--run-ts", ts, *how)
+        job(spark, "orders", *at, "--run-ts", ts, *how)
     day = date(2023, 3, 14)
-    silver = VersionedTable(spark, f"{root}/journal_entries_silver", ["entry_id", "account_id"]).read()
+    silver = spark.table(f"{db}.journal_entries_silver")
     assert values(silver.select("entry_id", "entry_date", "account_name", "debit", "credit")) == [
         ("E31", day, "Leases owed", Decimal("0.00"), Decimal("320.00")),
         ("E31", day, "Till", Decimal("320.00"), Decimal("0.00")),
     ]
-    gold = VersionedTable(spark, f"{root}/journal_entries_gold", ["entry_id", "entry_date"]).read()
+    gold = spark.table(f"{db}.journal_entries_gold")
     assert values(gold.select("entry_id", "entry_date", "total_credit", "total_debit")) == [
         ("E31", day, Decimal("320.00"), Decimal("320.00"))
     ]
-    tasks = VersionedTable(spark, f"{root}/close_tasks_silver", ["task_id"]).read()
+    tasks = spark.table(f"{db}.close_tasks_silver")
     assert values(tasks.select("task_id", "due_date")) == [("T1", date(2023, 4, 2)), ("T2", date(2023, 4, 3))]
-    orders = VersionedTable(spark, f"{root}/orders_silver", ["order_id"]).read()
+    orders = spark.table(f"{db}.orders_silver")
     assert values(orders.select("order_id", "total_amount", "line_count")) == [("o1", Decimal("2.50"), 1)]
-    rejects = spark.read.parquet(f"{root}/rejects/journal_entries")
+    rejects = spark.table(f"{db}.rejects_journal_entries")
     assert [(r._id, r._problems) for r in rejects.collect()] == [("bad", '["lines"]')] * 2
     assert {r._source for r in rejects.collect()} == {SAMPLES["journal_entries"][1]}
 
 
 def test_reports_from_files(spark, tmp_path):
-    root = scratch(spark, "warehouse")
+    db, root = where(spark)
     header = ";".join(CRATE_ORDERS.schema.names)
     (tmp_path / "o.csv").write_text(f'{header}\no1;29.01.22;k;n;Plastic;"[{{""contact_name"":""A""}}]";"X, Y"\n')
     (tmp_path / "i.json").write_text(
         '{"data":{"invoices":[{"id":"i1","orderId":"o1","companyId":"k","grossValue":10000,"vat":0}]}}\n'
     )
     paths = ["--orders", f"{tmp_path}/o.csv", "--invoices", f"{tmp_path}/i.json"]
-    job(spark, "report", *paths, "--as-of", "2022-02-01", "--root", root)
-    totals = spark.read.parquet(f"{root}/reports/salesowner_commission")
+    job(spark, "report", *paths, "--as-of", "2022-02-01", "--root", root, "--database", db)
+    totals = spark.table(f"{db}.salesowner_commission")
     assert values(totals) == [("X", Decimal("6.00")), ("Y", Decimal("2.50"))]
     orders = read_delimited(spark, f"{tmp_path}/o.csv", CRATE_ORDERS.schema)
     invoices = flatten_invoices(read_json_docs(spark, f"{tmp_path}/i.json", INVOICE_ENVELOPE))
@@ -89,12 +95,12 @@ def test_reports_from_files(spark, tmp_path):
 
 
 def test_analytics_table_by_year_and_month(spark):
-    path = scratch(spark, "flat")
+    name = f"{scratch_database(spark, 'flat')}.orders"
     row = ("1", "o", "e", "p", 2, Decimal("1.50"), "2024-02-03T04:05:06", "s", '{"city":"X"}', None)
     ddl = "_id string, order_id string, customer_email string, product string, quantity int, price decimal(18,2), order_date string, status string, shipping_address string, metadata string"
-    commerce.publish_analytics(spark, path, spark.createDataFrame([row], ddl))
-    table = VersionedTable(spark, path, ["_id"], ["order_year", "order_month"])
-    assert table._log_row(1).dirs == ["_v=1/order_year=2024/order_month=2"]
+    commerce.publish_analytics(spark, name, spark.createDataFrame([row], ddl))
+    table = KeyedTable(spark, name, ["_id"], ["order_year", "order_month"])
+    assert [r.partition for r in spark.sql(f"SHOW PARTITIONS {name}").collect()] == ["order_year=2024/order_month=2"]
     got = table.read().first()
     assert (got.total_amount, got.shipping_city, got.order_day) == (Decimal("3.00"), "X", 3)
     table.merge(table.read())

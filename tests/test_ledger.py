@@ -7,9 +7,9 @@ import pytest
 from conftest import values
 from pyspark.sql import functions as F
 
-from ledgerlake.operators import VersionedTable
+from ledgerlake.operators import KeyedTable
 from ledgerlake.plans import ledger
-from ledgerlake.session import scratch
+from ledgerlake.session import scratch_database
 from ledgerlake.sources import read_json_docs
 from ledgerlake.specs import ACCOUNTS, CLOSE_TASKS, JOURNAL_ENTRIES
 
@@ -114,44 +114,44 @@ def test_what_cannot_be_read_is_rejected_with_its_text(spark):
 
 
 def test_lines_kept_apart_end_to_end(spark, accounts):
-    root = scratch(spark, "curated")
+    db = scratch_database(spark, "curated")
     tasks = spark.createDataFrame([], TASK_DDL)
     raw = spark.createDataFrame([entry("x", "E", "2023-03-14", [("a10", 5, 0), ("a10", 3, 0), ("b20", 0, 8)], T0)], RAW)
     for _ in range(2):
-        ledger.curate(spark, root, tasks, raw, accounts, datetime(2025, 10, 1), by_line=True)
-        gold = VersionedTable(spark, f"{root}/journal_entries_gold", ["entry_id", "entry_date"], "entry_year").read()
+        ledger.curate(spark, db, tasks, raw, accounts, datetime(2025, 10, 1), by_line=True)
+        gold = KeyedTable(spark, f"{db}.journal_entries_gold", ["entry_id", "entry_date"], "entry_year").read()
         assert values(gold.select("total_credit", "total_debit")) == [(Decimal("8.00"), Decimal("8.00"))]
 
 
 def test_reload_replaces_the_whole_collection_once(spark):
-    path = scratch(spark, "raw")
+    path = f"{scratch_database(spark, 'raw')}.close_tasks"
     rows = spark.createDataFrame([("1", T0), ("2", T1)], "task_id string, ingest_ts timestamp_ntz")
     ledger.append_raw(spark, rows, path, CLOSE_TASKS)
     ledger.append_raw(spark, rows, path, CLOSE_TASKS)
-    raw = VersionedTable(spark, path, ["task_id"], "ingest_date")
+    raw = KeyedTable(spark, path, ["task_id"], "ingest_date")
     assert raw.read().count() == 4
     ledger.append_raw(spark, rows, path, CLOSE_TASKS, reload=True)
     assert raw.read().count() == 2
 
 
 def test_curating_twice_changes_nothing_and_corrections_replace_totals(spark, journal, accounts):
-    root = scratch(spark, "curated")
+    db = scratch_database(spark, "curated")
     tasks = spark.createDataFrame([("1", "T1", "n", "Open", "2023-04-02", T0)], TASK_DDL)
     run = datetime(2025, 10, 1)
 
     def gold():
-        t = VersionedTable(spark, f"{root}/journal_entries_gold", ["entry_id", "entry_date"], "entry_year")
+        t = KeyedTable(spark, f"{db}.journal_entries_gold", ["entry_id", "entry_date"], "entry_year")
         return values(t.read().select("entry_id", "entry_date", "total_credit", "total_debit"))
 
     for _ in range(2):
-        ledger.curate(spark, root, tasks, journal, accounts, run)
+        ledger.curate(spark, db, tasks, journal, accounts, run)
         assert gold() == [("E31", date(2023, 3, 14), Decimal("320.00"), Decimal("320.00"))]
     # the entry moves to another day: its old total must not stay behind
     moved = spark.createDataFrame(
         [entry("x", "E31", "2026-06-01", [("a10", 600, 0), ("b20", 0, 600)], T1), entry("y", "JE2", "2026-01-01", [("a10", 1, 1)], T1)],
         RAW,
     )
-    ledger.curate(spark, root, tasks, moved, accounts, run)
+    ledger.curate(spark, db, tasks, moved, accounts, run)
     assert gold() == [
         ("E31", date(2026, 6, 1), Decimal("600.00"), Decimal("600.00")),
         ("JE2", date(2026, 1, 1), Decimal("1.00"), Decimal("1.00")),

@@ -1,108 +1,94 @@
-from datetime import datetime
-
 import pytest
-from conftest import values
+from conftest import plan, values
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from ledgerlake.operators import VersionedTable
-from ledgerlake.session import scratch
+from ledgerlake.operators import KeyedTable
+from ledgerlake.session import scratch_database
 
 DDL = "k int, day string, v string"
 
 
 @pytest.fixture
-def table(spark):
-    return VersionedTable(spark, scratch(spark, "test-table"), ["k"], "day")
+def name(spark):
+    return f"{scratch_database(spark, 'test')}.t"
+
+
+@pytest.fixture
+def table(spark, name):
+    return KeyedTable(spark, name, ["k"], "day")
 
 
 def frame(spark, *rows):
     return spark.createDataFrame(list(rows), DDL)
 
 
-def test_merge_moves_rows_between_partitions_and_leaves_others_alone(spark, table):
+def rows(table):
+    return values(table.read().select("k", "day", "v"))
+
+
+def partitions(spark, name):
+    return sorted(r.partition for r in spark.sql(f"SHOW PARTITIONS {name}").collect())
+
+
+def test_merge_moves_rows_between_partitions_and_leaves_others_alone(spark, table, name):
     table.merge(frame(spark, (1, "d1", "a"), (2, "d2", "b"), (3, "d3", "c"), (4, None, "n")))
-    before = set(table._log_row(1).dirs)
+    files = lambda: {r[0] for r in table.read().where("day = 'd3' OR day IS NULL").select(F.input_file_name()).collect()}
+    before = files()
     table.merge(frame(spark, (1, "d2", "A"), (5, "d5", "e")))
-    assert values(table.read().select("k", "day", "v")) == sorted(
-        [(1, "d2", "A"), (2, "d2", "b"), (3, "d3", "c"), (4, None, "n"), (5, "d5", "e")], key=repr
-    )
-    after = set(table._log_row(2).dirs)
-    assert {d for d in before & after} == {"_v=1/day=d3", "_v=1/day=__HIVE_DEFAULT_PARTITION__"}
-    assert not any(d.endswith("day=d1") for d in after)
-
-
-def test_time_travel_history_and_rows_written(spark, table):
-    table.publish(frame(spark, (1, "d1", "a")), tag="first")
-    table.append(frame(spark, (2, "d1", "b")))
-    assert table.read(1).count() == 1 and table.read().count() == 2
-    assert [(r.version, r.operation, r.tag, r.row_count) for r in table.history().orderBy("version").collect()] == [
-        (1, "replace", "first", 1),
-        (2, "append", None, 1),
-    ]
-    moment = table.history().where("version = 1").first().committed_at
-    assert table.read_as_of(moment).count() == 1
-    assert table.committed("first") and not table.committed("second")
-    with pytest.raises(ValueError):
-        table.read_as_of(datetime(2000, 1, 1))
-
-
-def test_replace_while_reading_itself(spark, table):
-    table.publish(frame(spark, (1, "d1", "a"), (2, "d2", "b")))
-    table.publish(table.read().where("k = 2"))
-    assert values(table.read().select("k")) == [(2,)]
-    table.publish(table.read().where("k = 99"))
-    assert table.read().count() == 0
-    table.merge(frame(spark, (3, "d3", "c")))
-    assert values(table.read().select("k")) == [(3,)]
-
-
-def test_half_written_version_is_invisible_and_overwritten(spark, table):
-    table.publish(frame(spark, (1, "d1", "a")))
-    frame(spark, (9, "d9", "junk")).write.partitionBy("day").parquet(f"{table.path}/data/_v=2")
-    assert table.read().count() == 1
-    table.append(frame(spark, (2, "d2", "b")))
-    assert values(table.read().select("k")) == [(1,), (2,)]
-
-
-def test_failed_commit_is_no_version(spark, table):
-    table.publish(frame(spark, (1, "d1", "a")))
-    fs, p = table._fs(f"{table.path}/log/v=2/_temporary/0")
-    fs.mkdirs(p)
-    assert table.versions() == [1] and table.read().count() == 1
-    table.append(frame(spark, (2, "d1", "b")))
-    assert table.versions() == [1, 2] and table.read().count() == 2
-
-
-def test_expiry_then_orphans(spark, table):
-    for i in range(5):
-        table.publish(frame(spark, (i, "d1", "a")))
-    future = datetime(2100, 1, 1)
-    assert table.expire(future, days=30, retain_last=2) == [1, 2, 3]
-    assert table.versions() == [4, 5]
-    dry = table.remove_orphans(future)
-    assert dry == ["_v=1/day=d1", "_v=2/day=d1", "_v=3/day=d1"]
-    assert table.remove_orphans(future, dry_run=False) == dry
-    assert table.remove_orphans(future) == []
-    assert values(table.read().select("k")) == [(4,)]
-    assert table.orphans(datetime(2000, 1, 1)).count() == 0
-
-
-def test_compaction_keeps_rows(spark, table):
-    for i in range(4):
-        table.append(frame(spark, (i, "d1", "a")))
-    table.compact()
+    assert rows(table) == sorted([(1, "d2", "A"), (2, "d2", "b"), (3, "d3", "c"), (4, None, "n"), (5, "d5", "e")], key=repr)
+    assert files() == before
+    assert "day=d1" not in partitions(spark, name)
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+@pytest.mark.parametrize("odd", ["a:b", "a/b", "50%", "it's", "back\\slash", "07", "", None])
+def test_partition_values_of_any_text(spark, table, odd):
+    table.merge(frame(spark, (1, odd, "old"), (2, odd, "stays"), (3, "d3", "c")))
+    table.merge(frame(spark, (1, odd, "new")))
+    kept = odd or None  # empty text counts as null in a partition column
+    assert rows(table) == sorted([(1, kept, "new"), (2, kept, "stays"), (3, "d3", "c")], key=repr)
+    table.merge(frame(spark, (1, "d3", "moved"), (2, "d3", "moved")))
+    assert rows(table) == [(1, "d3", "moved"), (2, "d3", "moved"), (3, "d3", "c")]
+    table.append(frame(spark, (9, odd, "again")))  # nothing that left the partition comes back
     assert table.read().count() == 4
-    assert len(table._log_row(5).dirs) == 1
 
 
-def test_unpartitioned_newer_wins(spark):
-    t = VersionedTable(spark, scratch(spark, "test-table"), ["k"])
+def test_several_partition_columns_and_repeated_merge(spark, name):
+    t = KeyedTable(spark, name, ["k"], ["day", "v"])
+    first = frame(spark, (1, "d1", "x"), (2, "d1", "y"), (3, "d2", "x"), (4, None, None))
+    change = frame(spark, (1, "d2", "y"), (4, "d1", None))
+    t.merge(first)
+    for _ in range(2):
+        t.merge(change)
+        assert rows(t) == sorted([(1, "d2", "y"), (2, "d1", "y"), (3, "d2", "x"), (4, "d1", None)], key=repr)
+
+
+def test_append_and_reload(spark, table):
+    table.append(frame(spark, (1, "d1", "a")))
+    table.append(frame(spark).select("v", "k", "day"))
+    table.append(frame(spark, (2, "d1", "b")).select("v", "k", "day"))
+    assert rows(table) == [(1, "d1", "a"), (2, "d1", "b")]
+    table.reload(frame(spark, (3, "d2", "c")))
+    assert rows(table) == [(3, "d2", "c")]
+    with pytest.raises(AnalysisException):
+        table.reload(table.read())
+
+
+def test_without_partition_column_newer_wins(spark, name):
+    t = KeyedTable(spark, name, ["k"], buckets=5)
     t.merge(frame(spark, (1, "d2", "a")), newer_by="day")
     t.merge(frame(spark, (1, "d1", "old"), (2, "d1", "b")), newer_by="day")
-    assert values(t.read().select("k", "v")) == [(1, "a"), (2, "b")]
+    assert rows(t) == [(1, "d2", "a"), (2, "d1", "b")] and t.read().columns == ["k", "day", "v"]
+
+
+def test_groups_are_replaced(spark, table):
+    table.replace_groups(frame(spark, (1, "d1", "a"), (2, "d1", "b"), (3, "d2", "c")), frame(spark), ["k"])
+    gone = spark.createDataFrame([(1,), (3,), (1,)], "k int")
+    table.replace_groups(frame(spark, (1, "d3", "A")), gone, ["k"])
+    assert rows(table) == [(1, "d3", "A"), (2, "d1", "b")]
 
 
-def test_raw_partitions_are_pruned(spark, table):
-    table.publish(frame(spark, (1, "d1", "a"), (2, "d2", "b")))
-    text = table.read().where(F.col("day") == "d1")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(day" in text
+def test_partitions_are_pruned(spark, table):
+    table.append(frame(spark, (1, "d1", "a"), (2, "d2", "b")))
+    assert "PartitionFilters: [isnotnull(day" in plan(table.read().where(F.col("day") == "d1"))
