@@ -2,9 +2,13 @@
 
 Each page is parsed into a tree of block elements, in which runs of like siblings (paragraphs, list items) are one
 node. The distinct trees of a host are folded into its wrapper by simple tree matching, an ordered alignment of
-children by dynamic programming. Over all pages of the host each wrapper node is then either template (one text nearly
-everywhere, or a few in rotation) or a slot; the region that holds the slots' text is the article, less what its
-elements or names mark as menu, advert, form, comments and the like.
+children by dynamic programming. Over all articles of the host each wrapper node is then either template (one text
+nearly everywhere, or a few in rotation) or a slot; the region that holds the slots' text is the article, less what its
+elements or names mark as menu, advert, form, comments and the like. In runs of like siblings an element with one text
+nearly everywhere is template on its own. An ``article`` or ``main`` element tells the region, not what is template.
+
+Copies of an article count once: pages are told apart by their text in the slot that varies most, by characters times
+entropy, so that neither a date nor an advert tells copies apart.
 """
 
 from __future__ import annotations
@@ -217,7 +221,8 @@ def placed(wrapper: list, tree: list) -> list[int]:
     return out
 
 
-NODE = "host string, tree bigint, node int, text bigint, chars bigint, linked bigint"
+NODE = pa.struct([("node", pa.int32()), ("text", pa.int64()), ("chars", pa.int64()), ("linked", pa.int64()), ("words", pa.int64()), ("parts", pa.list_(pa.int64()))])
+NODES = "host string, tree bigint, code string, texts array<struct<node:int,text:bigint,chars:bigint,linked:bigint,words:bigint,parts:array<bigint>>>"
 
 
 def _hash(s: str) -> int:
@@ -226,27 +231,35 @@ def _hash(s: str) -> int:
     return int.from_bytes(hashlib.blake2b(s.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
 
 
+def _joined(pieces: list[str]) -> str:
+    return " ".join(" ".join(pieces).split())
+
+
 def _page_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each page a row with its tree (node -1) and one for each node with text."""
+    """For each page a row with its tree and its nodes with text; parts are the texts of their elements, short ones left out."""
     for batch in batches:
         rows: list[tuple] = []
         for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
             page = Page(source)
             tree, number = page.skeleton()
             code = json.dumps(tree, ensure_ascii=False, separators=(",", ":"))
-            h = _hash(code)
-            rows.append((host, h, -1, None, None, None, code))
             texts: dict[int, list] = {}
             for e, text, linked in page.pieces:
                 if e >= 0 and text and not text.isspace():
-                    x = texts.setdefault(number[e], [[], 0, 0])
+                    x = texts.setdefault(number[e], [[], 0, 0, {}])
                     x[0].append(text)
                     x[1] += len(text)
                     x[2] += len(text) * linked
-            rows += [(host, h, k, _hash(" ".join(" ".join(x[0]).split())), x[1], x[2], None) for k, x in texts.items()]
-        columns = list(zip(*rows, strict=True)) if rows else [[]] * 7
-        types = (pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string())
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["host", "tree", "node", "text", "chars", "linked", "code"])
+                    x[3].setdefault(e, []).append(text)
+            nodes = []
+            for k, (pieces, chars, in_links, elements) in texts.items():
+                whole = _joined(pieces)
+                parts = {_hash(t) for t in map(_joined, elements.values()) if t.count(" ") + 1 >= WORDS}
+                nodes.append((k, _hash(whole), chars, in_links, whole.count(" ") + 1, list(parts)))
+            rows.append((host, _hash(code), code, nodes))
+        columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
+        types = (pa.string(), pa.int64(), pa.string(), pa.list_(NODE))
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["host", "tree", "code", "texts"])
 
 
 def _fold_group(df: pd.DataFrame) -> pd.DataFrame:
@@ -256,15 +269,17 @@ def _fold_group(df: pd.DataFrame) -> pd.DataFrame:
 
 def _place_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for df in frames:
-        rows = [(h, t, k, w) for h, t, code, wrapper in df[["host", "tree", "code", "wrapper"]].itertuples(index=False) for k, w in enumerate(placed(json.loads(wrapper), json.loads(code)))]
-        yield pd.DataFrame(rows, columns=["host", "tree", "node", "slot"])
+        slots = [placed(json.loads(wrapper), json.loads(code)) for code, wrapper in df[["code", "wrapper"]].itertuples(index=False)]
+        yield pd.DataFrame({"host": df["host"], "tree": df["tree"], "slots": slots})
 
 
-CONSTANT, ROTATING, MANY = 0.9, 0.1, 20
+#: Template: a text in this share of the articles, of FEW at least, or of MANY few texts. Where an
+#: element is marked as the article, only texts of so many words: shorter ones recur in articles of their own accord.
+CONSTANT, ROTATING, MANY, FEW, WORDS = 0.9, 0.1, 20, 5, 3
 
 
-def content_nodes(wrapper: list, stats: dict[int, tuple[int, int, int, int, int]]) -> list[bool]:
-    """Which wrapper nodes are content. ``stats``: pages with text, distinct texts, pages of the commonest, characters, in links."""
+def _named(wrapper: list) -> tuple[list[str], list[str], list[int], list[bool]]:
+    """Of each wrapper node its tag, its names, its parent and whether it is in an element of menus, adverts and the like."""
     labels, parents = [], []
 
     def walk(t: list, parent: int) -> None:
@@ -282,9 +297,20 @@ def content_nodes(wrapper: list, stats: dict[int, tuple[int, int, int, int, int]
     for i in range(1, n):
         semantic = tags[i] in BOILER_TAG or (tags[i] not in ("body", "html", "main", "article") and BOILER_NAME.search(named[i]) is not None)
         boiler[i] = boiler[parents[i]] or semantic
+    return tags, named, parents, boiler
+
+
+def content_nodes(wrapper: list, stats: dict[int, tuple[int, int, int, int, int, int, int]]) -> list[bool]:
+    """Which wrapper nodes are content.
+
+    ``stats``: articles with text, pairs of article and text, distinct texts, articles of the commonest, and of the pairs
+    the characters, those in links and the words.
+    """
+    tags, named, parents, boiler = _named(wrapper)
+    n = len(tags)
     mass, fixed = [0.0] * n, [False] * n
-    for i, (pages, distinct, top, chars, linked) in stats.items():
-        fixed[i] = pages >= 5 and (top >= CONSTANT * pages or (pages >= MANY and distinct <= ROTATING * pages))
+    for i, (articles, pairs, distinct, top, chars, linked, _) in stats.items():
+        fixed[i] = articles >= FEW and (top >= CONSTANT * articles or (articles >= MANY and distinct <= ROTATING * articles))
         if not boiler[i] and linked <= 0.5 * chars:
             mass[i] = (chars - linked) * (0.05 if fixed[i] else 1.0)
     total = mass[:]
@@ -307,8 +333,8 @@ def content_nodes(wrapper: list, stats: dict[int, tuple[int, int, int, int, int]
     varied = any(mass[i] > 0 and not fixed[i] for i in range(n))
     for i in range(n):
         inside = any(i == r or _under(parents, i, r) for r in regions)
-        menu = i in stats and stats[i][4] > 0.5 * stats[i][3] and fixed[i]
-        template = varied and fixed[i] and not marked and stats[i][0] >= 5
+        menu = i in stats and stats[i][5] > 0.5 * stats[i][4] and fixed[i]
+        template = varied and fixed[i] and (not marked or stats[i][6] >= WORDS * stats[i][1])
         keep[i] = inside and not boiler[i] and not menu and not template
     return keep
 
@@ -321,13 +347,28 @@ def _under(parents: list[int], i: int, ancestor: int) -> bool:
     return False
 
 
+def _rank(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The slots of each host by which its pages are told apart, the best first."""
+    for df in frames:
+        orders = []
+        for code, stats in df[["code", "stats"]].itertuples(index=False):
+            boiler = _named(json.loads(code))[3]
+            orders.append([int(s["slot"]) for s in sorted(stats, key=lambda s: (-s["weight"], s["slot"])) if s["weight"] > 0 and not boiler[s["slot"]]])
+        yield pd.DataFrame({"host": df["host"], "ranks": orders})
+
+
+STATS = ("articles", "pairs", "distinct", "top", "chars", "linked", "words")
+
+
 def _decide(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for df in frames:
-        keep = [
-            content_nodes(json.loads(code), {int(s["slot"]): (s["pages"], s["distinct"], s["top"], s["chars"], s["linked"]) for s in (stats if stats is not None else []) if s["slot"] >= 0})
-            for code, stats in df[["code", "stats"]].itertuples(index=False)
-        ]
-        yield pd.DataFrame({"host": df["host"], "wrapper": df["code"], "keep": [[int(x) for x in k] for k in keep]})
+        keep, common = [], []
+        for code, stats in df[["code", "stats"]].itertuples(index=False):
+            stats = stats if stats is not None else []
+            nodes = content_nodes(json.loads(code), {int(s["slot"]): tuple(s[c] for c in STATS) for s in stats})
+            keep.append([int(x) for x in nodes])
+            common.append([{"slot": int(s["slot"]), "parts": [int(x) for x in s["parts"]]} for s in stats if nodes[s["slot"]] and len(s["parts"]) and s["top"] < CONSTANT * s["articles"]])
+        yield pd.DataFrame({"host": df["host"], "wrapper": df["code"], "keep": keep, "common": common})
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -335,7 +376,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     places: dict[tuple[str, str], list[int]] = {}
     for batch in batches:
         out = []
-        for source, wrapper, keep in zip(batch.column("_html").to_pylist(), batch.column("_wrapper").to_pylist(), batch.column("_keep").to_pylist(), strict=True):
+        for source, wrapper, keep, common in zip(*[batch.column(c).to_pylist() for c in ("_html", "_wrapper", "_keep", "_common")], strict=True):
             page = Page(source)
             tree, number = page.skeleton()
             key = wrapper, json.dumps(tree, ensure_ascii=False)
@@ -347,14 +388,20 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     wrappers[wrapper] = json.loads(wrapper)
                 places[key] = placed(wrappers[wrapper], tree)
             place, text, last = places[key], [], -1
+            template = {x["slot"]: set(x["parts"]) for x in common}
+            elements: dict[int, list[str]] = {}
+            for e, piece, _ in page.pieces:
+                if e >= 0 and place[number[e]] in template and piece and not piece.isspace():
+                    elements.setdefault(e, []).append(piece)
+            out_of = {e for e, x in elements.items() if _hash(_joined(x)) in template[place[number[e]]]}
             for e, piece, _ in page.pieces:
                 if e < 0:
                     text.append(" ")
-                elif place[number[e]] >= 0 and keep[place[number[e]]]:
+                elif place[number[e]] >= 0 and keep[place[number[e]]] and e not in out_of:
                     text.append(piece if e == last else " " + piece)
                     last = e
             out.append(" ".join("".join(text).split()))
-        rest = [c for c in batch.schema.names if c not in ("_html", "_wrapper", "_keep")]
+        rest = [c for c in batch.schema.names if c not in ("_html", "_wrapper", "_keep", "_common")]
         yield pa.RecordBatch.from_arrays([*[batch.column(batch.schema.names.index(c)) for c in rest], pa.array(out, pa.string())], names=[*rest, "_main"])
 
 
@@ -366,22 +413,45 @@ def main_text(pages: DataFrame, text: str = "text") -> DataFrame:
 
     Pages are grouped by the host of the url in lower case; those without one are a group. A null html is empty. Rows
     are kept as they are, repeated ones too; a column called like the text is replaced. Names with an underscore in
-    front are reserved. A host with few pages is cut by element names alone.
+    front are reserved. A host with fewer than five distinct articles is cut by element names alone.
     """
     host = F.lower(F.coalesce(F.regexp_extract("url", "^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
     source = F.coalesce(F.col("html").cast("string"), F.lit(""))
-    nodes = land(pages.select(host.alias("host"), source.alias("html")).mapInArrow(_page_nodes, NODE + ", code string").groupBy("host", "tree", "node", "text").agg(F.count("*").alias("pages"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"), F.first("code").alias("code")), "page-nodes")
-    trees = nodes.where("node = -1").select("host", "tree", "code", "pages")
+    nodes = land(pages.select(host.alias("host"), source.alias("html")).mapInArrow(_page_nodes, NODES), "page-nodes")
+    trees = nodes.groupBy("host", "tree").agg(F.first("code").alias("code"), F.count("*").alias("pages"))
     one = "host string, code string, pages bigint"
     partial = trees.withColumn("salt", F.pmod("tree", F.lit(SALTS))).groupBy("host", "salt").applyInPandas(lambda df: _fold_group(df), one)
     wrappers = land(partial.groupBy("host").applyInPandas(lambda df: _fold_group(df), one), "wrappers")
-    places = trees.join(wrappers.select("host", F.col("code").alias("wrapper")), "host").mapInPandas(_place_rows, "host string, tree bigint, node int, slot int")
-    texts = nodes.where("node >= 0").drop("code").join(places, ["host", "tree", "node"]).groupBy("host", "slot", "text").agg(*[F.sum(c).alias(c) for c in ("pages", "chars", "linked")])
-    slots = texts.groupBy("host", "slot").agg(F.sum("pages").alias("pages"), F.count("*").alias("distinct"), F.max("pages").alias("top"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"))
+    places = land(trees.join(wrappers.select("host", F.col("code").alias("wrapper")), "host").mapInPandas(_place_rows, "host string, tree bigint, slots array<int>"), "places")
+    within = "transform(texts, x -> named_struct('slot', slots[x.node], 'text', x.text, 'chars', x.chars, 'linked', x.linked, 'words', x.words, 'parts', x.parts))"
+    slotted = nodes.where("size(texts) > 0").drop("code").join(places, ["host", "tree"]).select("host", F.expr(f"filter({within}, x -> x.slot >= 0)").alias("texts"))
+    # by what the pages of a host are told apart: characters out of links times entropy
+    texts = slotted.select("host", F.expr("inline(texts)")).groupBy("host", "slot", "text").agg(F.count("*").alias("n"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"))
+    varies = F.log(F.sum("n")) - F.sum(F.col("n") * F.log("n")) / F.sum("n")
+    weights = texts.groupBy("host", "slot").agg(F.when(F.sum("linked") <= 0.5 * F.sum("chars"), (F.sum("chars") - F.sum("linked")) * F.round(varies, 9)).otherwise(0.0).alias("weight"))
     # a row per host, of the size of its wrapper
-    stats = slots.groupBy("host").agg(F.collect_list(F.struct("slot", "pages", "distinct", "top", "chars", "linked")).alias("stats"))
-    decided = land(wrappers.select("host", "code").join(stats, "host", "left").mapInPandas(_decide, "host string, wrapper string, keep array<int>"), "decided")
-    named = decided.select(F.col("host").alias("_h"), F.col("wrapper").alias("_wrapper"), F.col("keep").alias("_keep"))
+    weighed = weights.groupBy("host").agg(F.collect_list(F.struct("slot", "weight")).alias("stats"))
+    ranks = land(wrappers.select("host", "code").join(weighed, "host").mapInPandas(_rank, "host string, ranks array<int>"), "ranks")
+    best = "array_min(transform(filter(texts, x -> array_contains(ranks, x.slot)), x -> named_struct('at', array_position(ranks, x.slot), 'text', x.text))).text"
+    articles = slotted.join(ranks, "host").select("host", F.expr(f"coalesce({best}, xxhash64(transform(texts, x -> x.text)))").alias("article"), F.expr("inline(texts)"))
+    # each article once: with each slot (0), with each text there (1), with the text of each element (2)
+    whole = F.array(*[F.struct(F.lit(k).alias("kind"), u.alias("unit")) for k, u in ((0, F.lit(0).cast("bigint")), (1, F.col("text")))])
+    parts = F.transform("parts", lambda x: F.struct(F.lit(2).alias("kind"), x.alias("unit")))
+    once = articles.select("host", "slot", "article", "chars", "linked", "words", F.inline(F.concat(whole, parts))).groupBy("host", "slot", "kind", "unit", "article").agg(*[F.max(c).alias(c) for c in ("chars", "linked", "words")])
+    units = once.groupBy("host", "slot", "kind", "unit").agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in ("chars", "linked", "words")])
+    units = land(units.where(f"kind < 2 OR n >= {FEW}"), "units")
+    is_text = F.col("kind") == 1
+    slots = units.where("kind < 2").groupBy("host", "slot").agg(
+        F.max(F.when(~is_text, F.col("n"))).alias("articles"), F.sum(F.when(is_text, F.col("n"))).alias("pairs"), F.count(F.when(is_text, 1)).alias("distinct"), F.max(F.when(is_text, F.col("n"))).alias("top"),
+        *[F.sum(F.when(is_text, F.col(c))).alias(c) for c in ("chars", "linked", "words")],
+    )
+    constant = units.where("kind = 2").select("host", "slot", "unit", "n").join(slots.select("host", "slot", "articles"), ["host", "slot"]).where(f"n >= {CONSTANT} * articles")
+    # at most as many as a page has elements
+    constant = constant.groupBy("host", "slot").agg(F.collect_list("unit").alias("parts"))
+    told = slots.join(constant, ["host", "slot"], "left").withColumn("parts", F.coalesce("parts", F.expr("cast(array() as array<bigint>)")))
+    stats = told.groupBy("host").agg(F.collect_list(F.struct("slot", *STATS, "parts")).alias("stats"))
+    decided = land(wrappers.select("host", "code").join(stats, "host", "left").mapInPandas(_decide, "host string, wrapper string, keep array<int>, common array<struct<slot:int,parts:array<bigint>>>"), "decided")
+    named = decided.select(F.col("host").alias("_h"), F.col("wrapper").alias("_wrapper"), F.col("keep").alias("_keep"), F.col("common").alias("_common"))
     rest = pages.drop("html", text)
     rows = pages.select(*[pages[c] for c in rest.columns], source.alias("_html"), host.alias("_host")).join(named, F.col("_host") == F.col("_h")).drop("_host", "_h")
     types = T.StructType([*rest.schema.fields, T.StructField("_main", T.StringType())])

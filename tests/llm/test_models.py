@@ -133,6 +133,16 @@ def test_main_text(spark):
     assert wrapper.main_text(df.limit(0)).count() == 0
 
 
+def test_constant_elements_of_marked_articles_go(spark):
+    rows, want = [], {}
+    for i in range(24):
+        a, b = prose(25), prose(25)
+        rows.append((i, f"https://a.example/{i}", page(f"<article><h1>Head {i}</h1><p>{a}</p><p>Sign up for our letter today</p><p>{b}</p><div>We use small files here</div><ul><li>x<li>y</ul></article>", i)))
+        want[i] = f"Head {i} {a} {b} x y"
+    got = wrapper.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == want
+
+
 def test_tree_matching():
     a = ["r", [["x", []], ["y", [["z", []]]]]]
     b = ["r", [["y", [["z", []], ["w", []]]], ["x", []]]]
