@@ -273,9 +273,9 @@ def _place_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"host": df["host"], "tree": df["tree"], "slots": slots})
 
 
-#: Template: a text in this share of the articles, of FEW at least, or of MANY few texts. Where an
+#: Template: a text in this share of the articles, of FEW at least, or texts that are in ten each on average. Where an
 #: element is marked as the article, only texts of so many words: shorter ones recur in articles of their own accord.
-CONSTANT, ROTATING, MANY, FEW, WORDS = 0.9, 0.1, 20, 5, 3
+CONSTANT, ROTATING, FEW, WORDS = 0.9, 0.1, 5, 3
 
 
 def _named(wrapper: list) -> tuple[list[str], list[str], list[int], list[bool]]:
@@ -310,7 +310,7 @@ def content_nodes(wrapper: list, stats: dict[int, tuple[int, int, int, int, int,
     n = len(tags)
     mass, fixed = [0.0] * n, [False] * n
     for i, (articles, pairs, distinct, top, chars, linked, _) in stats.items():
-        fixed[i] = articles >= FEW and (top >= CONSTANT * articles or (articles >= MANY and distinct <= ROTATING * articles))
+        fixed[i] = articles >= FEW and (top >= CONSTANT * articles or distinct <= ROTATING * pairs)
         if not boiler[i] and linked <= 0.5 * chars:
             mass[i] = (chars - linked) * (0.05 if fixed[i] else 1.0)
     total = mass[:]

@@ -143,6 +143,18 @@ def test_constant_elements_of_marked_articles_go(spark):
     assert {r["page_id"]: r["text"] for r in got} == want
 
 
+@pytest.mark.parametrize("n_articles", [12, 19, 20])
+def test_copies_do_not_make_articles_template(spark, n_articles):
+    texts = [(f"Title {k}", prose(30)) for k in range(n_articles)]
+    rows, want = [], {}
+    for i in range(300):
+        head, body = texts[i % n_articles]
+        rows.append((i, f"https://a.example/{i}", f"<html><body><div><h2>{head}</h2><p>{body}</p><div>Day {i} of all</div></div><div><p>Always the same words here</p></div></body></html>"))
+        want[i] = f"{head} {body} Day {i} of all"
+    got = wrapper.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == want
+
+
 def test_tree_matching():
     a = ["r", [["x", []], ["y", [["z", []]]]]]
     b = ["r", [["y", [["z", []], ["w", []]]], ["x", []]]]
