@@ -204,6 +204,23 @@ def test_licences(spark):
     assert licences.scan_licences(df.limit(0)).count() == 0
 
 
+def test_licences_inside_lines(spark):
+    rows = [
+        (1, "Copyright (c) 2019 Jane Doe. All rights reserved.", "Proprietary"), (2, prose(20) + " released under the MIT License " + prose(20), "MIT"), (3, "All rights reserved. Licensed under CC BY 4.0", "CC-BY-4.0"),
+        (4, "the rights of all are reserved for the licence", None), (5, prose(30), None),
+    ]
+    df = spark.createDataFrame([(i, f"d{i}/a.txt", t) for i, t, _ in rows], "doc_id long, path string, text string")
+    got = {r["doc_id"]: (r["licence"], r["origin"]) for r in licences.scan_licences(df).collect()}
+    assert got == {i: (x, "header" if x else "none") for i, _, x in rows}
+
+
+def test_licence_weights_of_common_words(spark):
+    texts = ["zzz the MIT License zzz", *["zzz " + prose(3)] * 400]
+    df = spark.createDataFrame([(i, f"d{i}/a.txt", t) for i, t in enumerate(texts)], "doc_id long, path string, text string")
+    (row,) = [r for r in licences.scan_licences(df, {"MIT": ["qqq qqr the MIT License"], "Other": ["the MIT License now"]}).collect() if r["doc_id"] == 0]
+    assert row["licence"] == "Other" and 0.8 < row["score"] < 0.9
+
+
 def test_neighbours_recall_and_odd_vectors(spark, sf):
     df = spark.read.parquet(f"{sf}/embeddings.parquet")
     rows = df.select("vec_id", "embedding").collect()
