@@ -8,12 +8,14 @@ in merge order and joins the two symbols that an edge spans, as the model was tr
 
 The commonest words, a table of bounded size, are then looked up in the task that holds a text. Others are encoded by
 the same lattice there (``rare="task"``), or relationally as well and brought by joins (``rare="join"``), which moves
-every text and several times its size in words; the README has figures.
+every text and several times its size in words; the README has figures. Words of more than 61 characters, such as text
+without blanks, are encoded in the task that holds them, in nearly linear time: their lattice does not fit one row.
 """
 
 from __future__ import annotations
 
 import functools
+import heapq
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -31,6 +33,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 WORD = re.compile(f"{SPACE}+[^{SPACE}]*")
 KNOWN_WORDS = 1 << 19
+LONGEST_WORD = 61  # bounds of symbols are the bits of a number
 
 
 @dataclass(frozen=True)
@@ -53,8 +56,17 @@ class Vocabulary:
         low = max((s for p, s, i in self.pieces if i in blank.values()), default=0.0)
         return blank if self.ranked and all(s > low for p, s, i in self.pieces if len(p) > 1 and i not in blank.values()) else {}
 
+    @functools.cached_property
+    def repeats(self) -> bool:
+        """Whether a run of blanks is whole runs of the longest piece, then what is left."""
+        long = max(self.runs)
+        return all(self.run(n) == [self.runs[long]] * (n // long) + self.run(n % long) for n in range(4 * long))
+
     def run(self, n: int) -> list[int]:
         """The pieces of ``n`` blanks on their own: the leftmost pair that makes a piece is joined, again and again."""
+        long = max(self.runs, default=0)
+        if long and n >= 4 * long and self.repeats:
+            return [self.runs[long]] * (n // long) + self.run(n % long)
         one = next((i for p, _, i in self.pieces if p == SPACE), self.unknown)
         parts = [1] * n
         while (at := next((i for i in range(len(parts) - 1) if parts[i] + parts[i + 1] in self.runs), None)) is not None:
@@ -119,17 +131,11 @@ def _spelt(vocabulary: Vocabulary, x: str) -> str:
 _UNPACKED = f"""transform(edges, x -> named_struct('s', cast(shiftright(x, 25) & 262143 as int),
   'e', cast((shiftright(x, 25) & 262143) + (shiftright(x, 20) & 31) as int), 'id', cast(x & {NO_PIECE} as int)))"""
 #: Byte-pair merges over edges in rank order: an edge whose ends are symbol bounds with one bound between them drops it.
-#: The bounds are the bits of a number, for long words an array.
-_MERGE = """CASE WHEN char_length(word) <= 61 THEN
-  aggregate(spans, shiftleft(1L, char_length(word) + 1) - 1,
+#: The bounds are the bits of a number.
+_MERGE = """aggregate(spans, shiftleft(1L, char_length(word) + 1) - 1,
     (m, x) -> if(x.e - x.s > 1 AND (shiftright(m, x.s) & shiftright(m, x.e) & 1) = 1
         AND bit_count(shiftright(m, x.s + 1) & (shiftleft(1L, x.e - x.s - 1) - 1)) = 1, m & ~(shiftleft(1L, x.e) - shiftleft(1L, x.s + 1)), m),
-    m -> filter(spans, x -> (shiftright(m, x.s) & shiftright(m, x.e) & 1) = 1 AND (shiftright(m, x.s + 1) & (shiftleft(1L, x.e - x.s - 1) - 1)) = 0))
-ELSE
-  aggregate(spans, sequence(0, char_length(word)),
-    (m, x) -> if(x.e - x.s > 1 AND array_contains(m, x.s) AND array_contains(m, x.e) AND size(filter(m, b -> b > x.s AND b < x.e)) = 1, filter(m, b -> b <= x.s OR b >= x.e), m),
-    m -> filter(spans, x -> array_contains(m, x.s) AND array_contains(m, x.e) AND NOT exists(m, b -> b > x.s AND b < x.e)))
-END"""
+    m -> filter(spans, x -> (shiftright(m, x.s) & shiftright(m, x.e) & 1) = 1 AND (shiftright(m, x.s + 1) & (shiftleft(1L, x.e - x.s - 1) - 1)) = 0))"""
 #: Viterbi: to each end in turn, the best of the edges that lead there from the best path to their begin.
 _VITERBI = """element_at(aggregate(sequence(1, char_length(word)), array(named_struct('score', 0D, 's', 0, 'path', cast(array() as array<int>))),
   (best, at) -> concat(best, array(array_max(transform(filter(edges, x -> x.e = at),
@@ -137,7 +143,7 @@ _VITERBI = """element_at(aggregate(sequence(1, char_length(word)), array(named_s
 
 
 def encode_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``words`` with their ids: distinct words in the column ``word``, any others beside it."""
+    """``words`` with their ids: distinct words in the column ``word``, of LONGEST_WORD characters at most, any others beside it."""
     edges, keys = lattice(words, vocabulary), words.columns
     if not vocabulary.ranked:
         return edges.select(*keys, F.expr(_VITERBI.replace("IDS", _spelt(vocabulary, "x"))).alias("ids"))
@@ -150,7 +156,7 @@ def encode_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         return symbols.select(*keys, F.expr(f"flatten(transform(symbols, {spelt}))").alias("ids"))
     # blanks that no word took: whole runs of the longest piece, then what is left
     long = max(vocabulary.runs)
-    if any(vocabulary.run(n) != [vocabulary.runs[long]] * (n // long) + vocabulary.run(n % long) for n in range(4 * long)):
+    if not vocabulary.repeats:
         raise ValueError("the model's pieces of blanks do not repeat")
     left = f"size(filter(symbols, x -> x.e <= {blanks}))"
     table_ = f"array({','.join(_ints(vocabulary.run(n)) for n in range(long))})"
@@ -184,6 +190,16 @@ class WordEncoder:
         return self.merge(word) if self.v.ranked else self.viterbi(word)
 
     def merge(self, word: str) -> bytes:
+        parts = self.symbols(word) if len(word) <= LONGEST_WORD else self.long_symbols(word)
+        led = 0
+        if self.v.runs:
+            while led < len(parts) and parts[led] == SPACE:
+                led += 1
+        if led not in self.runs:
+            self.runs[led] = packed(self.v.run(led))
+        return self.runs[led] + b"".join(map(self.spelt, parts[led:]))
+
+    def symbols(self, word: str) -> list[str]:
         parts, rank, never = list(word), self.rank.get, float("inf")
         ranks = [rank(word[i : i + 2], never) for i in range(len(word) - 1)]
         while ranks and (best := min(ranks)) < never:
@@ -194,13 +210,28 @@ class WordEncoder:
                 ranks[i - 1] = rank(parts[i - 1] + parts[i], never)
             if i < len(ranks):
                 ranks[i] = rank(parts[i] + parts[i + 1], never)
-        led = 0
-        if self.v.runs:
-            while led < len(parts) and parts[led] == SPACE:
-                led += 1
-        if led not in self.runs:
-            self.runs[led] = packed(self.v.run(led))
-        return self.runs[led] + b"".join(map(self.spelt, parts[led:]))
+        return parts
+
+    def long_symbols(self, word: str) -> list[str]:
+        """The same merges from a heap of pairs: rank, begin, middle, end. A pair whose symbols have changed is passed over."""
+        n, rank = len(word), self.rank.get
+        end, begin = [*range(1, n + 1), 0], [0, *range(n)]  # of the symbol that begins, that ends at a place
+        pairs = [(r, i, i + 1, i + 2) for i in range(n - 1) if (r := rank(word[i : i + 2])) is not None]
+        heapq.heapify(pairs)
+        while pairs:
+            _, a, b, c = heapq.heappop(pairs)
+            if end[a] != b or end[b] != c:
+                continue
+            end[a], end[b], begin[c] = c, 0, a
+            if a and (r := rank(word[begin[a] : c])) is not None:
+                heapq.heappush(pairs, (r, begin[a], a, c))
+            if c < n and (r := rank(word[a : end[c]])) is not None:
+                heapq.heappush(pairs, (r, a, c, end[c]))
+        out, at = [], 0
+        while at < n:
+            out.append(word[at : end[at]])
+            at = end[at]
+        return out
 
     def viterbi(self, word: str) -> bytes:
         best: list[tuple[float, int]] = [(0.0, 0)]
@@ -221,14 +252,14 @@ def _rare(batches: Iterator[pa.RecordBatch], known: Broadcast) -> Iterator[pa.Re
     for batch in batches:
         keys1, keys2, words = [], [], []
         for a, b, text in zip(*[batch.column(c).to_pylist() for c in ("k1", "k2", "text")], strict=True):
-            new = set(split_words(text)) - known.value.keys()
+            new = {w for w in split_words(text) if len(w) <= LONGEST_WORD} - known.value.keys()
             keys1 += [a] * len(new)
             keys2 += [b] * len(new)
             words += new
         yield pa.RecordBatch.from_arrays([pa.array(keys1, pa.int64()), pa.array(keys2, pa.int64()), pa.array(words, pa.string())], names=["k1", "k2", "word"])
 
 
-MEMO = 100_000  # words that a task remembers beyond the table
+MEMO = 100_000  # words that a task remembers beyond the table, long ones by their length
 
 
 def spellings(vocabulary: Vocabulary) -> list[bytes]:
@@ -248,15 +279,18 @@ def text_of(ids: np.ndarray, spelling: list[bytes]) -> str:
 
 
 def _assemble(batches: Iterator[pa.RecordBatch], known: Broadcast, vocabulary: Vocabulary, check: bool) -> Iterator[pa.RecordBatch]:
-    common, encoder, memo = known.value, WordEncoder(vocabulary), {}
+    common, encoder, memo, size = known.value, WordEncoder(vocabulary), {}, 0
     spelling = spellings(vocabulary) if check else []
 
     def ids_of(w: str) -> bytes:
+        nonlocal size
         ids = memo.get(w)
         if ids is None:
-            if len(memo) >= MEMO:
+            if size >= MEMO:
                 memo.clear()
+                size = 0
             ids = memo[w] = encoder(w)
+            size += 1 + len(w) // LONGEST_WORD
         return ids
 
     for batch in batches:
@@ -268,8 +302,8 @@ def _assemble(batches: Iterator[pa.RecordBatch], known: Broadcast, vocabulary: V
             brought = zip(part.column("_words").to_pylist(), part.column("_ids").to_pylist(), strict=True) if joined else ((None, None),) * part.num_rows
             texts = part.column("_text").to_pylist()
             for text, (words, ids) in zip(texts, brought, strict=True):
-                other = dict(zip(words or (), map(packed, ids or ()), strict=True)).__getitem__ if joined else ids_of
-                lists.append(np.frombuffer(b"".join([common.get(w) or other(w) for w in split_words(text)]), np.int32))
+                other = dict(zip(words or (), map(packed, ids or ()), strict=True))
+                lists.append(np.frombuffer(b"".join([common.get(w) or (other[w] if joined and len(w) <= LONGEST_WORD else ids_of(w)) for w in split_words(text)]), np.int32))
             offsets = np.zeros(len(lists) + 1, np.int32)
             np.cumsum([len(x) for x in lists], out=offsets[1:])
             flat = np.concatenate(lists) if lists else np.empty(0, np.int32)
@@ -293,7 +327,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, ids: str = "ids", known_word
         each = docs.where(text != "").select(F.explode(F.regexp_extract_all(spaced, F.lit(WORD.pattern), 0)).alias("word"))
     else:  # the common ones have one blank in front
         each = docs.select(F.explode(F.split(text, " ")).alias("part")).where("part <> ''").select(F.concat(F.lit(SPACE), "part").alias("word"))
-    counted = each.groupBy("word").agg(F.count("*").alias("n"))
+    counted = each.where(F.char_length("word") <= LONGEST_WORD).groupBy("word").agg(F.count("*").alias("n"))
     # a word that comes once is not common
     counted = land(counted if rare == "join" else counted.where("n > 1"), "words")
     top = commonest(counted, "n", known_words).select("word")

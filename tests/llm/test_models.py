@@ -86,6 +86,19 @@ def test_pieces_equal_the_library(spark, sf, rare):
         assert list(r["ids"]) == library.encode(r["text"] or "") and r["decoded"] == (r["text"] or "") and r["same"]
 
 
+@pytest.mark.parametrize("rare", ["task", "join"])
+def test_pieces_of_long_repeated_words_equal_the_library(spark, rare):
+    library = pytest.importorskip("sentencepiece").SentencePieceProcessor(model_file=sentencepieces.MODEL)
+    rng = random.Random(3)
+    long = "\n".join("".join(rng.choice("theandtionerin中文测试") for _ in range(99)) for _ in range(3000))
+    texts = [long, "one two", long, long[:62], long[:62], "a" * 5000, "a" * 5000, " " * 20_000 + "end", " " * 20_000 + "end"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = sentencepieces.encode(df, sentencepieces.load(), rare=rare, round_trip="same").collect()
+    assert len(long) == 299_999 and len(out) == len(texts)
+    for r in out:
+        assert list(r["ids"]) == library.encode(r["text"]) and r["same"]
+
+
 def test_viterbi_finds_the_best_path(spark):
     pieces = {"a": -2.0, "b": -2.5, "c": -3.0, "ab": -3.5, "bc": -3.9, "abc": -7.0, sentencepieces.SPACE: -1.0, sentencepieces.SPACE + "a": -2.2, "ca": -4.4}
     vocabulary = sentencepieces.Vocabulary(tuple((p, s, i + 300) for i, (p, s) in enumerate(pieces.items())), tuple(range(256)), 0, False)
