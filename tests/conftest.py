@@ -21,12 +21,3 @@ def spark(tmp_path_factory):
     if not session.conf.get(CHECKPOINT_DIR, None):
         session.conf.set(CHECKPOINT_DIR, str(tmp_path_factory.mktemp("shared")))
     yield session
-
-
-def values(df):
-    """Rows as a sorted list of tuples, columns in their order."""
-    return sorted((tuple(r) for r in df.collect()), key=repr)
-
-
-def plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

@@ -1,5 +1,5 @@
 import pytest
-from conftest import plan, values
+from support import plan, values
 from pyspark.sql import functions as F
 
 from ledgerlake import operators as op

@@ -1,7 +1,7 @@
 from datetime import datetime
 from decimal import Decimal
 
-from conftest import values
+from support import values
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

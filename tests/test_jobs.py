@@ -4,7 +4,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
-from conftest import values
+from support import values
 
 from ledgerlake.jobs import parser, run
 from ledgerlake.operators import KeyedTable

@@ -4,7 +4,7 @@ import os
 
 import pytest
 from compare import connect, difference, entry
-from conftest import plan
+from support import plan
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES, ORACLES = entry.QUERIES, entry.ORACLES

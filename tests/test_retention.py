@@ -1,6 +1,6 @@
 from datetime import datetime
 
-from conftest import plan, values
+from support import plan, values
 
 from ledgerlake import operators as op
 

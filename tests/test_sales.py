@@ -4,7 +4,7 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
-from conftest import plan, values
+from support import plan, values
 
 from ledgerlake.plans import commerce, crates
 from ledgerlake.sources import flatten_invoices, read_json_docs

@@ -1,7 +1,7 @@
 """One key holds a third of all rows: results stay whole and no task gets the whole group."""
 
 import pytest
-from conftest import plan
+from support import plan
 from pyspark.sql import functions as F
 
 from ledgerlake import operators as op

@@ -1,6 +1,6 @@
 from datetime import datetime
 
-from conftest import plan, values
+from support import plan, values
 from pyspark.sql import functions as F
 
 from ledgerlake import sources as src

@@ -1,7 +1,7 @@
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import values
+from support import values
 
 from ledgerlake.operators import KeyedTable, apply_changes
 from ledgerlake.session import scratch, scratch_database
