@@ -148,10 +148,10 @@ def text_chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int
         i = j
 
 
-def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, bounds: np.ndarray, fold: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The words of concatenated UTF-8 texts: a 64-bit hash, first byte and end of each, and each text's bounds in them.
 
-    A-Z count as a-z. The hash of a word is a polynomial in its bytes, taken from prefix sums, and mixed.
+    With ``fold`` A-Z count as a-z. The hash of a word is a polynomial in its bytes, taken from prefix sums, and mixed.
     """
     n = len(data)
     if not n:
@@ -167,7 +167,7 @@ def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
     up, down = _powers.get(n + 1)
     sums = np.empty(n + 1, np.uint64)
     sums[0] = 0
-    np.cumsum(_VALUE[_LOW[data]] * up[:n], out=sums[1:])
+    np.cumsum(_VALUE[_LOW[data] if fold else data] * up[:n], out=sums[1:])
     h = (sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64)
     return mix(h), first, last, np.searchsorted(first, bounds)
 

@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from ledgerlake.llm import decontamination, fixity, jaccard_join, language_model, licences, nearest, sentencepieces, sharding, toxicity, wrapper
+from ledgerlake.llm import (
+    decontamination,
+    fixity,
+    jaccard_join,
+    language_model,
+    licences,
+    nearest,
+    periodic_runs,
+    sentencepieces,
+    sharding,
+    toxicity,
+    wrapper,
+)
 
 QUERIES = {
     "op1_decontamination": decontamination.op1_decontamination,
@@ -15,5 +27,11 @@ QUERIES = {
     "op8_sentencepiece": sentencepieces.op8_sentencepiece,
     "op9_licences": licences.op9_licences,
     "op10_nearest": nearest.op10_nearest,
+    "op13_periodic_runs": periodic_runs.op13_periodic_runs,
+}
+ORACLES = {
+    "op1_decontamination": decontamination.OP1_SQL,
+    "op3_warc_fixity": fixity.OP3_SQL,
+    "op6_jaccard_join": jaccard_join.OP6_SQL,
+    "op13_periodic_runs": periodic_runs.OP13_SQL,
 }
-ORACLES = {"op1_decontamination": decontamination.OP1_SQL, "op3_warc_fixity": fixity.OP3_SQL, "op6_jaccard_join": jaccard_join.OP6_SQL}
