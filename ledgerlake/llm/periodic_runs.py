@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.llm.common import BLANKS, crc_of_id, materialised, mix, table, text_chunks, word_hashes
+from ledgerlake.llm.common import BLANKS, CRC_TABLE, crc_of_id, crc_sql, materialised, mix, table, text_chunks, word_hashes
 
 LEAST = 12  # words in a run
 SHORT = 32  # periods below it are scanned directly
@@ -264,14 +264,7 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-#: DuckDB: the CRC-32 of a list of bytes, with the table ``crc`` (made by rule) at hand.
-CRC_TABLE = "crc AS (SELECT list_transform(range(256), lambda x: list_reduce(list_prepend(x, range(8)), lambda c, k: xor(c >> 1, 3988292384 * (c & 1)))) AS t)"
-
-
-def crc_sql(bytes_: str) -> str:
-    return f"xor(list_reduce(list_prepend(4294967295, {bytes_}), lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1])), 4294967295)"
-
-
+#: DuckDB: runs as the stretches of equal words at each lag, by comparing all equal words of a text.
 OP13_SQL = f"""WITH {CRC_TABLE},
 d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS o,
   {crc_sql("list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))")} AS h FROM documents, crc),

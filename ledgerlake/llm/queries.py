@@ -12,6 +12,7 @@ from ledgerlake.llm import (
     periodic_runs,
     sentencepieces,
     sharding,
+    spelling,
     toxicity,
     wrapper,
 )
@@ -27,11 +28,13 @@ QUERIES = {
     "op8_sentencepiece": sentencepieces.op8_sentencepiece,
     "op9_licences": licences.op9_licences,
     "op10_nearest": nearest.op10_nearest,
+    "op11_spelling_variants": spelling.op11_spelling_variants,
     "op13_periodic_runs": periodic_runs.op13_periodic_runs,
 }
 ORACLES = {
     "op1_decontamination": decontamination.OP1_SQL,
     "op3_warc_fixity": fixity.OP3_SQL,
     "op6_jaccard_join": jaccard_join.OP6_SQL,
+    "op11_spelling_variants": spelling.OP11_SQL,
     "op13_periodic_runs": periodic_runs.OP13_SQL,
 }
