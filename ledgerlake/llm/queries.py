@@ -10,6 +10,7 @@ from ledgerlake.llm import (
     licences,
     nearest,
     periodic_runs,
+    quality,
     sentencepieces,
     sharding,
     spelling,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_licences": licences.op9_licences,
     "op10_nearest": nearest.op10_nearest,
     "op11_spelling_variants": spelling.op11_spelling_variants,
+    "op12_quality_rules": quality.op12_quality_rules,
     "op13_periodic_runs": periodic_runs.op13_periodic_runs,
 }
 ORACLES = {
