@@ -12,6 +12,10 @@ from pyspark.sql import types as T
 
 from ledgerlake.session import scratch
 
+#: Of a batch handed to Python. Texts have no bound, so rows alone say nothing of its size; a longer text is a batch of its own.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What separates words: the blank and the control characters from tab to carriage return.
 BLANKS = "[\\x20\\x09-\\x0D]+"
@@ -28,6 +32,13 @@ def land(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(T.StructType([T.StructField(f.name, f.dataType) for f in df.schema])).parquet(path)
 
 
+def in_batches(df: DataFrame) -> DataFrame:
+    """``df`` for ``mapInArrow``, in batches bounded by bytes: in this session from now on, unless it has a bound of its own."""
+    if not df.sparkSession.conf.get(_BATCH_SETTING, None):
+        df.sparkSession.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+    return df
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
@@ -154,6 +165,7 @@ def text_chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int
         j = min(j, n)
         yield i, j, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
         i = j
+    pa.default_memory_pool().release_unused()  # workers live on, and another operator's may be next
 
 
 def word_hashes(data: np.ndarray, bounds: np.ndarray, fold: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

@@ -22,10 +22,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import id_bitmap, in_bitmap, land, mix, shingle_hashes, table, text_chunks, word_hashes
+from ledgerlake.llm.common import id_bitmap, in_batches, in_bitmap, land, mix, shingle_hashes, table, text_chunks, word_hashes
 
 GROWTH = 1.5  # of sizes, from band to band
 RESERVE = 0.06  # share of cells
@@ -33,6 +33,7 @@ BITMAP = [f"b{i}" for i in range(8)]
 WIDE_FROM = 256  # sets of more members have a second bitmap
 MAX_SIZE = 1 << 40
 MOST_TURNS = 4
+CELL_PART = 2_000  # members of a cell compared with each other in one task
 
 
 def bands(percent: int) -> tuple[tuple[int, int, int, int], ...]:
@@ -88,7 +89,18 @@ def _sets(batch: pa.RecordBatch, width: int) -> Iterator[tuple[pa.RecordBatch, l
         yield batch.slice(i, j - i), [shingle_hashes(h[a:b], width) for a, b in zip(at[:-1], at[1:], strict=True)]
 
 
-DIGEST = "doc_id bigint, n bigint, d1 bigint, d2 bigint"
+DIGEST = "doc_id bigint, textual bigint, n bigint, d1 bigint, d2 bigint"
+
+
+def _digests(sets: list[np.ndarray]) -> tuple[pa.Array, pa.Array]:
+    """Two numbers by which a set is known, with its size; zeros for an empty one."""
+    d = np.zeros((2, len(sets)), np.uint64)
+    for i, u in enumerate(sets):
+        if len(u):
+            d[:, i] = u.sum(), np.bitwise_xor.reduce(mix(u))
+    return pa.array(d[0].view(np.int64).copy()), pa.array(d[1].view(np.int64).copy())
+
+
 FEATURES = DIGEST + ", " + ", ".join(f"{b} bigint" for b in BITMAP) + ", wide array<bigint>"
 
 
@@ -97,21 +109,17 @@ def _features(batches: Iterator[pa.RecordBatch], width: int, percent: int | None
     empty, all_bands = np.empty(0, np.uint64), bands(percent) if percent else ()
     for batch in batches:
         for part, sets in _sets(batch, width):
-            digests = np.zeros((len(sets), 2), np.uint64)
             maps = np.zeros((len(sets), 8), np.int64)
             values, wide = [], []
             for i, u in enumerate(sets):
-                if len(u):
-                    digests[i] = u.sum(), np.bitwise_xor.reduce(mix(u))
-                    if not percent:
-                        maps[i] = parity(u, 512).view(np.int64)
+                if len(u) and not percent:
+                    maps[i] = parity(u, 512).view(np.int64)
                 if percent:
                     values.append(cells(u, percent, all_bands) if len(u) else empty)
                     continue
                 wide.append(parity(u, max(1024, 1 << (len(u) - 1).bit_length())) if len(u) > WIDE_FROM else empty)
-            d = digests.view(np.int64)
-            columns = [part.column("doc_id").cast(pa.int64()), pa.array(np.array([len(u) for u in sets], np.int64)), pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy())]
-            names = ["doc_id", "n", "d1", "d2", *(["cells"] if percent else [*BITMAP, "wide"])]
+            columns = [part.column("doc_id"), part.column("textual"), pa.array(np.array([len(u) for u in sets], np.int64)), *_digests(sets)]
+            names = ["doc_id", "textual", "n", "d1", "d2", *(["cells"] if percent else [*BITMAP, "wide"])]
             columns += [_lists(values)] if percent else [*[pa.array(maps[:, i].copy()) for i in range(8)], _lists(wide)]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -120,7 +128,7 @@ def _whole_sets(batches: Iterator[pa.RecordBatch], width: int, bitmap: Broadcast
     for batch in batches:
         wanted = batch.filter(pa.array(in_bitmap(bitmap.value, batch.column("hashed").to_numpy())))
         for part, sets in _sets(wanted, width):
-            yield pa.RecordBatch.from_arrays([part.column("id"), _lists(sets)], names=["id", "hashes"])
+            yield pa.RecordBatch.from_arrays([part.column("id"), *_digests(sets), _lists(sets)], names=["id", "d1", "d2", "hashes"])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -140,6 +148,11 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _textual() -> Column:
+    """What a row's text is known by besides its id, which may be repeated."""
+    return F.xxhash64(F.col("text").cast("string"))
+
+
 def similar_groups(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """(doc_id, n_shingles, component_id) per row: links join documents with ``100 * common >= percent * union``.
 
@@ -148,7 +161,12 @@ def similar_groups(docs: DataFrame, width: int, percent: int) -> DataFrame:
     shingle. Rows that share an id are vertices of their own; a null id takes part but is never the smallest, and
     stays null where no other document is linked. Other columns are ignored.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return _grouped(docs, width, percent).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(doc_id, textual, n, component, component_id) per row; ``component`` tells groups apart, also those of one smallest id."""
+    texts = in_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), _textual().alias("textual"), F.col("text").cast("string").alias("text")))
     features = land(texts.mapInArrow(functools.partial(_features, width=width, percent=None), FEATURES), "features")
     key = ["n", "d1", "d2"]
     # equal sets are one class, and one vertex; numbers given on landing are unique and stay
@@ -160,9 +178,9 @@ def similar_groups(docs: DataFrame, width: int, percent: int) -> DataFrame:
     cell = celled.alias("f").join(classes.alias("c"), same).select("c.v", F.explode("cells").alias("cell"))
     shared = cell.groupBy("cell").agg(F.min("v").alias("w"), F.max("v").alias("x")).where("w < x").select("cell")
     members = land(cell.join(shared, "cell"), "members")
-    one = features.alias("f").join(classes.alias("c"), same).select("c.v", "c.n", "c.rep", *[F.col(f"f.{c}").alias(c) for c in (*BITMAP, "wide")])
+    one = features.alias("f").join(classes.alias("c"), same).select("c.v", "c.n", "c.d1", "c.d2", "c.rep", *[F.col(f"f.{c}").alias(c) for c in (*BITMAP, "wide")])
     facts = land(one.join(members.select("v").distinct(), "v", "left_semi").dropDuplicates(["v"]), "class-facts")
-    text = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("doc_id").cast("long")).alias("hashed"), F.col("text").cast("string").alias("text"))
+    text = in_batches(docs).select(F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("doc_id").cast("long")).alias("hashed"), F.col("text").cast("string").alias("text"))
 
     def side(name: str, *more: str) -> DataFrame:
         return facts.select(*[F.col(c).alias(f"{name}_{c}") for c in ("v", "n", *BITMAP, *more)])
@@ -183,11 +201,11 @@ def similar_groups(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Those of the pairs (a, b) that are similar, on whole sets made anew of the texts concerned."""
-        wanted = land(facts.join(pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct(), "v", "left_semi").select("v", "rep", "n"), "wanted")
+        wanted = land(facts.join(pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct(), "v", "left_semi").select("v", "rep", "n", F.col("d1").alias("w1"), F.col("d2").alias("w2")), "wanted")
         bitmap = docs.sparkSession.sparkContext.broadcast(id_bitmap(wanted, "rep"))
-        found = text.mapInArrow(functools.partial(_whole_sets, width=width, bitmap=bitmap), "id bigint, hashes array<bigint>")
+        found = text.mapInArrow(functools.partial(_whole_sets, width=width, bitmap=bitmap), "id bigint, d1 bigint, d2 bigint, hashes array<bigint>")
         # a repeated id may bring the set of another class
-        mine = F.col("id").eqNullSafe(F.col("rep")) & (F.size("hashes") == F.col("n"))
+        mine = F.col("id").eqNullSafe(F.col("rep")) & (F.size("hashes") == F.col("n")) & (F.col("d1") == F.col("w1")) & (F.col("d2") == F.col("w2"))
         sets = land(found.join(wanted, mine).select("v", "hashes").dropDuplicates(["v"]), "sets")
         a, b = (sets.select(F.col("v").alias(side), F.col("hashes").alias(f"set_{side}")) for side in "ab")
         common = F.size(F.array_intersect("set_a", "set_b"))
@@ -210,35 +228,47 @@ def similar_groups(docs: DataFrame, width: int, percent: int) -> DataFrame:
             grouped = land(named.join(mixed, "cell", "left_semi"), "mixed")
         if not new:
             break
-    # what is still in different groups, pair by pair
-    a, b = (grouped.select("cell", F.col("v").alias(f"{x}_v"), F.col("c").alias(f"{x}_c")).join(side(x), f"{x}_v") for x in "ab")
-    rest = a.join(b, (a["cell"] == b["cell"]) & (F.col("a_v") < F.col("b_v")) & (F.col("a_c") != F.col("b_c")) & near)
+    # what is still in different groups, pair by pair. A cell of many members is dealt out in parts, each pair of which is
+    # compared in a task of its own; only pairs that sizes and bitmaps do not exclude leave the comparison
+    in_parts = grouped.join(grouped.groupBy("cell").agg(F.ceil(F.count("*") / CELL_PART).cast("int").alias("parts")), "cell")
+    part = F.pmod(F.xxhash64("v"), "parts").cast("int")
+    every = F.sequence(F.lit(0), F.col("parts") - 1)
+    meets = {
+        "a": F.transform(every, lambda i: F.struct(part.alias("left"), i.alias("right"))),
+        "b": F.transform(every, lambda i: F.struct(i.alias("left"), part.alias("right"))),
+    }
+    a, b = (
+        in_parts.select("cell", F.col("v").alias(f"{x}_v"), F.col("c").alias(f"{x}_c"), F.inline(meets[x])).join(side(x), f"{x}_v") for x in "ab"
+    )
+    here = (a["cell"] == b["cell"]) & (a["left"] == b["left"]) & (a["right"] == b["right"])
+    rest = a.join(b, here & (F.col("a_v") < F.col("b_v")) & (F.col("a_c") != F.col("b_c")) & near)
     more = verified(land(possible(rest.select(F.col("a_v").alias("a"), F.col("b_v").alias("b")).distinct()), "rest"))
     if more.limit(1).count():
         groups = components(links.union(more))
     smallest = classes.join(groups, "v", "left").withColumn("c", F.coalesce("c", "v"))
     ids = smallest.groupBy("c").agg(F.min("rep").alias("component_id"))
-    named = smallest.join(ids, "c").select(*key, "component_id")
-    rows = features.select("doc_id", *key).where("n > 0").join(named, key)
-    alone = features.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
-    return rows.select("doc_id", "n", "component_id").union(alone).withColumnRenamed("n", "n_shingles")
+    named = smallest.join(ids, "c").select(*key, F.col("c").alias("component"), "component_id")
+    columns = ["doc_id", "textual", "n", "component", "component_id"]
+    rows = features.select("doc_id", "textual", *key).where("n > 0").join(named, key)
+    alone = features.where("n = 0").withColumn("component", F.lit(None).cast("long")).withColumn("component_id", F.col("doc_id"))
+    return rows.select(columns).union(alone.select(columns))
 
 
 def keep_one_of_each_group(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """All columns of the documents that remain when of each group only the document of the smallest id stays.
 
-    Documents without words stay. Of rows that share the smallest id of their group one stays, whichever comes first.
-    Rows with a null id stay where their group has no id.
+    Documents without words all stay. Of rows of a group that share its smallest id one stays (of different texts that of
+    the smallest hash); groups of unrelated texts keep one each, also where these share an id. A null id is larger than others.
     """
-    groups = similar_groups(docs, width, percent)
-    empty = groups.where("n_shingles = 0").select("doc_id").distinct().withColumn("_empty", F.lit(True))
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = kept.join(empty, kept["doc_id"].eqNullSafe(empty["doc_id"]), "left").select(kept["doc_id"].alias("_kept"), "_empty")
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")))
-    whole = rows.where("_empty IS NOT NULL").select(*docs.columns)
-    return rows.where("_empty IS NULL AND doc_id IS NOT NULL").dropDuplicates(["doc_id"]).select(*docs.columns).union(whole).union(
-        rows.where("_empty IS NULL AND doc_id IS NULL").select(*docs.columns)
-    )
+    groups = _grouped(docs, width, percent)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "textual")).alias("first")
+    kept = groups.where("n > 0").groupBy("component").agg(first).select(F.col("first.doc_id").alias("_kept"), F.col("first.textual").alias("_text"), F.lit(False).alias("_all"))
+    empty = groups.where("n = 0").select(F.col("doc_id").alias("_kept"), F.col("textual").alias("_text"), F.lit(True).alias("_all"))
+    stays = kept.union(empty).distinct()
+    held = docs.withColumn("_textual", _textual())
+    rows = held.join(stays, F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")) & (F.col("_textual") == F.col("_text")))
+    one = rows.where(~F.col("_all")).dropDuplicates(["doc_id", "_textual"])
+    return one.select(*docs.columns).union(rows.where("_all").select(*docs.columns))
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.llm.common import BLANKS, CRC_TABLE, crc_of_id, crc_sql, materialised, mix, table, text_chunks, word_hashes
+from ledgerlake.llm.common import BLANKS, CRC_TABLE, crc_of_id, crc_sql, in_batches, materialised, mix, table, text_chunks, word_hashes
 
 LEAST = 12  # words in a run
 SHORT = 32  # periods below it are scanned directly
@@ -235,7 +235,7 @@ def periodic_runs(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     rest = docs.drop("n_words", "runs", "collapsed")
     types = T.StructType([*rest.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("runs", RUNS), T.StructField("collapsed", T.StringType())])
-    return rest.withColumn("_runs_of", F.coalesce(F.col(text).cast("string"), F.lit(""))).mapInArrow(_with_runs, types)
+    return in_batches(rest.withColumn("_runs_of", F.coalesce(F.col(text).cast("string"), F.lit("")))).mapInArrow(_with_runs, types)
 
 
 def repeated_tails(docs: DataFrame) -> Column:

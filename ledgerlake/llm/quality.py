@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.llm.common import crc_of_id, land, mix, table, text_chunks, word_hashes
+from ledgerlake.llm.common import crc_of_id, in_batches, land, mix, table, text_chunks, word_hashes
 
 
 def _bytes(chars: bytes | range) -> np.ndarray:
@@ -293,7 +293,7 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     rest = docs.drop(*STATISTICS)
     types = T.StructType([*rest.schema.fields, *[T.StructField(s, T.DoubleType()) for s in STATISTICS]])
-    return rest.withColumn("_text", F.coalesce(F.col(text).cast("string"), F.lit(""))).mapInArrow(_with_statistics, types)
+    return in_batches(rest.withColumn("_text", F.coalesce(F.col(text).cast("string"), F.lit("")))).mapInArrow(_with_statistics, types)
 
 
 MAX_ROWS = 30_000  # labelled rows that the rules are fitted on

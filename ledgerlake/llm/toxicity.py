@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.llm.common import crc_of_id, land, table, text_chunks
+from ledgerlake.llm.common import crc_of_id, in_batches, land, table, text_chunks
 
 #: Common insults and hostile words by kind, in English, German, French and Spanish.
 LEXICONS = {
@@ -285,9 +285,8 @@ def _lexicon(counts: list[tuple[str, int, int]], toxic: int, rows: int) -> Learn
 
 def _scored(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        scores = model.scores(batch_features(batch.column("_text"), [model.learned], [0] * batch.num_rows))
-        rest = [c for c in batch.schema.names if c != "_text"]
-        yield pa.RecordBatch.from_arrays([*[batch.column(batch.schema.names.index(c)) for c in rest], pa.array(scores, pa.float64())], names=[*rest, "_score"])
+        scores = model.scores(batch_features(batch.column("text"), [model.learned], [0] * batch.num_rows))
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, "_score"])
 
 
 MAX_ROWS = 30_000  # labelled rows that the model is fitted on
@@ -328,10 +327,9 @@ def score_documents(docs: DataFrame, model: Model, score: str = "score") -> Data
 
     A column that is already called like the score is replaced. Every row of the input has one row, repeated ones too.
     """
-    rest = docs.drop(score)
+    rest = in_batches(docs.drop(score).withColumn("text", F.col("text").cast("string")))
     types = T.StructType([*rest.schema.fields, T.StructField("_score", T.DoubleType())])
-    out = rest.withColumn("_text", F.coalesce(F.col("text").cast("string"), F.lit("")))
-    return out.mapInArrow(functools.partial(_scored, model=model), types).withColumnRenamed("_score", score)
+    return rest.mapInArrow(functools.partial(_scored, model=model), types).withColumnRenamed("_score", score)
 
 
 THRESHOLD = 0.7

@@ -89,6 +89,40 @@ def test_one_of_each_group_stays(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [2, 7, 11, 12]
 
 
+def test_rows_of_one_id_and_size_lose_no_link_in_either_order(spark):
+    rng = random.Random(21)
+    first, second = prose(60, rng), prose(60, rng)
+    near_first, near_second = (f"{t.rsplit(' ', 1)[0]} other" for t in (first, second))
+    rows = [(5, second), (5, first), (3, near_first), (8, near_second)]
+    assert len({len(shingles(t, 4)) for _, t in rows}) == 1
+    for order in (rows, rows[::-1], [rows[1], rows[0], *rows[2:]]):
+        df = frame(spark, [t for _, t in order], [i for i, _ in order]).coalesce(1)
+        got = sorted(map(tuple, jaccard_join.similar_groups(df, 4, 85).collect()))
+        assert [(i, c) for i, _, c in got] == [(3, 3), (5, 3), (5, 5), (8, 5)]
+
+
+def test_unrelated_texts_of_one_id_both_stay(spark):
+    rng = random.Random(22)
+    a, b = prose(60, rng), prose(60, rng)
+    near = f"{a} more"
+    df = frame(spark, [near, a, b, a, None, a, near], [3, 5, 5, 9, None, None, 3])
+    kept = jaccard_join.keep_one_of_each_group(df, 4, 85)
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted([(3, near), (5, b), (None, None)], key=repr)
+    alone = jaccard_join.keep_one_of_each_group(frame(spark, [a, a, b], [None, None, None]), 4, 85)
+    assert sorted(r.text for r in alone.collect()) == sorted([a, b])
+
+
+def test_many_texts_of_one_template_below_the_limit(spark, monkeypatch):
+    """They share cells but are not similar: parts of a cell meet each other, and what is similar is still found."""
+    monkeypatch.setattr(jaccard_join, "CELL_PART", 90)
+    rng = random.Random(23)
+    template = prose(40, rng).split()
+    texts = [" ".join([*template, *(f"w{rng.randint(0, 10**9)}" for _ in range(14))]) for _ in range(900)]
+    texts += [f"{t} z" for t in texts[:25]]
+    got = {r.doc_id: r.component_id for r in jaccard_join.similar_groups(frame(spark, texts), 4, 85).collect()}
+    assert got == {i: i if i < 900 else i - 900 for i in range(925)}
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.integers(1, 300), st.integers(0, 40), st.sampled_from([50, 80, 85, 95]), st.integers(0, 10**6))
 def test_similar_sets_agree_in_a_cell(n, changes, percent, seed):
