@@ -281,9 +281,7 @@ SELECT {columns} FROM (
 WHERE place = 1"""
 
 
-ORACLES: dict[str, str] = {
-    # sources
-    "scan_json_docs": f"""
+ENTRY_SUMMARY = f"""
 WITH {LINES}
 SELECT p._id, 'JE' || p.o_orderkey AS entry_id, strftime(p.o_orderdate, '%Y-%m-%d') AS date,
   p.o_orderpriority AS description,
@@ -291,7 +289,12 @@ SELECT p._id, 'JE' || p.o_orderkey AS entry_id, strftime(p.o_orderdate, '%Y-%m-%
     WHEN p.tax > 0 THEN 3 ELSE 2 END AS BIGINT) AS line_count,
   CAST(CASE WHEN p.l_orderkey IS NULL THEN CASE WHEN p.o_orderkey % 2 = 1 THEN 0 ELSE NULL END
     WHEN p.l_returnflag = 'R' THEN p.amount + p.tax ELSE p.amount END AS {MONEY}) AS total_debit
-FROM posted p""",
+FROM posted p"""
+
+ORACLES: dict[str, str] = {
+    # sources
+    "scan_json_docs": ENTRY_SUMMARY,
+    "scan_json_array": ENTRY_SUMMARY,
     "scan_json_inferred": f"WITH {INVOICES} SELECT * FROM invoices",
     "invoices_flatten": f"WITH {INVOICES} SELECT * FROM invoices",
     "scan_csv_orders": f"""

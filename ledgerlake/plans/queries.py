@@ -49,11 +49,7 @@ def _arrived(raw: DataFrame, col: str, split: str) -> tuple[DataFrame, DataFrame
 # sources
 
 
-@query
-def scan_json_docs(spark, sf):
-    path = scratch(spark, "journal-json")
-    staging.raw_journal(spark, sf).drop("ingest_ts").write.json(path)
-    docs = src.read_json_docs(spark, path, JOURNAL_ENTRIES.schema)
+def _entry_summary(docs: DataFrame) -> DataFrame:
     debits = F.aggregate("lines", F.lit(0).cast("decimal(28,2)"), lambda a, x: (a + x.debit).cast("decimal(28,2)"))
     return docs.select(
         "_id",
@@ -65,6 +61,21 @@ def scan_json_docs(spark, sf):
     )
 
 
+@query
+def scan_json_docs(spark, sf):
+    path = scratch(spark, "journal-json")
+    staging.raw_journal(spark, sf).drop("ingest_ts").write.json(path)
+    return _entry_summary(src.read_json_docs(spark, path, JOURNAL_ENTRIES.schema))
+
+
+@query
+def scan_json_array(spark, sf):
+    """Files that hold one array each, every split of them read by a task."""
+    path = scratch(spark, "journal-array")
+    staging.write_array_files(staging.raw_journal(spark, sf).drop("ingest_ts"), path, "_id")
+    return _entry_summary(src.read_json_array(spark, f"{path}/*", JOURNAL_ENTRIES.schema))
+
+
 @query
 def scan_json_inferred(spark, sf):
     """The schema comes from the documents; all are read."""

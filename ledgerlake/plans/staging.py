@@ -7,7 +7,7 @@ load times, text that is no date or number, a tax account that takes part in mos
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,6 +81,15 @@ def raw_journal(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def write_array_files(docs: DataFrame, path: str, key: str, files: int = 4) -> None:
+    """Documents as JSON arrays, each of ``files`` files one array; a document ends its line."""
+    by = Window.partitionBy("part").orderBy(key, "doc")
+    parts = docs.select(key, F.to_json(F.struct("*")).alias("doc")).withColumn("part", F.pmod(F.xxhash64(key), F.lit(files)))
+    begins, ends = F.row_number().over(by) == 1, F.lead("doc").over(by).isNull()
+    line = F.concat(F.when(begins, "[").otherwise(""), F.col("doc"), F.when(ends, "]").otherwise(","))
+    parts.select("part", line.alias("line")).write.partitionBy("part").text(path)
+
+
 def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts and suppliers as accounts, each loaded twice under two names."""
     parts = table(spark, sf_dir, "part").select(

@@ -14,9 +14,11 @@ from ledgerlake.sources.files import (
     read_json_docs,
     read_json_inferred,
 )
+from ledgerlake.sources.json_arrays import array_documents, read_json_array
 
 __all__ = [
     "MarkStore",
+    "array_documents",
     "flatten_envelope",
     "flatten_invoices",
     "list_files",
@@ -24,6 +26,7 @@ __all__ = [
     "point_lookup",
     "read_collection",
     "read_delimited",
+    "read_json_array",
     "read_json_docs",
     "read_json_inferred",
     "row_counts",

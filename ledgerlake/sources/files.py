@@ -19,7 +19,7 @@ def read_json_docs(
     """Scan JSON documents against a declared schema.
 
     JSON lines split across tasks. ``json_array`` reads files that hold one top-level array; such a
-    file is one task whatever its size, so use it for small exports only. ``corrupt_col`` keeps the
+    file is one task whatever its size; :func:`ledgerlake.sources.read_json_array` reads large ones in parallel. ``corrupt_col`` keeps the
     text of documents that are not JSON at all.
     """
     reader = spark.read.option("multiLine", str(json_array).lower())

@@ -1,10 +1,14 @@
+import json
 from datetime import datetime
 
+import pytest
 from support import plan, values
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlake import sources as src
 from ledgerlake.session import scratch
+from ledgerlake.sources import read_json_array, read_json_docs
 from ledgerlake.specs import ACCOUNTS, CRATE_ORDERS
 
 
@@ -53,3 +57,43 @@ def test_file_listing_reads_no_content(spark):
     listed = src.list_files(spark, path)
     assert listed.count() == 2
     assert "content" not in plan(listed)
+
+
+ODD_DOCS = [
+    {"id": "a", "note": 'braces } { ] [ and "quotes" \\', "lines": [{"n": 1, "t": "}"}, {"n": 2, "t": '\\"}{"'}]},
+    {"id": "b", "note": "", "lines": []},
+    {"id": "ü€😀", "note": "\\\\", "lines": [{"n": 3, "t": ",[{"}]},
+    {"id": "d", "note": None, "lines": None},
+    {},
+    *[{"id": f"long {i}", "note": "x}" * i, "lines": [{"n": k, "t": "\\" * k} for k in range(i % 7)]} for i in range(60)],
+]
+ODD_SCHEMA = "id string, note string, lines array<struct<n: int, t: string>>"
+
+
+@pytest.mark.parametrize("indent, split", [(None, "90"), (3, "250"), (None, "7"), (None, "1000000")])
+def test_an_array_is_read_in_splits(spark, tmp_path, indent, split):
+    (tmp_path / "one.json").write_text(json.dumps(ODD_DOCS, indent=indent), encoding="utf-8")
+    (tmp_path / "two.json").write_text(" [ " + json.dumps(ODD_DOCS[0], ensure_ascii=False) + " \n]\n", encoding="utf-8")
+    (tmp_path / "none.json").write_text("[]")
+    schema = T.StructType.fromDDL(ODD_SCHEMA)
+    want = values(read_json_docs(spark, str(tmp_path), schema, json_array=True))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        scan = spark.read.option("lineSep", "}").text(str(tmp_path))
+        assert (scan.select(F.spark_partition_id()).distinct().count() > 10) == (int(split) < 1000)
+        assert values(read_json_array(spark, str(tmp_path), schema)) == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(want) == len(ODD_DOCS) + 1
+
+
+def test_an_array_that_breaks_off_loses_its_last_document(spark, tmp_path):
+    text = json.dumps(ODD_DOCS)
+    (tmp_path / "cut.json").write_text(text[:-30])
+    got = read_json_array(spark, str(tmp_path), T.StructType.fromDDL("id string"), "wrong").collect()
+    assert [r.wrong for r in got] == [None] * len(got)
+    assert sorted(r.id or "" for r in got) == sorted(d.get("id", "") for d in ODD_DOCS[:-1])
+    (tmp_path / "odd.json").write_text('[{"id": "a"}, {"id": 1 2}]')
+    got = read_json_array(spark, str(tmp_path / "odd.json"), T.StructType.fromDDL("id string"), "wrong").collect()
+    assert sorted(((r.id, r.wrong) for r in got), key=repr) == sorted([("a", None), (None, '{"id": 1 2}')], key=repr)
