@@ -293,6 +293,8 @@ FROM posted p"""
 
 ORACLES: dict[str, str] = {
     # sources
+    "read_dump_range": """
+SELECT c_custkey, c_name, c_mktsegment, CAST(c_acctbal AS DECIMAL(18,2)) AS c_acctbal FROM customer WHERE c_custkey >= 100 AND c_custkey < 900""",
     "scan_json_docs": ENTRY_SUMMARY,
     "scan_json_array": ENTRY_SUMMARY,
     "scan_json_inferred": f"WITH {INVOICES} SELECT * FROM invoices",

@@ -107,6 +107,18 @@ def read_collection(spark, sf):
     return docs.select("c_custkey", "c_name", "c_mktsegment")
 
 
+@query
+def read_dump_range(spark, sf):
+    """A range of keys from a dump that is in their order; documents are parsed by Spark."""
+    path = scratch(spark, "customer-dump")
+    customers = table(spark, sf, "customer").withColumn("_id", F.col("c_custkey"))
+    docs = customers.select("_id", F.to_json(F.struct("_id", "c_name", "c_mktsegment", F.col("c_acctbal").cast(MONEY).cast("string").alias("c_acctbal"))).alias("doc"))
+    docs.orderBy("_id").select("doc").write.text(path)
+    found = src.read_dump(spark, path, key_type="long", range_bytes=8 << 10).where("_id >= 100 AND _id < 900")
+    parsed = F.from_json("doc", "c_name string, c_mktsegment string, c_acctbal decimal(18,2)")
+    return found.select(F.col("_id").alias("c_custkey"), F.inline(F.array(parsed)))
+
+
 @query
 def incremental_since_mark(spark, sf):
     loaded, _ = _arrived(table(spark, sf, "events"), "ts", EVENTS_SPLIT)

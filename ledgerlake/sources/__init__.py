@@ -6,6 +6,7 @@ from ledgerlake.sources.collections import (
     row_counts,
     since_mark,
 )
+from ledgerlake.sources.dumps import DocumentDump, read_dump
 from ledgerlake.sources.files import (
     flatten_envelope,
     flatten_invoices,
@@ -17,6 +18,7 @@ from ledgerlake.sources.files import (
 from ledgerlake.sources.json_arrays import array_documents, read_json_array
 
 __all__ = [
+    "DocumentDump",
     "MarkStore",
     "array_documents",
     "flatten_envelope",
@@ -26,6 +28,7 @@ __all__ = [
     "point_lookup",
     "read_collection",
     "read_delimited",
+    "read_dump",
     "read_json_array",
     "read_json_docs",
     "read_json_inferred",

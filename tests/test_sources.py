@@ -97,3 +97,47 @@ def test_an_array_that_breaks_off_loses_its_last_document(spark, tmp_path):
     (tmp_path / "odd.json").write_text('[{"id": "a"}, {"id": 1 2}]')
     got = read_json_array(spark, str(tmp_path / "odd.json"), T.StructType.fromDDL("id string"), "wrong").collect()
     assert sorted(((r.id, r.wrong) for r in got), key=repr) == sorted([("a", None), (None, '{"id": 1 2}')], key=repr)
+
+
+def _dump(path, keys, key="_id", wrap=lambda k: k):
+    path.write_text("".join(json.dumps({key: wrap(k), "note": f"é {k} " + "x" * (hash(str(k)) % 90)}) + "\n" for k in keys), encoding="utf-8")
+
+
+def test_a_dump_is_read_by_key_ranges(spark, tmp_path):
+    _dump(tmp_path / "a.json", [f"{i:05}" for i in range(0, 3000, 2)])
+    _dump(tmp_path / "b.json", [f"{i:05}" for i in [1, 3, 3, 3, 700, 5000]], wrap=lambda k: {"$oid": k})
+    (tmp_path / "empty.json").write_text("")
+    dump = src.read_dump(spark, str(tmp_path), range_bytes=2000)
+    assert dump.rdd.getNumPartitions() > 30
+    want = sorted([f"{i:05}" for i in range(0, 3000, 2)] + [f"{i:05}" for i in [1, 3, 3, 3, 700, 5000]])
+    rows = dump.collect()
+    assert sorted(r._id for r in rows) == want
+    assert all(json.loads(r.doc)["note"].startswith(f"é {r._id}") for r in rows)
+
+
+@pytest.mark.parametrize(
+    "asked, keep, most",
+    [
+        ("_id = '00700'", lambda k: k == "00700", 2),
+        ("_id = '00003'", lambda k: k == "00003", 1),
+        ("_id = '9'", lambda k: False, 0),
+        ("_id >= '02990'", lambda k: k >= "02990", 2),
+        ("_id > '00010' AND _id <= '00020'", lambda k: "00010" < k <= "00020", 2),
+        ("_id IN ('00002', '00008')", lambda k: k in ("00002", "00008"), 2),
+        ("_id < '00000'", lambda k: False, 0),
+        ("_id >= '00100' AND doc LIKE '%zzz%'", lambda k: False, 999),
+    ],
+)
+def test_filters_on_the_key_prune_ranges(spark, tmp_path, asked, keep, most):
+    keys = {"a.json": [f"{i:05}" for i in range(0, 3000, 2)], "b.json": [f"{i:05}" for i in [1, 3, 3, 3, 700, 5000]]}
+    for name, values_ in keys.items():
+        _dump(tmp_path / name, values_)
+    found = src.read_dump(spark, str(tmp_path), range_bytes=2000).where(asked)
+    assert sorted(r._id for r in found.collect()) == sorted(k for ks in keys.values() for k in ks if keep(k))
+    assert found.rdd.getNumPartitions() <= max(1, most)
+
+
+def test_a_dump_out_of_order_is_an_error(spark, tmp_path):
+    _dump(tmp_path / "a.json", [5, 7, 6])
+    with pytest.raises(Exception, match="not in the order"):
+        src.read_dump(spark, str(tmp_path), key_type="long").collect()
