@@ -33,6 +33,7 @@ def parser() -> argparse.ArgumentParser:
     ingest.add_argument("--reload", action="store_true", help="replace the collections instead of adding to them")
     curate = jobs.add_parser("curate", help="merge raw accounts, close tasks and journal entries into silver and gold")
     curate.add_argument("--by-line", action="store_true", help="keep several lines of an entry on one account apart")
+    curate.add_argument("--revised", action="store_true", help="a later load of a document replaces all its lines (with --by-line)")
     orders = jobs.add_parser("orders", help="merge raw order documents into the orders table")
     report = jobs.add_parser("report", help="write the crate sales reports")
     report.add_argument("--orders", required=True, help="crate orders, delimited text")
@@ -77,11 +78,12 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     open_database(spark, args.database, args.root)
     if args.job == "ingest":
         docs = {name: _documents(spark, path) for name, path in _named(args.collections).items()}
-        ledger.ingest_collections(spark, args.database, docs, ts=now, reload=args.reload)
+        for c in ledger.ingest_collections(spark, args.database, docs, ts=now, reload=args.reload, load=f"{now:%Y%m%dT%H%M%S%f}"):
+            print(f"{c.collection}: {c.documents} documents, {c.rows} rows, {c.rejects} rejects, load {c.load_id}")
     elif args.job == "curate":
         accounts = ledger.raw_table(spark, args.database, "accounts")
         with _increments(spark, args, "close_tasks", "journal_entries") as (tasks, journal):
-            ledger.curate(spark, args.database, tasks, journal, accounts, now, args.by_line)
+            ledger.curate(spark, args.database, tasks, journal, accounts, now, args.by_line, args.revised)
     elif args.job == "orders":
         with _increments(spark, args, "orders") as (raw,):
             commerce.sync_orders(spark, f"{args.database}.orders_silver", raw, now)

@@ -75,6 +75,15 @@ class KeyedTable:
         """Create the table or replace it whole."""
         self._save(self._placed(df), "overwrite")
 
+    def replace_partitions(self, df: DataFrame) -> None:
+        """Create the table, or write over the partitions that the rows go to; the others stay. Repeating it changes nothing."""
+        if not self.exists():
+            self.append(df)
+            return
+        placed = self._placed(df).select(*self.spark.table(self.name).columns)
+        with _dynamic_overwrite(self.spark):
+            self._balanced(placed).write.mode("overwrite").insertInto(self.name)
+
     def merge(self, source: DataFrame, newer_by: str | None = None) -> None:
         """Upsert by key. A row whose partition value changes leaves its old partition, which is rewritten too."""
         incoming = self._landed(self._placed(source), "incoming")

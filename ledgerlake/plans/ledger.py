@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
+from dataclasses import astuple, dataclass
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import (
@@ -28,7 +32,7 @@ from ledgerlake.operators import (
     split_null_keys,
 )
 from ledgerlake.session import scratch
-from ledgerlake.specs import CLOSE_TASKS, COLLECTIONS, JOURNAL_ENTRIES, CollectionSpec
+from ledgerlake.specs import CLOSE_TASKS, COLLECTIONS, JOURNAL_ENTRIES, MONEY, CollectionSpec
 
 ACCOUNT_ATTRIBUTES = {"name": "account_name", "type": "account_type"}
 LINE_FIELDS = ["account_id", "debit", "credit"]
@@ -53,14 +57,31 @@ def ingest_documents(docs: DataFrame, doc_col: str, spec: CollectionSpec, ts=Non
     return with_ingest_ts(good.drop(SOURCE_TEXT), ts), rejects
 
 
-def append_raw(spark: SparkSession, df: DataFrame, name: str, spec: CollectionSpec, reload: bool = False) -> None:
-    """Land rows append-only by load day; ``reload`` starts the collection afresh, once for the whole load."""
-    table = KeyedTable(spark, name, list(spec.keys), "ingest_date")
-    dated = df.withColumn("ingest_date", F.to_date("ingest_ts"))
+LOAD = "load_id"
+
+
+def append_raw(spark: SparkSession, df: DataFrame, name: str, spec: CollectionSpec, reload: bool = False, load: str | None = None) -> None:
+    """Land rows append-only by load day; ``reload`` starts the collection afresh, once for the whole load.
+
+    The rows of a load are partitions of their own, so a load that was broken off and is repeated under the same id comes once.
+    """
+    table = KeyedTable(spark, name, list(spec.keys), ["ingest_date", LOAD])
+    dated = df.withColumns({"ingest_date": F.to_date("ingest_ts"), LOAD: F.lit(load or uuid.uuid4().hex)})
     if reload:
         table.reload(dated)
     else:
-        table.append(dated)
+        table.replace_partitions(dated)
+
+
+@dataclass(frozen=True)
+class LoadCount:
+    """What a load has written of a collection."""
+
+    collection: str
+    load_id: str
+    documents: int
+    rows: int
+    rejects: int
 
 
 def ingest_collections(
@@ -70,26 +91,37 @@ def ingest_collections(
     doc_col: str = "doc",
     ts=None,
     reload: bool = False,
-) -> None:
+    load: str | None = None,
+    specs: Mapping[str, CollectionSpec] = COLLECTIONS,
+) -> list[LoadCount]:
     """Land every collection's documents in ``raw_<name>`` and the ones that do not fit in ``rejects_<name>``.
 
-    Documents are read and parsed once: they are landed by whether they fit, and both halves come from there.
+    Documents are read and parsed once: they are landed by whether they fit, and both halves come from there. What is
+    written is counted by that same write. ``load`` names the load: repeating it, wherever it was broken off, leaves its rows and
+    rejects there once, and its line in the table ``loads``, which comes last, says that it is complete.
     """
+    load, counts = load or uuid.uuid4().hex, []
     for name, docs in documents.items():
-        spec = COLLECTIONS[name]
+        spec = specs[name]
         path = scratch(spark, f"ingest-{name}")
+        fits = F.col("_fits")
         conformed = conform_documents(docs, doc_col, spec).withColumn("_fits", F.size(PROBLEMS) == 0)
-        conformed.write.partitionBy("_fits").parquet(path)
+        written = Observation(f"load-{name}")
+        numbers = [F.count(F.lit(1)).alias("documents"), F.count_if(fits).alias("rows"), F.count_if(~fits).alias("rejects")]
+        conformed.observe(written, *numbers).write.partitionBy("_fits").parquet(path)
         landed = spark.read.schema(conformed.schema).parquet(path)
-        rejects = landed.where(~F.col("_fits")).drop("_fits")
-        texts = nested_to_json(with_ingest_ts(rejects, ts))
-        texts.write.format("parquet").mode("append").saveAsTable(f"{database}.rejects_{name}")
+        rejects = with_ingest_ts(landed.where(~fits).drop("_fits"), ts).withColumn(LOAD, F.lit(load))
+        KeyedTable(spark, f"{database}.rejects_{name}", list(spec.keys), LOAD).replace_partitions(nested_to_json(rejects))
         rows = landed.where("_fits").drop("_fits", PROBLEMS, SOURCE_TEXT)
-        append_raw(spark, with_ingest_ts(rows, ts), f"{database}.raw_{name}", spec, reload)
+        append_raw(spark, with_ingest_ts(rows, ts), f"{database}.raw_{name}", spec, reload, load)
+        counts.append(LoadCount(name, load, **written.get))
+    lines = spark.createDataFrame([astuple(c) for c in counts], "collection string, load_id string, documents bigint, rows bigint, rejects bigint")
+    KeyedTable(spark, f"{database}.loads", ["collection"], LOAD).replace_partitions(lines)
+    return counts
 
 
 def raw_table(spark: SparkSession, database: str, name: str) -> DataFrame:
-    return spark.table(f"{database}.raw_{name}")
+    return spark.table(f"{database}.raw_{name}").drop(LOAD)
 
 
 def close_tasks_silver(raw: DataFrame, run_ts=None) -> DataFrame:
@@ -111,24 +143,32 @@ def line_keys(by_line: bool = False) -> list[str]:
     return ["entry_id", "account_id", *(["_id", "line_no"] if by_line else [])]
 
 
-def latest_lines(raw: DataFrame, by_line: bool = False) -> DataFrame:
+def latest_documents(raw: DataFrame) -> DataFrame:
+    """The latest load of each document, so that lines which a revision has dropped are not found. Documents without an id stay."""
+    keyed, others = split_null_keys(raw, ["_id"])
+    return keep_latest(keyed, ["_id"], ["ingest_ts"]).unionByName(others)
+
+
+def latest_lines(raw: DataFrame, by_line: bool = False, revised: bool = False) -> DataFrame:
     """The latest load of each line.
 
     A line is known by entry and account, which merges two lines of one entry on one account;
-    ``by_line`` keeps them apart by document and position.
+    ``by_line`` keeps them apart by document and position. ``revised`` takes lines from the latest load of their document
+    only: a revision replaces the whole document, lines that it no longer has included.
     """
+    raw = latest_documents(raw) if revised else raw
     lines = journal_lines(raw, line_no="line_no" if by_line else None)
     keyed, _ = split_null_keys(lines, line_keys())
     return keep_latest(keyed, line_keys(by_line), ["ingest_ts"])
 
 
-def journal_silver(raw: DataFrame, accounts: DataFrame, by_line: bool = False) -> DataFrame:
+def journal_silver(raw: DataFrame, accounts: DataFrame, by_line: bool = False, revised: bool = False) -> DataFrame:
     """Deduplicated lines with account name and type.
 
     Deduplicating first is what keeps a hot account harmless: the join is then the last shuffle,
     so AQE is free to split it.
     """
-    return enrich(latest_lines(raw, by_line), accounts, "account_id", ACCOUNT_ATTRIBUTES, ["ingest_ts"])
+    return enrich(latest_lines(raw, by_line, revised), accounts, "account_id", ACCOUNT_ATTRIBUTES, ["ingest_ts"])
 
 
 def journal_gold(lines: DataFrame) -> DataFrame:
@@ -170,6 +210,43 @@ def fact_journal_line(lines: DataFrame) -> DataFrame:
     )
 
 
+GOLD_KEYS = ["entry_id", "entry_date"]
+
+
+def journal_gold_counted(lines: DataFrame) -> DataFrame:
+    """Gold with the number of lines of each total, by which a total without lines is known to be gone."""
+    return gold_after(None, signed_changes(None, lines))
+
+
+def signed_changes(before: DataFrame | None, after: DataFrame | None) -> DataFrame:
+    """What turns the totals of the lines ``before`` into those of the lines ``after``: old ones negative, and new ones.
+
+    Null amounts count as zero.
+    """
+    parts = []
+    for lines, sign in ((before, -1), (after, 1)):
+        if lines is not None:
+            amounts = [(F.coalesce(F.col(c), F.lit(0)) * sign).cast(MONEY).alias(f"total_{c}") for c in ("credit", "debit")]
+            parts.append(lines.select(*GOLD_KEYS, *amounts, F.lit(sign).cast("long").alias("line_count")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def gold_after(stored: DataFrame | None, changes: DataFrame, only_touched: bool = False) -> DataFrame:
+    """The ``stored`` totals (with ``line_count``) after signed ``changes``, which are summed onto them; silver is not read.
+
+    ``only_touched`` returns the groups of the changes alone. Groups without lines go, so a touched group may not be there.
+    """
+    sums = [F.sum(c).cast(MONEY).alias(c) for c in ("total_credit", "total_debit")]
+    deltas = changes.groupBy(*GOLD_KEYS).agg(*sums, F.sum("line_count").alias("line_count"))
+    if stored is None:
+        return deltas.where("line_count > 0")
+    kept = stored.select(*deltas.columns)
+    if only_touched:
+        touched = deltas.select(*[F.col(k).alias(f"_{k}") for k in GOLD_KEYS])
+        kept = kept.join(touched, reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in GOLD_KEYS]), "left_semi")
+    return kept.unionByName(deltas).groupBy(*GOLD_KEYS).agg(*sums, F.sum("line_count").alias("line_count")).where("line_count > 0")
+
+
 def curate(
     spark: SparkSession,
     database: str,
@@ -178,12 +255,16 @@ def curate(
     accounts: DataFrame,
     run_ts=None,
     by_line: bool = False,
+    revised: bool = False,
 ) -> None:
     """Merge newly loaded raw rows into the silver tables and bring the gold totals up to date.
 
     Safe to repeat with the same rows. Only the entries that changed are totalled again. ``by_line`` keeps several
-    lines of one entry on one account apart; a table is made with or without it and stays so.
+    lines of one entry on one account apart; a table is made with or without it and stays so. ``revised`` takes a load of a
+    document for a revision of it: the lines of its earlier loads go, which needs every line's document, so ``by_line`` too.
     """
+    if revised and not by_line:
+        raise ValueError("revised needs by_line: without it a line does not tell its document")
     month = CLOSE_TASKS.partition_by
     silver_tasks = KeyedTable(spark, f"{database}.close_tasks_silver", ["task_id"], month)
     typed = close_tasks_silver(tasks, run_ts).withColumn(month, F.trunc("due_date", "month"))
@@ -191,7 +272,11 @@ def curate(
 
     month = JOURNAL_ENTRIES.partition_by
     silver = KeyedTable(spark, f"{database}.journal_entries_silver", line_keys(by_line), month)
-    silver.merge(journal_silver(journal, accounts, by_line).withColumn(month, F.trunc("entry_date", "month")))
+    lines = journal_silver(journal, accounts, by_line, revised).withColumn(month, F.trunc("entry_date", "month"))
+    if revised:
+        silver.replace_groups(lines, journal.where("_id IS NOT NULL").select("_id").distinct(), ["_id"])
+    else:
+        silver.merge(lines)
 
     gold = KeyedTable(spark, f"{database}.journal_entries_gold", ["entry_id", "entry_date"], "entry_year")
     changed = journal.select("entry_id").distinct()

@@ -381,6 +381,16 @@ FROM latest GROUP BY entry_id, entry_date""",
 WITH {LINES},{_latest_lines('latest', by_line=True)}
 SELECT entry_id, entry_date, CAST(sum(credit) AS {MONEY}) AS total_credit, CAST(sum(debit) AS {MONEY}) AS total_debit
 FROM latest GROUP BY entry_id, entry_date""",
+    "journal_gold_revised": f"""
+WITH {LINES},{_latest_lines('latest', by_line=True)}
+SELECT entry_id, entry_date, CAST(sum(credit) AS {MONEY}) AS total_credit, CAST(sum(debit) AS {MONEY}) AS total_debit
+FROM latest GROUP BY entry_id, entry_date""",
+    "load_counts": """
+SELECT CASE WHEN first THEN 'one' ELSE 'two' END AS load_id, 'extended_orders' AS collection, count(*) AS documents,
+  count(*) FILTER (WHERE ok) AS "rows", count(*) FILTER (WHERE NOT ok) AS rejects,
+  count(*) FILTER (WHERE ok) AS rows_found, count(*) FILTER (WHERE NOT ok) AS rejects_found
+FROM (SELECT l_partkey % 40 NOT IN (1, 2, 3) AS ok,
+  concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) LIKE '%-1-%' AS first FROM lineitem) GROUP BY first""",
     "journal_entry_detail": f"""
 WITH {LINES},{ACCOUNTS}
 SELECT _id, entry_id, entry_date, description, account_id, debit, credit,
@@ -404,6 +414,10 @@ WITH {TASKS},{_latest_tasks('old_tasks', BEFORE)},{_latest_tasks('new_tasks', AF
 WITH {LINES},{_latest_lines('old_lines', SOLD_BEFORE)},{_latest_lines('new_lines', SOLD_AFTER)} {_MERGED_LINES}""",
     "upsert_idempotent": f"""
 WITH {LINES},{_latest_lines('old_lines', SOLD_BEFORE)},{_latest_lines('new_lines', SOLD_AFTER)} {_MERGED_LINES}""",
+    "journal_gold_deltas": f"""
+WITH {LINES},{_latest_lines('latest')}
+SELECT entry_id, entry_date, CAST(sum(credit) AS {MONEY}) AS total_credit, CAST(sum(debit) AS {MONEY}) AS total_debit, count(*) AS line_count
+FROM latest GROUP BY entry_id, entry_date""",
     "journal_gold_refresh": f"""
 WITH {LINES},{_latest_lines('latest')}
 SELECT entry_id, entry_date, CAST(sum(credit) AS {MONEY}) AS total_credit, CAST(sum(debit) AS {MONEY}) AS total_debit

@@ -295,6 +295,12 @@ def journal_gold_by_line(spark, sf):
     return ledger.journal_gold(ledger.latest_lines(staging.raw_journal(spark, sf), by_line=True))
 
 
+@query
+def journal_gold_revised(spark, sf):
+    """Lines that a later load of their document has dropped do not count."""
+    return ledger.journal_gold(ledger.latest_lines(staging.revised_journal(spark, sf), by_line=True, revised=True))
+
+
 @query
 def journal_entry_detail(spark, sf):
     return ledger.journal_entry_detail(staging.raw_journal(spark, sf), staging.raw_accounts(spark, sf))
@@ -350,6 +356,29 @@ def journal_gold_refresh(spark, sf):
     return op.replace_groups(ledger.journal_gold(target), totals, changed, ["entry_id"])
 
 
+@query
+def journal_gold_deltas(spark, sf):
+    """Gold brought up to date by signed changes: what the merge replaces, negative, and what it brings."""
+    target, source = _journal_halves(spark, sf)
+    keys = ["entry_id", "account_id"]
+    replaced = target.join(source.select(*keys).distinct(), keys, "left_semi")
+    return ledger.gold_after(ledger.journal_gold_counted(target), ledger.signed_changes(replaced, source))
+
+
+@query
+def load_counts(spark, sf):
+    """Documents, rows and rejects of two loads, the second of which is repeated, as the writes have counted them."""
+    docs = staging.extended_json_orders(spark, sf)
+    halves = {"one": docs.where(F.col("doc").contains("-1-")), "two": docs.where(~F.col("doc").contains("-1-"))}
+    database, specs = scratch_database(spark, "loads"), {EXTENDED_ORDERS.name: EXTENDED_ORDERS}
+    for load in ("one", "two", "two"):
+        ledger.ingest_collections(spark, database, {EXTENDED_ORDERS.name: halves[load]}, ts=ntz(RUN_TS), load=load, specs=specs)
+    raw, rejects = (spark.table(f"{database}.{t}_{EXTENDED_ORDERS.name}") for t in ("raw", "rejects"))
+    there = raw.select("load_id", F.lit(1).alias("r"), F.lit(0).alias("x")).union(rejects.select("load_id", F.lit(0), F.lit(1)))
+    found = there.groupBy("load_id").agg(F.sum("r").alias("rows_found"), F.sum("x").alias("rejects_found"))
+    return spark.table(f"{database}.loads").join(found, "load_id")
+
+
 @query
 def dedup_subset(spark, sf):
     lines = table(spark, sf, "lineitem").select(

@@ -162,3 +162,63 @@ def test_entry_account_totals_count_a_document_once(spark, accounts):
     doc = entry("x", "E", "2023-03-14", [("a10", 5, 0), ("9999", 1, 0)], T0)
     raw = spark.createDataFrame([doc, doc], RAW)
     assert values(ledger.entry_account_totals(raw, accounts)) == [("E", "a10", Decimal("5.00"), Decimal("0.00"))]
+
+
+def test_a_revision_takes_its_dropped_lines_along(spark, accounts):
+    a, b, c = ("a10", 7, 0), ("b20", 0, 7), ("c30", 0, 7)
+    rows = [entry("x", "E1", "2023-03-14", [a, b], T0), entry("x", "E1", "2023-03-14", [a, c], T1), entry(None, "E2", "2023-03-14", [a, b], T0)]
+    raw = spark.createDataFrame(rows, RAW)
+    gold = ledger.journal_gold(ledger.latest_lines(raw, by_line=True, revised=True))
+    day = date(2023, 3, 14)
+    assert values(gold) == [("E1", day, Decimal("7.00"), Decimal("7.00")), ("E2", day, Decimal("7.00"), Decimal("7.00"))]
+    db = scratch_database(spark, "revised")
+    tasks = spark.createDataFrame([], TASK_DDL)
+    for load in (T0, T1, T1):
+        ledger.curate(spark, db, tasks, raw.where(F.col("ingest_ts") == load), accounts, by_line=True, revised=True)
+    lines = spark.table(f"{db}.journal_entries_silver").where("entry_id = 'E1'")
+    assert sorted(r.account_id for r in lines.collect()) == ["a10", "c30"]
+    totals = spark.table(f"{db}.journal_entries_gold").select("entry_id", "total_credit", "total_debit")
+    assert values(totals) == [("E1", Decimal("7.00"), Decimal("7.00")), ("E2", Decimal("7.00"), Decimal("7.00"))]
+    with pytest.raises(ValueError, match="by_line"):
+        ledger.curate(spark, db, tasks, raw, accounts, revised=True)
+
+
+LINE_DDL = "entry_id string, entry_date date, account_id string, credit decimal(18,2), debit decimal(18,2)"
+
+
+def test_signed_changes_equal_totals_made_anew(spark):
+    d = date(2023, 3, 14)
+    line = lambda e, day, account, credit, debit: (e, day, account, Decimal(credit), None if debit is None else Decimal(debit))
+    before = [line("E1", d, "a", 5, 0), line("E1", d, "b", 0, 5), line("E2", None, "a", 3, None), line("E3", d, "a", 1, 1), line(None, d, "a", 2, 2)]
+    # one line changes, one moves to another day, one goes, and one comes without a date
+    changed = {0: line("E1", d, "a", 9, 0), 1: line("E1", date(2023, 4, 1), "b", 0, 9), 3: None}
+    after = [line("E2", None, "c", 4, 4)] + [changed.get(i, x) for i, x in enumerate(before) if changed.get(i, x)]
+    frames = [spark.createDataFrame(rows, LINE_DDL) for rows in (before, after, [before[i] for i in changed], [x for x in [*changed.values(), after[0]] if x])]
+    changes = ledger.signed_changes(*frames[2:])
+    stored, want = ledger.journal_gold_counted(frames[0]), ledger.journal_gold_counted(frames[1])
+    assert values(ledger.gold_after(stored, changes)) == values(want)
+    assert values(want.drop("line_count")) == values(ledger.journal_gold(frames[1]))
+    touched = {r.entry_id for r in ledger.gold_after(stored, changes, only_touched=True).collect()}
+    assert touched == {"E1", "E2"}  # E3 has no line left, and nothing touches the entry without an id
+
+
+def test_a_load_that_breaks_off_and_is_repeated_comes_once(spark, monkeypatch):
+    db = scratch_database(spark, "loads")
+    docs = spark.createDataFrame([('{"_id":"1","account_id":"a","name":"n","type":"t"}',), ("no json",), ('{"_id":"2","account_id":"b"}',)], "doc string")
+
+    def load(name, frame=docs):
+        return ledger.ingest_collections(spark, db, {"accounts": frame}, ts=T0, load=name)
+
+    with monkeypatch.context() as m:
+        m.setattr(ledger, "append_raw", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            load("l1")
+    assert not spark.catalog.tableExists(f"{db}.loads")
+    for _ in range(2):
+        assert load("l1") == [ledger.LoadCount("accounts", "l1", 3, 2, 1)]
+    load("l2", docs.limit(0))
+    load("l3")
+    assert spark.table(f"{db}.raw_accounts").count() == 4
+    assert spark.table(f"{db}.rejects_accounts").count() == 2
+    assert values(spark.table(f"{db}.loads").select("load_id", "documents", "rows", "rejects")) == [("l1", 3, 2, 1), ("l2", 0, 0, 0), ("l3", 3, 2, 1)]
+    assert "load_id" not in ledger.raw_table(spark, db, "accounts").columns
