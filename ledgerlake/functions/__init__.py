@@ -18,8 +18,11 @@ from ledgerlake.functions.documents import (
     split_conformed,
     with_ingest_ts,
 )
+from ledgerlake.functions.drift import observed_schemas, schema_drift
 
 __all__ = [
+    "observed_schemas",
+    "schema_drift",
     "PROBLEMS",
     "backfill_ingest_ts",
     "blank_to",

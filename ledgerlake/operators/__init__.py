@@ -23,8 +23,11 @@ from ledgerlake.operators.joins import enrich, join_splittable, only_known
 from ledgerlake.operators.retention import compaction_plan, orphan_files, snapshots_to_expire
 from ledgerlake.operators.tables import KeyedTable
 from ledgerlake.operators.upsert import apply_changes, merge_into_catalog, replace_groups, upsert
+from ledgerlake.operators.versions import as_of, validity
 
 __all__ = [
+    "as_of",
+    "validity",
     "KeyedTable",
     "apply_changes",
     "canonical_attribute",

@@ -88,11 +88,13 @@ def apply_changes(
     sequence: list[str],
     op_col: str,
     deletes: tuple[str, ...] = ("delete",),
+    marker: str | None = None,
 ) -> DataFrame:
     """The target after a change feed: per key only the last change counts, deletes remove the row.
 
-    Where the target has the ``sequence`` columns, a change older than the row it meets is late and does nothing. A row
-    that was deleted leaves no marker, so keep the feed whole, or use the streaming form, where deletes may come late.
+    Where the target has the ``sequence`` columns, a change older than the row it meets is late and does nothing. Without
+    ``marker`` a deleted row leaves nothing behind, so the feed must come in order, batch by batch. ``marker`` names a boolean
+    column of the target: a deleted row stays with it true, and a late change cannot revive it; the others are the live rows.
     """
     last = keep_latest(changes.where(_keyed(keys)), keys, sequence)
     if set(sequence) <= set(target.columns):
@@ -100,7 +102,10 @@ def apply_changes(
         newer = last.select(*keys, F.struct(*sequence).alias("_sequence")).join(stored, keys).where("_sequence < _stored").select(*keys).distinct()
         last = last.join(newer, keys, "left_anti")
     kept = target.join(last.select(*keys), keys, "left_anti")
-    stays = ~F.coalesce(F.col(op_col).isin(*deletes), F.lit(False))
+    gone = F.coalesce(F.col(op_col).isin(*deletes), F.lit(False))
+    if marker:
+        return kept.unionByName(last.withColumn(marker, gone).select(*target.columns))
+    stays = ~gone
     return kept.unionByName(last.where(stays).select(*target.columns))
 
 

@@ -281,6 +281,17 @@ SELECT {columns} FROM (
 WHERE place = 1"""
 
 
+_CRC = """list_reduce(list_prepend(4294967295, list_transform(string_split(account_id, ''), lambda c: CAST(ascii(c) AS BIGINT))),
+  lambda h, b: list_reduce(list_prepend(xor(h, b), range(8)), lambda c, k: xor(c >> 1, 3988292384 * (c & 1))))"""
+RENAMED = f"""
+renamed AS (
+  SELECT account_id, prefix || name AS name, type, TIMESTAMP '1995-01-01' + to_days(n) AS ts
+  FROM accounts, (VALUES ('', 0), ('', 900), ('new ', 1500), ('', 2000)) AS v(prefix, n)
+  WHERE n = 0 OR xor({_CRC}, 4294967295) % 4 > 0),
+versions AS (
+  SELECT account_id, name, type, ts AS valid_from, lead(ts) OVER (PARTITION BY account_id ORDER BY ts) AS valid_to
+  FROM (SELECT *, lag(name) OVER (PARTITION BY account_id ORDER BY ts) AS before FROM renamed) WHERE before IS DISTINCT FROM name)"""
+
 ENTRY_SUMMARY = f"""
 WITH {LINES}
 SELECT p._id, 'JE' || p.o_orderkey AS entry_id, strftime(p.o_orderdate, '%Y-%m-%d') AS date,
@@ -337,6 +348,17 @@ WHERE event_id > (SELECT max(event_id) FROM events WHERE ts < TIMESTAMP '2024-01
 WITH {TEXT_LINES} SELECT order_id, line_no, quantity, shipped_on, note, product_id, line_total
 FROM text_lines WHERE problems = ''""",
     "conform_rejects": f"WITH {TEXT_LINES} SELECT * FROM text_lines WHERE problems <> ''",
+    "schema_drift": """
+SELECT y AS load_year, path, declared, observed, drift
+FROM (SELECT DISTINCT CAST(year(o_orderdate) AS INT) AS y FROM orders WHERE o_orderkey % 50 <> 49), (VALUES
+  ('lines[].line_total', 'string', NULL, 'missing', 0), ('lines[].rebate', NULL, 'bigint', 'new', 1997),
+  ('lines[].quantity', 'int', NULL, 'missing', 1998), ('origin', NULL, 'object', 'new', 1999),
+  ('customer_id', 'string', NULL, 'missing', 2000), ('status', 'string', 'mixed', 'retyped', 2000),
+  ('total_amount', 'string', 'boolean', 'retyped', 2001)) AS v(path, declared, observed, drift, since)
+WHERE y >= since""",
+    "observed_documents": """
+SELECT CAST(year(o_orderdate) AS INT) AS load_year, count(*) AS documents, count(*) FILTER (WHERE o_orderkey % 50 = 49) AS unreadable,
+  year(o_orderdate) >= 1999 AS has_origin FROM orders GROUP BY ALL""",
     "nested_to_json": """
 SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS _id,
   '{"street":"' || l_linenumber || ' Quay","city":"City ' || l_suppkey || '","state":"' || l_returnflag || '"}'
@@ -381,6 +403,11 @@ FROM latest GROUP BY entry_id, entry_date""",
 WITH {LINES},{_latest_lines('latest', by_line=True)}
 SELECT entry_id, entry_date, CAST(sum(credit) AS {MONEY}) AS total_credit, CAST(sum(debit) AS {MONEY}) AS total_debit
 FROM latest GROUP BY entry_id, entry_date""",
+    "account_versions": f"WITH {ACCOUNTS},{RENAMED} SELECT * FROM versions",
+    "journal_as_loaded": f"""
+WITH {LINES},{_latest_lines('latest')},{ACCOUNTS},{RENAMED}
+SELECT latest.*, name AS account_name, type AS account_type FROM latest LEFT JOIN versions v
+  ON v.account_id = latest.account_id AND ingest_ts >= valid_from AND (valid_to IS NULL OR ingest_ts < valid_to)""",
     "journal_gold_revised": f"""
 WITH {LINES},{_latest_lines('latest', by_line=True)}
 SELECT entry_id, entry_date, CAST(sum(credit) AS {MONEY}) AS total_credit, CAST(sum(debit) AS {MONEY}) AS total_debit

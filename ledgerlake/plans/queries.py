@@ -14,9 +14,9 @@ from ledgerlake import sources as src
 from ledgerlake.plans import commerce, crates, ledger, staging
 from ledgerlake.plans.staging import RUN_TS, ntz, table
 from ledgerlake.session import scratch, scratch_database
-from ledgerlake.specs import CRATE_ORDERS, INVOICE_ENVELOPE, JOURNAL_ENTRIES, MONEY, CollectionSpec, strings
+from ledgerlake.specs import CRATE_ORDERS, INVOICE_ENVELOPE, JOURNAL_ENTRIES, MONEY, ORDERS, CollectionSpec, strings
 from ledgerlake.streaming import append_stream, dedup_stream, sync_stream
-from ledgerlake.streaming.changes import live_rows
+from ledgerlake.streaming.changes import DELETED, live_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,6 +36,9 @@ EXTENDED_ORDERS = CollectionSpec(
 )
 
 
+DRIFT_DECLARED = T.StructType([f for f in ORDERS.schema.fields if f.name != "ingest_ts"])
+
+
 def query(f: Query) -> Query:
     QUERIES[f.__name__] = f
     return f
@@ -204,6 +207,19 @@ def conform_rejects(spark, sf):
     return rejects.withColumn("problems", F.array_join("_problems", ",")).drop("_problems")
 
 
+@query
+def schema_drift(spark, sf):
+    """What the documents of each year have, lack or have otherwise than declared."""
+    docs = staging.drifting_orders(spark, sf)
+    return fn.schema_drift(docs, "doc", DRIFT_DECLARED, ["load_year"])
+
+
+@query
+def observed_documents(spark, sf):
+    counted = fn.observed_schemas(staging.drifting_orders(spark, sf), "doc", ["load_year"])
+    return counted.select("load_year", "documents", "unreadable", F.col("schema").contains("origin").alias("has_origin"))
+
+
 @query
 def nested_to_json(spark, sf):
     rows = fn.nested_to_json(staging.flat_orders(spark, sf, nested=True))
@@ -285,6 +301,18 @@ def journal_silver_by_line(spark, sf):
     return ledger.journal_silver(staging.raw_journal(spark, sf), staging.raw_accounts(spark, sf), by_line=True)
 
 
+@query
+def journal_as_loaded(spark, sf):
+    """Lines with the name that their account had when they were loaded."""
+    lines = ledger.latest_lines(staging.raw_journal(spark, sf))
+    return op.as_of(lines, staging.renamed_accounts(spark, sf), ["account_id"], "ingest_ts", "ingest_ts", ledger.ACCOUNT_ATTRIBUTES)
+
+
+@query
+def account_versions(spark, sf):
+    return op.validity(staging.renamed_accounts(spark, sf), ["account_id"], "ingest_ts", ["name", "type"])
+
+
 @query
 def journal_gold(spark, sf):
     return ledger.journal_gold(ledger.latest_lines(staging.raw_journal(spark, sf)))
@@ -640,11 +668,14 @@ def table_reload(spark, sf):
 
 @query
 def cdc_apply(spark, sf):
-    old, new = _arrived(staging.change_feed(spark, sf), "changed_at", EVENTS_SPLIT)
+    """A feed out of order: every third change comes after all others, deletes and what they deleted included."""
+    feed = staging.change_feed(spark, sf)
+    late = F.col("seq") % 3 == 0
     columns = ["user_id", "seq", "last_event", "last_value", "changed_at"]
-    empty = spark.createDataFrame([], old.select(*columns).schema)
-    before = op.apply_changes(empty, old, ["user_id"], ["seq"], "op")
-    return op.apply_changes(before, new, ["user_id"], ["seq"], "op")
+    state = spark.createDataFrame([], feed.select(*columns, F.lit(False).alias(DELETED)).schema)
+    for batch in (feed.where(~late), feed.where(late)):
+        state = op.apply_changes(state, batch, ["user_id"], ["seq"], "op", marker=DELETED)
+    return state.where(~F.col(DELETED)).drop(DELETED)
 
 
 def _feed_files(spark, sf) -> DataFrame:

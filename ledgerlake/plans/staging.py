@@ -120,6 +120,20 @@ def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def renamed_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The accounts, loaded again at times that depend on them: some with another name, some as they were, some never."""
+    loads = raw_accounts(spark, sf_dir).where("ingest_ts >= DATE'1995-01-01'")
+    turn = F.pmod(F.crc32(F.col("account_id").cast("binary")), F.lit(4))
+    days = lambda n: F.col("ingest_ts") + F.expr(f"INTERVAL {n} DAY")
+    again = F.array(
+        F.struct(F.col("name"), days(900).alias("ingest_ts")),
+        F.struct(_text("new ", F.col("name")).alias("name"), days(1500).alias("ingest_ts")),
+        F.struct(F.col("name"), days(2000).alias("ingest_ts")),
+    )
+    later = loads.select("account_id", "type", turn.alias("_turn"), F.explode(again).alias("_load")).where("_turn > 0")
+    return loads.unionByName(later.select("account_id", "_load.name", "type", "_load.ingest_ts"))
+
+
 def raw_close_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A task per user; some rows lack the task id, the load time or a proper due date."""
     i = F.col("event_id")
@@ -241,6 +255,30 @@ TEXT_ORDER_SCHEMA = strings(
 )
 
 
+def drifting_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order documents by year of their load: from 1997 on they change shape, a little more each year, and some are no JSON."""
+    year = F.year("o_orderdate")
+    line = F.struct(
+        _text("P", F.col("o_custkey")).alias("product_id"),
+        F.when(year < 1998, F.col("o_custkey").cast("int")).alias("quantity"),
+        F.lit("1.50").alias("unit_price"),
+        F.when(year >= 1997, F.lit(2)).alias("rebate"),
+    )
+    doc = F.struct(
+        F.col("o_orderkey").cast("string").alias("_id"),
+        _text("O", F.col("o_orderkey")).alias("order_id"),
+        F.when(year < 2000, F.lit("C")).alias("customer_id"),
+        F.to_date("o_orderdate").cast("string").alias("order_date"),
+        F.when(year >= 1999, F.struct(F.lit("web").alias("channel"))).alias("origin"),
+        F.array(line).alias("lines"),
+    )
+    # a status is text, later a number in some documents and text in others
+    head = F.when((year >= 2000) & (F.col("o_orderkey") % 2 == 0), '{"status":7,').otherwise('{"status":"done",')
+    amount = F.when(year >= 2001, '"total_amount":true,').otherwise('"total_amount":"9.99",')
+    whole = F.concat(head, amount, F.substring(F.to_json(doc), 2, 1 << 20))
+    return table(spark, sf_dir, "orders").select(year.alias("load_year"), F.when(F.col("o_orderkey") % 50 == 49, "{ no json").otherwise(whole).alias("doc"))
+
+
 def flat_orders(spark: SparkSession, sf_dir: str, nested: bool = False) -> DataFrame:
     """Flat orders with address and metadata objects, as JSON text unless ``nested``."""
     address = F.struct(

@@ -89,3 +89,14 @@ def test_late_changes_do_not_overwrite_newer_rows(spark):
     feed = spark.createDataFrame([(1, 4, "late", "update"), (2, 5, "new", "update"), (2, 4, "x", "delete")], "k int, seq int, v string, op string")
     assert values(op.apply_changes(target, feed, ["k"], ["seq"], "op")) == [(1, 9, "kept"), (2, 5, "new")]
     assert values(op.apply_changes(target, feed.withColumn("op", F.lit("delete")), ["k"], ["seq"], "op")) == [(1, 9, "kept")]
+
+
+def test_late_changes_do_not_revive_what_a_marker_keeps(spark):
+    changes = [(1, 4, "upsert", "late"), (1, 9, "delete", None), (2, 1, "upsert", "a"), (2, 3, "upsert", "b"), (3, 2, "delete", None), (3, 5, "upsert", "back")]
+    empty = spark.createDataFrame([], "k int, seq int, v string, gone boolean")
+    for order in (changes, changes[::-1], [changes[i] for i in (1, 0, 3, 2, 5, 4)]):
+        state = []
+        for change in (order[:2], order[2:3], order[3:]):
+            target = spark.createDataFrame(state, empty.schema)
+            state = values(op.apply_changes(target, spark.createDataFrame(change, "k int, seq int, op string, v string"), ["k"], ["seq"], "op", marker="gone"))
+        assert state == [(1, 9, None, True), (2, 3, "b", False), (3, 5, "back", False)]
