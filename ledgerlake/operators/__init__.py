@@ -24,8 +24,16 @@ from ledgerlake.operators.retention import compaction_plan, orphan_files, snapsh
 from ledgerlake.operators.tables import KeyedTable
 from ledgerlake.operators.upsert import apply_changes, merge_into_catalog, replace_groups, upsert
 from ledgerlake.operators.versions import as_of, validity
+from ledgerlake.operators.distinct import day_bitmaps, day_sketches, distinct_in_spans, estimated_in_spans
+from ledgerlake.operators.pruning import key_bitmap, split_by_keys
 
 __all__ = [
+    "day_bitmaps",
+    "day_sketches",
+    "distinct_in_spans",
+    "estimated_in_spans",
+    "key_bitmap",
+    "split_by_keys",
     "as_of",
     "validity",
     "KeyedTable",

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.operators.dedup import keep_latest
 from ledgerlake.operators.joins import join_splittable
+from ledgerlake.operators.pruning import split_by_keys
 
 _N, _TS = "_matches", "_source_ts"
 
@@ -40,11 +41,13 @@ def _untouched(target: DataFrame, touched: DataFrame, keys: list[str], newer_by:
     if newer_by:
         survives = survives | ~F.coalesce(F.col(_TS) > F.col(newer_by), F.lit(False))
     clash = F.raise_error(F.lit("upsert: more than one source row matches a target row"))
-    return (
-        target.join(touched, keys, "left")
+    kept = (
+        target.where(_keyed(keys)).join(touched, keys, "left")
         .where(F.when(F.col(_N) > 1, clash.cast("boolean")).otherwise(survives))
         .select(*target.columns)
     )
+    # null keys match nothing: round the join, in which they would all meet in one task
+    return kept.unionByName(target.where(~_keyed(keys)))
 
 
 def _winners(target: DataFrame, source: DataFrame, touched: DataFrame, keys: list[str], newer_by: str) -> DataFrame:
@@ -59,13 +62,17 @@ def _winners(target: DataFrame, source: DataFrame, touched: DataFrame, keys: lis
     return join_splittable(source, known, keys, "left").where(wins).select(*target.columns)
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: list[str], newer_by: str | None = None) -> DataFrame:
+def upsert(target: DataFrame, source: DataFrame, keys: list[str], newer_by: str | None = None, prune: bool = False) -> DataFrame:
     """The target after merging ``source``: matched rows are replaced, the others inserted.
 
     With ``newer_by`` a matched row is replaced only by a source row whose ``newer_by`` is greater;
-    an equal or null one leaves the target as it is.
+    an equal or null one leaves the target as it is. With ``prune`` target rows that a bitmap of the source's keys excludes
+    go past the join: for a source whose keys are too many to broadcast but few beside the target's. The target is then read twice.
     """
     source = source.select(*target.columns)
+    if prune:
+        perhaps, untouched = split_by_keys(target, source, keys)
+        return upsert(perhaps, source, keys, newer_by).unionByName(untouched)
     touched = _source_keys(source, keys, newer_by)
     kept = _untouched(target, touched, keys, newer_by)
     incoming = _winners(target, source, touched, keys, newer_by) if newer_by else source
@@ -101,7 +108,7 @@ def apply_changes(
         stored = target.where(_keyed(keys)).select(*keys, F.struct(*sequence).alias("_stored"))
         newer = last.select(*keys, F.struct(*sequence).alias("_sequence")).join(stored, keys).where("_sequence < _stored").select(*keys).distinct()
         last = last.join(newer, keys, "left_anti")
-    kept = target.join(last.select(*keys), keys, "left_anti")
+    kept = target.where(_keyed(keys)).join(last.select(*keys), keys, "left_anti").select(*target.columns).unionByName(target.where(~_keyed(keys)))
     gone = F.coalesce(F.col(op_col).isin(*deletes), F.lit(False))
     if marker:
         return kept.unionByName(last.withColumn(marker, gone).select(*target.columns))

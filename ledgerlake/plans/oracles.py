@@ -438,6 +438,8 @@ SELECT md5(entry_id || '|' || account_id) AS line_key, md5(account_id) AS accoun
     "upsert_close_tasks": f"""
 WITH {TASKS},{_latest_tasks('old_tasks', BEFORE)},{_latest_tasks('new_tasks', AFTER)} {_MERGED_TASKS}""",
     "upsert_journal": f"""
+WITH {LINES},{_latest_lines('old_lines', SOLD_BEFORE)},{_latest_lines('new_lines', SOLD_AFTER)} {_MERGED_LINES}""",
+    "upsert_pruned": f"""
 WITH {LINES},{_latest_lines('old_lines', SOLD_BEFORE)},{_latest_lines('new_lines', SOLD_AFTER)} {_MERGED_LINES}""",
     "upsert_idempotent": f"""
 WITH {LINES},{_latest_lines('old_lines', SOLD_BEFORE)},{_latest_lines('new_lines', SOLD_AFTER)} {_MERGED_LINES}""",
@@ -486,6 +488,12 @@ SELECT year(o_orderdate) AS order_year, month(o_orderdate) AS order_month, count
 WITH {POSTED}
 SELECT o_orderstatus AS status, count(DISTINCT 'P' || (l_partkey + (i % 3) * l_suppkey)) AS product_count
 FROM (SELECT *, unnest(generate_series(1, l_linenumber)) AS i FROM posted WHERE l_linenumber IS NOT NULL) GROUP BY 1""",
+    "users_in_spans": """
+SELECT e.event_type, d.day, count(DISTINCT e.user_id) AS users FROM (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events) d
+JOIN events e ON CAST(e.ts AS DATE) BETWEEN d.day - 6 AND d.day GROUP BY ALL""",
+    "users_estimated": """
+SELECT d.day, count(DISTINCT e.user_id) AS users, true AS is_close FROM (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events) d
+JOIN events e ON CAST(e.ts AS DATE) BETWEEN d.day - 6 AND d.day GROUP BY ALL""",
     "profile_numeric": _PROFILE,
     "profile_columns": _PROFILE_TEXT,
     # crate sales

@@ -368,6 +368,13 @@ def upsert_journal(spark, sf):
     return op.upsert(target, source, ["entry_id", "account_id"])
 
 
+@query
+def upsert_pruned(spark, sf):
+    """The same, the lines of unchanged entries not joined."""
+    target, source = _journal_halves(spark, sf)
+    return op.upsert(target, source, ["entry_id", "account_id"], prune=True)
+
+
 @query
 def upsert_idempotent(spark, sf):
     target, source = _journal_halves(spark, sf)
@@ -496,6 +503,28 @@ def product_count_distinct(spark, sf):
     return op.count_distinct(lines, ["status"], "product_id", "product_count")
 
 
+def _daily_users(spark, sf) -> DataFrame:
+    return table(spark, sf, "events").select(F.to_date("ts").alias("day"), "event_type", "user_id")
+
+
+@query
+def users_in_spans(spark, sf):
+    """Distinct users of each event type and day and the six days before, from bitmaps landed per day."""
+    path = scratch(spark, "day-bitmaps")
+    op.day_bitmaps(_daily_users(spark, sf), "day", "user_id", ("event_type",)).write.parquet(path)
+    return op.distinct_in_spans(spark.read.parquet(path), "day", 7, "users", ("event_type",))
+
+
+@query
+def users_estimated(spark, sf):
+    """The same by sketches: whether each estimate is within five standard errors of the exact count."""
+    daily = _daily_users(spark, sf)
+    exact = op.distinct_in_spans(op.day_bitmaps(daily, "day", "user_id"), "day", 7, "users")
+    near = op.estimated_in_spans(op.day_sketches(daily, "day", "user_id"), "day", 7, "estimate")
+    close = F.abs(F.col("estimate") - F.col("users")) <= F.greatest(F.lit(1), F.col("users") * 5 * 1.04 / 128)
+    return exact.join(near, "day").select("day", "users", close.alias("is_close"))
+
+
 @query
 def profile_numeric(spark, sf):
     return op.profile(table(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
