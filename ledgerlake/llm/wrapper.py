@@ -27,8 +27,10 @@ from pyspark.sql import types as T
 
 from ledgerlake.llm.common import land, table
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>|<[!?/][^>]*>", re.S)
+TOKEN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>|<[!?/][^>]*>", re.S)
 ATTRIBUTE = re.compile(r"([\w-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|(?<![\w-])(hidden)(?![\w-])")
+#: An unquoted value at the end, to which a slash there belongs.
+UNQUOTED_END = re.compile(r"=\s*[^\s\"'>=]+\Z")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea noscript template iframe svg math object select canvas".split())
 INLINE = frozenset(
@@ -46,6 +48,13 @@ BOILER_NAME = re.compile(
 )
 
 
+def _self_closing(attributes: str) -> bool:
+    return attributes.endswith("/") and UNQUOTED_END.search(attributes) is None
+
+
+DROPPED = -2  # the element of what is too deep in the page to be one of its own and is in a menu or the like
+
+
 class Page:
     """Block elements (tag, label, parent) in page order and the pieces of text, each with its element."""
 
@@ -76,7 +85,7 @@ class Page:
                     self.pieces.append((-1, " ", False))
                 continue
             if tag in RAW:
-                if not m[3].endswith("/"):
+                if not _self_closing(m[3]):
                     close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
                     at = close.end() if close else n
                 continue
@@ -85,7 +94,7 @@ class Page:
                     self.pieces.append((-1, " ", False))
                 continue
             if tag in INLINE:
-                if not m[3].endswith("/"):
+                if not _self_closing(m[3]):
                     links += tag == "a"
                     stack.append((tag, stack[-1][1]))
                 continue
@@ -102,7 +111,7 @@ class Page:
                         break
             self.pieces.append((-1, " ", False))
             if len(stack) > DEPTH:  # deeper elements count as part of their ancestor
-                stack.append((tag, stack[-1][1]))
+                stack.append((tag, DROPPED if tag in BOILER_TAG else stack[-1][1]))
                 continue
             self.tags.append(tag)
             self.labels.append(self.label(tag, m[3]))
@@ -112,7 +121,8 @@ class Page:
             stack.append((tag, len(self.tags) - 1))
 
     def text(self, block: int, raw: str, linked: bool) -> None:
-        self.pieces.append((block, html.unescape(raw) if "&" in raw else raw, linked))
+        if block != DROPPED:
+            self.pieces.append((block, html.unescape(raw) if "&" in raw else raw, linked))
 
     @staticmethod
     def label(tag: str, attributes: str) -> str:
@@ -278,8 +288,15 @@ def _place_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 CONSTANT, ROTATING, FEW, WORDS = 0.9, 0.1, 5, 3
 
 
-def _named(wrapper: list) -> tuple[list[str], list[str], list[int], list[bool]]:
-    """Of each wrapper node its tag, its names, its parent and whether it is in an element of menus, adverts and the like."""
+LEAST_OUTSIDE = 0.1
+
+
+def _named(wrapper: list, varying: dict[int, float]) -> tuple[list[str], list[str], list[int], list[bool]]:
+    """Of each wrapper node its tag, its names, its parent and whether it is in an element of menus, adverts and the like.
+
+    A name can be wrong where a tag is not: if the elements so named leave less than ``LEAST_OUTSIDE`` of the ``varying`` text (by
+    node) to the others, the name of the one with most of it does not count, and so on until they leave as much.
+    """
     labels, parents = [], []
 
     def walk(t: list, parent: int) -> None:
@@ -293,10 +310,23 @@ def _named(wrapper: list) -> tuple[list[str], list[str], list[int], list[bool]]:
     n = len(labels)
     tags = [x.split(" ", 1)[0] for x in labels]
     named = [x.split(" ", 1)[1] if " " in x else "" for x in labels]
-    boiler = [False] * n
-    for i in range(1, n):
-        semantic = tags[i] in BOILER_TAG or (tags[i] not in ("body", "html", "main", "article") and BOILER_NAME.search(named[i]) is not None)
-        boiler[i] = boiler[parents[i]] or semantic
+    by_tag = [t in BOILER_TAG for t in tags]
+    by_name = [not by_tag[i] and tags[i] not in ("body", "html", "main", "article") and BOILER_NAME.search(named[i]) is not None for i in range(n)]
+    text = [0.0] * n  # of each subtree, without what tags exclude
+    for i in range(n - 1, -1, -1):
+        text[i] = 0.0 if by_tag[i] and i else text[i] + varying.get(i, 0.0)
+        if i:
+            text[parents[i]] += text[i]
+    while True:
+        boiler = [False] * n
+        left = varying.get(0, 0.0)
+        for i in range(1, n):
+            boiler[i] = boiler[parents[i]] or by_tag[i] or by_name[i]
+            left += 0.0 if boiler[i] else varying.get(i, 0.0)
+        wrong = max((i for i in range(1, n) if by_name[i] and text[i] > 0), key=lambda i: text[i], default=None)
+        if wrong is None or left >= LEAST_OUTSIDE * text[0]:
+            break
+        by_name[wrong] = False
     return tags, named, parents, boiler
 
 
@@ -306,11 +336,12 @@ def content_nodes(wrapper: list, stats: dict[int, tuple[int, int, int, int, int,
     ``stats``: articles with text, pairs of article and text, distinct texts, articles of the commonest, and of the pairs
     the characters, those in links and the words.
     """
-    tags, named, parents, boiler = _named(wrapper)
+    is_fixed = {i: articles >= FEW and (top >= CONSTANT * articles or distinct <= ROTATING * pairs) for i, (articles, pairs, distinct, top, *_) in stats.items()}
+    unlinked = {i: float(x[4] - x[5]) for i, x in stats.items() if not is_fixed[i] and x[5] <= 0.5 * x[4]}
+    tags, named, parents, boiler = _named(wrapper, unlinked)
     n = len(tags)
-    mass, fixed = [0.0] * n, [False] * n
-    for i, (articles, pairs, distinct, top, chars, linked, _) in stats.items():
-        fixed[i] = articles >= FEW and (top >= CONSTANT * articles or distinct <= ROTATING * pairs)
+    mass, fixed = [0.0] * n, [is_fixed.get(i, False) for i in range(n)]
+    for i, (_, _, _, _, chars, linked, _) in stats.items():
         if not boiler[i] and linked <= 0.5 * chars:
             mass[i] = (chars - linked) * (0.05 if fixed[i] else 1.0)
     total = mass[:]
@@ -352,7 +383,7 @@ def _rank(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for df in frames:
         orders = []
         for code, stats in df[["code", "stats"]].itertuples(index=False):
-            boiler = _named(json.loads(code))[3]
+            boiler = _named(json.loads(code), {int(s["slot"]): max(0.0, float(s["weight"])) for s in stats})[3]
             orders.append([int(s["slot"]) for s in sorted(stats, key=lambda s: (-s["weight"], s["slot"])) if s["weight"] > 0 and not boiler[s["slot"]]])
         yield pd.DataFrame({"host": df["host"], "ranks": orders})
 

@@ -156,6 +156,35 @@ def test_constant_elements_of_marked_articles_go(spark):
     assert {r["page_id"]: r["text"] for r in got} == want
 
 
+@pytest.mark.parametrize("name", ["page with-sidebar", "page", "post share", "content-header related"])
+def test_a_name_on_the_article_does_not_hide_it(spark, name):
+    rows, want = [], {}
+    for i in range(24):
+        body = prose(30)
+        page_ = f"<div class='{name}'><h2>Title {i}</h2><p>{body}</p></div><div class=sidebar><p>Also {i}</p></div><div class='comments'><p>Nice {i}</p></div><div class=end><p>same text on all</p></div>"
+        rows.append((i, f"https://a.example/{i}", f"<html><body><nav>Menu</nav>{page_}</body></html>"))
+        want[i] = f"Title {i} {body}"
+    got = wrapper.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == want
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<article><script src=/js/>var leak=1</script><p>one</p></article>", "one"),
+        ("<article><script src='/js/' />var leak=1</script><p>two</p></article>", "var leak=1 two"),
+        ("<article><p>one</p><!--><p>two</p></article>", "one two"),
+        ("<article><p>one</p><!---><p>two</p></article>", "one two"),
+        ("<article><p>one</p><!-- x --!><p>two</p></article>", "one two"),
+        ("<article><p>one</p><!-- x -- > <p>two</p></article>", "one"),
+        ("<article>" + "<section>" * 80 + "<nav><ul><li>Menu</ul></nav><b>a</b> text here</article>", "a text here"),
+    ],
+)
+def test_odd_markup(spark, html, text):
+    got = wrapper.main_text(spark.createDataFrame([(1, "https://a.example/1", html)], "page_id long, url string, html string")).collect()
+    assert [r["text"] for r in got] == [text]
+
+
 @pytest.mark.parametrize("n_articles", [12, 19, 20])
 def test_copies_do_not_make_articles_template(spark, n_articles):
     texts = [(f"Title {k}", prose(30)) for k in range(n_articles)]
