@@ -10,6 +10,7 @@ from ledgerlake.operators.aggregates import (
     stack_roles,
     top_k,
 )
+from ledgerlake.operators.bucketed import BucketedTable, write_bucketed
 from ledgerlake.operators.dedup import (
     canonical_attribute,
     dedup_subset,
@@ -28,6 +29,8 @@ from ledgerlake.operators.distinct import day_bitmaps, day_sketches, distinct_in
 from ledgerlake.operators.pruning import key_bitmap, split_by_keys
 
 __all__ = [
+    "BucketedTable",
+    "write_bucketed",
     "day_bitmaps",
     "day_sketches",
     "distinct_in_spans",

@@ -578,6 +578,9 @@ SELECT *, CAST(date_trunc('week', due_date) AS DATE) AS due_month FROM merged"""
     "cdc_apply": LAST_CHANGES,
     "stream_cdc_state": LAST_CHANGES,
     "stream_raw_log": f"WITH {FEED} SELECT *, CAST(changed_at AS DATE) AS change_date FROM feed",
+    "stream_late_changes": f"""
+WITH {FEED} SELECT *, seq % 3 = 0 AND coalesce(seq < max(seq) FILTER (WHERE seq % 3 <> 0) OVER (PARTITION BY user_id), false) AS late FROM feed""",
     "stream_dedup": f"WITH {FEED} SELECT user_id, seq, op, last_event, last_value FROM feed",
 }
 ORACLES["catalog_upsert"] = ORACLES["upsert_journal"]
+ORACLES["bucketed_upsert"] = ORACLES["upsert_journal"]

@@ -15,7 +15,7 @@ from ledgerlake.plans import commerce, crates, ledger, staging
 from ledgerlake.plans.staging import RUN_TS, ntz, table
 from ledgerlake.session import scratch, scratch_database
 from ledgerlake.specs import CRATE_ORDERS, INVOICE_ENVELOPE, JOURNAL_ENTRIES, MONEY, ORDERS, CollectionSpec, strings
-from ledgerlake.streaming import append_stream, dedup_stream, sync_stream
+from ledgerlake.streaming import append_stream, dedup_stream, mark_late, sync_stream, timed_state
 from ledgerlake.streaming.changes import DELETED, live_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -670,6 +670,16 @@ def catalog_upsert(spark, sf):
     return lines.read()
 
 
+@query
+def bucketed_upsert(spark, sf):
+    """The same lines in a bucketed table that takes the second half beside it."""
+    before, after = _journal_halves(spark, sf)
+    lines = op.BucketedTable(spark, f"{scratch_database(spark, 'bucketed')}.lines", ["entry_id", "account_id"], buckets=8)
+    lines.create(before)
+    lines.merge(after, 1)
+    return lines.read()
+
+
 @query
 def table_time_travel(spark, sf):
     """The state before the last load, made again of the raw table, which keeps every load."""
@@ -739,3 +749,17 @@ def stream_dedup(spark, sf):
     once = dedup_stream(feed.unionByName(feed), ["seq"], "changed_at").drop("changed_at")
     append_stream(once, path, scratch(spark, "once-cp")).awaitTermination()
     return spark.read.schema(once.schema).parquet(path)
+
+
+@query
+def stream_late_changes(spark, sf):
+    """Every third change comes in a second run of the stream, which tells those that others of their key have overtaken."""
+    feed = staging.change_feed(spark, sf)
+    path, out, checkpoint = (scratch(spark, name) for name in ("late-feed", "late", "late-cp"))
+    third = F.col("seq") % 3 == 0
+    for part in (feed.where(~third), feed.where(third)):
+        part.write.mode("append").parquet(path)
+        with timed_state(spark):
+            marked = mark_late(spark.readStream.schema(feed.schema).parquet(path), ["user_id"], "seq", 3_600_000)
+            append_stream(marked, out, checkpoint).awaitTermination()
+    return spark.read.schema(marked.schema).parquet(out)

@@ -5,7 +5,7 @@ from support import values
 
 from ledgerlake.operators import KeyedTable, apply_changes
 from ledgerlake.session import scratch, scratch_database
-from ledgerlake.streaming import append_stream, dedup_stream, sync_stream
+from ledgerlake.streaming import append_stream, dedup_stream, mark_late, sync_stream, timed_state
 from ledgerlake.streaming.changes import live_rows
 
 DDL = "k int, seq int, op string, v string, at timestamp_ntz"
@@ -73,3 +73,31 @@ def test_a_late_change_is_not_lost(spark):
         spark.createDataFrame(rows, DDL).coalesce(1).write.mode("append").parquet(path)
     append_stream(dedup_stream(stream(spark, path), ["seq"], "at"), out, scratch(spark, "late-cp")).awaitTermination()
     assert values(spark.read.parquet(out).select("seq")) == [(1,), (61,), (62,)]
+
+
+def run_late(spark, path, out, checkpoint, idle_ms):
+    with timed_state(spark):
+        append_stream(mark_late(spark.readStream.schema(DDL).parquet(path), ["k"], "seq", idle_ms), out, checkpoint).awaitTermination()
+
+
+def late_rows(spark, idle_ms):
+    """Each batch is a run of its own, taken up from the checkpoint."""
+    path, out, checkpoint = scratch(spark, "mark-feed"), scratch(spark, "marked"), scratch(spark, "mark-cp")
+    batches = [*BATCHES, [change(1, 9), change(2, 11), (5, None, "upsert", None, None)]]
+    for batch in batches:
+        spark.createDataFrame(batch, DDL).coalesce(1).write.mode("append").parquet(path)
+        run_late(spark, path, out, checkpoint, idle_ms)
+    assert spark.read.parquet(out).count() == sum(map(len, batches))  # no change is lost
+    return values(spark.read.parquet(out).select("k", "seq", "late"))
+
+
+def test_overtaken_changes_are_told_across_restarts(spark):
+    late = {(1, 4), (2, 5), (1, 9)}
+    got = late_rows(spark, 3_600_000)
+    assert {(k, s) for k, s, x in got if x} == late
+    assert [(k, s) for k, s, x in got if x is None] == [(5, None), (None, 12)]
+    assert sorted(x for k, s, x in got if (k, s) == (1, 9)) == [False, True]  # the second delivery only
+
+
+def test_state_of_quiet_keys_goes(spark):
+    assert not any(x for _, _, x in late_rows(spark, 1))
