@@ -44,17 +44,20 @@ class _LastSequence(StatefulProcessor):
         self.last = handle.getValueState("last", self.stored)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        before = self.last.get()[0] if self.last.exists() else None
+        now = timerValues.getCurrentProcessingTimeInMs()
+        before, seen = self.last.get() if self.last.exists() else (None, now)
+        if now - seen >= self.idle_ms:  # timers are run after the batch's changes
+            before = None
         newest = before
         for row in rows:
             value = row[self.sequence]
             if newest is None or value > newest:
                 newest = value
             yield Row(**row.asDict(), **{LATE: before is not None and value <= before})
-        self.last.update((newest,))
+        self.last.update((newest, now))
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
-        self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms)
+        self.handle.registerTimer(now + self.idle_ms)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self.last.clear()
@@ -68,13 +71,13 @@ def mark_late(stream: DataFrame, keys: list[str], sequence: str, idle_ms: int) -
     """Every change with ``late``: whether an earlier batch had one of its key with the same or a greater sequence.
 
     No change is lost: late ones are there to be written to an output of their own, or merged by newer-wins. The state is one
-    value and one timer per key, and goes when the key was quiet for ``idle_ms`` (wall clock: with event time Spark would
+    sequence and one timer per key, and goes when the key was quiet for ``idle_ms`` (wall clock: with event time Spark would
     drop what is behind the watermark). A change of a key whose state is gone counts as fresh, so whatever takes the fresh
     ones still has to compare with what it stores. Changes without key or sequence have no order: late is null.
     Within a batch all changes newer than the state are fresh. Start the query inside :func:`timed_state`.
     """
     schema = T.StructType([*stream.schema.fields, T.StructField(LATE, T.BooleanType())])
-    stored = T.StructType([stream.schema[sequence]])
+    stored = T.StructType([stream.schema[sequence], T.StructField("_seen", T.LongType())])
     ordered = reduce(and_, [F.col(c).isNotNull() for c in [*keys, sequence]])
     # rows, not pandas frames: those would turn whole numbers with nulls among them into floats
     marked = stream.where(ordered).groupBy(*keys).transformWithState(
