@@ -1,7 +1,6 @@
 """Licence scan: sparse TF-IDF cosine of lines to licence templates, and licences of the nearest ancestor directory.
 
-A line, and each run of a template's length in it, is compared with the templates of licence headers (a long line in
-overlapping windows only); weights come from all lines of the corpus: of the words of templates, and of those beside
+A line, and each run of a template's length in it, is compared with the templates of licence headers; weights come from all lines of the corpus: of the words of templates, and of those beside
 them in lines that reach the threshold if other words weigh least. A file that is mostly licence text is a licence file and speaks for its directory: files without
 a header of their own inherit from the nearest directory above them that has one, found by joins on path prefixes.
 """
@@ -39,20 +38,13 @@ TEMPLATES = {
     "Proprietary": ["All rights reserved", "Proprietary and confidential. Unauthorized copying of this file is strictly prohibited"],
 }
 TOKEN = re.compile(r"[a-z0-9]+(?:[.-][0-9a-z]+)*")
-THRESHOLD, WINDOW, FILE_SHARE = 0.8, 40, 0.2
+THRESHOLD, FILE_SHARE = 0.8, 0.2
 
 
 def tokens(text: str) -> list[str]:
     return TOKEN.findall(text.lower())
 
 
-def windows(n: int, length: int) -> list[tuple[int, int]]:
-    """A line of up to twice ``WINDOW`` tokens whole and in all runs of a length, a longer one in windows that overlap by half."""
-    if n <= 2 * WINDOW:
-        return [(0, n), *((i, i + length) for i in range(n - length + 1) if length < n)]
-    return [(i, min(n, i + WINDOW)) for i in range(0, n - WINDOW // 2, WINDOW // 2)]
-
-
 class Scanner:
     """The templates as sparse unit vectors, and the words without one of which no line can be similar enough.
 
@@ -92,7 +84,8 @@ class Scanner:
                 vectors[i][w] = y
         for i in sorted(shares):
             if shares[i] >= self.threshold**2 - 1e-9:
-                for a, b in windows(len(ws), self.lengths[i]):
+                near = [(0, len(ws)), *self.runs(ws, vectors[i], self.lengths[i])]
+                for a, b in near:
                     dot = norm = 0.0
                     for w, n in Counter(ws[a:b]).items():
                         x = n * self.idf.get(w, self.unseen)
@@ -101,6 +94,31 @@ class Scanner:
                     if dot >= self.threshold * math.sqrt(norm):
                         yield min(1.0, dot / math.sqrt(norm)), i, a, b
 
+    def runs(self, ws: list[str], vector: dict[str, float], length: int) -> Iterator[tuple[int, int]]:
+        """The runs of this length, shorter than the line, that may reach the threshold: sums slide along the line, a word in and one out.
+
+        Sums that slide gather rounding errors, hence the slack; the caller computes the cosine of what is left anew.
+        """
+        if length >= len(ws):
+            return
+        counts: dict[str, int] = defaultdict(int)
+        dot = norm = 0.0
+        for end, w in enumerate(ws, 1):
+            x = self.idf.get(w, self.unseen)
+            n = counts[w]
+            counts[w] = n + 1
+            norm += (2 * n + 1) * x * x
+            dot += x * vector.get(w, 0.0)
+            if end > length:
+                w = ws[end - length - 1]
+                x = self.idf.get(w, self.unseen)
+                n = counts[w]
+                counts[w] = n - 1
+                norm -= (2 * n - 1) * x * x
+                dot -= x * vector.get(w, 0.0)
+            if end >= length and dot >= self.threshold * math.sqrt(max(norm, 0.0)) - 1e-6:
+                yield end - length, end
+
     def lines(self, low: str) -> Iterator[list[str]]:
         """The tokens of lines that can be similar enough."""
         if any(a in low for a in self.anchors):

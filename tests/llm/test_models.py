@@ -241,7 +241,7 @@ def test_licences(spark):
     got = {(r["doc_id"], r["licence"], r["origin"], r["licence_dir"]) for r in licences.scan_licences(df).collect()}
     assert got == {
         (1, "MIT", "header", None), (2, "GPL-3.0", "inherited", "a/b"), (3, "Apache-2.0", "header", None), (4, None, "none", None), (5, None, "none", None), (6, "Proprietary", "header", None),
-        (7, "MIT", "inherited", "a"), (8, "GPL-3.0", "header", None), (9, None, "none", None), (10, "MIT", "inherited", "a"),
+        (7, "MIT", "inherited", "a"), (8, "GPL-3.0", "header", None), (9, None, "none", None), (10, "MIT", "header", None),
     }
     assert licences.scan_licences(df.limit(0)).count() == 0
 
@@ -256,6 +256,34 @@ def test_licences_inside_lines(spark):
     assert got == {i: (x, "header" if x else "none") for i, _, x in rows}
 
 
+def test_licence_scores_equal_brute_force_in_lines_of_any_length(spark):
+    rng = random.Random(5)
+    pick = lambda n: " ".join(rng.choice("the of version license by for work soft data gnu rights public term".split()) for _ in range(n))
+    headers = [t for ts in licences.TEMPLATES.values() for t in ts]
+    texts = ["", pick(500), pick(79) + " MIT", *[pick(n) + " " + rng.choice(headers) + " " + pick(m) for n, m in ((0, 0), (3, 2), (40, 34), (70, 6), (75, 1), (81, 0), (300, 9), (9, 5000))]]
+    texts += ["\n".join([pick(4), rng.choice(headers).replace("License", "Licence"), pick(90) + " " + rng.choice(headers)]) for _ in range(9)]
+    lines = [ws for t in texts for ws in map(licences.tokens, t.split("\n")) if ws]
+    total, seen = len(lines), Counter(w for ws in lines for w in set(ws))
+    idf = lambda w: math.log((1 + total) / (1 + seen[w])) + 1
+
+    def cosine(a, b):
+        x, y = ({w: n * idf(w) for w, n in Counter(ws).items()} for ws in (a, b))
+        return sum(x[w] * y.get(w, 0.0) for w in x) / math.sqrt(sum(v * v for v in x.values()) * sum(v * v for v in y.values()))
+
+    best = []
+    for t in texts:
+        scores = [0.0]
+        for ws in map(licences.tokens, t.split("\n")):
+            for header in map(licences.tokens, headers):
+                k = len(header)
+                scores += [cosine(run, header) for run in (ws, *(ws[i : i + k] for i in range(len(ws) - k + 1))) if run]
+        best.append(max(scores) if max(scores) >= licences.THRESHOLD else 0.0)
+    assert best[8] > 0.8 and best[10] > 0.8  # after 81 tokens, before 5,000
+    df = spark.createDataFrame([(i, f"d{i}/a.txt", t) for i, t in enumerate(texts)], "doc_id long, path string, text string")
+    got = {r["doc_id"]: r["score"] for r in licences.scan_licences(df).collect() if r["origin"] == "header"}
+    assert set(got) == {i for i, x in enumerate(best) if x} and all(abs(got[i] - best[i]) < 1e-9 for i in got)
+
+
 def test_licence_weights_of_common_words(spark):
     texts = ["zzz the MIT License zzz", *["zzz " + prose(3)] * 400]
     df = spark.createDataFrame([(i, f"d{i}/a.txt", t) for i, t in enumerate(texts)], "doc_id long, path string, text string")
