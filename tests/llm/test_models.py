@@ -55,6 +55,74 @@ def test_windows_do_not_change_scores():
     assert np.allclose(together, narrow, rtol=1e-4) and np.allclose(together, alone, rtol=1e-4)
 
 
+def small_model(n=40):
+    rng = np.random.default_rng(4)
+    head = np.r_[np.uint64(language_model.END), rng.integers(1, 2**63, n, dtype=np.uint64)]
+    return language_model.new_model(head, np.arange(n + 1, 0, -1), np.ones(language_model._SPELLINGS))
+
+
+def test_learning_takes_in_every_token(monkeypatch):
+    seen = []
+    plain = language_model.gradients
+
+    def spy(model, h0, before, after):
+        seen.append(after.copy())
+        return plain(model, h0, before, after)
+
+    monkeypatch.setattr(language_model, "gradients", spy)
+    model = small_model()
+    for n in (0, 1, 31, 700, 5003):
+        tokens = np.random.default_rng(n).integers(0, 60, n)
+        seen.clear()
+        language_model.Learner(model, 1e-3).learn(tokens)
+        got = Counter(int(x) for part in seen for x in part.ravel())
+        want = Counter(int(x) for x in tokens)
+        assert got - want == {model.end: c for c in [sum(got.values()) - n] if c} and not want - got
+
+
+def test_weights_are_the_mean_of_the_tasks_by_tokens(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "ROUNDS", ((0, 16, 3e-3),))
+    monkeypatch.setattr(language_model, "BUFFER", 300)
+    rng = random.Random(9)
+    rows = [(str(i), prose(rng.randint(0, 90), rng) if i % 7 else "") for i in range(60)]
+    df = spark.createDataFrame(rows, "id string, text string").repartition(3, "id")
+    parts = df.withColumn("p", F.spark_partition_id()).collect()
+    begin = small_model()
+
+    class Held:
+        value = vars(begin)
+
+    pa = pytest.importorskip("pyarrow")
+    out = []
+    for p in sorted({r["p"] for r in parts}):
+        batch = pa.RecordBatch.from_pydict({"text": [r["text"] for r in parts if r["p"] == p]})
+        out += [(b.column(0)[0].as_py(), np.array(b.column(1)[0].as_py())) for b in language_model._learn(iter([batch]), Held, 3e-3)]
+    assert sum(n for n, _ in out) == sum(len(t.split()) + 1 for _, t in rows) and len(out) == 3
+    mean = sum(n * w for n, w in out) / sum(n for n, _ in out)
+    got = small_model()
+    language_model.train(got, df)
+    assert np.allclose(np.concatenate([got.weights[k].ravel() for k in sorted(got.weights)]), mean, rtol=1e-4, atol=1e-5)
+    assert any(not np.allclose(got.weights[k], begin.weights[k]) for k in got.weights)
+    kept = {k: v.copy() for k, v in got.weights.items()}
+    language_model.train(got, df.limit(0))
+    assert all((got.weights[k] == kept[k]).all() for k in kept)
+
+
+def test_learning_from_order_beats_counts(spark):
+    rng = random.Random(12)
+    follow = {w: WORDS[(i * 7 + 3) % len(WORDS)] for i, w in enumerate(WORDS)}
+
+    def chain(n):
+        out = [rng.choice(WORDS)]
+        while len(out) < n:
+            out.append(follow[out[-1]] if rng.random() < 0.9 else rng.choice(WORDS))
+        return " ".join(out)
+
+    df = spark.createDataFrame([(i, chain(120), i % 5 != 1) for i in range(1500)], "doc_id long, text string, learn boolean").repartition(4)
+    held = language_model.score_documents(df, F.col("learn")).where("not learn").agg(F.sum("score"), F.sum("base_score")).first()
+    assert held[0] > 0.8 * held[1]
+
+
 def test_scores_of_documents(spark, monkeypatch):
     monkeypatch.setattr(language_model, "KNOWN", 20)  # most words are looked up by the join
     rng = random.Random(6)
