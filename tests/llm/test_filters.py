@@ -152,11 +152,12 @@ def test_word_hashes_follow_words():
 
 def brute_contained(docs, items):
     alnum = lambda t: [w for w in re.split(r"[\W_]+", (t or "").lower()) if w]
-    sets = lambda w: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    sets = lambda w, k: {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if k else set()
     best = {}
     for d, t in docs:
         for i, u in items:
-            s, q = sets(alnum(t)), sets(alnum(u))
+            k = min(5, len(alnum(u)))
+            s, q = sets(alnum(t), k), sets(alnum(u), k)
             if q and len(s & q) >= 0.8 * len(q) - 1e-9:
                 best[(d, i)] = max(best.get((d, i), (0, 0, 0)), (len(s & q) / len(q), len(q), len(s & q)))
     return sorted([(*k, v[1], v[2], v[0]) for k, v in best.items()], key=repr)
@@ -178,6 +179,25 @@ def test_contamination_equals_brute_force(spark):
     assert kept == {d for d, _ in docs} - {r[0] for r in brute_contained(docs, items)}
 
 
+def test_items_of_few_words_are_found_inside(spark):
+    items = [(1, "c d e f"), (2, "J"), (3, "b, c"), (4, "e f g h i"), (5, "d c"), (6, "z")]
+    docs = [(1, "a b c d e f g h i j"), (2, "c d e f"), (3, "j"), (4, "c d e"), (5, ""), (6, None), (7, "j j " * 3000), (8, "b c " * 5)]
+    got = decontamination.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted(map(tuple, got.collect())) == brute_contained(docs, items)
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == {(1, 1), (1, 2), (1, 3), (1, 4), (2, 1), (3, 2), (7, 2), (8, 3)}
+
+
+def test_contamination_sql_equals_brute_force(tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    items = [(1, "c d e f"), (2, "J"), (3, "b, c"), (4, "e f g h i"), (7, "a b c d e f g"), (8, None), (9, "")]
+    docs = [(1, "a b c d e f g h i j"), (2, "c d e f"), (3, "j"), (4, None), (5, ""), (6, "a b c d e f")]
+    db = duckdb.connect()
+    for name, key, rows in (("documents", "doc_id", docs), ("benchmark", "item_id", items)):
+        db.execute(f"CREATE TABLE {name} ({key} BIGINT, text VARCHAR)")
+        db.executemany(f"INSERT INTO {name} VALUES (?, ?)", rows)
+    assert sorted(db.execute(decontamination.OP1_SQL).fetchall()) == brute_contained(docs, items)
+
+
 def test_contamination_of_nothing(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontamination.contaminated(frame(spark, ["a b c d e f"]), none).count() == 0
