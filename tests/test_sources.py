@@ -8,7 +8,9 @@ from pyspark.sql import types as T
 
 from ledgerlake import sources as src
 from ledgerlake.session import scratch
+from ledgerlake.plans import staging
 from ledgerlake.sources import read_json_array, read_json_docs
+from ledgerlake.sources.json_arrays import array_documents
 from ledgerlake.specs import ACCOUNTS, CRATE_ORDERS
 
 
@@ -141,3 +143,14 @@ def test_a_dump_out_of_order_is_an_error(spark, tmp_path):
     _dump(tmp_path / "a.json", [5, 7, 6])
     with pytest.raises(Exception, match="not in the order"):
         src.read_dump(spark, str(tmp_path), key_type="long").collect()
+
+
+def test_arrays_are_written_and_read_without_moving_the_text(spark, tmp_path):
+    docs = spark.range(0, 500, 1, 5).selectExpr("cast(id as string) as id", "repeat('}\"', 20) as note").where("id < 100 or id >= 200")
+    path = str(tmp_path / "arrays")
+    staging.write_array_files(docs, path)
+    texts = [f.read_text() for f in (tmp_path / "arrays").glob("part-*") if f.stat().st_size]
+    assert len(texts) == 4 and sorted(len(json.loads(t)) for t in texts) == [100] * 4
+    found = array_documents(spark, path)
+    assert "piece" not in " ".join(line for line in plan(found).splitlines() if "Exchange" in line or "Sort" in line)
+    assert "Scan parquet" not in plan(found) and found.count() == 400
