@@ -10,7 +10,7 @@ from ledgerlake.operators.aggregates import (
     stack_roles,
     top_k,
 )
-from ledgerlake.operators.bucketed import BucketedTable, write_bucketed
+from ledgerlake.operators.bucketed import BucketedTable, buckets_for, write_bucketed
 from ledgerlake.operators.dedup import (
     canonical_attribute,
     dedup_subset,
@@ -30,6 +30,7 @@ from ledgerlake.operators.pruning import key_bitmap, split_by_keys
 
 __all__ = [
     "BucketedTable",
+    "buckets_for",
     "write_bucketed",
     "day_bitmaps",
     "day_sketches",

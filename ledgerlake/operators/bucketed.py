@@ -16,6 +16,18 @@ from ledgerlake.operators.upsert import upsert
 from ledgerlake.session import scratch
 
 BATCH = "_batch"
+ROWS_PER_BUCKET = 1_500_000
+
+
+def buckets_for(rows: int, at_least: int = 1) -> int:
+    """How many buckets keep the rows of each, which one task sorts, bounded: ``at_least`` times a power of two.
+
+    So tables of either size join without a shuffle, as :meth:`BucketedTable.grown` says. Tables in use are split by that.
+    """
+    buckets = at_least
+    while rows > buckets * ROWS_PER_BUCKET:
+        buckets *= 2
+    return buckets
 
 
 def write_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int) -> None:

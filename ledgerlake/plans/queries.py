@@ -674,7 +674,8 @@ def catalog_upsert(spark, sf):
 def bucketed_upsert(spark, sf):
     """The same lines in a bucketed table that takes the second half beside it."""
     before, after = _journal_halves(spark, sf)
-    lines = op.BucketedTable(spark, f"{scratch_database(spark, 'bucketed')}.lines", ["entry_id", "account_id"], buckets=8)
+    buckets = op.buckets_for(3 * table(spark, sf, "lineitem").count(), 8)  # a document has three lines at most
+    lines = op.BucketedTable(spark, f"{scratch_database(spark, 'bucketed')}.lines", ["entry_id", "account_id"], buckets)
     lines.create(before)
     lines.merge(after, 1)
     return lines.read()

@@ -3,7 +3,8 @@ import re
 import pytest
 from support import plan, values
 
-from ledgerlake.operators import BucketedTable, upsert
+from ledgerlake.operators import BucketedTable, buckets_for, upsert
+from ledgerlake.operators.bucketed import ROWS_PER_BUCKET
 from ledgerlake.session import scratch_database
 
 DDL = "k int, v string, at int"
@@ -84,3 +85,9 @@ def test_empty_table(spark, name):
     table.fold()
     table.merge(base(spark, 3), 1)
     assert values(table.read()) == values(base(spark, 3))
+
+
+def test_the_rows_of_a_bucket_are_bounded_whatever_the_table():
+    assert [buckets_for(n, 8) for n in (0, 12_000_000, 12_000_001, 650_000_000)] == [8, 8, 16, 512]
+    for rows in (10**6, 10**8, 10**10):
+        assert rows <= buckets_for(rows) * ROWS_PER_BUCKET < 2 * rows + 2 * ROWS_PER_BUCKET
