@@ -67,7 +67,7 @@ def _entry_summary(docs: DataFrame) -> DataFrame:
 @query
 def scan_json_docs(spark, sf):
     path = scratch(spark, "journal-json")
-    staging.raw_journal(spark, sf).drop("ingest_ts").write.json(path)
+    staging.raw_journal(spark, sf).drop("ingest_ts").write.json(path, compression="gzip")
     return _entry_summary(src.read_json_docs(spark, path, JOURNAL_ENTRIES.schema))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from ledgerlake import sources as src
 from ledgerlake.session import scratch
 from ledgerlake.plans import staging
+from ledgerlake.plans.queries import QUERIES
 from ledgerlake.sources import read_json_array, read_json_docs
 from ledgerlake.sources.json_arrays import array_documents
 from ledgerlake.specs import ACCOUNTS, CRATE_ORDERS
@@ -154,3 +155,8 @@ def test_arrays_are_written_and_read_without_moving_the_text(spark, tmp_path):
     found = array_documents(spark, path)
     assert "piece" not in " ".join(line for line in plan(found).splitlines() if "Exchange" in line or "Sort" in line)
     assert "Scan parquet" not in plan(found) and found.count() == 400
+
+
+def test_staged_json_documents_are_compressed(spark):
+    docs = QUERIES["scan_json_docs"](spark, "/root/testdata/sf0.001")
+    assert all(f.endswith(".json.gz") for f in docs.inputFiles()) and docs.inputFiles()
