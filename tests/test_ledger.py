@@ -1,5 +1,6 @@
 """Golden rows of small documents, and the traps of the ledger jobs."""
 
+import glob
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.operators import KeyedTable
 from ledgerlake.plans import ledger
-from ledgerlake.session import scratch_database
+from ledgerlake.session import scratch_database, shared_dir
 from ledgerlake.sources import read_json_docs
 from ledgerlake.specs import ACCOUNTS, CLOSE_TASKS, JOURNAL_ENTRIES
 
@@ -222,3 +223,13 @@ def test_a_load_that_breaks_off_and_is_repeated_comes_once(spark, monkeypatch):
     assert spark.table(f"{db}.rejects_accounts").count() == 2
     assert values(spark.table(f"{db}.loads").select("load_id", "documents", "rows", "rejects")) == [("l1", 3, 2, 1), ("l2", 0, 0, 0), ("l3", 3, 2, 1)]
     assert "load_id" not in ledger.raw_table(spark, db, "accounts").columns
+
+
+def test_only_rejects_are_landed_with_their_text(spark):
+    frame = spark.createDataFrame([('{"account_id": "1", "name": "Cash"}',), ("no json",)], "doc string")
+    db = scratch_database(spark, "texts")
+    before = set(glob.glob(f"{shared_dir(spark)}/ledgerlake/ingest-accounts-*"))
+    ledger.ingest_collections(spark, db, {"accounts": frame}, ts=T0, load="a")
+    (landed,) = set(glob.glob(f"{shared_dir(spark)}/ledgerlake/ingest-accounts-*")) - before
+    assert values(spark.read.parquet(landed).select("_fits", "_source")) == [(False, "no json"), (True, None)]
+    assert [r._source for r in spark.table(f"{db}.rejects_accounts").collect()] == ["no json"]
