@@ -36,6 +36,7 @@ from ledgerlake.specs import CLOSE_TASKS, COLLECTIONS, JOURNAL_ENTRIES, MONEY, C
 
 ACCOUNT_ATTRIBUTES = {"name": "account_name", "type": "account_type"}
 LINE_FIELDS = ["account_id", "debit", "credit"]
+DOCUMENT_KEYS = ["entry_id", "_id"]
 
 
 SOURCE_TEXT, _UNREADABLE = "_source", "_unreadable"
@@ -134,11 +135,19 @@ def close_tasks_silver(raw: DataFrame, run_ts=None) -> DataFrame:
     return keep_latest(typed, ["task_id"], ["ingest_ts"])
 
 
-def journal_lines(raw: DataFrame, keep_empty: bool = False, line_no: str | None = None) -> DataFrame:
-    """One row per journal line, with its entry's fields."""
+def journal_lines(
+    raw: DataFrame, keep_empty: bool = False, line_no: str | None = None, together: list[str] | None = None
+) -> DataFrame:
+    """One row per journal line, with its entry's fields.
+
+    ``together`` names fields of the documents: documents are shuffled by them while they are whole, which moves an entry's
+    fields once and not with each line, and lines grouped by these and other columns are not shuffled again.
+    """
     entries = raw.select(
         "_id", "entry_id", iso_date("date").alias("entry_date"), "description", "lines", "ingest_ts"
     )
+    if together:
+        entries = entries.repartition(*together)
     return explode_lines(entries, "lines", LINE_FIELDS, keep_empty, line_no)
 
 
@@ -158,9 +167,12 @@ def latest_lines(raw: DataFrame, by_line: bool = False, revised: bool = False) -
     A line is known by entry and account, which merges two lines of one entry on one account;
     ``by_line`` keeps them apart by document and position. ``revised`` takes lines from the latest load of their document
     only: a revision replaces the whole document, lines that it no longer has included.
+
+    Lines known by their document meet where their documents do. Otherwise a line is shuffled by entry and account, so that
+    an entry with a third of all lines is many tasks.
     """
     raw = latest_documents(raw) if revised else raw
-    lines = journal_lines(raw, line_no="line_no" if by_line else None)
+    lines = journal_lines(raw, line_no="line_no", together=DOCUMENT_KEYS) if by_line else journal_lines(raw)
     keyed, _ = split_null_keys(lines, line_keys())
     return keep_latest(keyed, line_keys(by_line), ["ingest_ts"])
 
@@ -191,7 +203,8 @@ def entry_account_totals(raw: DataFrame, accounts: DataFrame) -> DataFrame:
 
     The accounts only filter here, so they meet the totals, not the lines.
     """
-    once = dedup_subset(journal_lines(raw).drop("ingest_ts"), ["_id", "entry_id", "account_id"])
+    lines = journal_lines(raw, together=DOCUMENT_KEYS).drop("ingest_ts")
+    once = dedup_subset(lines, [*DOCUMENT_KEYS, "account_id"])
     totals = money_totals(once, ["entry_id", "account_id"], ["debit", "credit"])
     return only_known(totals, accounts, "account_id")
 

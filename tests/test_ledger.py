@@ -1,15 +1,16 @@
 """Golden rows of small documents, and the traps of the ledger jobs."""
 
 import glob
+import re
 from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
-from support import values
+from support import plan, values
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import KeyedTable
-from ledgerlake.plans import ledger
+from ledgerlake.plans import ledger, staging
 from ledgerlake.session import scratch_database, shared_dir
 from ledgerlake.sources import read_json_docs
 from ledgerlake.specs import ACCOUNTS, CLOSE_TASKS, JOURNAL_ENTRIES
@@ -233,3 +234,33 @@ def test_only_rejects_are_landed_with_their_text(spark):
     (landed,) = set(glob.glob(f"{shared_dir(spark)}/ledgerlake/ingest-accounts-*")) - before
     assert values(spark.read.parquet(landed).select("_fits", "_source")) == [(False, "no json"), (True, None)]
     assert [r._source for r in spark.table(f"{db}.rejects_accounts").collect()] == ["no json"]
+
+
+@pytest.mark.parametrize("lines", [
+    lambda raw, accounts: ledger.latest_lines(raw, by_line=True),
+    lambda raw, accounts: ledger.entry_account_totals(raw, accounts.limit(0)).select("entry_id"),
+])
+def test_lines_known_by_their_document_are_not_shuffled_one_by_one(journal, accounts, lines):
+    above, below = plan(lines(journal, accounts)).split("explode(lines", 1)
+    assert "hashpartitioning(entry_id" in below
+    assert not any("_id#" in keys.replace("entry_id#", "").replace("account_id#", "") for keys in re.findall(r"hashpartitioning\((.*)\)", above))
+
+
+def test_null_ids_and_repeated_loads_by_line(spark):
+    once = [("a10", 1, 0), ("a10", 2, 0)]
+    rows = [
+        entry(None, "E1", "2023-03-14", once, T0),
+        entry(None, "E1", "2023-03-14", [("a10", 7, 0)], T1),
+        entry("x", "E1", "2023-03-14", once, T0),
+        entry("x", "E1", "2023-03-14", once, T1),
+    ]
+    found = ledger.latest_lines(spark.createDataFrame(rows, RAW), by_line=True).select("_id", "line_no", "ingest_ts", "debit")
+    assert values(found) == sorted(
+        [(None, 1, T1, Decimal(7)), (None, 2, T0, Decimal(2)), ("x", 1, T1, Decimal(1)), ("x", 2, T1, Decimal(2))], key=repr
+    )
+
+
+def test_jobs_on_lines_do_not_make_the_entries_without_lines(spark):
+    raw = staging.raw_journal(spark, "/root/testdata/sf0.001")
+    assert plan(ledger.journal_lines(raw)).count("lineitem.parquet") == 1
+    assert "LeftAnti" in plan(ledger.journal_lines(raw, keep_empty=True))
