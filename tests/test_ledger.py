@@ -238,7 +238,7 @@ def test_only_rejects_are_landed_with_their_text(spark):
 
 @pytest.mark.parametrize("lines", [
     lambda raw, accounts: ledger.latest_lines(raw, by_line=True),
-    lambda raw, accounts: ledger.entry_account_totals(raw, accounts.limit(0)).select("entry_id"),
+    lambda raw, accounts: ledger.entry_account_totals(raw, accounts),
 ])
 def test_lines_known_by_their_document_are_not_shuffled_one_by_one(journal, accounts, lines):
     above, below = plan(lines(journal, accounts)).split("explode(lines", 1)
