@@ -27,10 +27,12 @@ from ledgerlake.operators import (
     enrich,
     explode_lines,
     keep_latest,
+    keep_top,
     money_totals,
     only_known,
     split_null_keys,
 )
+from ledgerlake.operators.dedup import total_order
 from ledgerlake.session import scratch
 from ledgerlake.specs import CLOSE_TASKS, COLLECTIONS, JOURNAL_ENTRIES, MONEY, CollectionSpec
 
@@ -135,6 +137,10 @@ def close_tasks_silver(raw: DataFrame, run_ts=None) -> DataFrame:
     return keep_latest(typed, ["task_id"], ["ingest_ts"])
 
 
+def _entries(raw: DataFrame) -> DataFrame:
+    return raw.select("_id", "entry_id", iso_date("date").alias("entry_date"), "description", "lines", "ingest_ts")
+
+
 def journal_lines(
     raw: DataFrame, keep_empty: bool = False, line_no: str | None = None, together: list[str] | None = None
 ) -> DataFrame:
@@ -143,9 +149,7 @@ def journal_lines(
     ``together`` names fields of the documents: documents are shuffled by them while they are whole, which moves an entry's
     fields once and not with each line, and lines grouped by these and other columns are not shuffled again.
     """
-    entries = raw.select(
-        "_id", "entry_id", iso_date("date").alias("entry_date"), "description", "lines", "ingest_ts"
-    )
+    entries = _entries(raw)
     if together:
         entries = entries.repartition(*together)
     return explode_lines(entries, "lines", LINE_FIELDS, keep_empty, line_no)
@@ -155,13 +159,37 @@ def line_keys(by_line: bool = False) -> list[str]:
     return ["entry_id", "account_id", *(["_id", "line_no"] if by_line else [])]
 
 
+_PART, _SPLIT = "_part", "_split"
+HOT_DOCUMENTS, HOT_GROUPS = 50_000, 1 << 16
+
+
+def lines_by_entry(raw: DataFrame, hot: int = HOT_DOCUMENTS, groups: int = HOT_GROUPS) -> DataFrame:
+    """The lines of :func:`journal_lines`, documents shuffled whole by their entry, which moves an entry's fields once a document.
+
+    An entry of more than ``hot`` documents would be one task, so its lines are shuffled one by one, by entry and account. Such
+    entries are found by counting documents by a hash of their entry in ``groups`` groups: all entries of a group with more
+    are taken for hot. ``_split`` tells where a line went: lines grouped by entry, account and it are not shuffled again.
+    Entries without an id are left out.
+    """
+    entries = _entries(raw).where("entry_id IS NOT NULL").withColumn("_group", F.pmod(F.xxhash64("entry_id"), F.lit(groups)))
+    counted = entries.where(F.size("lines") > 0).groupBy(F.col("_group").alias("_hot")).count()
+    hot_groups = F.broadcast(counted.where(F.col("count") > hot).select("_hot"))
+    placed = entries.where(F.size("lines") > 0).join(hot_groups, F.col("_group") == F.col("_hot"), "left")
+    one_by_one = F.transform("lines", lambda x: F.struct(F.xxhash64(x.account_id).alias(_SPLIT), F.array(x).alias("lines")))
+    whole = F.array(F.struct(F.lit(0).cast("bigint").alias(_SPLIT), F.col("lines")))
+    fields = ["_id", "entry_id", "entry_date", "description", "ingest_ts"]
+    parts = placed.select(*fields, F.explode(F.when(F.col("_hot").isNull(), whole).otherwise(one_by_one)).alias(_PART))
+    shuffled = parts.select(*fields, f"{_PART}.{_SPLIT}", f"{_PART}.lines").repartition("entry_id", _SPLIT)
+    return explode_lines(shuffled, "lines", LINE_FIELDS)
+
+
 def latest_documents(raw: DataFrame) -> DataFrame:
     """The latest load of each document, so that lines which a revision has dropped are not found. Documents without an id stay."""
     keyed, others = split_null_keys(raw, ["_id"])
     return keep_latest(keyed, ["_id"], ["ingest_ts"]).unionByName(others)
 
 
-def latest_lines(raw: DataFrame, by_line: bool = False, revised: bool = False) -> DataFrame:
+def latest_lines(raw: DataFrame, by_line: bool = False, revised: bool = False, whole: bool = False) -> DataFrame:
     """The latest load of each line.
 
     A line is known by entry and account, which merges two lines of one entry on one account;
@@ -169,9 +197,14 @@ def latest_lines(raw: DataFrame, by_line: bool = False, revised: bool = False) -
     only: a revision replaces the whole document, lines that it no longer has included.
 
     Lines known by their document meet where their documents do. Otherwise a line is shuffled by entry and account, so that
-    an entry with a third of all lines is many tasks.
+    an entry with a third of all lines is many tasks, and a later join by both needs no shuffle. ``whole`` shuffles fewer bytes where
+    none follows: documents by their entry, and only the lines of hot entries one by one, for which documents are counted first.
     """
     raw = latest_documents(raw) if revised else raw
+    if whole and not by_line:
+        keyed, _ = split_null_keys(lines_by_entry(raw), line_keys())
+        order = total_order(keyed.drop(_SPLIT), line_keys(), ["ingest_ts"], None)
+        return keep_top(keyed, [*line_keys(), _SPLIT], order, 1).drop(_SPLIT)
     lines = journal_lines(raw, line_no="line_no", together=DOCUMENT_KEYS) if by_line else journal_lines(raw)
     keyed, _ = split_null_keys(lines, line_keys())
     return keep_latest(keyed, line_keys(by_line), ["ingest_ts"])
@@ -183,7 +216,7 @@ def journal_silver(raw: DataFrame, accounts: DataFrame, by_line: bool = False, r
     Deduplicating first is what keeps a hot account harmless: the join is then the last shuffle,
     so AQE is free to split it.
     """
-    return enrich(latest_lines(raw, by_line, revised), accounts, "account_id", ACCOUNT_ATTRIBUTES, ["ingest_ts"])
+    return enrich(latest_lines(raw, by_line, revised, whole=True), accounts, "account_id", ACCOUNT_ATTRIBUTES, ["ingest_ts"])
 
 
 def journal_gold(lines: DataFrame) -> DataFrame:

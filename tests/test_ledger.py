@@ -264,3 +264,21 @@ def test_jobs_on_lines_do_not_make_the_entries_without_lines(spark):
     raw = staging.raw_journal(spark, "/root/testdata/sf0.001")
     assert plan(ledger.journal_lines(raw)).count("lineitem.parquet") == 1
     assert "LeftAnti" in plan(ledger.journal_lines(raw, keep_empty=True))
+
+
+def test_documents_are_shuffled_whole_by_entry_but_for_hot_entries(spark):
+    docs = [entry(f"d{i:03}", "HOT", "2023-03-14", [(f"a{i % 40}", i, 0), ("TAX", 0, i)], T0) for i in range(200)]
+    docs += [entry(f"x{i}", f"E{i % 20}", "2023-03-14", [("a1", i, 0), ("TAX", 0, i)], T1 if i % 3 else T0) for i in range(60)]
+    docs += [entry("n", None, "2023-03-14", [("a1", 1, 0)], T0), entry("m", "E1", "soon", [(None, 1, 0)], T0), entry("e", "E1", None, [], T0), entry("l", "E1", None, None, T0)]
+    raw = spark.createDataFrame(docs, RAW)
+    lines = ledger.lines_by_entry(raw, hot=50)
+    found = {r.entry_id: (r.places, r.n) for r in lines.groupBy("entry_id").agg(F.countDistinct("_split").alias("places"), F.count("*").alias("n")).collect()}
+    assert found["HOT"] == (41, 400) and all(places == 1 for e, (places, _) in found.items() if e != "HOT")
+    got = ledger.lines_by_entry(raw, hot=50).drop("_split")
+    assert values(got) == values(ledger.journal_lines(raw.where("entry_id IS NOT NULL")))
+    whole = ledger.latest_lines(raw, whole=True)
+    assert whole.columns == ledger.latest_lines(raw).columns and values(whole) == values(ledger.latest_lines(raw))
+    text = plan(whole)  # from the top: lines come of documents after the one shuffle of these
+    assert text.index("explode(lines") < text.index("Exchange hashpartitioning(entry_id") and "hashpartitioning(entry_id#" in text
+    accounts = spark.createDataFrame([("a1", "One", "own", T0)], ACCOUNT_DDL)
+    assert "hashpartitioning(entry_id" in plan(ledger.journal_silver(raw, accounts)).replace("account_id", "") and "_split" in plan(ledger.journal_silver(raw, accounts))
