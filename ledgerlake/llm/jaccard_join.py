@@ -4,8 +4,10 @@ A set's sketch XORs the hash of each shingle into one of ``k`` cells, chosen by
 difference ``d`` differ in ``d`` cells at most, so the cells that differ, like the differing bits of a parity bitmap,
 bound the symmetric difference from below. Sizes are cut into bands; a band's ``k`` exceeds the largest difference that
 similar sets of the band can have, so similar sets agree in a cell (pigeonhole) and an equi-join on
-(band, cell, value) misses none. A cell without shingles says nothing: ``k`` has a reserve ``r``, and only sets with
-more than ``r`` empty cells, which could agree in no others, present theirs.
+(band, cell, value) misses none. A set that differs in ``d`` cells at most from any similar one presents ``d + 1`` of its
+cells, the first in an order of all cell values (prefix filter); those of many shingles come first, as sets that have
+little in common seldom agree in them. A cell without shingles says nothing: only sets with fewer than ``d + 1`` others,
+which could agree in empty cells alone, present these.
 
 Sets that are equal are one class. Of the classes that share a cell, each is first compared with one of them, in a few
 turns with another one each; pairs that are then still in different groups are compared one by one, so groups are
@@ -52,19 +54,28 @@ def bands(percent: int) -> tuple[tuple[int, int, int, int], ...]:
 
 
 def cells(u: np.ndarray, percent: int, all_bands: tuple[tuple[int, int, int, int], ...]) -> np.ndarray:
-    """The cell values of a sorted set of hashes, in its own band and in larger ones where a similar set may be."""
+    """The cell values that a sorted set of hashes presents, in its own band and in larger ones where a similar set may be.
+
+    Of ``k`` cells, ``e`` of them empty, a similar set agrees in ``k - d - e`` that are not empty at least, if ``d`` is the
+    largest difference; so all but that many and one more, ``d + 1``, of the ``k - e`` will do, where there are as many.
+    """
     n, out = len(u), []
     high32 = u >> np.uint64(32)
     first = next(i for i, b in enumerate(all_bands) if n <= b[1])
     for i in range(first, len(all_bands)):
-        low, _, k, spare = all_bands[i]
+        low, high, k, _ = all_bands[i]
         if i > first and low * percent > 100 * n:
             break
+        most = (n + min(high, 100 * n // percent)) * (100 - percent) // (100 + percent)
         cell = ((high32 * np.uint64(k)) >> np.uint64(32)).astype(np.int64)
         starts = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
         names = np.uint64(i << 44) + cell[starts].astype(np.uint64)
-        out.append(mix(np.bitwise_xor.reduceat(u, starts) + mix(names)))
-        if k - len(starts) > spare:
+        values = mix(np.bitwise_xor.reduceat(u, starts) + mix(names))
+        if len(starts) > most + 1:
+            out.append(values[np.lexsort((values, -np.diff(starts, append=n)))[: most + 1]])
+        else:
+            out.append(values)
+        if len(starts) <= most:
             empty = np.setdiff1d(np.arange(k), cell[starts]).astype(np.uint64)
             out.append(mix(mix(np.uint64(i << 44) + empty) ^ np.uint64(0xA5A5A5A5A5A5A5A5)))
     return np.concatenate(out)
@@ -238,11 +249,11 @@ def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
         "b": F.transform(every, lambda i: F.struct(i.alias("left"), part.alias("right"))),
     }
     a, b = (
-        in_parts.select("cell", F.col("v").alias(f"{x}_v"), F.col("c").alias(f"{x}_c"), F.inline(meets[x])).join(side(x), f"{x}_v") for x in "ab"
+        in_parts.select("cell", F.col("v").alias(f"{x}_v"), F.col("c").alias(f"{x}_c"), F.inline(meets[x])).join(side(x, "wide"), f"{x}_v") for x in "ab"
     )
     here = (a["cell"] == b["cell"]) & (a["left"] == b["left"]) & (a["right"] == b["right"])
-    rest = a.join(b, here & (F.col("a_v") < F.col("b_v")) & (F.col("a_c") != F.col("b_c")) & near)
-    more = verified(land(possible(rest.select(F.col("a_v").alias("a"), F.col("b_v").alias("b")).distinct()), "rest"))
+    rest = a.join(b, here & (F.col("a_v") < F.col("b_v")) & (F.col("a_c") != F.col("b_c")) & near & wide_near)
+    more = verified(land(rest.select(F.col("a_v").alias("a"), F.col("b_v").alias("b")).distinct(), "rest"))
     if more.limit(1).count():
         groups = components(links.union(more))
     smallest = classes.join(groups, "v", "left").withColumn("c", F.coalesce("c", "v"))

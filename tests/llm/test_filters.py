@@ -135,6 +135,17 @@ def test_similar_sets_agree_in_a_cell(n, changes, percent, seed):
         assert set(jaccard_join.cells(a, percent, bands).tolist()) & set(jaccard_join.cells(b, percent, bands).tolist())
 
 
+@pytest.mark.parametrize("n", [300, 900, 2000])
+def test_sets_present_no_more_cells_than_a_similar_one_can_change(n):
+    rng = np.random.default_rng(n)
+    bands = jaccard_join.bands(80)
+    presented = [set(jaccard_join.cells(np.unique(rng.integers(0, 2**64, n, dtype=np.uint64)), 80, bands).tolist()) for _ in range(60)]
+    # a similar set differs in a quarter of the members at most, and shows itself in two bands at most
+    assert max(map(len, presented)) <= 2 * (n // 4 + 1)
+    # no two of these have a member in common, so they share nothing but empty cells, which none presents
+    assert len(set().union(*presented)) == sum(map(len, presented))
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (7, 7)], "a long, b long")
     got = {r["v"]: r["c"] for r in jaccard_join.components(edges).collect()}
