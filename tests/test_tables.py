@@ -92,3 +92,16 @@ def test_groups_are_replaced(spark, table):
 def test_partitions_are_pruned(spark, table):
     table.append(frame(spark, (1, "d1", "a"), (2, "d2", "b")))
     assert "PartitionFilters: [isnotnull(day" in plan(table.read().where(F.col("day") == "d1"))
+
+
+def test_merge_by_hashed_keys_lands_only_what_comes(spark, name, monkeypatch):
+    landed, land = [], KeyedTable._landed
+    monkeypatch.setattr(KeyedTable, "_landed", lambda self, df, what: landed.append(what) or land(self, df, what))
+    t = KeyedTable(spark, name, ["k"], buckets=4)
+    t.merge(frame(spark, *[(k, "d", "old") for k in range(40)], (None, "d", "null")))
+    assert landed == []  # a table that is not there yet holds nothing to match
+    t.merge(frame(spark, *[(k, "d", "new") for k in range(5, 8)], (99, "d", "new"), (None, "d", "null")))
+    assert landed == ["incoming", "touched"]
+    expected = [(k, "d", "new" if 5 <= k < 8 else "old") for k in range(40)] + [(99, "d", "new"), (None, "d", "null"), (None, "d", "null")]
+    assert values(t.read()) == sorted(expected, key=repr)
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
