@@ -7,11 +7,11 @@ key in place of the stored one, bucket by bucket. Folding them in rewrites the t
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.dedup import keep_top
-from ledgerlake.operators.tables import _dynamic_overwrite
+from ledgerlake.operators.tables import COMPRESSION, _dynamic_overwrite, _in_buckets
 from ledgerlake.operators.upsert import upsert
 from ledgerlake.session import scratch
 
@@ -32,8 +32,11 @@ def buckets_for(rows: int, at_least: int = 1) -> int:
 
 def write_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int) -> None:
     """A new table of one file per bucket, sorted by key: the shuffle places rows as the bucketing does."""
-    placed = df.repartition(buckets, *keys).write.format("parquet")
-    placed.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    _bucketed(df.repartition(buckets, *keys), keys, buckets).saveAsTable(name)
+
+
+def _bucketed(df: DataFrame, keys: list[str], buckets: int) -> DataFrameWriter:
+    return df.write.format("parquet").option("compression", COMPRESSION).bucketBy(buckets, *keys).sortBy(*keys)
 
 
 class BucketedTable:
@@ -52,16 +55,16 @@ class BucketedTable:
         self.newer_by = newer_by
 
     def create(self, df: DataFrame) -> None:
-        write_bucketed(self._checked(df), self.name, self.keys, self.buckets)
+        with _in_buckets(self.spark, self.buckets):
+            _bucketed(self._checked(df), self.keys, self.buckets).saveAsTable(self.name)
         columns = self.spark.table(self.name).withColumn(BATCH, F.lit(0).cast("bigint")).limit(0)
-        empty = columns.write.format("parquet").partitionBy(BATCH)
-        empty.bucketBy(self.buckets, *self.keys).sortBy(*self.keys).saveAsTable(self.changes)
+        _bucketed(columns, self.keys, self.buckets).partitionBy(BATCH).saveAsTable(self.changes)
 
     def merge(self, source: DataFrame, batch: int) -> None:
         """Upsert by key. ``batch`` numbers the merge, as a stream does; repeating it writes over what it wrote before."""
         columns = self.spark.table(self.name).columns
         rows = self._checked(source.select(*columns)).withColumn(BATCH, F.lit(batch).cast("bigint"))
-        with _dynamic_overwrite(self.spark):
+        with _dynamic_overwrite(self.spark), _in_buckets(self.spark, self.buckets):
             rows.write.mode("overwrite").insertInto(self.changes)
 
     def read(self) -> DataFrame:
@@ -94,9 +97,9 @@ class BucketedTable:
         return other
 
     def _checked(self, df: DataFrame) -> DataFrame:
-        placed = df.repartition(self.buckets, *self.keys)
+        """The rows, grouped by key to see that none is there twice; written :func:`_in_buckets`, that places them too."""
         wrong = F.count(F.lit(1)).over(Window.partitionBy(*self.keys)) > 1
         for c in [*self.keys, *([self.newer_by] if self.newer_by else [])]:
             wrong = wrong | F.col(c).isNull()
         clash = F.raise_error(F.lit("merge: a key is null or there twice, or what tells newer rows is null"))
-        return placed.withColumn("_wrong", wrong).where(F.when(F.col("_wrong"), clash.cast("boolean")).otherwise(True)).drop("_wrong")
+        return df.withColumn("_wrong", wrong).where(F.when(F.col("_wrong"), clash.cast("boolean")).otherwise(True)).drop("_wrong")

@@ -356,9 +356,9 @@ def upsert_close_tasks(spark, sf):
     return op.upsert(target, source, ["task_id"])
 
 
-def _journal_halves(spark, sf):
+def _journal_halves(spark, sf, by_load: bool = False):
     return [
-        ledger.latest_lines(raw) for raw in _arrived(staging.raw_journal(spark, sf), "ingest_ts", ORDERS_SPLIT)
+        ledger.latest_lines(raw) for raw in _arrived(staging.raw_journal(spark, sf, by_load), "ingest_ts", ORDERS_SPLIT)
     ]
 
 
@@ -673,7 +673,7 @@ def catalog_upsert(spark, sf):
 @query
 def bucketed_upsert(spark, sf):
     """The same lines in a bucketed table that takes the second half beside it."""
-    before, after = _journal_halves(spark, sf)
+    before, after = _journal_halves(spark, sf, by_load=True)
     buckets = op.buckets_for(3 * table(spark, sf, "lineitem").count(), 8)  # a document has three lines at most
     lines = op.BucketedTable(spark, f"{scratch_database(spark, 'bucketed')}.lines", ["entry_id", "account_id"], buckets)
     lines.create(before)

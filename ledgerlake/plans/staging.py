@@ -52,7 +52,7 @@ def _posted_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
         "l_linenumber",
         "l_quantity",
         F.col("l_extendedprice").cast(MONEY).alias("amount"),
-        (F.col("l_extendedprice").cast(MONEY) * F.col("l_tax").cast("decimal(4,2)")).cast(MONEY).alias("tax"),
+        F.col("l_tax").cast("decimal(4,2)").alias("tax_rate"),  # the tax itself has more digits to shuffle
         "l_returnflag",
         "l_shipdate",
     )
@@ -64,8 +64,12 @@ def _posted_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     return sold, unsold
 
 
-def raw_journal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Double entries: part against supplier, and the tax account when there is tax. Returns swap sides."""
+def raw_journal(spark: SparkSession, sf_dir: str, by_load: bool = False) -> DataFrame:
+    """Double entries: part against supplier, and the tax account when there is tax. Returns swap sides.
+
+    ``by_load`` makes the entries that have a load time of their own apart from those that have their order's, so that a
+    range of load times reaches the lines before they are shuffled; that pays where loads are read one after the other.
+    """
     zero = F.lit(0).cast(MONEY)
     returned = F.col("l_returnflag") == "R"
 
@@ -76,7 +80,8 @@ def raw_journal(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(returned, debit).otherwise(credit).alias("credit"),
         )
 
-    amount, tax = F.col("amount"), F.col("tax")
+    amount = F.col("amount")
+    tax = (amount * F.col("tax_rate")).cast(MONEY)
     base = [line(_text("P", F.col("l_partkey")), amount, zero), line(_text("S", F.col("l_suppkey")), zero, amount)]
     filled = F.when(tax > 0, F.array(*base, line(F.lit("TAX"), zero, tax))).otherwise(F.array(*base))
 
@@ -91,7 +96,14 @@ def raw_journal(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     sold, unsold = _posted_lines(spark, sf_dir)
-    journal = entries(sold, ["o_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], filled, F.coalesce("l_shipdate", "o_orderdate"))
+    line_ids = ["o_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    if by_load:
+        journal = entries(sold.where("l_shipdate IS NOT NULL"), line_ids, filled, F.col("l_shipdate"))
+        # a time of both tables, though it is the order's: no range reaches the orders, so both parts share their shuffle
+        others = entries(sold.where("l_shipdate IS NULL"), line_ids, filled, F.coalesce("l_shipdate", "o_orderdate"))
+        journal = journal.unionByName(others)
+    else:
+        journal = entries(sold, line_ids, filled, F.coalesce("l_shipdate", "o_orderdate"))
     # apart, so that their lines are constants and jobs that read only lines need not make these entries
     for rest, lines in ((1, F.array()), (0, F.lit(None))):
         without = unsold.where(F.coalesce(F.col("o_orderkey") % 2 == 1, F.lit(False)) == F.lit(bool(rest)))

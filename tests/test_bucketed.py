@@ -2,9 +2,11 @@ import re
 
 import pytest
 from support import plan, values
+from pyspark.sql import functions as F
 
-from ledgerlake.operators import BucketedTable, buckets_for, upsert
+from ledgerlake.operators import BucketedTable, buckets_for, keep_latest, upsert
 from ledgerlake.operators.bucketed import ROWS_PER_BUCKET
+from ledgerlake.operators.tables import _in_buckets
 from ledgerlake.session import scratch_database
 
 DDL = "k int, v string, at int"
@@ -91,3 +93,19 @@ def test_the_rows_of_a_bucket_are_bounded_whatever_the_table():
     assert [buckets_for(n, 8) for n in (0, 12_000_000, 12_000_001, 650_000_000)] == [8, 8, 16, 512]
     for rows in (10**6, 10**8, 10**10):
         assert rows <= buckets_for(rows) * ROWS_PER_BUCKET < 2 * rows + 2 * ROWS_PER_BUCKET
+
+
+def test_rows_deduplicated_by_the_keys_are_not_shuffled_again(spark, name):
+    table = BucketedTable(spark, name, ["k"], 3)
+    rows = spark.range(3000).selectExpr("cast(id % 1000 as int) as k", "cast(id as string) as v", "cast(id as int) as at")
+    latest = keep_latest(rows, ["k"], ["at"])
+    with _in_buckets(spark, 3):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "6"  # a multiple of 3, no less than the 4 of the session
+        assert plan(table._checked(latest)).count("Exchange") == 1
+        by_part = latest.groupBy("k").agg(F.max("v").alias("v"), F.max("at").alias("at"))
+        assert plan(BucketedTable(spark, name, ["k", "at"], 3)._checked(by_part)).count("Exchange") == 2
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    table.create(latest)
+    place = spark.table(name).select((F.pmod(F.hash("k"), F.lit(3))).alias("b"), F.input_file_name().alias("f")).distinct().collect()
+    assert all(int(re.search(r"_(\d{5})\.", r.f).group(1)) == r.b for r in place) and all("zstd" in r.f for r in place)
+    assert values(table.read()) == values(latest) and len(files(spark, name)) <= 6

@@ -282,3 +282,19 @@ def test_documents_are_shuffled_whole_by_entry_but_for_hot_entries(spark):
     assert text.index("explode(lines") < text.index("Exchange hashpartitioning(entry_id") and "hashpartitioning(entry_id#" in text
     accounts = spark.createDataFrame([("a1", "One", "own", T0)], ACCOUNT_DDL)
     assert "_split" in plan(ledger.journal_silver(raw, accounts))
+
+
+def test_a_range_of_load_times_reaches_the_lines_and_leaves_none_out(spark, tmp_path):
+    """Also lines without a load time of their own, orders without lines and lines without tax."""
+    for name in ("orders", "lineitem"):
+        rows = spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet")
+        if name == "lineitem":
+            rows = rows.withColumn("l_shipdate", F.when(F.col("l_partkey") % 3 > 0, F.col("l_shipdate")))
+        rows.write.parquet(str(tmp_path / f"{name}.parquet"))
+    whole, parts = (staging.raw_journal(spark, str(tmp_path), by_load) for by_load in (False, True))
+    assert whole.schema == parts.schema and whole.exceptAll(parts).isEmpty() and parts.exceptAll(whole).isEmpty()
+    for late in (F.col("ingest_ts") < staging.ntz("1998-06-01"), F.col("ingest_ts") >= staging.ntz("1998-06-01")):
+        a, b = (values(ledger.latest_lines(raw.where(late))) for raw in (whole, parts))
+        assert a == b and a
+        assert not re.search(r"PushedFilters: \[[^]]*(Less|Greater)[^]]*l_shipdate", plan(whole.where(late)))
+        assert re.search(r"PushedFilters: \[[^]]*(Less|Greater)[^]]*l_shipdate", plan(parts.where(late)))
