@@ -664,8 +664,9 @@ def table_merge(spark, sf):
 @query
 def catalog_upsert(spark, sf):
     """Journal lines merged into a catalog table that is partitioned by a hash of their keys."""
-    lines = op.KeyedTable(spark, f"{scratch_database(spark, 'journal')}.lines", ["entry_id", "account_id"])
-    for half in _journal_halves(spark, sf):
+    buckets = op.buckets_for(3 * table(spark, sf, "lineitem").count(), 64)  # a document has three lines at most
+    lines = op.KeyedTable(spark, f"{scratch_database(spark, 'journal')}.lines", ["entry_id", "account_id"], buckets=buckets)
+    for half in _journal_halves(spark, sf, by_load=True):
         lines.merge(half)
     return lines.read()
 

@@ -105,3 +105,44 @@ def test_merge_by_hashed_keys_lands_only_what_comes(spark, name, monkeypatch):
     expected = [(k, "d", "new" if 5 <= k < 8 else "old") for k in range(40)] + [(99, "d", "new"), (None, "d", "null"), (None, "d", "null")]
     assert values(t.read()) == sorted(expected, key=repr)
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+def test_a_merge_by_hashed_keys_moves_no_row(spark, name, monkeypatch):
+    plans, merged = [], KeyedTable._merged
+
+    def seen(self, target, source):
+        rows = merged(self, target, source)
+        plans.append(plan(rows))
+        return rows
+
+    monkeypatch.setattr(KeyedTable, "_merged", seen)
+    t = KeyedTable(spark, name, ["k", "day"], buckets=3)
+    old = [(k, f"d{k % 7}", "old") for k in range(100)] + [(None, "d", "null"), (1, None, "null")]
+    new = [(k, f"d{k % 7}", "new") for k in range(50, 130)] + [(None, "d", "null")]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        t.merge(frame(spark, *old))
+        for _ in range(2):
+            t.merge(frame(spark, *new))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(plans) == 2 and all("SortMergeJoin" in p and "Exchange" not in p for p in plans)
+    assert rows(t) == sorted([*old[:50], *new[:-1], *old[100:], *new[-1:] * 2], key=repr)
+    assert all(r.tableName == "t" for r in spark.sql(f"SHOW TABLES IN {name.split('.')[0]}").collect())
+    with pytest.raises(Exception, match="more than one source row"):
+        t.merge(frame(spark, (60, "d4", "a"), (60, "d4", "b")))
+    assert rows(t) == sorted([*old[:50], *new[:-1], *old[100:], *new[-1:] * 2], key=repr)
+
+
+def test_hashed_tables_without_buckets_stay_as_they_are(spark, name):
+    """As they were made before: partitioned by another hash of the keys."""
+    old = frame(spark, *[(k, "d", "old") for k in range(30)])
+    placed = old.withColumn("_bucket", F.pmod(F.xxhash64("k"), F.lit(4)).cast("int"))
+    placed.write.format("parquet").partitionBy("_bucket").saveAsTable(name)
+    t = KeyedTable(spark, name, ["k"], buckets=4)
+    t.merge(frame(spark, *[(k, "d", "new") for k in range(20, 40)]))
+    t.append(frame(spark, (99, "d", "new")))
+    t.merge(frame(spark, (99, "e", "newer"), (20, "c", "older")), newer_by="day")
+    expected = [(k, "d", "old" if k < 20 else "new") for k in range(40)] + [(99, "e", "newer")]
+    assert rows(t) == sorted(expected, key=repr)
+    assert spark.table(name).where(F.col("_bucket") != F.pmod(F.xxhash64("k"), F.lit(4))).isEmpty()
