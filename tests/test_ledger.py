@@ -298,3 +298,9 @@ def test_a_range_of_load_times_reaches_the_lines_and_leaves_none_out(spark, tmp_
         assert a == b and a
         assert not re.search(r"PushedFilters: \[[^]]*(Less|Greater)[^]]*l_shipdate", plan(whole.where(late)))
         assert re.search(r"PushedFilters: \[[^]]*(Less|Greater)[^]]*l_shipdate", plan(parts.where(late)))
+
+
+def test_documents_are_written_once_however_often_they_are_used(spark):
+    docs = staging.extended_json_orders(spark, "/root/testdata/sf0.001")
+    used = docs.where(~F.col("doc").contains("-1-")).select(F.col("doc").alias("a"), F.length("doc").alias("b"))
+    assert plan(used).count("StructsToJsonEvaluator") == plan(docs).count("StructsToJsonEvaluator") > 0
