@@ -189,6 +189,12 @@ def latest_documents(raw: DataFrame) -> DataFrame:
     return keep_latest(keyed, ["_id"], ["ingest_ts"]).unionByName(others)
 
 
+def _lines_by_document(raw: DataFrame, together: list[str] | None) -> DataFrame:
+    """The latest load of each line, known by its document and position; ``together`` as in :func:`journal_lines`."""
+    keyed, _ = split_null_keys(journal_lines(raw, line_no="line_no", together=together), line_keys())
+    return keep_latest(keyed, line_keys(True), ["ingest_ts"])
+
+
 def latest_lines(raw: DataFrame, by_line: bool = False, revised: bool = False, whole: bool = False) -> DataFrame:
     """The latest load of each line.
 
@@ -200,14 +206,20 @@ def latest_lines(raw: DataFrame, by_line: bool = False, revised: bool = False, w
     an entry with a third of all lines is many tasks, and a later join by both needs no shuffle. ``whole`` shuffles fewer bytes where
     none follows: documents by their entry, and only the lines of hot entries one by one, for which documents are counted first.
     """
+    if revised and by_line:
+        # apart, as a union would lose where the latest loads are: by their ids, so their lines are together already
+        keyed, others = split_null_keys(raw, ["_id"])
+        latest = keep_latest(keyed, ["_id"], ["ingest_ts"])
+        return _lines_by_document(latest, None).unionByName(_lines_by_document(others, DOCUMENT_KEYS))
     raw = latest_documents(raw) if revised else raw
     if whole and not by_line:
         keyed, _ = split_null_keys(lines_by_entry(raw), line_keys())
         order = total_order(keyed.drop(_SPLIT), line_keys(), ["ingest_ts"], None)
         return keep_top(keyed, [*line_keys(), _SPLIT], order, 1).drop(_SPLIT)
-    lines = journal_lines(raw, line_no="line_no", together=DOCUMENT_KEYS) if by_line else journal_lines(raw)
-    keyed, _ = split_null_keys(lines, line_keys())
-    return keep_latest(keyed, line_keys(by_line), ["ingest_ts"])
+    if by_line:
+        return _lines_by_document(raw, DOCUMENT_KEYS)
+    keyed, _ = split_null_keys(journal_lines(raw), line_keys())
+    return keep_latest(keyed, line_keys(), ["ingest_ts"])
 
 
 def journal_silver(raw: DataFrame, accounts: DataFrame, by_line: bool = False, revised: bool = False) -> DataFrame:

@@ -304,3 +304,26 @@ def test_documents_are_written_once_however_often_they_are_used(spark):
     docs = staging.extended_json_orders(spark, "/root/testdata/sf0.001")
     used = docs.where(~F.col("doc").contains("-1-")).select(F.col("doc").alias("a"), F.length("doc").alias("b"))
     assert plan(used).count("StructsToJsonEvaluator") == plan(docs).count("StructsToJsonEvaluator") > 0
+
+
+def test_lines_of_the_latest_documents_are_not_shuffled_again(spark):
+    """Also documents without an id, whose lines meet by entry, account and position."""
+    rows = [
+        entry("a", "E1", "2023-01-01", [("x", 1, 0), ("x", 2, 0), ("y", 3, 0)], T0),
+        entry("a", "E1", "2023-01-02", [("x", 4, 0), ("x", 5, 0)], T1),
+        entry("b", "E1", "2023-01-01", [("x", 6, 0)], T1),
+        entry("b", "E2", "2023-01-01", [], datetime(2025, 9, 3)),
+        entry(None, "E1", "2023-01-01", [("x", 7, 0), ("z", 8, 0)], T0),
+        entry(None, "E1", "2023-01-03", [("x", 9, 0)], T1),
+        entry("c", None, "2023-01-01", [("x", 10, 0)], T0),
+        entry("d", "E3", "2023-01-01", [(None, 11, 0), ("x", 12, 0)], T0),
+    ]
+    raw = spark.createDataFrame(rows, RAW)
+    found = ledger.latest_lines(raw, by_line=True, revised=True)
+    assert values(found.select("_id", "entry_id", "account_id", "line_no", "debit")) == sorted(
+        [("a", "E1", "x", 1, Decimal("4.00")), ("a", "E1", "x", 2, Decimal("5.00")), (None, "E1", "x", 1, Decimal("9.00")),
+         (None, "E1", "z", 2, Decimal("8.00")), ("d", "E3", "x", 2, Decimal("12.00"))], key=repr
+    )
+    known = raw.where("_id IS NOT NULL").withColumn("_id", F.concat_ws("", "_id"))
+    above_the_documents = plan(ledger.latest_lines(known, by_line=True, revised=True)).split("Scan")[0]
+    assert above_the_documents.count("Exchange") == 1
