@@ -183,6 +183,29 @@ def lines_by_entry(raw: DataFrame, hot: int = HOT_DOCUMENTS, groups: int = HOT_G
     return explode_lines(shuffled, "lines", LINE_FIELDS)
 
 
+SPREAD = "_spread"
+HOT_LINES, HOT_PARTS = 1_000_000, 1 << 8
+
+
+def latest_lines_by_account(raw: DataFrame, hot: int = HOT_LINES, groups: int = HOT_GROUPS, parts: int = HOT_PARTS) -> DataFrame:
+    """:func:`latest_lines`, shuffled once: by account, so that what is known of an account meets its lines where they are.
+
+    An account of more than ``hot`` lines would be one task, so its lines are spread over ``parts`` by a hash of their entry, told
+    by the column ``SPREAD``. Such accounts are found by counting lines by a hash of their account in ``groups`` groups: all of a
+    group with more are spread. Lines grouped by account, ``SPREAD`` and other columns are not shuffled again.
+    """
+    keyed, _ = split_null_keys(journal_lines(raw), line_keys())
+    group = F.pmod(F.xxhash64("account_id"), F.lit(groups))
+    # the digest keeps every column of the counted lines, so that they come of the same shuffles as the lines themselves
+    counted = keyed.groupBy(group.alias("_hot")).agg(F.count(F.lit(1)).alias("count"), F.max(F.xxhash64(*keyed.columns)).alias("_all"))
+    hot_groups = F.broadcast(counted.where((F.col("count") > hot) & F.col("_all").isNotNull()).select("_hot"))
+    placed = keyed.withColumn("_group", group).join(hot_groups, F.col("_group") == F.col("_hot"), "left")
+    part = F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64("entry_id"), F.lit(parts))).otherwise(0)
+    shuffled = placed.select(*keyed.columns, part.cast("int").alias(SPREAD)).repartition("account_id", SPREAD)
+    order = total_order(keyed, line_keys(), ["ingest_ts"], None)
+    return keep_top(shuffled, ["account_id", SPREAD, "entry_id"], order, 1)
+
+
 def latest_documents(raw: DataFrame) -> DataFrame:
     """The latest load of each document, so that lines which a revision has dropped are not found. Documents without an id stay."""
     keyed, others = split_null_keys(raw, ["_id"])

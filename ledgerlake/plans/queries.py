@@ -304,8 +304,10 @@ def journal_silver_by_line(spark, sf):
 @query
 def journal_as_loaded(spark, sf):
     """Lines with the name that their account had when they were loaded."""
-    lines = ledger.latest_lines(staging.raw_journal(spark, sf), whole=True)
-    return op.as_of(lines, staging.renamed_accounts(spark, sf), ["account_id"], "ingest_ts", "ingest_ts", ledger.ACCOUNT_ATTRIBUTES)
+    lines = ledger.latest_lines_by_account(staging.raw_journal(spark, sf))
+    accounts = staging.renamed_accounts(spark, sf)
+    named = op.as_of(lines, accounts, ["account_id"], "ingest_ts", "ingest_ts", ledger.ACCOUNT_ATTRIBUTES, spread=ledger.SPREAD)
+    return named.drop(ledger.SPREAD)
 
 
 @query

@@ -9,7 +9,7 @@ import pytest
 from support import plan, values
 from pyspark.sql import functions as F
 
-from ledgerlake.operators import KeyedTable
+from ledgerlake.operators import KeyedTable, as_of
 from ledgerlake.plans import ledger, staging
 from ledgerlake.session import scratch_database, shared_dir
 from ledgerlake.sources import read_json_docs
@@ -327,3 +327,20 @@ def test_lines_of_the_latest_documents_are_not_shuffled_again(spark):
     known = raw.where("_id IS NOT NULL").withColumn("_id", F.concat_ws("", "_id"))
     above_the_documents = plan(ledger.latest_lines(known, by_line=True, revised=True)).split("Scan")[0]
     assert above_the_documents.count("Exchange") == 1
+
+
+def test_lines_are_shuffled_once_by_account_and_named_there(spark):
+    days = [T0, T1, datetime(2025, 9, 5), None]
+    docs = [entry(f"d{i:03}", f"E{i % 30}", "2023-03-14", [(f"a{i % 7}", i, 0), ("TAX", 0, i)], days[i % 4]) for i in range(200)]
+    docs += [entry("n", None, "2023-03-14", [("a1", 1, 0)], T0), entry("m", "E1", "soon", [(None, 1, 0)], T0), entry("e", "E1", None, [], T0)]
+    raw = spark.createDataFrame(docs, RAW)
+    lines = ledger.latest_lines_by_account(raw, hot=50, parts=5)
+    spread = {r.account_id: r.n for r in lines.groupBy("account_id").agg(F.countDistinct(ledger.SPREAD).alias("n")).collect()}
+    assert spread["TAX"] == 5 and all(spread[f"a{i}"] == 1 for i in range(7))
+    assert values(lines.drop(ledger.SPREAD)) == values(ledger.latest_lines(raw)) == values(ledger.latest_lines_by_account(raw).drop(ledger.SPREAD))
+    history = spark.createDataFrame([("TAX", "old", "t", T0), ("TAX", "new", "t", T1), ("a1", "one", "t", T1), ("b", "other", "t", T0)], ACCOUNT_DDL)
+    named = lambda **how: as_of(lines, history, ["account_id"], "ingest_ts", "ingest_ts", ledger.ACCOUNT_ATTRIBUTES, **how)
+    assert named(spread=ledger.SPREAD).columns == named().columns
+    assert values(named(spread=ledger.SPREAD)) == values(named()) and named().where("account_name = 'new'").count() > 0
+    first = lambda df: next(line for line in plan(df).splitlines() if "Exchange" in line)
+    assert "ENSURE_REQUIREMENTS" in first(named()) and "REPARTITION_BY_COL" in first(named(spread=ledger.SPREAD))

@@ -46,3 +46,14 @@ def test_no_facts_or_no_versions(spark):
     names = {"name": "name", "kind": "kind"}
     assert values(as_of(facts.limit(0), history, ["k"], "at", "since", names)) == []
     assert values(as_of(facts, history.limit(0), ["k"], "at", "since", names)) == [("a", day(1), 1, None, None)]
+
+
+def test_facts_apart_by_a_column_have_the_version_of_their_time(spark):
+    r = random.Random(3)
+    history = spark.createDataFrame([(r.choice("ab"), r.choice(["x", "y", None]), "t", day(n)) for n in range(0, 300, 9)], HISTORY)
+    facts = spark.createDataFrame([(r.choice(["a", "a", "b", "c", None]), r.choice([day(r.randint(-3, 300)), day(9), None]), i) for i in range(200)], FACTS)
+    names = {"name": "k_name", "kind": "k_kind"}
+    by_unit = as_of(facts, history, ["k"], "at", "since", names)
+    apart = as_of(facts.selectExpr("*", "n % 3 as part"), history, ["k"], "at", "since", names, spread="part")
+    assert apart.columns == ["k", "at", "n", "part", "k_name", "k_kind"] and values(apart.drop("part")) == values(by_unit)
+    assert values(as_of(facts.selectExpr("*", "1 as part").limit(0), history, ["k"], "at", "since", names, spread="part")) == []
