@@ -14,14 +14,14 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.dedup import keep_latest
 from ledgerlake.operators.joins import join_splittable
 from ledgerlake.operators.pruning import split_by_keys
 
-_N, _TS = "_matches", "_source_ts"
+_N, _TS, _SOURCE = "_matches", "_source_ts", "_source_row"
 
 
 def _keyed(keys: list[str]) -> Column:
@@ -62,14 +62,19 @@ def _winners(target: DataFrame, source: DataFrame, touched: DataFrame, keys: lis
     return join_splittable(source, known, keys, "left").where(wins).select(*target.columns)
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: list[str], newer_by: str | None = None, prune: bool = False) -> DataFrame:
+def upsert(target: DataFrame, source: DataFrame, keys: list[str], newer_by: str | None = None, prune: bool = False, placed_by: str | None = None) -> DataFrame:
     """The target after merging ``source``: matched rows are replaced, the others inserted.
 
     With ``newer_by`` a matched row is replaced only by a source row whose ``newer_by`` is greater;
     an equal or null one leaves the target as it is. With ``prune`` target rows that a bitmap of the source's keys excludes
     go past the join: for a source whose keys are too many to broadcast but few beside the target's. The target is then read twice.
+    ``placed_by`` names a column that follows from the keys: where both sides were shuffled by it and some of the keys, no row moves.
     """
     source = source.select(*target.columns)
+    if placed_by:
+        if newer_by or prune:
+            raise ValueError("placed_by goes with neither newer_by nor prune")
+        return _upsert_in_place(target, source, [*keys, placed_by])
     if prune:
         perhaps, untouched = split_by_keys(target, source, keys)
         return upsert(perhaps, source, keys, newer_by).unionByName(untouched)
@@ -79,6 +84,15 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], newer_by: str
     return kept.unionByName(incoming)
 
 
+def _upsert_in_place(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """One window over both sides in place of a join, which would shuffle them by all the keys."""
+    rows = target.withColumn(_SOURCE, F.lit(0)).unionByName(source.withColumn(_SOURCE, F.lit(1)))
+    matches = F.when(_keyed(keys), F.sum(_SOURCE).over(Window.partitionBy(*keys))).otherwise(0)
+    clash = F.raise_error(F.lit("upsert: more than one source row matches a target row"))
+    stays = F.when(F.col(_SOURCE) == 1, True).when(F.col(_N) > 1, clash.cast("boolean")).otherwise(F.col(_N) == 0)
+    return rows.withColumn(_N, matches).where(stays).select(*target.columns)
+
+
 def replace_groups(target: DataFrame, recomputed: DataFrame, affected: DataFrame, keys: list[str]) -> DataFrame:
     """Aggregates after their inputs changed: every affected group goes, the recomputed ones come.
 

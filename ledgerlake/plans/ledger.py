@@ -159,7 +159,7 @@ def line_keys(by_line: bool = False) -> list[str]:
     return ["entry_id", "account_id", *(["_id", "line_no"] if by_line else [])]
 
 
-_PART, _SPLIT = "_part", "_split"
+_PART, SPLIT = "_part", "_split"
 HOT_DOCUMENTS, HOT_GROUPS = 50_000, 1 << 16
 
 
@@ -175,11 +175,11 @@ def lines_by_entry(raw: DataFrame, hot: int = HOT_DOCUMENTS, groups: int = HOT_G
     counted = entries.where(F.size("lines") > 0).groupBy(F.col("_group").alias("_hot")).count()
     hot_groups = F.broadcast(counted.where(F.col("count") > hot).select("_hot"))
     placed = entries.where(F.size("lines") > 0).join(hot_groups, F.col("_group") == F.col("_hot"), "left")
-    one_by_one = F.transform("lines", lambda x: F.struct(F.xxhash64(x.account_id).alias(_SPLIT), F.array(x).alias("lines")))
-    whole = F.array(F.struct(F.lit(0).cast("bigint").alias(_SPLIT), F.col("lines")))
+    one_by_one = F.transform("lines", lambda x: F.struct(F.xxhash64(x.account_id).alias(SPLIT), F.array(x).alias("lines")))
+    whole = F.array(F.struct(F.lit(0).cast("bigint").alias(SPLIT), F.col("lines")))
     fields = ["_id", "entry_id", "entry_date", "description", "ingest_ts"]
     parts = placed.select(*fields, F.explode(F.when(F.col("_hot").isNull(), whole).otherwise(one_by_one)).alias(_PART))
-    shuffled = parts.select(*fields, f"{_PART}.{_SPLIT}", f"{_PART}.lines").repartition("entry_id", _SPLIT)
+    shuffled = parts.select(*fields, f"{_PART}.{SPLIT}", f"{_PART}.lines").repartition("entry_id", SPLIT)
     return explode_lines(shuffled, "lines", LINE_FIELDS)
 
 
@@ -212,6 +212,13 @@ def latest_documents(raw: DataFrame) -> DataFrame:
     return keep_latest(keyed, ["_id"], ["ingest_ts"]).unionByName(others)
 
 
+def latest_of_entries(lines: DataFrame) -> DataFrame:
+    """The latest load of each of the lines that :func:`lines_by_entry` has placed, by entry and account, where they are."""
+    keyed, _ = split_null_keys(lines, line_keys())
+    order = total_order(keyed.drop(SPLIT), line_keys(), ["ingest_ts"], None)
+    return keep_top(keyed, [*line_keys(), SPLIT], order, 1)
+
+
 def _lines_by_document(raw: DataFrame, together: list[str] | None) -> DataFrame:
     """The latest load of each line, known by its document and position; ``together`` as in :func:`journal_lines`."""
     keyed, _ = split_null_keys(journal_lines(raw, line_no="line_no", together=together), line_keys())
@@ -236,9 +243,7 @@ def latest_lines(raw: DataFrame, by_line: bool = False, revised: bool = False, w
         return _lines_by_document(latest, None).unionByName(_lines_by_document(others, DOCUMENT_KEYS))
     raw = latest_documents(raw) if revised else raw
     if whole and not by_line:
-        keyed, _ = split_null_keys(lines_by_entry(raw), line_keys())
-        order = total_order(keyed.drop(_SPLIT), line_keys(), ["ingest_ts"], None)
-        return keep_top(keyed, [*line_keys(), _SPLIT], order, 1).drop(_SPLIT)
+        return latest_of_entries(lines_by_entry(raw)).drop(SPLIT)
     if by_line:
         return _lines_by_document(raw, DOCUMENT_KEYS)
     keyed, _ = split_null_keys(journal_lines(raw), line_keys())

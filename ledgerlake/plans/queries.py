@@ -386,10 +386,13 @@ def upsert_idempotent(spark, sf):
 
 @query
 def journal_gold_refresh(spark, sf):
-    target, source = _journal_halves(spark, sf)
-    silver = op.upsert(target, source, ["entry_id", "account_id"])
+    """Lines are placed by their entries once, before the halves are told apart, so that hot entries are the same in both."""
+    placed = _arrived(ledger.lines_by_entry(staging.raw_journal(spark, sf)), "ingest_ts", ORDERS_SPLIT)
+    target, source = (ledger.latest_of_entries(lines) for lines in placed)
+    silver = op.upsert(target, source, ["entry_id", "account_id"], placed_by=ledger.SPLIT)
     changed = source.select("entry_id").distinct()
-    totals = ledger.journal_gold(op.only_known(silver, changed, "entry_id"))
+    # totals are narrower than lines, and made where these are
+    totals = op.only_known(ledger.journal_gold(silver), changed, "entry_id")
     return op.replace_groups(ledger.journal_gold(target), totals, changed, ["entry_id"])
 
 

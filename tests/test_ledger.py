@@ -9,7 +9,7 @@ import pytest
 from support import plan, values
 from pyspark.sql import functions as F
 
-from ledgerlake.operators import KeyedTable, as_of
+from ledgerlake.operators import KeyedTable, as_of, upsert
 from ledgerlake.plans import ledger, staging
 from ledgerlake.session import scratch_database, shared_dir
 from ledgerlake.sources import read_json_docs
@@ -344,3 +344,14 @@ def test_lines_are_shuffled_once_by_account_and_named_there(spark):
     assert values(named(spread=ledger.SPREAD)) == values(named()) and named().where("account_name = 'new'").count() > 0
     first = lambda df: next(line for line in plan(df).splitlines() if "Exchange" in line)
     assert "ENSURE_REQUIREMENTS" in first(named()) and "REPARTITION_BY_COL" in first(named(spread=ledger.SPREAD))
+
+
+def test_halves_of_entries_placed_once_merge_where_they_are(spark):
+    docs = [entry(f"d{i:03}", "HOT", "2023-03-14", [(f"a{i % 40}", i, 0), ("TAX", 0, i)], T0 if i % 3 else T1) for i in range(90)]
+    docs += [entry(f"x{i}", f"E{i % 20}", "2023-03-14", [("a1", i, 0), ("TAX", 0, i)], T1 if i % 3 else T0) for i in range(60)]
+    placed = ledger.lines_by_entry(spark.createDataFrame(docs, RAW), hot=30)
+    target, source = (ledger.latest_of_entries(placed.where(c)) for c in (F.col("ingest_ts") < T1, F.col("ingest_ts") >= T1))
+    merged = upsert(target, source, ["entry_id", "account_id"], placed_by=ledger.SPLIT)
+    assert merged.select("entry_id", ledger.SPLIT).distinct().where("entry_id = 'HOT'").count() > 30
+    assert values(merged) == values(upsert(target, source, ["entry_id", "account_id"]))
+    assert "REPARTITION_BY_COL" in next(line for line in plan(merged).splitlines() if "Exchange" in line)

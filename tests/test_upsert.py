@@ -100,3 +100,19 @@ def test_late_changes_do_not_revive_what_a_marker_keeps(spark):
             target = spark.createDataFrame(state, empty.schema)
             state = values(op.apply_changes(target, spark.createDataFrame(change, "k int, seq int, op string, v string"), ["k"], ["seq"], "op", marker="gone"))
         assert state == [(1, 9, None, True), (2, 3, "b", False), (3, 5, "back", False)]
+
+
+def test_rows_placed_alike_are_merged_where_they_are(spark):
+    ddl = "k int, j int, v string, part int"
+    part = lambda k, j: j % 2 if k == 7 else 0  # a hot key is in two places
+    old = [(k, j, "old", part(k, j)) for k in range(12) for j in range(k % 5 + 1)] + [(None, 1, "null", 0), (3, None, "null", 0)]
+    new = [(k, j, "new", part(k, j)) for k in range(5, 15) for j in range(k % 4 + 1)] + [(None, 1, "null", 0), (3, None, "null", 0), (99, 1, "x", 0), (99, 1, "y", 0)]
+    target, source = (spark.createDataFrame(rows, ddl).repartition("k", "part") for rows in (old, new))
+    merged = op.upsert(target, source, ["k", "j"], placed_by="part")
+    assert plan(merged).count("Exchange") == 2 and "Join" not in plan(merged)
+    assert merged.columns == target.columns and values(merged) == values(op.upsert(target, source, ["k", "j"]))
+    twice = source.unionByName(source.where("k = 5"))
+    with pytest.raises(Exception, match="more than one source row"):
+        op.upsert(target, twice, ["k", "j"], placed_by="part").collect()
+    with pytest.raises(ValueError, match="placed_by"):
+        op.upsert(target, source, ["k", "j"], newer_by="v", placed_by="part")
