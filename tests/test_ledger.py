@@ -355,3 +355,13 @@ def test_halves_of_entries_placed_once_merge_where_they_are(spark):
     assert merged.select("entry_id", ledger.SPLIT).distinct().where("entry_id = 'HOT'").count() > 30
     assert values(merged) == values(upsert(target, source, ["entry_id", "account_id"]))
     assert "REPARTITION_BY_COL" in next(line for line in plan(merged).splitlines() if "Exchange" in line)
+
+
+def test_lines_are_shuffled_to_their_orders_without_texts(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(ledger.journal_lines(staging.raw_journal(spark, "/root/testdata/sf0.001"))).splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    below = text[next(i for i, line in enumerate(text) if "Exchange hashpartitioning(l_orderkey" in line) + 1]
+    assert "AS returned" in below and "AS tax_rate" in below
