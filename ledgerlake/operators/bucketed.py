@@ -55,7 +55,7 @@ class BucketedTable:
         self.newer_by = newer_by
 
     def create(self, df: DataFrame) -> None:
-        with _in_buckets(self.spark, self.buckets):
+        with _in_buckets(df.sparkSession, self.buckets):
             _bucketed(self._checked(df), self.keys, self.buckets).saveAsTable(self.name)
         columns = self.spark.table(self.name).withColumn(BATCH, F.lit(0).cast("bigint")).limit(0)
         _bucketed(columns, self.keys, self.buckets).partitionBy(BATCH).saveAsTable(self.changes)
@@ -64,7 +64,7 @@ class BucketedTable:
         """Upsert by key. ``batch`` numbers the merge, as a stream does; repeating it writes over what it wrote before."""
         columns = self.spark.table(self.name).columns
         rows = self._checked(source.select(*columns)).withColumn(BATCH, F.lit(batch).cast("bigint"))
-        with _dynamic_overwrite(self.spark), _in_buckets(self.spark, self.buckets):
+        with _dynamic_overwrite(self.spark), _in_buckets(rows.sparkSession, self.buckets):
             rows.write.mode("overwrite").insertInto(self.changes)
 
     def read(self) -> DataFrame:
